@@ -205,3 +205,93 @@ SELECT vids.video_id, coalesce(nc.n, 0) AS n_comments,
        coalesce(sm.v, 'N/A') AS overall_sentiment, coalesce(em.v, 'N/A') AS overall_emotion
 FROM vids LEFT JOIN nc USING (video_id) LEFT JOIN sm USING (video_id) LEFT JOIN em USING (video_id)
 """
+
+
+# ---------------------------------------------------------------------------
+# dataset preparation and evaluation
+# ---------------------------------------------------------------------------
+
+ORACLE["label_distribution"] = f"""
+WITH c AS (SELECT CAST(label AS INTEGER) AS label, count(*) AS n FROM embeddings GROUP BY 1)
+SELECT label, CASE WHEN label BETWEEN 0 AND 5 THEN {EMO_LIST}[label + 1] END AS emotion, n,
+       (SELECT count(*) FROM c) AS n_labels
+FROM c
+"""
+
+ORACLE["class_weights"] = """
+WITH c AS (SELECT CAST(label AS INTEGER) AS label, count(*) AS n FROM embeddings WHERE label BETWEEN 0 AND 5 GROUP BY 1),
+t AS (SELECT CAST(sum(n) AS DOUBLE) AS nn, CAST(count(*) AS DOUBLE) AS k FROM c)
+SELECT label, n, """ + r6("t.nn / (t.k * n)") + """ AS weight FROM c, t
+"""
+
+_BAL = """
+lab AS (SELECT vec_id, CAST(label AS INTEGER) AS label FROM embeddings WHERE label BETWEEN 0 AND 5),
+mn AS (SELECT min(c) AS m FROM (SELECT label, count(*) AS c FROM lab GROUP BY label)),
+bal AS (
+  SELECT vec_id, label FROM (
+    SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5('42' || CAST(vec_id AS VARCHAR)), vec_id) AS rk FROM lab)
+  WHERE rk <= (SELECT m FROM mn)
+)"""
+
+ORACLE["undersample"] = "WITH " + _BAL + """
+SELECT vec_id, label FROM bal
+"""
+
+ORACLE["stratified_split"] = "WITH " + _BAL + """,
+rk AS (
+  SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5('split42' || CAST(vec_id AS VARCHAR)), vec_id) AS r,
+         count(*) OVER (PARTITION BY label) AS n
+  FROM bal)
+SELECT vec_id, label,
+  CASE WHEN r <= (n * 70) // 100 THEN 'train' WHEN r <= (n * 85) // 100 THEN 'val' ELSE 'test' END AS split
+FROM rk
+"""
+
+_CONF = """
+, lab AS (SELECT * FROM scored WHERE label BETWEEN 0 AND 5),
+conf AS (SELECT label, pred, count(*) AS n FROM lab GROUP BY label, pred),
+sup AS (SELECT label AS cls, sum(n) AS support, sum(CASE WHEN label = pred THEN n ELSE 0 END) AS tp FROM conf GROUP BY 1),
+prd AS (SELECT pred AS cls, sum(n) AS predicted FROM conf GROUP BY 1),
+pc0 AS (
+  SELECT coalesce(s.cls, p.cls) AS cls, coalesce(tp, 0) AS tp, coalesce(support, 0) AS support,
+         coalesce(predicted, 0) AS predicted
+  FROM sup s FULL OUTER JOIN prd p ON s.cls = p.cls),
+pc1 AS (
+  SELECT *, CASE WHEN predicted > 0 THEN CAST(tp AS DOUBLE) / predicted ELSE 0.0 END AS precision,
+            CASE WHEN support > 0 THEN CAST(tp AS DOUBLE) / support ELSE 0.0 END AS recall
+  FROM pc0),
+pc AS (
+  SELECT *, CASE WHEN precision + recall > 0 THEN 2.0 * precision * recall / (precision + recall) ELSE 0.0 END AS f1
+  FROM pc1)
+"""
+
+ORACLE["confusion_counts"] = emb_cte() + _CONF + """
+SELECT label, pred, n FROM conf
+"""
+
+ORACLE["weighted_metrics"] = emb_cte() + _CONF + f"""
+SELECT sum(support) AS n,
+  {r6('sum(tp) / sum(support)')} AS accuracy,
+  {r6('sum(support * precision) / sum(support)')} AS precision,
+  {r6('sum(support * recall) / sum(support)')} AS recall,
+  {r6('sum(support * f1) / sum(support)')} AS f1
+FROM pc
+"""
+
+ORACLE["class_report"] = emb_cte() + _CONF + f"""
+SELECT coalesce({EMO_LIST}[cls + 1], CAST(cls AS VARCHAR)) AS class,
+       {r6('precision')} AS precision, {r6('recall')} AS recall, {r6('f1')} AS f1, support
+FROM pc
+UNION ALL
+SELECT 'macro avg', {r6('avg(precision)')}, {r6('avg(recall)')}, {r6('avg(f1)')}, sum(support) FROM pc
+UNION ALL
+SELECT 'weighted avg', {r6('sum(support * precision) / sum(support)')}, {r6('sum(support * recall) / sum(support)')},
+       {r6('sum(support * f1) / sum(support)')}, sum(support) FROM pc
+"""
+
+ORACLE["log_loss"] = emb_cte() + """
+, lab AS (SELECT * FROM scored WHERE label BETWEEN 0 AND 5)
+SELECT count(*) AS n,
+  """ + r6("avg(-ln(least(greatest(probs[label + 1], 1e-15), 1.0 - 1e-15)))") + """ AS log_loss
+FROM lab
+"""

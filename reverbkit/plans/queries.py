@@ -136,6 +136,77 @@ def q_overall_opinion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overall_opinion(_sentiment_rows(spark, sf_dir), videos, "video_id")
 
 
+# ---------------------------------------------------------------------------
+# dataset preparation and evaluation (embeddings: label 0-5 = labelled set)
+# ---------------------------------------------------------------------------
+
+def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reverbkit.sources.tables import embedding_rows
+
+    return embedding_rows(spark, sf_dir).where(F.col("label").between(0, len(EMOTIONS) - 1))
+
+
+def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reverbkit.functions.vectors import argmax
+
+    rows, scorer = scored_rows(spark, sf_dir)
+    lab = rows.where(F.col("label").between(0, len(EMOTIONS) - 1))
+    return scorer.score(lab, "vec", "probs").withColumn("pred", argmax(F.col("probs")))
+
+
+def q_label_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reverbkit.operators.prep import label_distribution
+    from reverbkit.sources.tables import embedding_rows
+
+    return label_distribution(embedding_rows(spark, sf_dir).select("label"), "label")
+
+
+def q_class_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reverbkit.operators.prep import class_weights
+
+    w = class_weights(_labelled(spark, sf_dir).select("label"), "label")
+    return w.select("label", "n", r6("weight").alias("weight"))
+
+
+def q_undersample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reverbkit.operators.prep import undersample
+
+    return undersample(_labelled(spark, sf_dir).select("vec_id", "label"), "label", "vec_id").select("vec_id", "label")
+
+
+def q_stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reverbkit.operators.prep import stratified_split, undersample
+
+    bal = undersample(_labelled(spark, sf_dir).select("vec_id", "label"), "label", "vec_id").select("vec_id", "label")
+    return stratified_split(bal, "label", "vec_id").select("vec_id", "label", "split")
+
+
+def q_confusion_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reverbkit.operators.metrics import confusion_counts
+
+    return confusion_counts(_predictions(spark, sf_dir), "label", "pred")
+
+
+def q_weighted_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reverbkit.operators.metrics import confusion_counts, weighted_metrics
+
+    m = weighted_metrics(confusion_counts(_predictions(spark, sf_dir), "label", "pred"))
+    return m.select("n", *[r6(c).alias(c) for c in ("accuracy", "precision", "recall", "f1")])
+
+
+def q_class_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reverbkit.operators.metrics import class_report, confusion_counts
+
+    rep = class_report(confusion_counts(_predictions(spark, sf_dir), "label", "pred"))
+    return rep.select("class", *[r6(c).alias(c) for c in ("precision", "recall", "f1")], "support")
+
+
+def q_log_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from reverbkit.operators.metrics import log_loss
+
+    return log_loss(_predictions(spark, sf_dir), "label", "probs").select("n", r6("log_loss").alias("log_loss"))
+
+
 QUERIES: dict[str, Query] = {
     "nearest_chunk": q_nearest_chunk,
     "top3_emotions": q_top3_emotions,
@@ -149,4 +220,12 @@ QUERIES: dict[str, Query] = {
     "sentiment_distribution": q_sentiment_distribution,
     "emotion_distribution": q_emotion_distribution,
     "overall_opinion": q_overall_opinion,
+    "label_distribution": q_label_distribution,
+    "class_weights": q_class_weights,
+    "undersample": q_undersample,
+    "stratified_split": q_stratified_split,
+    "confusion_counts": q_confusion_counts,
+    "weighted_metrics": q_weighted_metrics,
+    "class_report": q_class_report,
+    "log_loss": q_log_loss,
 }
