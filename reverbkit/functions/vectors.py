@@ -32,24 +32,30 @@ def l2norm(a: Column) -> Column:
     return F.sqrt(F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x * x))
 
 
-def unit(a: Column) -> Column:
-    """L2-normalised copy; the zero vector stays zero."""
-    n = l2norm(a)
-    return F.when(n > 0, F.transform(a, lambda x: x / n)).otherwise(F.transform(a, lambda x: x * 0.0))
-
-
 def cosine(a: Column, b: Column) -> Column:
     """dot / (|a| |b|), 0 when either norm is 0."""
     den = l2norm(a) * l2norm(b)
     return F.when(den > 0, dot(a, b) / den).otherwise(F.lit(0.0))
 
 
+def broadcast_each(value: Column, like: Column) -> Column:
+    """``value`` repeated once per element of ``like``.
+
+    Lambdas re-evaluate every captured outer expression per element (and
+    Catalyst may inline a column that is referenced once), so per-row
+    scalars are handed to ``zip_with`` as a second array instead.
+    """
+    return F.array_repeat(value, F.size(like))
+
+
 def softmax(logits: Column) -> Column:
-    """numerically stable softmax over an array<double>."""
-    m = F.array_max(logits)
-    e = F.transform(logits, lambda x: F.exp(x - m))
-    s = total(e)
-    return F.transform(e, lambda x: x / s)
+    """numerically stable softmax over an array<double> column.
+
+    ``logits`` should be a column reference: it is used three times, which
+    also keeps Catalyst from inlining its computation.
+    """
+    e = F.zip_with(logits, broadcast_each(F.array_max(logits), logits), lambda x, m: F.exp(x - m))
+    return F.zip_with(e, broadcast_each(total(e), e), lambda x, s: x / s)
 
 
 def top_k(probs: Column, k: int = 3, names: list[str] | None = None) -> Column:

@@ -34,13 +34,16 @@ def _step(size: int, overlap: int) -> int:
     return step
 
 
-def chunk_array(text: Column, size: int = CHUNK_WORDS, overlap: int = CHUNK_OVERLAP) -> Column:
-    """W1 as an array<string> column (empty for no words or a negative step)."""
+def chunk_array(w: Column, size: int = CHUNK_WORDS, overlap: int = CHUNK_OVERLAP) -> Column:
+    """W1 over a word-array column (empty for no words or a negative step).
+
+    ``w`` must be a column reference: it is used both outside and inside the
+    lambda, which keeps Catalyst from inlining (and re-running) the split.
+    """
     step = _step(size, overlap)
-    w = words(text)
-    n = F.size(w)
     if step < 0:
         return F.array().cast("array<string>")
+    n = F.size(w)
     starts = F.when(n > 0, F.sequence(F.lit(0), n - 1, F.lit(step))).otherwise(F.array().cast("array<int>"))
     return F.transform(starts, lambda s: F.array_join(F.slice(w, s + 1, size), " "))
 
@@ -49,7 +52,8 @@ def chunk_text(df: DataFrame, key: str, text_col: str, size: int = CHUNK_WORDS,
                overlap: int = CHUNK_OVERLAP, clean: bool = True) -> DataFrame:
     """(key, chunk_index 1-based, chunk) for one-row transcripts."""
     t = clean_transcript(F.col(text_col)) if clean else F.col(text_col)
-    return df.select(key, F.posexplode(chunk_array(t, size, overlap)).alias("pos", "chunk")).select(
+    w = df.select(key, words(t).alias("_w"))
+    return w.select(key, F.posexplode(chunk_array(F.col("_w"), size, overlap)).alias("pos", "chunk")).select(
         key, (F.col("pos") + 1).cast("int").alias("chunk_index"), "chunk"
     )
 

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reverbkit.constants import CENTROID_LOGIT_SCALE, EMOTIONS
-from reverbkit.functions.vectors import argmax, dot, l2norm, softmax, top_k
+from reverbkit.functions.vectors import argmax, broadcast_each, dot, l2norm, softmax, top_k
 
 CENTROID_COL = "_centroids"
 
@@ -65,25 +65,28 @@ class CentroidScorer:
         # a constant; its size is bounded by classes x dim.
         return cls(centroid_table(labelled, vec_col, label_col).scalar(), scale)
 
-    def probs(self, vec: Column, norm: Column | None = None, centroids: Column | None = None) -> Column:
-        """Class probabilities; ``centroids`` must be a column reference
-        (subqueries are not allowed inside higher-order functions), see
-        ``score``."""
-        n = l2norm(vec) if norm is None else norm
-        cents = F.col(CENTROID_COL) if centroids is None else centroids
-        logits = F.transform(
-            cents,
-            lambda c: F.lit(self.scale)
+    def logits(self, vec: Column, norm: Column, centroids: Column) -> Column:
+        """``scale * cosine(vec, centroid)`` per class; ``vec``, ``norm`` and
+        ``centroids`` must be column references."""
+        return F.zip_with(
+            centroids,
+            broadcast_each(norm, centroids),
+            lambda c, n: F.lit(self.scale)
             * F.when((n * c["norm"]) > 0, dot(vec, c["vec"]) / (n * c["norm"])).otherwise(F.lit(0.0)),
         )
-        return softmax(logits)
 
     def score(self, df: DataFrame, vec_col: str = "vec", out: str = "probs") -> DataFrame:
-        """Adds ``out`` = class probabilities of ``vec_col`` (narrow projection)."""
+        """Adds ``out`` = class probabilities of ``vec_col`` (narrow projections).
+
+        Intermediate columns are real projections so no lambda re-computes
+        the vector norm or the logits per class.
+        """
         return (
             df.withColumn(CENTROID_COL, self.centroids)
-            .withColumn(out, self.probs(F.col(vec_col)))
-            .drop(CENTROID_COL)
+            .withColumn("_vn", l2norm(F.col(vec_col)))
+            .withColumn("_lg", self.logits(F.col(vec_col), F.col("_vn"), F.col(CENTROID_COL)))
+            .withColumn(out, softmax(F.col("_lg")))
+            .drop(CENTROID_COL, "_vn", "_lg")
         )
 
 

@@ -31,6 +31,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, target: int | None = None) -> DataFrame:
+    """Round-robin repartition only when the scan yields fewer partitions
+    than the cluster can run at once (e.g. one small file holding one row
+    group); a large multi-file input is left as read, so no shuffle is added
+    at scale. Used before CPU-heavy per-row work (regex cleaning, scoring)."""
+    want = target or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 def embedding_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "embeddings")
     return e.select(
@@ -74,5 +83,5 @@ def conversation_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents")
+    d = spread(table(spark, sf_dir, "documents"))
     return d.select(F.col("doc_id").alias("video_id"), F.col("text").alias("transcript"))
