@@ -139,6 +139,10 @@ def tfidf_nearest_chunk(comments: DataFrame, chunks: DataFrame, key: str = "vide
     video; weights are ``tf * idf``; comment vectors keep only terms that
     occur in the video's chunks. Ties (including all-zero rows) go to the
     lowest ``chunk_index``.
+
+    ``chunks`` and ``comments`` feed several branches (term statistics,
+    candidate blocks, zero-term chunks); pass them checkpointed (see
+    ``session.cut_lineage``) when they are expensive to recompute.
     """
     ktf = term_counts(chunks, [key, "chunk_index"], chunk_text)
     nchunks = chunks.groupBy(key).agg(F.count(F.lit(1)).alias("_nk"))

@@ -31,20 +31,27 @@ def distribution(scored: DataFrame, key: str, category: str) -> DataFrame:
     return scored.groupBy(key, category).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _mode(scored: DataFrame, key: str, category: str, out: str) -> DataFrame:
-    """A4: most frequent value per key; a tie goes to the alphabetically first."""
-    counts = scored.groupBy(key, category).agg(F.count(F.lit(1)).alias("n"))
-    return counts.groupBy(key).agg(
-        F.min(F.struct((-F.col("n")).alias("neg"), F.col(category).alias("v")))["v"].alias(out)
-    )
-
-
 def overall_opinion(scored: DataFrame, videos: DataFrame, key: str = "video_id") -> DataFrame:
-    """A4 for sentiment and top emotion; "N/A" for a video without comments."""
-    n = scored.groupBy(key).agg(F.count(F.lit(1)).alias("n_comments"))
-    s = _mode(scored, key, "sentiment", "overall_sentiment")
-    e = _mode(scored, key, "top_emotion", "overall_emotion")
-    out = videos.select(key).join(n, key, "left").join(s, key, "left").join(e, key, "left")
+    """A4 for sentiment and top emotion; "N/A" for a video without comments.
+
+    One pass: a GROUPING SETS aggregate counts per video, per (video,
+    sentiment) and per (video, emotion) together; the modes (ties to the
+    alphabetically first value) come from that small table.
+    """
+    counts = scored.groupingSets(
+        [[key], [key, "sentiment"], [key, "top_emotion"]], key, "sentiment", "top_emotion"
+    ).agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("gid"))
+
+    def mode(gid: int, col: str):
+        cand = F.when(F.col("gid") == gid, F.struct((-F.col("n")).alias("neg"), F.col(col).alias("v")))
+        return F.min(cand)["v"]
+
+    per_video = counts.groupBy(key).agg(
+        F.max(F.when(F.col("gid") == 3, F.col("n"))).alias("n_comments"),
+        mode(1, "sentiment").alias("overall_sentiment"),
+        mode(2, "top_emotion").alias("overall_emotion"),
+    )
+    out = videos.select(key).join(per_video, key, "left")
     return out.select(
         key,
         F.coalesce("n_comments", F.lit(0)).alias("n_comments"),

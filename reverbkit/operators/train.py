@@ -26,7 +26,7 @@ TOKEN_PATTERN = r"[\p{L}\p{N}]+"
 
 
 def build_pipeline(text_col: str = "text", label_col: str = "label", max_tokens: int = 128,
-                   num_features: int = 1 << 18, weight_col: str | None = None,
+                   num_features: int = 1 << 16, weight_col: str | None = None,
                    max_iter: int = 50, reg: float = 0.01) -> Pipeline:
     """M4 + M6: tokenise (lower-case word runs), keep the first ``max_tokens``
     tokens (the reference truncates at 128 when training), TF-IDF, and a
@@ -81,7 +81,11 @@ def train_and_evaluate(labelled: DataFrame, key: str = "doc_id", text_col: str =
 
     Returns the fitted model and one metrics row per evaluated split
     (n, accuracy, weighted precision/recall/F1, log loss)."""
-    split = stratified_split(labelled, label_col, key)
+    from reverbkit.session import cut_lineage
+
+    # the split feeds training (many passes) and two evaluations: materialise
+    # it once in the shared checkpoint folder
+    split = cut_lineage(stratified_split(labelled, label_col, key))
     train = split.where(F.col("split") == "train")
     if class_weighted:
         train = with_class_weights(train, label_col, "weight")

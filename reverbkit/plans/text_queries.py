@@ -107,8 +107,12 @@ def q_rejected_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_tfidf_nearest_chunk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    comments = distinct_comments(cleaned_comments(spark, sf_dir))
-    chunks = transcript_chunks(spark, sf_dir)
+    from reverbkit.session import cut_lineage
+
+    # both inputs feed several branches of the search: materialise each once
+    # in the shared checkpoint folder instead of re-running the chunker
+    comments = cut_lineage(distinct_comments(cleaned_comments(spark, sf_dir)))
+    chunks = cut_lineage(transcript_chunks(spark, sf_dir))
     nn = tfidf_nearest_chunk(comments, chunks, key="video_id", comment_key="comment_pos",
                              comment_text="comment", chunk_text="chunk")
     from reverbkit.functions.vectors import round_half_up
