@@ -34,6 +34,8 @@ EMOJI_RANGES = [
 _RI = r"\x{1F1E6}-\x{1F1FF}"
 _BASE = r"\x{1F300}-\x{1FAFF}\x{2600}-\x{27BF}"
 _MOD = r"\x{FE0F}\x{1F3FB}-\x{1F3FF}"
+# A token that starts with an emoji code point.
+EMOJI_START = f"^[{_RI}{_BASE}]"
 # One emoji cluster (flag pair, or base + modifiers + ZWJ sequence) or a run
 # of other text. Both engines accept this syntax.
 EMOJI_TOKEN_PATTERN = (

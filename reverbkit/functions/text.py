@@ -22,7 +22,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from reverbkit.constants import SLANG
-from reverbkit.functions.emoji import EMOJI_TOKEN_PATTERN, emoji_table_json
+from reverbkit.functions.emoji import EMOJI_START, EMOJI_TOKEN_PATTERN, emoji_table_json
 
 WS = r"[\s\x1c-\x1f\x85\p{Z}]"
 WORD = r"[\p{L}\p{N}_]"
@@ -71,10 +71,15 @@ def demojize(col: Column | str) -> Column:
     """emoji clusters -> ``:name:``; unknown clusters pass through."""
     toks = F.regexp_extract_all(_c(col), F.lit(EMOJI_TOKEN_PATTERN), 0)
     emap = emoji_map_column()
+    # map literals are searched linearly: look up only tokens that start
+    # with an emoji code point (the other tokens are plain-text runs)
     return F.array_join(
         F.transform(
             toks,
-            lambda t: F.coalesce(F.try_element_at(emap, F.regexp_replace(t, "️", "")), t),
+            lambda t: F.when(
+                t.rlike(EMOJI_START),
+                F.coalesce(F.try_element_at(emap, F.regexp_replace(t, "️", "")), t),
+            ).otherwise(t),
         ),
         "",
     )
@@ -104,19 +109,37 @@ def clean_comment(col: Column | str) -> Column:
     """P1 -> F1 -> F2 -> P2 -> F3 -> F4 -> F5 -> F6 -> F7 -> F2 -> P1.
 
     Returns null for empty input, replies (leading ``@``) and comments that
-    clean down to nothing.
+    clean down to nothing. For DataFrames prefer ``with_clean_comment``,
+    which projects each step once.
     """
     raw = _c(col)
     x = collapse_ws(newlines_to_space(raw))
-    is_reply = x.startswith("@")
+    y = _comment_body(x)
+    return F.when(raw.isNull() | (raw == "") | x.startswith("@"), F.lit(None).cast("string")).otherwise(
+        F.nullif(y, F.lit(""))
+    )
+
+
+def _comment_body(x: Column) -> Column:
     y = remove_urls(x)
     y = F.lower(demojize(y))
     y = expand_slang(y)
     y = F.regexp_replace(y, r"[^a-zA-Z0-9\s\x1c-\x1f\x85\p{Z}:]", "")
-    y = collapse_ws(y)
-    return F.when(raw.isNull() | (raw == "") | is_reply, F.lit(None).cast("string")).otherwise(
-        blank_to_null(y)
+    return collapse_ws(y)
+
+
+def with_clean_comment(df, raw_col: str, out_col: str = "comment"):
+    """F10 as staged projections: the collapsed text and the cleaned body
+    are each projected once (both are referenced twice, so Catalyst keeps
+    them as separate projections instead of re-running the regex chain)."""
+    raw = F.col(raw_col)
+    staged = df.withColumn("_cx", collapse_ws(newlines_to_space(raw))).withColumn(
+        "_cy", _comment_body(F.col("_cx"))
+    )
+    out = F.when(raw.isNull() | (raw == "") | F.col("_cx").startswith("@"), F.lit(None).cast("string")).otherwise(
+        F.when(F.col("_cy") != "", F.col("_cy"))
     )
+    return staged.withColumn(out_col, out).drop("_cx", "_cy")
 
 
 def clean_transcript(col: Column | str) -> Column:

@@ -6,11 +6,12 @@ Two chunkers with identical output:
   row): ``split`` -> ``sequence`` of window starts -> ``slice`` +
   ``array_join`` -> ``posexplode``. Narrow, no shuffle.
 * ``chunk_segments`` - for a transcript stored as ordered segments (one row
-  per segment). The transcript is never gathered into one row: every word
-  gets its global position from a two-level prefix sum over segment word
-  counts, is sent to the (at most ``ceil(size / step)``) windows that contain
-  it, and each window is rebuilt by a group-by on (video, window) whose
-  groups hold at most ``size`` words. A hot video is spread over all tasks.
+  per segment). The transcript is never gathered into one row: each
+  segment's words get global positions from a two-level prefix sum over
+  segment word counts, the segment is cut into one piece per window it
+  overlaps, and each window is rebuilt by a group-by on (video, window)
+  whose groups hold at most ``size`` words. A hot video is spread over all
+  tasks.
 
 Both follow ``str.split()`` + ``range(0, n, size - overlap)``: n words give
 ``ceil(n / step)`` windows, the last may lie inside the one before.
@@ -97,26 +98,36 @@ def segment_word_offsets(segments: DataFrame, key: str, order: str, text: str) -
 def chunk_segments(segments: DataFrame, key: str = "video_id", order: str = "seg_idx",
                    text: str = "segment", size: int = CHUNK_WORDS,
                    overlap: int = CHUNK_OVERLAP) -> DataFrame:
-    """(key, chunk_index, chunk) for segmented transcripts, fully distributed."""
+    """(key, chunk_index, chunk) for segmented transcripts, fully distributed.
+
+    Each segment (words at global positions [o, o + n)) emits one *piece*
+    per window k it overlaps - the words of [k*step, k*step + size) that it
+    holds - so rows shipped are about n / step + 2 per segment, not one per
+    word. A window's pieces meet in one group (at most ``size`` words) and
+    are joined in position order.
+    """
     step = _step(size, overlap)
     if step < 0:
         return segments.sparkSession.createDataFrame([], f"{key} long, chunk_index int, chunk string")
-    segw = segment_word_offsets(segments, key, order, text)
-    wordpos = segw.select(key, "offset", F.posexplode("seg_words").alias("i", "word")).select(
-        key, (F.col("offset") + F.col("i")).alias("p"), "word"
-    )
-    # windows k with k*step <= p < k*step + size
-    k_lo = F.greatest(F.lit(0), F.ceil((F.col("p") - size + 1) / step))
-    k_hi = F.floor(F.col("p") / step)
+    segw = segment_word_offsets(segments, key, order, text).where(F.col("n_words") > 0)
+    o, n = F.col("offset"), F.col("n_words")
+    k_lo = F.greatest(F.lit(0), F.ceil((o - size + 1) / step))
+    k_hi = F.floor((o + n - 1) / step)
     ks = F.when(k_lo <= k_hi, F.sequence(k_lo, k_hi)).otherwise(F.array().cast("array<bigint>"))
-    placed = wordpos.select(key, "p", "word", F.explode(ks).alias("k"))
+    per_window = segw.select(key, "offset", "n_words", "seg_words", F.explode(ks).alias("k"))
+    start = F.greatest(F.col("k") * step, o)
+    end = F.least(F.col("k") * step + size, o + n)
+    pieces = per_window.select(
+        key, "k", start.alias("p"),
+        F.slice("seg_words", (start - o + 1).cast("int"), (end - start).cast("int")).alias("piece"),
+    ).where(F.size("piece") > 0)
     return (
-        placed.groupBy(key, "k")
-        .agg(F.array_sort(F.collect_list(F.struct("p", "word"))).alias("ws"))
+        pieces.groupBy(key, "k")
+        .agg(F.array_sort(F.collect_list(F.struct("p", "piece"))).alias("ps"))
         .select(
             key,
             (F.col("k") + 1).cast("int").alias("chunk_index"),
-            F.array_join(F.transform("ws", lambda x: x["word"]), " ").alias("chunk"),
+            F.array_join(F.flatten(F.transform("ps", lambda x: x["piece"])), " ").alias("chunk"),
         )
     )
 

@@ -27,7 +27,7 @@ TOKEN_PATTERN = r"[\p{L}\p{N}]+"
 
 def build_pipeline(text_col: str = "text", label_col: str = "label", max_tokens: int = 128,
                    num_features: int = 1 << 16, weight_col: str | None = None,
-                   max_iter: int = 50, reg: float = 0.01) -> Pipeline:
+                   max_iter: int = 30, reg: float = 0.01) -> Pipeline:
     """M4 + M6: tokenise (lower-case word runs), keep the first ``max_tokens``
     tokens (the reference truncates at 128 when training), TF-IDF, and a
     multinomial logistic regression."""

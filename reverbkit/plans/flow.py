@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from reverbkit.constants import CHUNK_OVERLAP, CHUNK_WORDS, EMOTIONS
 from reverbkit.functions import relations as R
-from reverbkit.functions.text import clean_comment
+from reverbkit.functions.text import with_clean_comment
 from reverbkit.functions.vectors import argmax, top_k
 from reverbkit.operators.chunks import chunk_text
 from reverbkit.operators.pairing import nearest_chunk, tfidf_nearest_chunk
@@ -63,9 +63,10 @@ class TextModelScorer:
 def video_comments(videos: DataFrame) -> DataFrame:
     """Comments exploded with their 1-based position, cleaned once."""
     c = videos.select("video_id", F.posexplode("comments").alias("pos", "raw_comment"))
-    return c.select(
-        "video_id", (F.col("pos") + 1).alias("comment_pos"), clean_comment(F.col("raw_comment")).alias("comment")
-    ).where(F.col("comment").isNotNull())
+    c = c.select("video_id", (F.col("pos") + 1).alias("comment_pos"), "raw_comment")
+    return with_clean_comment(c, "raw_comment", "comment").select("video_id", "comment_pos", "comment").where(
+        F.col("comment").isNotNull()
+    )
 
 
 def run_analysis(videos: DataFrame, scorer, vectoriser: Callable[[DataFrame, str], DataFrame] | None = None,

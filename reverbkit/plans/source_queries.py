@@ -28,7 +28,7 @@ def record_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Formatted label strings built from ``orders`` (the pages hold none):
     the view/date line, comment-count text, like-button label, subscriber
     text and channel name of one record per order."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    o = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"))
     price = F.floor(F.col("o_totalprice")).cast("long")
     views = F.when(F.pmod("o_orderkey", F.lit(10)) == 9, F.lit("1.5")).otherwise(F.format_number(price, 0))
     date = F.when(

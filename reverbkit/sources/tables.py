@@ -36,8 +36,12 @@ def spread(df: DataFrame, target: int | None = None) -> DataFrame:
     than the cluster can run at once (e.g. one small file holding one row
     group); a large multi-file input is left as read, so no shuffle is added
     at scale. Used before CPU-heavy per-row work (regex cleaning, scoring)."""
-    want = target or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    try:
+        want = target or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. no RDD access (Spark Connect): leave as read
+        return df
+    return df.repartition(want) if have < want else df
 
 
 def embedding_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,14 +70,14 @@ def embedding_chunks(rows: DataFrame) -> DataFrame:
 
 def conversation_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "conversations")
-    return c.where(F.col("role") == "user").select(
+    return spread(c.where(F.col("role") == "user")).select(
         F.col("conv_id").alias("video_id"), F.col("turn").alias("comment_pos"), F.col("text").alias("raw_comment")
     )
 
 
 def conversation_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "conversations")
-    return c.where(F.col("role") == "assistant").select(
+    return spread(c.where(F.col("role") == "assistant")).select(
         F.col("conv_id").alias("video_id"), F.col("turn").alias("seg_idx"), F.col("text").alias("segment")
     )
 

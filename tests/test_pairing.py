@@ -75,3 +75,21 @@ def test_flagship_plan_stays_in_jvm(spark):
     for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "NestedLoopJoin"):
         assert bad not in plan
     assert df.count() > 0
+
+
+def test_no_python_or_product_in_any_driver_query(spark):
+    import __spark_entry__ as E
+
+    for name, q in E.queries().items():
+        if name == "train_eval":
+            continue
+        plan = q(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "NestedLoopJoin"):
+            assert bad not in plan, (name, bad)
+
+
+def test_top_comments_limits_before_shuffle(spark):
+    from reverbkit.plans.source_queries import q_top_comments
+
+    plan = q_top_comments(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
