@@ -25,7 +25,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reverbkit.constants import CHUNK_OVERLAP, CHUNK_WORDS, EMOTIONS
+from reverbkit.constants import CES_LAMBDA, CHUNK_OVERLAP, CHUNK_WORDS, EMOTIONS, WRS_BETA
 from reverbkit.functions import relations as R
 from reverbkit.functions.text import with_clean_comment
 from reverbkit.functions.vectors import argmax, top_k
@@ -70,8 +70,15 @@ def video_comments(videos: DataFrame) -> DataFrame:
 
 
 def run_analysis(videos: DataFrame, scorer, vectoriser: Callable[[DataFrame, str], DataFrame] | None = None,
-                 chunk_size: int = CHUNK_WORDS, chunk_overlap: int = CHUNK_OVERLAP) -> dict[str, DataFrame]:
+                 chunk_size: int = CHUNK_WORDS, chunk_overlap: int = CHUNK_OVERLAP,
+                 lam: float = CES_LAMBDA, beta: float = WRS_BETA) -> dict[str, DataFrame]:
+    """The whole stage chain (E2 cleaning/chunking with ``chunk_size`` /
+    ``chunk_overlap``, E3 pairing, E4 scoring, E5 relations with ``lam`` /
+    ``beta``, E6 report tables), lazily, for every video at once."""
     require_columns(videos, ["video_id", "transcript", "comments"])
+    from reverbkit.functions.text import clean_transcript, words
+
+    n_words = videos.select("video_id", F.size(words(clean_transcript(F.col("transcript")))).alias("n_words"))
     comments = video_comments(videos)
     # Distinct comment texts per video, first position kept
     distinct = comments.groupBy("video_id", "comment").agg(F.min("comment_pos").alias("comment_pos"))
@@ -80,11 +87,12 @@ def run_analysis(videos: DataFrame, scorer, vectoriser: Callable[[DataFrame, str
     # First failed check per video
     n_c = comments.groupBy("video_id").agg(F.count(F.lit(1)).alias("n_comments"))
     n_k = chunks.groupBy("video_id").agg(F.count(F.lit(1)).alias("n_chunks"))
-    checks = videos.select("video_id").join(n_c, "video_id", "left").join(n_k, "video_id", "left")
+    checks = n_words.join(n_c, "video_id", "left").join(n_k, "video_id", "left")
     rejected = checks.select(
         "video_id",
-        F.when(F.coalesce("n_chunks", F.lit(0)) == 0, F.lit("no_transcript"))
-        .when(F.coalesce("n_comments", F.lit(0)) == 0, F.lit("no_comments")).alias("reason"),
+        F.when(F.col("n_words") == 0, F.lit("no_transcript"))
+        .when(F.coalesce("n_comments", F.lit(0)) == 0, F.lit("no_comments"))
+        .when(F.coalesce("n_chunks", F.lit(0)) == 0, F.lit("no_chunks")).alias("reason"),
     ).where(F.col("reason").isNotNull())
 
     # Nearest chunk per distinct comment
@@ -107,8 +115,8 @@ def run_analysis(videos: DataFrame, scorer, vectoriser: Callable[[DataFrame, str
     )
 
     # C1-C4
-    rel = pairs.withColumn("ces", R.ces_array(F.col("comment_top3"), F.col("chunk_top3")))
-    rel = rel.withColumn("wrs", R.wrs(F.col("comment_top3"), F.col("chunk_top3"), F.col("ces")))
+    rel = pairs.withColumn("ces", R.ces_array(F.col("comment_top3"), F.col("chunk_top3"), lam))
+    rel = rel.withColumn("wrs", R.wrs(F.col("comment_top3"), F.col("chunk_top3"), F.col("ces"), beta))
     rel = rel.withColumn("ecf", R.ecf(F.col("wrs"), F.col("comment_top3"), F.col("chunk_top3")))
     rel = rel.withColumn("final_emotion", R.final_emotion(F.col("comment_top3"), F.col("ces")))
     relation_scores = rel.select(
