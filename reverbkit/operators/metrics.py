@@ -27,16 +27,26 @@ def _z(num, den):
 
 def per_class(confusion: DataFrame) -> DataFrame:
     """class, tp, support, predicted, precision, recall, f1 for every class
-    seen as a label or as a prediction."""
-    sup = confusion.groupBy(F.col("label").alias("cls")).agg(
-        F.sum("n").alias("support"), F.sum(F.when(F.col("label") == F.col("pred"), F.col("n")).otherwise(0)).alias("tp")
-    )
-    prd = confusion.groupBy(F.col("pred").alias("cls")).agg(F.sum("n").alias("predicted"))
-    c = sup.join(prd, "cls", "full_outer").select(
-        "cls",
-        F.coalesce("tp", F.lit(0)).cast("long").alias("tp"),
-        F.coalesce("support", F.lit(0)).cast("long").alias("support"),
-        F.coalesce("predicted", F.lit(0)).cast("long").alias("predicted"),
+    seen as a label or as a prediction.
+
+    One aggregate: each (label, pred, n) cell contributes its count to the
+    label's support (and tp on the diagonal) and to the prediction's column
+    total, so the confusion table is read once (no self-join)."""
+    contrib = confusion.select(
+        F.explode(
+            F.array(
+                F.struct(F.col("label").alias("cls"), F.col("n").alias("support"),
+                         F.when(F.col("label") == F.col("pred"), F.col("n")).otherwise(F.lit(0)).alias("tp"),
+                         F.lit(0).cast("long").alias("predicted")),
+                F.struct(F.col("pred").alias("cls"), F.lit(0).cast("long").alias("support"),
+                         F.lit(0).cast("long").alias("tp"), F.col("n").alias("predicted")),
+            )
+        ).alias("c")
+    ).select("c.*")
+    c = contrib.groupBy("cls").agg(
+        F.sum("tp").cast("long").alias("tp"),
+        F.sum("support").cast("long").alias("support"),
+        F.sum("predicted").cast("long").alias("predicted"),
     )
     p = _z(F.col("tp").cast("double"), F.col("predicted"))
     r = _z(F.col("tp").cast("double"), F.col("support"))
@@ -59,27 +69,34 @@ def weighted_metrics(confusion: DataFrame) -> DataFrame:
 
 
 def class_report(confusion: DataFrame, names: list[str] | None = None) -> DataFrame:
-    """Per-class rows plus 'macro avg' and 'weighted avg'."""
+    """Per-class rows plus 'macro avg' and 'weighted avg'.
+
+    The per-class table (one row per class, a bound set by the label domain)
+    is read once: a window over it yields the averages, and the first class
+    row also emits the two summary rows."""
+    from pyspark.sql import Window
+
     names = names or EMOTIONS
     name_arr = F.array(*[F.lit(n) for n in names])
     pc = per_class(confusion)
-    rows = pc.select(
-        F.coalesce(F.element_at(name_arr, (F.col("cls") + 1).cast("int")), F.col("cls").cast("string")).alias("class"),
-        "precision", "recall", "f1", "support",
-    )
-    macro = pc.agg(
-        F.lit("macro avg").alias("class"),
-        F.avg("precision").alias("precision"), F.avg("recall").alias("recall"), F.avg("f1").alias("f1"),
-        F.sum("support").alias("support"),
-    )
-    weighted = pc.agg(
-        F.lit("weighted avg").alias("class"),
-        (F.sum(F.col("support") * F.col("precision")) / F.sum("support")).alias("precision"),
-        (F.sum(F.col("support") * F.col("recall")) / F.sum("support")).alias("recall"),
-        (F.sum(F.col("support") * F.col("f1")) / F.sum("support")).alias("f1"),
-        F.sum("support").alias("support"),
-    )
-    return rows.unionByName(macro).unionByName(weighted)
+    w = Window.partitionBy()  # K rows, K = number of classes
+    tot = F.sum("support").over(w)
+
+    def row(cls, p, r, f, sup):
+        return F.struct(cls.alias("class"), p.alias("precision"), r.alias("recall"), f.alias("f1"),
+                        sup.cast("long").alias("support"))
+
+    own = row(F.coalesce(F.element_at(name_arr, (F.col("cls") + 1).cast("int")), F.col("cls").cast("string")),
+              F.col("precision"), F.col("recall"), F.col("f1"), F.col("support"))
+    macro = row(F.lit("macro avg"), F.avg("precision").over(w), F.avg("recall").over(w), F.avg("f1").over(w), tot)
+    weighted = row(F.lit("weighted avg"),
+                   F.sum(F.col("support") * F.col("precision")).over(w) / tot,
+                   F.sum(F.col("support") * F.col("recall")).over(w) / tot,
+                   F.sum(F.col("support") * F.col("f1")).over(w) / tot, tot)
+    first = F.col("cls") == F.min("cls").over(w)
+    staged = pc.select(own.alias("own"), macro.alias("macro"), weighted.alias("weighted"), first.alias("first"))
+    rows = F.when(F.col("first"), F.array("own", "macro", "weighted")).otherwise(F.array("own"))
+    return staged.select(F.explode(rows).alias("r")).select("r.*")
 
 
 def log_loss(scored: DataFrame, label: str = "label", probs: str = "probs", eps: float = 1e-15) -> DataFrame:

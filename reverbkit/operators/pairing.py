@@ -11,12 +11,14 @@ similar chunk per comment. Here the product is never materialised:
 * the per-block winners are reduced with ``max(struct(sim, -chunk_index))``,
   a partial (map-side) aggregate, so ties go to the lowest ``chunk_index``.
 
-Hot videos (one video holding a large share of all comments) are split by a
-salt: comment rows get ``salt = pmod(xxhash64(comment key), salts)`` and the
-(small) block side is replicated ``salts`` times, so a hot video is spread
-over ``salts`` tasks instead of one. Nothing is broadcast by hand: AQE turns
-the join into a broadcast only when the runtime size of the block side is
-under ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
+Hot videos (one video holding a large share of all comments) are split by an
+adaptive salt: a video with r comments gets ceil(r / rows_per_salt) salts,
+its comment rows are spread over them by ``xxhash64(comment key)`` and its
+(small) block side is replicated once per salt, so each task of the join
+holds about ``rows_per_salt`` comments whatever the skew. The only hand
+broadcast is the table of hot videos, which has at most
+N / rows_per_salt rows. AQE may still turn the main join into a broadcast
+when the block side is small at run time (size checked by Spark).
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 from reverbkit.functions.vectors import dot, l2norm
 
 DEFAULT_BLOCK = 256
-DEFAULT_SALTS = 8
+DEFAULT_ROWS_PER_SALT = 1_000_000
 
 
 def chunk_blocks(chunks: DataFrame, key: str = "video_id", vec_col: str = "vec",
@@ -51,9 +53,30 @@ def chunk_blocks(chunks: DataFrame, key: str = "video_id", vec_col: str = "vec",
     )
 
 
-def _salted(comments: DataFrame, blocks: DataFrame, key: str, comment_key: str, salts: int):
-    c = comments.withColumn("_salt", F.pmod(F.xxhash64(F.col(comment_key)), F.lit(salts)).cast("int"))
-    b = blocks.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+def hot_key_salts(comments: DataFrame, key: str, rows_per_salt: int) -> DataFrame:
+    """(key, _ns) for keys holding more than ``rows_per_salt`` rows, with
+    ``_ns = ceil(rows / rows_per_salt)`` salts. A partial aggregate; the
+    result has at most N / rows_per_salt rows, which bounds its broadcast."""
+    counts = comments.groupBy(key).agg(F.count(F.lit(1)).alias("_cnt"))
+    return counts.where(F.col("_cnt") > rows_per_salt).select(
+        key, F.ceil(F.col("_cnt") / F.lit(rows_per_salt)).cast("int").alias("_ns")
+    )
+
+
+def _salted(comments: DataFrame, blocks: DataFrame, key: str, comment_key: str,
+            rows_per_salt: int = DEFAULT_ROWS_PER_SALT):
+    """Comment x block candidates on (key, salt).
+
+    Only hot keys are split: a key with r rows gets ceil(r / rows_per_salt)
+    salts, its comment rows are spread over them by hash and its (small)
+    block side is replicated once per salt; every other key keeps salt 0.
+    """
+    hot = F.broadcast(hot_key_salts(comments, key, rows_per_salt))
+    ns = F.coalesce(F.col("_ns"), F.lit(1))
+    c = comments.join(hot, key, "left").withColumn(
+        "_salt", F.pmod(F.xxhash64(F.col(comment_key)), ns).cast("int")).drop("_ns")
+    b = blocks.join(hot, key, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), ns - 1))).drop("_ns")
     return c.join(b, [key, "_salt"], "inner")
 
 
@@ -65,7 +88,7 @@ def sim_rank_key(sim):
 
 def nearest_chunk(comments: DataFrame, chunks: DataFrame, key: str = "video_id",
                   comment_key: str = "comment_id", vec_col: str = "vec",
-                  block_size: int = DEFAULT_BLOCK, salts: int = DEFAULT_SALTS,
+                  block_size: int = DEFAULT_BLOCK, rows_per_salt: int = DEFAULT_ROWS_PER_SALT,
                   comment_payload: list[str] | None = None,
                   chunk_payload: list[str] | None = None) -> DataFrame:
     """The most similar chunk of the same video for every comment.
@@ -81,7 +104,7 @@ def nearest_chunk(comments: DataFrame, chunks: DataFrame, key: str = "video_id",
     cm = comments.select(key, comment_key, *comment_payload, F.col(vec_col).alias("_v"),
                          l2norm(F.col(vec_col)).alias("_n"))
     blocks = chunk_blocks(chunks, key, vec_col, block_size, chunk_payload)
-    joined = _salted(cm, blocks, key, comment_key, salts)
+    joined = _salted(cm, blocks, key, comment_key, rows_per_salt)
 
     def cand(c):
         den = F.col("_n") * c["norm"]
@@ -132,7 +155,7 @@ def term_counts(df: DataFrame, id_cols: list[str], text_col: str) -> DataFrame:
 def tfidf_nearest_chunk(comments: DataFrame, chunks: DataFrame, key: str = "video_id",
                         comment_key: str = "comment_pos", comment_text: str = "comment",
                         chunk_text: str = "chunk", block_size: int = DEFAULT_BLOCK,
-                        salts: int = DEFAULT_SALTS) -> DataFrame:
+                        rows_per_salt: int = DEFAULT_ROWS_PER_SALT) -> DataFrame:
     """Nearest chunk by TF-IDF cosine within each video.
 
     ``idf(term) = ln((1 + n_chunks) / (1 + df))`` over the chunks of the
@@ -188,7 +211,7 @@ def tfidf_nearest_chunk(comments: DataFrame, chunks: DataFrame, key: str = "vide
         .groupBy(key, "block")
         .agg(F.collect_list("c").alias("cs"))
     )
-    joined = _salted(call, blocks.unionByName(empty_blocks), key, comment_key, salts)
+    joined = _salted(call, blocks.unionByName(empty_blocks), key, comment_key, rows_per_salt)
 
     def cand(c):
         d = F.aggregate(

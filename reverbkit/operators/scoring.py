@@ -30,19 +30,20 @@ def centroid_table(labelled: DataFrame, vec_col: str = "vec", label_col: str = "
                    n_classes: int = len(EMOTIONS)) -> DataFrame:
     """One row: ``centroids array<struct<label, vec, norm>>`` ordered by label.
 
-    The per-class vector sum is a two-level aggregate (position, then class)
-    with map-side partial aggregation, so the work spreads over all tasks and
-    the result is bounded by ``n_classes x dim`` values whatever the input
-    size. Cosine does not depend on scale, so sums stand in for means.
+    Per-class vector sums use Spark ML's ``Summarizer`` (an imperative
+    aggregate over whole vectors with map-side partial aggregation), so rows
+    are not exploded per dimension; the result is bounded by
+    ``n_classes x dim`` values whatever the input size. Cosine does not
+    depend on scale, so sums stand in for means.
     """
-    per_dim = (
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    per_class = (
         labelled.where(F.col(label_col).between(0, n_classes - 1))
-        .select(F.col(label_col).cast("int").alias("label"), F.posexplode(vec_col).alias("pos", "x"))
-        .groupBy("label", "pos")
-        .agg(F.sum("x").alias("s"))
-    )
-    per_class = per_dim.groupBy("label").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "s"))), lambda p: p["s"]).alias("vec")
+        .groupBy(F.col(label_col).cast("int").alias("label"))
+        .agg(Summarizer.metrics("sum").summary(array_to_vector(F.col(vec_col))).alias("_s"))
+        .select("label", vector_to_array(F.col("_s.sum")).alias("vec"))
     )
     return per_class.agg(
         F.array_sort(

@@ -46,15 +46,23 @@ def brute(comments, chunks):
 def test_nearest_matches_brute_force(spark):
     comments, chunks, cdf, kdf = make(spark)
     want = brute(comments, chunks)
-    for block, salts in [(256, 8), (2, 3), (1, 1)]:
+    for block, rows_per_salt in [(256, 1_000_000), (2, 3), (1, 1), (3, 7)]:
         got = {r.comment_id: (r.chunk_index, r.similarity)
-               for r in nearest_chunk(cdf, kdf, block_size=block, salts=salts).collect()}
+               for r in nearest_chunk(cdf, kdf, block_size=block, rows_per_salt=rows_per_salt).collect()}
         assert set(got) == set(want)
         for cid, (k, sim) in want.items():
             assert got[cid][0] == k
             assert abs(got[cid][1] - sim) < 1e-9
 
 
+def test_hot_key_salts(spark):
+    from reverbkit.operators.pairing import hot_key_salts
+
+    _, _, cdf, _ = make(spark)
+    got = {r.video_id: r._ns for r in hot_key_salts(cdf, "video_id", 10).collect()}
+    assert got == {2: 5}  # 41 comments -> ceil(41 / 10); the small videos are not salted
+
+
 def test_pair_counts(spark):
     _, _, cdf, kdf = make(spark)
     got = {r.video_id: r.n_pairs for r in pair_counts(cdf, kdf).collect()}
