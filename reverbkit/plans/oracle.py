@@ -270,7 +270,7 @@ SELECT label, pred, n FROM conf
 """
 
 ORACLE["weighted_metrics"] = emb_cte() + _CONF + f"""
-SELECT sum(support) AS n,
+SELECT CAST(sum(support) AS BIGINT) AS n,
   {r6('sum(tp) / sum(support)')} AS accuracy,
   {r6('sum(support * precision) / sum(support)')} AS precision,
   {r6('sum(support * recall) / sum(support)')} AS recall,
@@ -280,13 +280,13 @@ FROM pc
 
 ORACLE["class_report"] = emb_cte() + _CONF + f"""
 SELECT coalesce({EMO_LIST}[cls + 1], CAST(cls AS VARCHAR)) AS class,
-       {r6('precision')} AS precision, {r6('recall')} AS recall, {r6('f1')} AS f1, support
+       {r6('precision')} AS precision, {r6('recall')} AS recall, {r6('f1')} AS f1, CAST(support AS BIGINT) AS support
 FROM pc
 UNION ALL
-SELECT 'macro avg', {r6('avg(precision)')}, {r6('avg(recall)')}, {r6('avg(f1)')}, sum(support) FROM pc
+SELECT 'macro avg', {r6('avg(precision)')}, {r6('avg(recall)')}, {r6('avg(f1)')}, CAST(sum(support) AS BIGINT) FROM pc
 UNION ALL
 SELECT 'weighted avg', {r6('sum(support * precision) / sum(support)')}, {r6('sum(support * recall) / sum(support)')},
-       {r6('sum(support * f1) / sum(support)')}, sum(support) FROM pc
+       {r6('sum(support * f1) / sum(support)')}, CAST(sum(support) AS BIGINT) FROM pc
 """
 
 ORACLE["log_loss"] = emb_cte() + """

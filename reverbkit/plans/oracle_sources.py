@@ -82,9 +82,9 @@ WITH c AS (
   FROM events GROUP BY user_id),
 m AS (
   SELECT *,
-    CASE WHEN views = 0 THEN 0.0 ELSE """ + r2("(CAST(likes AS DOUBLE) / CAST(views AS DOUBLE)) * 100.0") + """ END AS likes_to_views_perc,
-    CASE WHEN views = 0 THEN 0.0 ELSE """ + r2("(CAST(comment_count AS DOUBLE) / CAST(views AS DOUBLE)) * 100.0") + """ END AS comments_to_views_perc,
-    CASE WHEN subscriber_count = 0 THEN 0.0 ELSE """ + r2("(CAST(views AS DOUBLE) / CAST(subscriber_count AS DOUBLE)) * 100.0") + """ END AS views_to_subs_perc
+    CASE WHEN views = 0 THEN CAST(0.0 AS DOUBLE) ELSE """ + r2("(CAST(likes AS DOUBLE) / CAST(views AS DOUBLE)) * 100.0") + """ END AS likes_to_views_perc,
+    CASE WHEN views = 0 THEN CAST(0.0 AS DOUBLE) ELSE """ + r2("(CAST(comment_count AS DOUBLE) / CAST(views AS DOUBLE)) * 100.0") + """ END AS comments_to_views_perc,
+    CASE WHEN subscriber_count = 0 THEN CAST(0.0 AS DOUBLE) ELSE """ + r2("(CAST(views AS DOUBLE) / CAST(subscriber_count AS DOUBLE)) * 100.0") + """ END AS views_to_subs_perc
   FROM c)
 """
 
@@ -104,6 +104,7 @@ FROM b
 """
 
 ORACLE_SOURCES["token_lengths"] = """
-WITH t AS (SELECT doc_id, len(regexp_extract_all(lower(text), '[\\pL\\pN]+')) AS n FROM documents)
-SELECT doc_id, n AS n_tokens, least(n, 64) AS kept_64, least(n, 128) AS kept_128, n > 64 AS truncated_64 FROM t
+WITH t AS (SELECT doc_id, CAST(len(regexp_extract_all(lower(text), '[\\pL\\pN]+')) AS INTEGER) AS n FROM documents)
+SELECT doc_id, n AS n_tokens, CAST(least(n, 64) AS INTEGER) AS kept_64, CAST(least(n, 128) AS INTEGER) AS kept_128,
+       n > 64 AS truncated_64 FROM t
 """

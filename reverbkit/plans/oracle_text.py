@@ -109,7 +109,7 @@ WITH d AS ({_DOCS}),
 dw AS (SELECT video_id, {words_sql(clean_transcript_sql('transcript'))} AS w FROM d),
 st AS (SELECT video_id, w, unnest(range(0, len(w), {STEP})) AS s FROM dw),
 ch AS (SELECT video_id, CAST(s // {STEP} + 1 AS INTEGER) AS chunk_index, array_to_string(w[s + 1:s + {CHUNK_WORDS}], ' ') AS chunk FROM st)
-SELECT video_id, chunk_index, chunk, len({words_sql('chunk')}) AS n_words FROM ch
+SELECT video_id, chunk_index, chunk, CAST(len({words_sql('chunk')}) AS INTEGER) AS n_words FROM ch
 """
 
 ORACLE_TEXT["transcript_assembly"] = """
