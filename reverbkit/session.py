@@ -26,6 +26,34 @@ LOCAL_CONF = {
 }
 
 
+def cluster_conf(shuffle_bytes: float, target_partition_bytes: int = 200 << 20,
+                 scan_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a large cluster, sized from the expected shuffle volume.
+
+    * initial shuffle partitions = shuffle bytes / ~200 MB, so no reducer
+      task has to spill far beyond its memory; AQE coalesces small ones;
+    * scan splits of 256 MB keep task counts manageable on 100 TB inputs;
+    * AQE skew handling splits partitions > 5x the median and > 256 MB;
+    * broadcasts stay capped (Spark checks the size before broadcasting).
+    ``spark.checkpoint.dir`` must point at shared storage; it is not set here.
+    """
+    parts = max(200, int(shuffle_bytes // target_partition_bytes) + 1)
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(scan_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "5000",
+        "spark.ui.enabled": "false",
+    }
+
+
 def get_spark(master: str | None = None, app: str = "reverbkit", conf: dict | None = None) -> SparkSession:
     b = SparkSession.builder.master(master or os.environ.get("REVERBKIT_MASTER", "local[8]")).appName(app)
     for k, v in {**LOCAL_CONF, **(conf or {})}.items():
