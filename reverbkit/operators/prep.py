@@ -91,6 +91,19 @@ def stratified_split(df: DataFrame, label: str, key: str, seed: str | int = SEED
     ).drop("n_label", "rank")
 
 
+def hash_split(df: DataFrame, key: str, seed: str | int = SEED,
+               train: float = SPLIT_TRAIN, val: float = SPLIT_VAL) -> DataFrame:
+    """M2, scale mode: no shuffle at all. Each row falls in a seeded hash
+    bucket 0..99; buckets below 70 are train, below 85 validation, the rest
+    test. Proportions hold in expectation per label (the hash ignores the
+    label), not exactly; use ``stratified_split`` for exact per-label sizes."""
+    b = F.pmod(F.xxhash64(F.lit(str(seed)), F.col(key)), F.lit(100))
+    tr, tv = int(round(train * 100)), int(round((train + val) * 100))
+    return df.withColumn(
+        "split", F.when(b < tr, F.lit("train")).when(b < tv, F.lit("val")).otherwise(F.lit("test"))
+    )
+
+
 def label_name(label: Column) -> Column:
     """Class index -> emotion name (null outside 0..5)."""
     names = F.array(*[F.lit(e) for e in EMOTIONS])

@@ -69,6 +69,66 @@ def video_comments(videos: DataFrame) -> DataFrame:
     )
 
 
+PREDICTION_COLUMNS = (
+    [f"comment_emotion{i}" for i in range(1, 4)] + [f"comment_conf{i}" for i in range(1, 4)]
+    + [f"transcript_emotion{i}" for i in range(1, 4)] + [f"transcript_conf{i}" for i in range(1, 4)]
+)
+
+
+def _top3_from_columns(prefix: str):
+    names = F.array(*[F.lit(e) for e in EMOTIONS])
+
+    def one(i: int):
+        e = F.col(f"{prefix}_emotion{i}").cast("string")
+        pos = F.array_position(names, e)
+        return F.struct(e.alias("emotion"), F.col(f"{prefix}_conf{i}").cast("double").alias("conf"),
+                        F.when(pos > 0, (pos - 1).cast("int")).alias("idx"))
+
+    return F.array(one(1), one(2), one(3))
+
+
+def relation_scores_from_predictions(preds: DataFrame, lam: float = CES_LAMBDA,
+                                     beta: float = WRS_BETA) -> DataFrame:
+    """C1-C5 over the flattened predictions layout (six emotion and six
+    confidence columns). All twelve columns are checked (S5); every other
+    column (ids, texts) is passed through. An unknown emotion label gives
+    null scores for that row instead of failing the job."""
+    require_columns(preds, PREDICTION_COLUMNS)
+    keep = [c for c in preds.columns if c not in PREDICTION_COLUMNS]
+    x = preds.select(*keep, _top3_from_columns("comment").alias("ct"), _top3_from_columns("transcript").alias("tt"))
+    x = x.withColumn("ces", R.ces_array(F.col("ct"), F.col("tt"), lam))
+    x = x.withColumn("WRS", R.wrs(F.col("ct"), F.col("tt"), F.col("ces"), beta))
+    return x.select(
+        *keep,
+        R.final_emotion(F.col("ct"), F.col("ces")).alias("final_emotion"),
+        "WRS",
+        R.ecf(F.col("WRS"), F.col("ct"), F.col("tt")).alias("ECF"),
+        *[R.ces_for(e, F.col("ct"), F.col("ces")).alias(e) for e in EMOTIONS],
+    )
+
+
+def predictions_from(match: DataFrame, comments: DataFrame, chunks: DataFrame, scorer) -> DataFrame:
+    """Distinct comments and chunks scored once each, joined
+    to the nearest-chunk matches, flattened to the predictions layout."""
+    distinct = comments.groupBy("video_id", "comment").agg(F.min("comment_pos").alias("comment_pos"))
+    sc = scorer.score_text(distinct, "comment").select("video_id", "comment_pos", "comment",
+                                                       F.col("top3").alias("comment_top3"))
+    sk = scorer.score_text(chunks, "chunk").select("video_id", "chunk_index", "chunk", F.col("top3").alias("chunk_top3"))
+    rel = match.select("video_id", "comment_pos", "chunk_index").join(sc, ["video_id", "comment_pos"]).join(
+        sk, ["video_id", "chunk_index"])
+    return _flatten_predictions(rel)
+
+
+def _flatten_predictions(rel: DataFrame) -> DataFrame:
+    return rel.select(
+        "video_id", "comment_pos", "comment", F.col("chunk").alias("transcript_chunk"),
+        *[F.element_at("comment_top3", i)["emotion"].alias(f"comment_emotion{i}") for i in range(1, 4)],
+        *[F.element_at("comment_top3", i)["conf"].alias(f"comment_conf{i}") for i in range(1, 4)],
+        *[F.element_at("chunk_top3", i)["emotion"].alias(f"transcript_emotion{i}") for i in range(1, 4)],
+        *[F.element_at("chunk_top3", i)["conf"].alias(f"transcript_conf{i}") for i in range(1, 4)],
+    )
+
+
 def run_analysis(videos: DataFrame, scorer, vectoriser: Callable[[DataFrame, str], DataFrame] | None = None,
                  chunk_size: int = CHUNK_WORDS, chunk_overlap: int = CHUNK_OVERLAP,
                  lam: float = CES_LAMBDA, beta: float = WRS_BETA) -> dict[str, DataFrame]:
@@ -131,13 +191,7 @@ def run_analysis(videos: DataFrame, scorer, vectoriser: Callable[[DataFrame, str
         top["emotion"].alias("top_emotion"), top["conf"].alias("top_conf"),
         R.sentiment(top["emotion"], top["conf"]).alias("sentiment"),
     )
-    predictions = rel.select(
-        "video_id", "comment_pos", "comment", F.col("chunk").alias("transcript_chunk"),
-        *[F.element_at("comment_top3", i)["emotion"].alias(f"comment_emotion{i}") for i in range(1, 4)],
-        *[F.element_at("comment_top3", i)["conf"].alias(f"comment_conf{i}") for i in range(1, 4)],
-        *[F.element_at("chunk_top3", i)["emotion"].alias(f"transcript_emotion{i}") for i in range(1, 4)],
-        *[F.element_at("chunk_top3", i)["conf"].alias(f"transcript_conf{i}") for i in range(1, 4)],
-    )
+    predictions = _flatten_predictions(rel)
     metrics = engagement_metrics(videos.select("video_id", "views", "likes", "comment_count", "subscriber_count"))
     return {
         "chunks": scored_chunks,

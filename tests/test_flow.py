@@ -75,3 +75,41 @@ def test_csv_round_trip_keeps_null_words(spark):
     IO.write_table(df, tmp + "/t", fmt="csv")
     back = IO.read_labelled(spark, tmp + "/t", fmt="csv")
     assert sorted(back.collect(), key=lambda r: r.label) == sorted(df.collect(), key=lambda r: r.label)
+
+
+def test_relations_from_prediction_table(spark):
+    """C5 over the flattened layout, checked against golden row 9."""
+    from reverbkit.plans.flow import relation_scores_from_predictions
+
+    row = ("c9", "Anger", "Joy", "Fear", 0.3437892198562622, 0.3080507218837738, 0.19662483036518097,
+           "Joy", "Anger", "Sadness", 0.6887583136558533, 0.18926598131656647, 0.09546001255512238)
+    cols = ["comment", "comment_emotion1", "comment_emotion2", "comment_emotion3", "comment_conf1", "comment_conf2",
+            "comment_conf3", "transcript_emotion1", "transcript_emotion2", "transcript_emotion3",
+            "transcript_conf1", "transcript_conf2", "transcript_conf3"]
+    df = spark.createDataFrame([row], cols)
+    r = relation_scores_from_predictions(df).first()
+    assert r.comment == "c9" and r.final_emotion == "Joy" and r.ECF is None
+    assert r.WRS == pytest.approx(-0.031364551088821455, abs=1e-12)
+    assert r.Joy == pytest.approx(0.5573833771049976, abs=1e-12) and r.Love is None
+    with pytest.raises(IO.MissingColumns):
+        relation_scores_from_predictions(df.drop("transcript_conf3"))
+
+
+def test_cli_stages(spark, tmp_path):
+    """clean -> pair -> infer -> relations through the command line."""
+    from reverbkit.__main__ import main
+    from reverbkit.operators.train import build_pipeline, save_model
+
+    vids = tmp_path / "videos"
+    vids.mkdir()
+    write_videos(str(vids))
+    main(["clean", "--input", str(vids), "--output", str(tmp_path / "s1")])
+    main(["pair", "--input", str(tmp_path / "s1"), "--output", str(tmp_path / "s1")])
+    lab = spark.createDataFrame([(f"text {i} " + ("great" if i % 2 else "awful"), i % 6) for i in range(60)],
+                                "text string, label int")
+    model = build_pipeline(max_iter=5).fit(lab)
+    save_model(model, str(tmp_path / "model"))
+    main(["infer", "--input", str(tmp_path / "s1"), "--output", str(tmp_path / "s1"), "--model", str(tmp_path / "model")])
+    main(["relations", "--input", str(tmp_path / "s1" / "emotion_predictions"), "--output", str(tmp_path / "rel")])
+    rel = spark.read.parquet(str(tmp_path / "rel"))
+    assert rel.count() == 3 and {"final_emotion", "WRS", "ECF", "Joy"} <= set(rel.columns)

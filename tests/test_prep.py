@@ -71,3 +71,13 @@ def test_label_distribution(spark):
     df = spark.createDataFrame([(0,), (0,), (5,), (7,)], "label int")
     got = {r.label: (r.emotion, r.n, r.n_labels) for r in P.label_distribution(df).collect()}
     assert got == {0: ("Sadness", 2, 3), 5: ("Surprise", 1, 3), 7: (None, 1, 3)}
+
+
+def test_hash_split_no_shuffle(spark):
+    _, df = fixture(spark)
+    out = P.hash_split(df, "key")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    counts = {r.split: r["count"] for r in out.groupBy("split").count().collect()}
+    n = sum(counts.values())
+    assert abs(counts["train"] / n - 0.70) < 0.05 and abs(counts["test"] / n - 0.15) < 0.05
