@@ -27,8 +27,18 @@ from reverbkit.constants import (
 )
 
 
+def sql_matrix() -> str:
+    return "array(" + ", ".join(
+        "array(" + ", ".join(f"{float(v)!r}D" for v in row) + ")" for row in RELATIONSHIP_MATRIX
+    ) + ")"
+
+
 def matrix_column() -> Column:
-    return F.array(*[F.array(*[F.lit(float(v)) for v in row]) for row in RELATIONSHIP_MATRIX])
+    return F.expr(sql_matrix())
+
+
+def sql_relation(t_idx: str, c_idx: str) -> str:
+    return f"try_element_at(try_element_at({sql_matrix()}, ({t_idx}) + 1), ({c_idx}) + 1)"
 
 
 def relation(t_idx: Column, c_idx: Column) -> Column:
@@ -36,25 +46,19 @@ def relation(t_idx: Column, c_idx: Column) -> Column:
     return F.try_element_at(F.try_element_at(matrix_column(), t_idx + 1), c_idx + 1)
 
 
-def ces_array(comment_top: Column, transcript_top: Column, lam: float = CES_LAMBDA) -> Column:
+def ces_array(comment_top: str, transcript_top: str, lam: float = CES_LAMBDA) -> Column:
     """One CES per comment emotion, aligned with ``comment_top``.
 
     ``conf_c + lam * sum_t conf_t * M[t][c]`` folded left in top-3 order.
+    Arguments are column names (SQL text).
     """
-    return F.transform(
-        comment_top,
-        lambda c: F.aggregate(
-            transcript_top,
-            c["conf"],
-            lambda acc, t: acc + F.lit(lam) * (t["conf"] * relation(t["idx"], c["idx"])),
-        ),
-    )
+    step = f"acc_ + {float(lam)!r}D * (t_.conf * {sql_relation('t_.idx', 'c_.idx')})"
+    return F.expr(f"transform({comment_top}, c_ -> aggregate({transcript_top}, c_.conf, (acc_, t_) -> {step}))")
 
 
-def final_emotion(comment_top: Column, ces: Column) -> Column:
+def final_emotion(comment_top: str, ces: str) -> Column:
     """C4/T4: comment emotion with the largest CES, earliest rank on a tie."""
-    pos = F.array_position(ces, F.array_max(ces))
-    return F.element_at(comment_top, pos.cast("int"))["emotion"]
+    return F.expr(f"element_at({comment_top}, CAST(array_position({ces}, array_max({ces})) AS INT)).emotion")
 
 
 def wrs(comment_top: Column, transcript_top: Column, ces: Column, beta: float = WRS_BETA) -> Column:
@@ -89,10 +93,10 @@ def ecf(wrs_col: Column, comment_top: Column, transcript_top: Column) -> Column:
     )
 
 
-def ces_for(emotion: str, comment_top: Column, ces: Column) -> Column:
+def ces_for(emotion: str, comment_top: str, ces: str) -> Column:
     """CES of one named emotion, null when it is not in the comment's top-3."""
-    pos = F.array_position(F.transform(comment_top, lambda c: c["emotion"]), F.lit(emotion)).cast("int")
-    return F.when(pos > 0, F.element_at(ces, pos))
+    pos = f"CAST(array_position(transform({comment_top}, c_ -> c_.emotion), '{emotion}') AS INT)"
+    return F.expr(f"CASE WHEN {pos} > 0 THEN element_at({ces}, {pos}) END")
 
 
 def sentiment(top_emotion: Column, conf: Column) -> Column:

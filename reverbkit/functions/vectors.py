@@ -2,6 +2,11 @@
 
 All arithmetic is done in double with left folds (``aggregate``) so results
 are reproducible; vectors stored as ``array<float>`` are widened first.
+
+Expressions with lambdas are written as Spark SQL text and parsed once by
+``F.expr``: building the same tree through Python lambdas costs thousands of
+driver round-trips per query. Arguments are SQL expressions - in practice
+column names.
 """
 
 from __future__ import annotations
@@ -20,67 +25,84 @@ def as_doubles(col: Column | str) -> Column:
     return _c(col).cast("array<double>")
 
 
-def total(arr: Column) -> Column:
-    return F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + x)
+# -- SQL text builders ------------------------------------------------------
+
+def sql_total(a: str) -> str:
+    return f"aggregate({a}, 0D, (acc_, x_) -> acc_ + x_)"
+
+
+def sql_dot(a: str, b: str) -> str:
+    return f"aggregate(zip_with({a}, {b}, (x_, y_) -> x_ * y_), 0D, (acc_, x_) -> acc_ + x_)"
+
+
+def sql_l2norm(a: str) -> str:
+    return f"sqrt(aggregate({a}, 0D, (acc_, x_) -> acc_ + x_ * x_))"
+
+
+def sql_names(names: list[str]) -> str:
+    return "array(" + ", ".join("'" + n.replace("'", "''") + "'" for n in names) + ")"
+
+
+def sql_top_k(probs: str, k: int = 3, names: list[str] | None = None) -> str:
+    arr = sql_names(names or EMOTIONS)
+    ranked = f"array_sort(transform({probs}, (x_, i_) -> named_struct('neg', -x_, 'idx', i_, 'p', x_)))"
+    return (f"transform(slice({ranked}, 1, {int(k)}), "
+            f"s_ -> named_struct('emotion', element_at({arr}, s_.idx + 1), 'conf', s_.p, 'idx', s_.idx))")
 
 
-def dot(a: Column, b: Column) -> Column:
-    return total(F.zip_with(a, b, lambda x, y: x * y))
+# -- Column functions ---------------------------------------------------------
 
+def total(arr: str) -> Column:
+    return F.expr(sql_total(arr))
 
-def l2norm(a: Column) -> Column:
-    return F.sqrt(F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x * x))
 
+def dot(a: str, b: str) -> Column:
+    return F.expr(sql_dot(a, b))
 
-def cosine(a: Column, b: Column) -> Column:
+
+def l2norm(a: str) -> Column:
+    return F.expr(sql_l2norm(a))
+
+
+def cosine(a: str, b: str) -> Column:
     """dot / (|a| |b|), 0 when either norm is 0."""
-    den = l2norm(a) * l2norm(b)
-    return F.when(den > 0, dot(a, b) / den).otherwise(F.lit(0.0))
+    den = f"({sql_l2norm(a)} * {sql_l2norm(b)})"
+    return F.expr(f"CASE WHEN {den} > 0 THEN {sql_dot(a, b)} / {den} ELSE 0D END")
 
 
-def broadcast_each(value: Column, like: Column) -> Column:
-    """``value`` repeated once per element of ``like``.
+def softmax_exp(logits: str) -> Column:
+    """exp(x - max) per element (first half of F14)."""
+    return F.expr(f"zip_with({logits}, array_repeat(array_max({logits}), size({logits})), (x_, m_) -> exp(x_ - m_))")
 
-    Lambdas re-evaluate every captured outer expression per element (and
-    Catalyst may inline a column that is referenced once), so per-row
-    scalars are handed to ``zip_with`` as a second array instead.
-    """
-    return F.array_repeat(value, F.size(like))
 
+def normalise(e: str) -> Column:
+    """x / sum(x) per element (second half of F14)."""
+    return F.expr(f"zip_with({e}, array_repeat({sql_total(e)}, size({e})), (x_, s_) -> x_ / s_)")
 
-def softmax(logits: Column) -> Column:
-    """numerically stable softmax over an array<double> column.
 
-    ``logits`` should be a column reference: it is used three times, which
-    also keeps Catalyst from inlining its computation.
-    """
-    e = F.zip_with(logits, broadcast_each(F.array_max(logits), logits), lambda x, m: F.exp(x - m))
-    return F.zip_with(e, broadcast_each(total(e), e), lambda x, s: x / s)
+def softmax_sql(logits: str) -> str:
+    e = f"zip_with({logits}, array_repeat(array_max({logits}), size({logits})), (x_, m_) -> exp(x_ - m_))"
+    return f"zip_with({e}, array_repeat({sql_total(e)}, size({e})), (x_, s_) -> x_ / s_)"
 
 
-def top_k(probs: Column, k: int = 3, names: list[str] | None = None) -> Column:
+def softmax(logits: str) -> Column:
+    """numerically stable softmax over an array<double> column (for
+    DataFrames prefer ``softmax_exp`` + ``normalise`` in two projections,
+    which computes the exponentials once)."""
+    return F.expr(softmax_sql(logits))
+
+
+def top_k(probs: str, k: int = 3, names: list[str] | None = None) -> Column:
     """The k largest probabilities as array<struct<emotion, conf, idx>>.
 
     Ties go to the lower class index.
     """
-    names = names or EMOTIONS
-    name_arr = F.array(*[F.lit(n) for n in names])
-    ranked = F.array_sort(
-        F.transform(probs, lambda x, i: F.struct((-x).alias("neg"), i.alias("idx"), x.alias("p")))
-    )
-    return F.transform(
-        F.slice(ranked, 1, k),
-        lambda s: F.struct(
-            F.element_at(name_arr, s["idx"] + 1).alias("emotion"),
-            s["p"].alias("conf"),
-            s["idx"].alias("idx"),
-        ),
-    )
-
-
-def argmax(probs: Column) -> Column:
+    return F.expr(sql_top_k(probs, k, names))
+
+
+def argmax(probs: str) -> Column:
     """Index of the largest value (first one on a tie), 0-based."""
-    return (F.array_position(probs, F.array_max(probs)) - 1).cast("int")
+    return F.expr(f"CAST(array_position({probs}, array_max({probs})) - 1 AS INT)")
 
 
 def round_half_up(col: Column, places: int) -> Column:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reverbkit.constants import EMOTIONS
-from reverbkit.functions.vectors import argmax, softmax, top_k
+from reverbkit.functions.vectors import argmax, normalise, softmax_exp, top_k
 
 
 def _array_udf(load: Callable[[], Callable[[list[str]], np.ndarray]]):
@@ -61,10 +61,13 @@ class PandasModelScorer:
 
     def score_text(self, df: DataFrame, text_col: str) -> DataFrame:
         raw = df.withColumn("_raw", _array_udf(self.load)(F.col(text_col)))
-        probs = softmax(F.col("_raw")) if self.logits else F.col("_raw")
-        out = raw.withColumn("probs", probs).drop("_raw")
-        return out.withColumn("top3", top_k(F.col("probs"), 3, self.names or EMOTIONS)).withColumn(
-            "pred", argmax(F.col("probs"))
+        if self.logits:
+            raw = raw.withColumn("_ex", softmax_exp("_raw")).withColumn("probs", normalise("_ex"))
+        else:
+            raw = raw.withColumn("probs", F.col("_raw"))
+        out = raw.drop("_raw", "_ex")
+        return out.withColumn("top3", top_k("probs", 3, self.names or EMOTIONS)).withColumn(
+            "pred", argmax("probs")
         )
 
 

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reverbkit.functions.vectors import dot, l2norm
+from reverbkit.functions.vectors import l2norm, sql_dot
 
 DEFAULT_BLOCK = 256
 DEFAULT_ROWS_PER_SALT = 1_000_000
@@ -43,7 +43,7 @@ def chunk_blocks(chunks: DataFrame, key: str = "video_id", vec_col: str = "vec",
     elem = F.struct(
         F.col("chunk_index").cast("int").alias("chunk_index"),
         F.col(vec_col).alias("vec"),
-        l2norm(F.col(vec_col)).alias("norm"),
+        l2norm(vec_col).alias("norm"),
         *[F.col(p) for p in payload],
     )
     return (
@@ -80,10 +80,9 @@ def _salted(comments: DataFrame, blocks: DataFrame, key: str, comment_key: str,
     return c.join(b, [key, "_salt"], "inner")
 
 
-def sim_rank_key(sim):
-    """Similarity rounded to 12 places: the ranking key, so float noise in
-    the last bits never decides a tie (ties go to the lowest chunk_index)."""
-    return F.floor(sim * 1e12 + 0.5) / 1e12
+# Similarity rounded to 12 places is the ranking key, so float noise in the
+# last bits never decides a tie (ties go to the lowest chunk_index).
+SQL_RANK = "(floor(({sim}) * 1e12 + 0.5) / 1e12)"
 
 
 def nearest_chunk(comments: DataFrame, chunks: DataFrame, key: str = "video_id",
@@ -102,19 +101,15 @@ def nearest_chunk(comments: DataFrame, chunks: DataFrame, key: str = "video_id",
     comment_payload = comment_payload or []
     chunk_payload = chunk_payload or []
     cm = comments.select(key, comment_key, *comment_payload, F.col(vec_col).alias("_v"),
-                         l2norm(F.col(vec_col)).alias("_n"))
+                         l2norm(vec_col).alias("_n"))
     blocks = chunk_blocks(chunks, key, vec_col, block_size, chunk_payload)
     joined = _salted(cm, blocks, key, comment_key, rows_per_salt)
 
-    def cand(c):
-        den = F.col("_n") * c["norm"]
-        sim = F.when(den > 0, dot(F.col("_v"), c["vec"]) / den).otherwise(F.lit(0.0))
-        return F.struct(sim_rank_key(sim).alias("rk"), (-c["chunk_index"]).alias("neg"),
-                        c["chunk_index"].alias("chunk_index"), sim.alias("sim"),
-                        *[c[p].alias(p) for p in chunk_payload])
-
-    best_in_block = joined.select(key, comment_key, *comment_payload,
-                                  F.array_max(F.transform("cs", cand)).alias("best"))
+    sim = f"CASE WHEN (_n * c_.norm) > 0 THEN {sql_dot('_v', 'c_.vec')} / (_n * c_.norm) ELSE 0D END"
+    fields = [f"'rk', {SQL_RANK.format(sim=sim)}", "'neg', -c_.chunk_index", "'chunk_index', c_.chunk_index",
+              f"'sim', {sim}"] + [f"'{p}', c_.{p}" for p in chunk_payload]
+    best_expr = f"array_max(transform(cs, c_ -> named_struct({', '.join(fields)})))"
+    best_in_block = joined.select(key, comment_key, *comment_payload, F.expr(best_expr).alias("best"))
     best = best_in_block.groupBy(key, comment_key).agg(
         F.max("best").alias("best"), *[F.any_value(p).alias(p) for p in comment_payload])
     return best.select(
@@ -213,19 +208,15 @@ def tfidf_nearest_chunk(comments: DataFrame, chunks: DataFrame, key: str = "vide
     )
     joined = _salted(call, blocks.unionByName(empty_blocks), key, comment_key, rows_per_salt)
 
-    def cand(c):
-        d = F.aggregate(
-            F.coalesce(F.col("_terms"), F.array().cast("array<struct<term:string,w:double>>")),
-            F.lit(0.0),
-            lambda acc, e: acc + e["w"] * F.coalesce(F.try_element_at(c["terms"], e["term"]), F.lit(0.0)),
-        )
-        den = F.coalesce(F.col("_n"), F.lit(0.0)) * c["norm"]
-        sim = F.when(den > 0, d / den).otherwise(F.lit(0.0))
-        return F.struct(sim_rank_key(sim).alias("rk"), (-c["chunk_index"]).alias("neg"),
-                        c["chunk_index"].alias("chunk_index"), sim.alias("sim"))
+    d = ("aggregate(coalesce(_terms, CAST(array() AS array<struct<term:string,w:double>>)), 0D, "
+         "(acc_, e_) -> acc_ + e_.w * coalesce(try_element_at(c_.terms, e_.term), 0D))")
+    den = "(coalesce(_n, 0D) * c_.norm)"
+    sim = f"CASE WHEN {den} > 0 THEN {d} / {den} ELSE 0D END"
+    best_expr = (f"array_max(transform(cs, c_ -> named_struct('rk', {SQL_RANK.format(sim=sim)}, "
+                 f"'neg', -c_.chunk_index, 'chunk_index', c_.chunk_index, 'sim', {sim})))")
 
     best = (
-        joined.select(key, comment_key, F.array_max(F.transform("cs", cand)).alias("best"))
+        joined.select(key, comment_key, F.expr(best_expr).alias("best"))
         .groupBy(key, comment_key)
         .agg(F.max("best").alias("best"))
     )

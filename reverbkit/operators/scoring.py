@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reverbkit.constants import CENTROID_LOGIT_SCALE, EMOTIONS
-from reverbkit.functions.vectors import argmax, broadcast_each, dot, l2norm, softmax, top_k
+from reverbkit.functions.vectors import argmax, l2norm, normalise, softmax_exp, sql_dot, top_k
 
 CENTROID_COL = "_centroids"
 
@@ -47,7 +47,7 @@ def centroid_table(labelled: DataFrame, vec_col: str = "vec", label_col: str = "
     )
     return per_class.agg(
         F.array_sort(
-            F.collect_list(F.struct("label", "vec", l2norm(F.col("vec")).alias("norm")))
+            F.collect_list(F.struct("label", "vec", l2norm("vec").alias("norm")))
         ).alias("centroids")
     )
 
@@ -66,28 +66,25 @@ class CentroidScorer:
         # a constant; its size is bounded by classes x dim.
         return cls(centroid_table(labelled, vec_col, label_col).scalar(), scale)
 
-    def logits(self, vec: Column, norm: Column, centroids: Column) -> Column:
-        """``scale * cosine(vec, centroid)`` per class; ``vec``, ``norm`` and
-        ``centroids`` must be column references."""
-        return F.zip_with(
-            centroids,
-            broadcast_each(norm, centroids),
-            lambda c, n: F.lit(self.scale)
-            * F.when((n * c["norm"]) > 0, dot(vec, c["vec"]) / (n * c["norm"])).otherwise(F.lit(0.0)),
-        )
+    def logits_sql(self, vec: str, norm: str, centroids: str) -> str:
+        """``scale * cosine(vec, centroid)`` per class over column names."""
+        cos = f"CASE WHEN (n_ * c_.norm) > 0 THEN {sql_dot(vec, 'c_.vec')} / (n_ * c_.norm) ELSE 0D END"
+        return (f"zip_with({centroids}, array_repeat({norm}, size({centroids})), "
+                f"(c_, n_) -> {float(self.scale)!r}D * {cos})")
 
     def score(self, df: DataFrame, vec_col: str = "vec", out: str = "probs") -> DataFrame:
         """Adds ``out`` = class probabilities of ``vec_col`` (narrow projections).
 
         Intermediate columns are real projections so no lambda re-computes
-        the vector norm or the logits per class.
+        the vector norm, the logits or the exponentials per class.
         """
         return (
             df.withColumn(CENTROID_COL, self.centroids)
-            .withColumn("_vn", l2norm(F.col(vec_col)))
-            .withColumn("_lg", self.logits(F.col(vec_col), F.col("_vn"), F.col(CENTROID_COL)))
-            .withColumn(out, softmax(F.col("_lg")))
-            .drop(CENTROID_COL, "_vn", "_lg")
+            .withColumn("_vn", l2norm(vec_col))
+            .withColumn("_lg", F.expr(self.logits_sql(vec_col, "_vn", CENTROID_COL)))
+            .withColumn("_ex", softmax_exp("_lg"))
+            .withColumn(out, normalise("_ex"))
+            .drop(CENTROID_COL, "_vn", "_lg", "_ex")
         )
 
 
@@ -96,8 +93,8 @@ def with_emotions(df: DataFrame, probs: Column, prefix: str = "") -> DataFrame:
     p = f"{prefix}probs"
     return (
         df.withColumn(p, probs)
-        .withColumn(f"{prefix}top3", top_k(F.col(p), 3))
-        .withColumn(f"{prefix}pred", argmax(F.col(p)))
+        .withColumn(f"{prefix}top3", top_k(p, 3))
+        .withColumn(f"{prefix}pred", argmax(p))
     )
 
 

@@ -62,7 +62,7 @@ class ModelScorer:
         out = self.model.transform(df).withColumn("probs", vector_to_array(F.col("probability")))
         keep = [c for c in df.columns] + ["probs"]
         out = out.select(*keep)
-        return out.withColumn("top3", top_k(F.col("probs"), 3, names)).withColumn("pred", argmax(F.col("probs")))
+        return out.withColumn("top3", top_k("probs", 3, names)).withColumn("pred", argmax("probs"))
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -30,17 +30,17 @@ def scored_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, CentroidSc
 def comment_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per comment: nearest chunk, both top-3 lists, CES, WRS, ECF."""
     rows, scorer = scored_rows(spark, sf_dir)
-    comments = scorer.score(embedding_comments(rows), "vec", "_p").withColumn("comment_top3", top_k(F.col("_p"), 3))
-    chunks = scorer.score(embedding_chunks(rows), "vec", "_p").withColumn("chunk_top3", top_k(F.col("_p"), 3))
+    comments = scorer.score(embedding_comments(rows), "vec", "_p").withColumn("comment_top3", top_k("_p", 3))
+    chunks = scorer.score(embedding_chunks(rows), "vec", "_p").withColumn("chunk_top3", top_k("_p", 3))
     m = nearest_chunk(
         comments, chunks, key="video_id", comment_key="comment_id",
         comment_payload=["comment_top3"], chunk_payload=["chunk_top3"],
     )
-    ces = R.ces_array(F.col("comment_top3"), F.col("chunk_top3"))
+    ces = R.ces_array("comment_top3", "chunk_top3")
     m = m.withColumn("ces", ces)
     w = R.wrs(F.col("comment_top3"), F.col("chunk_top3"), F.col("ces"))
     return (
         m.withColumn("wrs", w)
         .withColumn("ecf", R.ecf(F.col("wrs"), F.col("comment_top3"), F.col("chunk_top3")))
-        .withColumn("final_emotion", R.final_emotion(F.col("comment_top3"), F.col("ces")))
+        .withColumn("final_emotion", R.final_emotion("comment_top3", "ces"))
     )

@@ -55,8 +55,8 @@ class TextModelScorer:
         out = out.select(*[("text" if c == text_col else c) for c in cols], "probs")
         if text_col != "text":
             out = out.withColumnRenamed("text", text_col)
-        return out.withColumn("top3", top_k(F.col("probs"), 3, self.names or EMOTIONS)).withColumn(
-            "pred", argmax(F.col("probs"))
+        return out.withColumn("top3", top_k("probs", 3, self.names or EMOTIONS)).withColumn(
+            "pred", argmax("probs")
         )
 
 
@@ -96,14 +96,14 @@ def relation_scores_from_predictions(preds: DataFrame, lam: float = CES_LAMBDA,
     require_columns(preds, PREDICTION_COLUMNS)
     keep = [c for c in preds.columns if c not in PREDICTION_COLUMNS]
     x = preds.select(*keep, _top3_from_columns("comment").alias("ct"), _top3_from_columns("transcript").alias("tt"))
-    x = x.withColumn("ces", R.ces_array(F.col("ct"), F.col("tt"), lam))
+    x = x.withColumn("ces", R.ces_array("ct", "tt", lam))
     x = x.withColumn("WRS", R.wrs(F.col("ct"), F.col("tt"), F.col("ces"), beta))
     return x.select(
         *keep,
-        R.final_emotion(F.col("ct"), F.col("ces")).alias("final_emotion"),
+        R.final_emotion("ct", "ces").alias("final_emotion"),
         "WRS",
         R.ecf(F.col("WRS"), F.col("ct"), F.col("tt")).alias("ECF"),
-        *[R.ces_for(e, F.col("ct"), F.col("ces")).alias(e) for e in EMOTIONS],
+        *[R.ces_for(e, "ct", "ces").alias(e) for e in EMOTIONS],
     )
 
 
@@ -175,13 +175,13 @@ def run_analysis(videos: DataFrame, scorer, vectoriser: Callable[[DataFrame, str
     )
 
     # C1-C4
-    rel = pairs.withColumn("ces", R.ces_array(F.col("comment_top3"), F.col("chunk_top3"), lam))
+    rel = pairs.withColumn("ces", R.ces_array("comment_top3", "chunk_top3", lam))
     rel = rel.withColumn("wrs", R.wrs(F.col("comment_top3"), F.col("chunk_top3"), F.col("ces"), beta))
     rel = rel.withColumn("ecf", R.ecf(F.col("wrs"), F.col("comment_top3"), F.col("chunk_top3")))
-    rel = rel.withColumn("final_emotion", R.final_emotion(F.col("comment_top3"), F.col("ces")))
+    rel = rel.withColumn("final_emotion", R.final_emotion("comment_top3", "ces"))
     relation_scores = rel.select(
         "video_id", "comment_pos", "final_emotion", F.col("wrs").alias("WRS"), F.col("ecf").alias("ECF"),
-        *[R.ces_for(e, F.col("comment_top3"), F.col("ces")).alias(e) for e in EMOTIONS],
+        *[R.ces_for(e, "comment_top3", "ces").alias(e) for e in EMOTIONS],
     )
 
     # P4, P8, P13, A1, A2, A4

@@ -51,8 +51,8 @@ def q_top3_emotions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "vec_id",
         "video_id",
         F.when(F.col("is_chunk"), F.lit("chunk")).otherwise(F.lit("comment")).alias("role"),
-        top_k(F.col("probs"), 3).alias("top3"),
-        argmax(F.col("probs")).alias("pred_label"),
+        top_k("probs", 3).alias("top3"),
+        argmax("probs").alias("pred_label"),
     )
     return s.select("vec_id", "video_id", "role", *_flat_r6("top3", "top"), "pred_label")
 
@@ -90,7 +90,7 @@ def q_final_emotion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_ces_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = comment_matches(spark, sf_dir)
-    per = [r6(R.ces_for(e, F.col("comment_top3"), F.col("ces"))).alias(e.lower()) for e in EMOTIONS]
+    per = [r6(R.ces_for(e, "comment_top3", "ces")).alias(e.lower()) for e in EMOTIONS]
     return m.select("video_id", "comment_id", "final_emotion", r6("wrs").alias("wrs"), "ecf", *per)
 
 
@@ -151,7 +151,7 @@ def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     rows, scorer = scored_rows(spark, sf_dir)
     lab = rows.where(F.col("label").between(0, len(EMOTIONS) - 1))
-    return scorer.score(lab, "vec", "probs").withColumn("pred", argmax(F.col("probs")))
+    return scorer.score(lab, "vec", "probs").withColumn("pred", argmax("probs"))
 
 
 def q_label_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:

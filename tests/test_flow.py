@@ -18,8 +18,8 @@ class LengthScorer:
     def score_text(self, df, text_col):
         t = F.col(text_col)
         lg = F.array(*[((F.length(t) * (i + 1)) % 7).cast("double") for i in range(6)])
-        out = df.withColumn("_lg", lg).withColumn("probs", softmax(F.col("_lg"))).drop("_lg")
-        return out.withColumn("top3", top_k(F.col("probs"), 3))
+        out = df.withColumn("_lg", lg).withColumn("probs", softmax("_lg")).drop("_lg")
+        return out.withColumn("top3", top_k("probs", 3))
 
 
 def write_videos(tmp):

@@ -15,10 +15,10 @@ logits = st.lists(st.floats(min_value=-20, max_value=20, allow_nan=False), min_s
 @given(st.lists(st.tuples(logits, logits), min_size=1, max_size=20))
 def test_ces_bounds_and_final(spark, rows):
     df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(rows)], "i int, a array<double>, b array<double>")
-    df = df.withColumn("pa", softmax(F.col("a"))).withColumn("pb", softmax(F.col("b")))
-    df = df.withColumn("ct", top_k(F.col("pa"))).withColumn("tt", top_k(F.col("pb")))
-    df = df.withColumn("ces", R.ces_array(F.col("ct"), F.col("tt")))
-    df = df.withColumn("final", R.final_emotion(F.col("ct"), F.col("ces")))
+    df = df.withColumn("pa", softmax("a")).withColumn("pb", softmax("b"))
+    df = df.withColumn("ct", top_k("pa")).withColumn("tt", top_k("pb"))
+    df = df.withColumn("ces", R.ces_array("ct", "tt"))
+    df = df.withColumn("final", R.final_emotion("ct", "ces"))
     for r in df.collect():
         confs = [c.conf for c in r.ct]
         assert confs == sorted(confs, reverse=True)

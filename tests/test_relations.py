@@ -17,10 +17,10 @@ def frame(spark, rows):
     schema = ("id int, ctop array<struct<emotion:string,conf:double,idx:int>>, "
               "ttop array<struct<emotion:string,conf:double,idx:int>>")
     df = spark.createDataFrame(rows, schema)
-    df = df.withColumn("ces", R.ces_array(F.col("ctop"), F.col("ttop")))
+    df = df.withColumn("ces", R.ces_array("ctop", "ttop"))
     df = df.withColumn("wrs", R.wrs(F.col("ctop"), F.col("ttop"), F.col("ces")))
     df = df.withColumn("ecf", R.ecf(F.col("wrs"), F.col("ctop"), F.col("ttop")))
-    return df.withColumn("final", R.final_emotion(F.col("ctop"), F.col("ces")))
+    return df.withColumn("final", R.final_emotion("ctop", "ces"))
 
 
 T_SURPRISE = [("Surprise", 0.9986867308616638), ("Joy", 0.0008235558634623885), ("Love", 0.00022433769481722265)]
@@ -70,7 +70,7 @@ def test_mismatch_branches(spark):
 
 def test_ces_for_named_columns(spark):
     rows = [(1, top3(GOLDEN[0][1]), top3(GOLDEN[0][2]))]
-    df = frame(spark, rows).select(*[R.ces_for(e, F.col("ctop"), F.col("ces")).alias(e) for e in EMOTIONS])
+    df = frame(spark, rows).select(*[R.ces_for(e, "ctop", "ces").alias(e) for e in EMOTIONS])
     r = df.first().asDict()
     assert r["Love"] is None and r["Fear"] is None and r["Surprise"] is None
     assert r["Anger"] == pytest.approx(0.49851626848321756, abs=1e-12)
