@@ -72,15 +72,3 @@ def emoji_table() -> dict[str, str]:
 
 def emoji_table_json() -> str:
     return json.dumps(emoji_table(), ensure_ascii=False)
-
-
-def demojize_py(text: str) -> str:
-    """Plain-Python version of the column expression, for tests."""
-    import regex
-
-    pat = EMOJI_TOKEN_PATTERN.replace("\\x{", "\\x{")
-    out = []
-    for tok in regex.findall(pat, text):
-        key = tok.replace("️", "")
-        out.append(emoji_table().get(key, tok))
-    return "".join(out)

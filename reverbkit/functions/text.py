@@ -100,11 +100,6 @@ def expand_slang(col: Column | str) -> Column:
     return F.array_join(F.transform(toks, lambda t: F.coalesce(F.try_element_at(smap, t), t)), "")
 
 
-def blank_to_null(col: Column | str) -> Column:
-    c = _c(col)
-    return F.when(c.isNull() | (c == ""), F.lit(None).cast("string")).otherwise(c)
-
-
 def clean_comment(col: Column | str) -> Column:
     """P1 -> F1 -> F2 -> P2 -> F3 -> F4 -> F5 -> F6 -> F7 -> F2 -> P1.
 

@@ -1,27 +1,24 @@
-"""Emotion scorers.
-
-A *scorer* turns a DataFrame with a vector (or text) column into a column of
-6 class probabilities. Two are provided:
-
-* ``CentroidScorer`` - class centroids from labelled vectors; logits are
-  ``scale * cosine(v, centroid)``; softmax. Pure Column code.
-* ``ModelScorer`` - wraps a fitted Spark ML ``PipelineModel`` whose output has
-  a ``probability`` vector (see ``operators.train``).
-
-A user model (e.g. ONNX) plugs in the same way through an iterator
-``pandas_udf`` that loads the model once per worker; the rest of the flow
-only needs a ``probs`` ``array<double>`` column.
+"""Centroid emotion scorer (M8 on vectors).
+
+``CentroidScorer`` - class centroids from labelled vectors; logits are
+``scale * cosine(v, centroid)``; softmax; pure Column code. Other scorers
+with the same output (a ``probs`` array<double> column): ``train.ModelScorer``
+/ ``flow.TextModelScorer`` (a fitted Spark ML pipeline) and
+``models.PandasModelScorer`` (a user model in an iterator pandas UDF). Each
+distinct text or chunk is scored once; results reach the comment rows as
+search payloads (``pairing.nearest_chunk``) or by key joins
+(``flow.predictions_from``) - J4, M9, M10.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame  # noqa: F401
 from pyspark.sql import functions as F
 
 from reverbkit.constants import CENTROID_LOGIT_SCALE, EMOTIONS
-from reverbkit.functions.vectors import argmax, l2norm, normalise, softmax_exp, sql_dot, top_k
+from reverbkit.functions.vectors import l2norm, normalise, softmax_exp, sql_dot
 
 CENTROID_COL = "_centroids"
 
@@ -86,34 +83,3 @@ class CentroidScorer:
             .withColumn(out, normalise("_ex"))
             .drop(CENTROID_COL, "_vn", "_lg", "_ex")
         )
-
-
-def with_emotions(df: DataFrame, probs: Column, prefix: str = "") -> DataFrame:
-    """Adds ``probs``, ``top3`` (T1) and ``pred`` (P14) columns."""
-    p = f"{prefix}probs"
-    return (
-        df.withColumn(p, probs)
-        .withColumn(f"{prefix}top3", top_k(p, 3))
-        .withColumn(f"{prefix}pred", argmax(p))
-    )
-
-
-def flatten_top3(top3: Column, prefix: str) -> list[Column]:
-    """``{prefix}_emotion1..3`` and ``{prefix}_conf1..3``."""
-    cols = []
-    for i in range(1, 4):
-        cols.append(F.element_at(top3, i)["emotion"].alias(f"{prefix}_emotion{i}"))
-    for i in range(1, 4):
-        cols.append(F.element_at(top3, i)["conf"].alias(f"{prefix}_conf{i}"))
-    return cols
-
-
-def attach_chunk_emotions(matches: DataFrame, scored_chunks: DataFrame,
-                          keys: tuple[str, ...] = ("video_id", "chunk_index")) -> DataFrame:
-    """Every distinct chunk is scored once and joined back by key.
-
-    ``scored_chunks`` must hold ``keys`` + ``chunk_top3``. The join is an
-    equi-join on (video, chunk) so Catalyst picks broadcast (when AQE sees a
-    small side) or sort-merge; no text is re-scored per comment.
-    """
-    return matches.join(scored_chunks.select(*keys, "chunk_top3"), list(keys), "left")

@@ -131,18 +131,30 @@ def _flatten_predictions(rel: DataFrame) -> DataFrame:
 
 def run_analysis(videos: DataFrame, scorer, vectoriser: Callable[[DataFrame, str], DataFrame] | None = None,
                  chunk_size: int = CHUNK_WORDS, chunk_overlap: int = CHUNK_OVERLAP,
-                 lam: float = CES_LAMBDA, beta: float = WRS_BETA) -> dict[str, DataFrame]:
+                 lam: float = CES_LAMBDA, beta: float = WRS_BETA,
+                 materialise: bool = True) -> dict[str, DataFrame]:
     """The whole stage chain (E2 cleaning/chunking with ``chunk_size`` /
     ``chunk_overlap``, E3 pairing, E4 scoring, E5 relations with ``lam`` /
-    ``beta``, E6 report tables), lazily, for every video at once."""
+    ``beta``, E6 report tables) for every video at once.
+
+    With ``materialise`` the cleaned comments and the chunks - inputs of
+    every output - are written once as parquet under the session's
+    ``spark.checkpoint.dir`` (two jobs at call time); everything else stays
+    lazy, so each output write re-reads those tables instead of re-running
+    cleaning and chunking."""
     require_columns(videos, ["video_id", "transcript", "comments"])
     from reverbkit.functions.text import clean_transcript, words
 
     n_words = videos.select("video_id", F.size(words(clean_transcript(F.col("transcript")))).alias("n_words"))
     comments = video_comments(videos)
+    chunks = chunk_text(videos, "video_id", "transcript", chunk_size, chunk_overlap)
+    if materialise:
+        from reverbkit.session import cut_lineage
+
+        comments = cut_lineage(comments, "comments")
+        chunks = cut_lineage(chunks, "chunks")
     # Distinct comment texts per video, first position kept
     distinct = comments.groupBy("video_id", "comment").agg(F.min("comment_pos").alias("comment_pos"))
-    chunks = chunk_text(videos, "video_id", "transcript", chunk_size, chunk_overlap)
 
     # First failed check per video
     n_c = comments.groupBy("video_id").agg(F.count(F.lit(1)).alias("n_comments"))
