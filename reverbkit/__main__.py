@@ -85,7 +85,9 @@ def main(argv: list[str] | None = None) -> None:
     elif a.cmd == "train":
         from reverbkit.operators.train import save_model, train_and_evaluate
 
-        lab = IO.read_labelled(spark, a.input, a.format).withColumn("_key", F.xxhash64("text", "label"))
+        # a unique row key (copies of one text must not share a key, or they
+        # would all fall into one rank bucket); stable for a given input
+        lab = IO.read_labelled(spark, a.input, a.format).withColumn("_key", F.monotonically_increasing_id())
         model, metrics = train_and_evaluate(lab, key="_key", text_col="text", label_col="label")
         save_model(model, a.output)
         metrics.show(truncate=False)

@@ -32,7 +32,11 @@ def seeded_hash(key: Column, seed: str | int = SEED) -> Column:
 
 def rank_within_label(df: DataFrame, label: str, key: str, seed: str | int = SEED,
                       bucket_hex: int = BUCKET_HEX) -> DataFrame:
-    """Adds ``rank`` (1-based, by (hash, key) within ``label``) and ``n_label``."""
+    """Adds ``rank`` (1-based, by (hash, key) within ``label``) and ``n_label``.
+
+    ``key`` must identify a row (a document id, not its text): buckets come
+    from the hash of the key, so many rows sharing one key value would share
+    one bucket."""
     h = df.withColumn("_h", seeded_hash(F.col(key), seed)).withColumn(
         "_b", F.conv(F.substring("_h", 1, bucket_hex), 16, 10).cast("int")
     )

@@ -25,22 +25,31 @@ from reverbkit.operators.prep import stratified_split
 TOKEN_PATTERN = r"[\p{L}\p{N}]+"
 
 
-def build_pipeline(text_col: str = "text", label_col: str = "label", max_tokens: int = 128,
+def build_pipeline(text_col: str = "text", label_col: str = "label", max_tokens: int | None = None,
                    num_features: int = 1 << 16, weight_col: str | None = None,
                    max_iter: int = 30, reg: float = 0.01) -> Pipeline:
-    """M4 + M6: tokenise (lower-case word runs), keep the first ``max_tokens``
-    tokens (the reference truncates at 128 when training), TF-IDF, and a
-    multinomial logistic regression."""
-    tok = RegexTokenizer(inputCol=text_col, outputCol="_tokens_all", pattern=TOKEN_PATTERN, gaps=False,
+    """M4 + M6: tokenise (lower-case word runs), TF-IDF, and a multinomial
+    logistic regression.
+
+    Whole texts are used by default. ``max_tokens`` reproduces the
+    reference's transformer input limit (128 in training, 64 in inference)
+    when a caller wants exactly that; a TF-IDF model has no such limit.
+    """
+    tok = RegexTokenizer(inputCol=text_col, outputCol="_tokens", pattern=TOKEN_PATTERN, gaps=False,
                          toLowercase=True)
-    cut = SQLTransformer(statement=f"SELECT *, slice(_tokens_all, 1, {int(max_tokens)}) AS _tokens FROM __THIS__")
-    tf = HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=num_features)
+    stages = [tok]
+    tokens = "_tokens"
+    if max_tokens is not None:
+        stages.append(SQLTransformer(
+            statement=f"SELECT *, slice(_tokens, 1, {int(max_tokens)}) AS _tokens_cut FROM __THIS__"))
+        tokens = "_tokens_cut"
+    tf = HashingTF(inputCol=tokens, outputCol="_tf", numFeatures=num_features)
     idf = IDF(inputCol="_tf", outputCol="features")
     lr = LogisticRegression(featuresCol="features", labelCol=label_col, family="multinomial",
                             maxIter=max_iter, regParam=reg)
     if weight_col:
         lr.setWeightCol(weight_col)
-    return Pipeline(stages=[tok, cut, tf, idf, lr])
+    return Pipeline(stages=stages + [tf, idf, lr])
 
 
 def with_class_weights(df: DataFrame, label_col: str = "label", out: str = "weight") -> DataFrame:

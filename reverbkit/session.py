@@ -65,12 +65,18 @@ def get_spark(master: str | None = None, app: str = "reverbkit", conf: dict | No
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder; a scratch folder only if unset."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext (e.g. Spark Connect)
+        sc = None
+    if not d and sc is not None:
+        d = sc.getCheckpointDir()
     if not d:
+        # only when the session names no shared folder (local runs, tests)
         d = tempfile.mkdtemp(prefix="reverbkit-ckpt-")
-        spark.sparkContext.setCheckpointDir(d)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d
 
 
