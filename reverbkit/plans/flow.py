@@ -220,6 +220,40 @@ def run_analysis(videos: DataFrame, scorer, vectoriser: Callable[[DataFrame, str
     }
 
 
+def reference_layout(outputs: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The stage files of the reference, with its column names, keyed by
+    ``video_id`` (one folder per video when written partitioned):
+    chunks, relevant_chunks, emotion_predictions and
+    dependent_emotion_classification. Row indexes are the comment position
+    and the chunk index."""
+    ch = outputs["chunks"]
+    preds = outputs["emotion_predictions"]
+    rel = outputs["relation_scores"]
+    return {
+        "chunks": ch.select(
+            "video_id", F.col("chunk_index").alias("row_index"), F.col("chunk").alias("Transcript Chunk"),
+            *[F.element_at("chunk_top3", i)["emotion"].alias(f"transcript_emotion{i}") for i in range(1, 4)],
+            *[F.element_at("chunk_top3", i)["conf"].alias(f"transcript_conf{i}") for i in range(1, 4)],
+        ),
+        "relevant_chunks": preds.select(
+            "video_id", F.col("comment").alias("Comment"),
+            F.col("transcript_chunk").alias("Most Relevant Transcript Chunk"),
+        ),
+        "emotion_predictions": preds.select("video_id", "comment", *PREDICTION_COLUMNS),
+        "dependent_emotion_classification": rel.select(
+            "video_id", F.col("comment_pos").alias("row_index"), "final_emotion", "WRS", "ECF", *EMOTIONS
+        ),
+    }
+
+
+def write_reference_csv(outputs: dict[str, DataFrame], root: str) -> None:
+    """Compatibility sink: ``<root>/<file>/video_id=<id>/part-*.csv`` with
+    headers, one folder per video."""
+    for name, df in reference_layout(outputs).items():
+        (df.write.mode("overwrite").partitionBy("video_id").option("header", True)
+         .option("quote", '"').option("escape", '"').csv(f"{root.rstrip('/')}/{name}"))
+
+
 def write_outputs(outputs: dict[str, DataFrame], root: str) -> None:
     """One parquet dataset per output (each a separate job over the shared plan)."""
     for name, df in outputs.items():

@@ -62,6 +62,16 @@ def test_run_analysis(spark):
     chunks = out["chunks"].where(F.col("video_id") == [k for k, v in urls.items() if v == "u1"][0]).count()
     assert chunks == 3  # 122 cleaned words -> ceil(122 / 48)
 
+    from reverbkit.plans.flow import reference_layout, write_reference_csv
+
+    lay = reference_layout(out)
+    assert lay["relevant_chunks"].columns == ["video_id", "Comment", "Most Relevant Transcript Chunk"]
+    assert lay["dependent_emotion_classification"].columns[:5] == ["video_id", "row_index", "final_emotion", "WRS", "ECF"]
+    root = tempfile.mkdtemp(prefix="reverbkit-refcsv-")
+    write_reference_csv(out, root)
+    back = spark.read.option("header", True).csv(root + "/emotion_predictions")
+    assert back.count() == 3 and "comment_conf1" in back.columns
+
 
 def test_require_columns(spark):
     df = spark.createDataFrame([(1,)], "a int")
