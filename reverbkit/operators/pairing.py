@@ -105,11 +105,14 @@ def nearest_chunk(comments: DataFrame, chunks: DataFrame, key: str = "video_id",
     blocks = chunk_blocks(chunks, key, vec_col, block_size, chunk_payload)
     joined = _salted(cm, blocks, key, comment_key, rows_per_salt)
 
+    # similarities of the comment to every chunk of the block, computed once
     sim = f"CASE WHEN (_n * c_.norm) > 0 THEN {sql_dot('_v', 'c_.vec')} / (_n * c_.norm) ELSE 0D END"
-    fields = [f"'rk', {SQL_RANK.format(sim=sim)}", "'neg', -c_.chunk_index", "'chunk_index', c_.chunk_index",
-              f"'sim', {sim}"] + [f"'{p}', c_.{p}" for p in chunk_payload]
-    best_expr = f"array_max(transform(cs, c_ -> named_struct({', '.join(fields)})))"
-    best_in_block = joined.select(key, comment_key, *comment_payload, F.expr(best_expr).alias("best"))
+    sims = f"transform(cs, c_ -> {sim})"
+    fields = [f"'rk', {SQL_RANK.format(sim='s_')}", "'neg', -cs[i_].chunk_index",
+              "'chunk_index', cs[i_].chunk_index", "'sim', s_"] + [f"'{p}', cs[i_].{p}" for p in chunk_payload]
+    best_expr = f"array_max(transform(_sims, (s_, i_) -> named_struct({', '.join(fields)})))"
+    best_in_block = joined.select(key, comment_key, *comment_payload, "cs", F.expr(sims).alias("_sims")).select(
+        key, comment_key, *comment_payload, F.expr(best_expr).alias("best"))
     best = best_in_block.groupBy(key, comment_key).agg(
         F.max("best").alias("best"), *[F.any_value(p).alias(p) for p in comment_payload])
     return best.select(

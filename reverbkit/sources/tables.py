@@ -45,7 +45,9 @@ def spread(df: DataFrame, target: int | None = None) -> DataFrame:
 
 
 def embedding_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "embeddings")
+    # scoring and the dense search are CPU-heavy per row: spread a
+    # single-split scan over the cluster (no-op on multi-file inputs)
+    e = spread(table(spark, sf_dir, "embeddings"))
     return e.select(
         "vec_id",
         F.col("label").cast("int").alias("label"),
