@@ -96,8 +96,14 @@ def expand_slang(col: Column | str) -> Column:
     x = F.regexp_replace(_c(col), guarded, "$1is not$2")
     x = F.regexp_replace(x, guarded, "$1is not$2")
     smap = slang_map_column()
+    keys = list(json.loads(_single_word_slang_json()))
     toks = F.regexp_extract_all(x, F.lit(TOKEN_PATTERN), 0)
-    return F.array_join(F.transform(toks, lambda t: F.coalesce(F.try_element_at(smap, t), t)), "")
+    # map literals are searched linearly; the IN list becomes a hash set
+    # (InSet), so only actual slang tokens reach the map
+    return F.array_join(
+        F.transform(toks, lambda t: F.when(t.isin(keys), F.coalesce(F.try_element_at(smap, t), t)).otherwise(t)),
+        "",
+    )
 
 
 def clean_comment(col: Column | str) -> Column:
