@@ -31,17 +31,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, target: int | None = None) -> DataFrame:
+SPREAD_MIN_BYTES = 1 << 20
+
+
+def spread(df: DataFrame, target: int | None = None, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
     """Round-robin repartition only when the scan yields fewer partitions
-    than the cluster can run at once (e.g. one small file holding one row
-    group); a large multi-file input is left as read, so no shuffle is added
-    at scale. Used before CPU-heavy per-row work (regex cleaning, scoring)."""
+    than the cluster can run at once (e.g. one file holding one row group)
+    *and* it is big enough (Spark's own size estimate >= ``min_bytes``) for
+    the extra shuffle to pay off. A large multi-file input is left as read,
+    so no shuffle is added at scale. Used before CPU-heavy per-row work
+    (regex cleaning, scoring, the dense search)."""
     try:
         want = target or df.sparkSession.sparkContext.defaultParallelism
         have = df.rdd.getNumPartitions()
+        if have >= want:
+            return df
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001 - e.g. no RDD access (Spark Connect): leave as read
         return df
-    return df.repartition(want) if have < want else df
+    return df.repartition(want) if size >= min_bytes else df
 
 
 def embedding_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
