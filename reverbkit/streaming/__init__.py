@@ -1,0 +1 @@
+"""reverbkit.streaming"""
