@@ -114,7 +114,7 @@ def clean_comment(col: Column | str) -> Column:
     which projects each step once.
     """
     raw = _c(col)
-    x = collapse_ws(newlines_to_space(raw))
+    x = collapse_ws(raw)  # F1 + F2: newlines are whitespace, one pass does both
     y = _comment_body(x)
     return F.when(raw.isNull() | (raw == "") | x.startswith("@"), F.lit(None).cast("string")).otherwise(
         F.nullif(y, F.lit(""))
@@ -134,7 +134,7 @@ def with_clean_comment(df, raw_col: str, out_col: str = "comment"):
     are each projected once (both are referenced twice, so Catalyst keeps
     them as separate projections instead of re-running the regex chain)."""
     raw = F.col(raw_col)
-    staged = df.withColumn("_cx", collapse_ws(newlines_to_space(raw))).withColumn(
+    staged = df.withColumn("_cx", collapse_ws(raw)).withColumn(  # F1 + F2 in one pass
         "_cy", _comment_body(F.col("_cx"))
     )
     out = F.when(raw.isNull() | (raw == "") | F.col("_cx").startswith("@"), F.lit(None).cast("string")).otherwise(
@@ -147,7 +147,8 @@ def clean_transcript(col: Column | str) -> Column:
     """brackets -> newlines -> whitespace -> keep-set -> trim; null -> ''."""
     raw = _c(col)
     x = F.regexp_replace(raw, r"(?d)\[.*?\]", "")
-    x = newlines_to_space(x)
+    # F1 + F2 in one pass: "\r\n" and "\n" are whitespace, so collapsing
+    # whitespace runs to one space gives what newline -> space, then collapse gives
     x = collapse_ws(x, trim=False)
     x = F.regexp_replace(x, r"[^\p{L}\p{N}_\s\x1c-\x1f\x85\p{Z}.,!?-]", "")
     x = F.trim(x)
