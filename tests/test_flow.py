@@ -123,3 +123,19 @@ def test_cli_stages(spark, tmp_path):
     main(["relations", "--input", str(tmp_path / "s1" / "emotion_predictions"), "--output", str(tmp_path / "rel")])
     rel = spark.read.parquet(str(tmp_path / "rel"))
     assert rel.count() == 3 and {"final_emotion", "WRS", "ECF", "Joy"} <= set(rel.columns)
+
+
+def test_video_json_round_trip(spark, tmp_path):
+    """S1 + S2: records written as JSON (non-ASCII kept) read back with the explicit schema."""
+    src = tmp_path / "in"
+    src.mkdir()
+    write_videos(str(src))
+    videos = IO.read_videos(spark, str(src)).where(F.col("url").isNotNull())
+    IO.write_videos(videos, str(tmp_path / "out"))
+    back = IO.read_videos(spark, str(tmp_path / "out")).where(F.col("url").isNotNull())
+    cols = ["url", "title", "views", "comments", "transcript"]
+    a = sorted((tuple(r) for r in videos.select(*cols).collect()), key=str)
+    b = sorted((tuple(r) for r in back.select(*cols).collect()), key=str)
+    assert a == b and len(a) == 3
+    raw = "".join(p.read_text(encoding="utf-8") for p in (tmp_path / "out").glob("*.json"))
+    assert "\U0001F525" in raw  # written unescaped
