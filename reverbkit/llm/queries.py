@@ -3,10 +3,11 @@ operator N with production parameters to its whole table."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reverbkit.llm import simhash, substrings, toxicity
+from reverbkit.llm import packing, pii, simhash, substrings, toxicity
 from reverbkit.llm.common import learn_fold, read, texts
 
 
@@ -23,6 +24,14 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_duplicates(read(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_pii(read(spark, sf_dir, "documents")).select("doc_id", "text", "n_entities")
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(read(spark, sf_dir, "documents"), length=13).drop("text")
 
@@ -30,6 +39,8 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_simhash": op3_simhash,
+    "op6_pii": op6_pii,
+    "op8_packing": op8_packing,
     "op10_substring_dedup": op10_substring_dedup,
 }
 ORACLE: dict[str, str] = {}

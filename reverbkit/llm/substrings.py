@@ -38,6 +38,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reverbkit.llm.common import cut_lineage, texts
 
@@ -94,12 +95,17 @@ def _rows(ids: pa.Array, of: list[np.ndarray], name: str) -> pa.RecordBatch:
     return _table({"doc_id": ids.take(pa.array(np.repeat(np.arange(len(of)), counts))), name: pa.array(values.view(np.int64))})
 
 
-def remove_repeats(docs: DataFrame, length: int = 13, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 13, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
     """(doc_id, text, n_words, n_removed, kept_sha256) for every row of ``docs``.
     ``text`` is the input's where nothing was removed (null: empty), else the
-    kept words joined by one space."""
+    kept words joined by one space. ``carry`` adds the struct ``row`` with all
+    columns of the input row but its text."""
     rows = texts(docs, id_col, text_col)
     kind = rows.schema["doc_id"].dataType.simpleString()
+    whole, rest = rows, []
+    if carry:
+        rest = [F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("row")]
+        whole = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *rest)
     digest = F.md5(F.col("text").cast("binary"))
 
     def half_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,14 +169,15 @@ def remove_repeats(docs: DataFrame, length: int = 13, id_col: str = "doc_id", te
                     n_words.append(len(ws))
                     n_removed.append(len(ws) - len(left))
                     shas.append(hashlib.sha256(joined).hexdigest())
-                yield _table({"doc_id": part["doc_id"], "text": pa.array(out, pa.string()), "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()), "kept_sha256": pa.array(shas, pa.string())})
+                yield _table({"doc_id": part["doc_id"], "text": pa.array(out, pa.string()), "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()), "kept_sha256": pa.array(shas, pa.string())} | ({"row": part["row"]} if carry else {}))
 
     told = (
-        rows.join(copies, "doc_id", "left")
+        whole.join(copies, "doc_id", "left")
         .join(gone, "doc_id", "left")
-        .select("doc_id", "text", is_copy.alias("copy"), "gone")
+        .select("doc_id", "text", is_copy.alias("copy"), "gone", *(["row"] if carry else []))
     )
-    return told.mapInArrow(kept, f"doc_id {kind}, text string, n_words long, n_removed long, kept_sha256 string")
+    schema = T.StructType.fromDDL(f"doc_id {kind}, text string, n_words long, n_removed long, kept_sha256 string")
+    return told.mapInArrow(kept, schema.add(told.schema["row"]) if carry else schema)
 
 
 def _parts(b: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:

@@ -258,3 +258,13 @@ def score(docs: DataFrame, grammar: Grammar, id_col: str = "doc_id", text_col: s
             yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array([grammar.score(t.as_py()) for t in b["text"]], pa.float64())], ["doc_id", "score"])
 
     return rows.mapInArrow(scored, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double")
+
+
+def keep_clean(docs: DataFrame, grammar: Grammar, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that score below 0.5."""
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array([grammar.score(t.as_py() or "") < 0.5 for t in b[text_col]], pa.bool_()))
+
+    return docs.mapInArrow(clean, docs.schema)
