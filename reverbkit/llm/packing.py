@@ -22,7 +22,6 @@ empty result. Other columns of the input are ignored.
 
 from __future__ import annotations
 
-import heapq
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -67,37 +66,26 @@ def pack(lengths: list[int], window: int = WINDOW) -> list[tuple[int, int, int,
     """Packs documents of 1 to ``window`` - 1 tokens: (document, start, length,
     sequence, offset) of each piece."""
     count = -(-sum(lengths) // window)
-    used, cost, out = [0] * count, [0.0] * count, []
-    room = [(0.0, s) for s in range(count)]  # a heap of (cost, sequence); sequences without room leave it
-    loose = []
+    room, cost, out, loose = np.full(count, window), np.zeros(count), [], []
 
     def put(doc: int, start: int, n: int, s: int) -> None:
-        out.append((doc, start, n, s, used[s]))
-        used[s] += n
+        out.append((doc, start, n, s, window - int(room[s])))
+        room[s] -= n
         cost[s] += n + n * n / window
 
     for doc in sorted(range(len(lengths)), key=lambda d: (-lengths[d], d)):
-        n, tried = lengths[doc], []
-        while room and used[room[0][1]] + n > window:
-            tried.append(heapq.heappop(room))
-        if room:
-            s = heapq.heappop(room)[1]
-            put(doc, 0, n, s)
-            if used[s] < window:
-                heapq.heappush(room, (cost[s], s))
+        fits = room >= lengths[doc]
+        if fits.any():
+            put(doc, 0, lengths[doc], int(np.where(fits, cost, np.inf).argmin()))
         else:
             loose.append(doc)
-        for x in tried:
-            heapq.heappush(room, x)
     for doc in loose:
         start = 0
         while start < lengths[doc]:
-            s = heapq.heappop(room)[1]
-            n = min(lengths[doc] - start, window - used[s])
+            s = int(np.where(room > 0, cost, np.inf).argmin())
+            n = min(lengths[doc] - start, int(room[s]))
             put(doc, start, n, s)
             start += n
-            if used[s] < window:
-                heapq.heappush(room, (cost[s], s))
     return out
 
 
