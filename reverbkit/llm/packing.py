@@ -36,7 +36,7 @@ from reverbkit.llm.common import texts
 
 WINDOW = 4096
 SHARD_TOKENS = 1 << 20
-CACHED_WORDS = 400_000
+CACHED_WORDS = 1_000_000
 SCHEMA = "doc_id {0}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -46,20 +46,34 @@ def tokenizer(path: str) -> Tokenizer:
 
 
 class WordIds(dict):
-    """The ids (bytes of little-endian unsigned 32-bit numbers) of a word."""
+    """The ids (bytes of little-endian unsigned 32-bit numbers) of words."""
 
     def __init__(self, path: str):
         super().__init__()
         self.tokenizer = tokenizer(path)
 
-    def encode(self, text: str, closing: int) -> bytes:
-        words = text.replace("\n", " ").split(" ")
+    def learn(self, words: list[str]) -> None:
+        """Encodes all words as one text and cuts its ids where words start."""
+        encoding = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        ids = np.array(encoding.ids, "<u4")
+        starts = np.cumsum([0, *(len(w) + 1 for w in words)])
+        cuts = np.searchsorted(np.array([s for s, _ in encoding.offsets], np.int64), starts).tolist()
+        raw = ids.tobytes()
+        self.update((w, raw[4 * a : 4 * b]) for w, a, b in zip(words, cuts, cuts[1:], strict=False))
+
+    def encode(self, texts: list[str], closing: int) -> list[bytes]:
         if len(self) > CACHED_WORDS:
             self.clear()
-        if new := list(set(words) - self.keys()):
-            for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                self[w] = np.array(e.ids, "<u4").tobytes()
-        return b"".join(map(self.__getitem__, words)) + closing.to_bytes(4, "little")
+        split = [t.replace("\n", " ").split(" ") for t in texts]
+        if new := [w for w in set().union(*split) if w not in self]:
+            self.learn(new)
+        return [b"".join(map(self.__getitem__, ws)) + closing.to_bytes(4, "little") for ws in split]
+
+
+@cache
+def word_ids(path: str) -> WordIds:
+    """One cache for all tasks of a worker process."""
+    return WordIds(path)
 
 
 def pack(lengths: list[int], window: int = WINDOW) -> list[tuple[int, int, int, int, int]]:
@@ -99,13 +113,12 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, closing: int = 2, windo
     shards = max(1, round(size / 2 / SHARD_TOKENS))
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordIds(tokenizer_path)
+        known = word_ids(tokenizer_path)
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 part = b.slice(at, 256)
                 full, rest, total, shard = [], [], [], []
-                for i, t in zip(part["doc_id"].to_pylist(), part["text"].to_pylist(), strict=True):
-                    ids = known.encode(t, closing)
+                for i, ids in zip(part["doc_id"].to_pylist(), known.encode(part["text"].to_pylist(), closing), strict=True):
                     n = len(ids) // 4
                     cut = n // window * window * 4
                     full.append([zlib.crc32(ids[k : k + 4 * window]) for k in range(0, cut, 4 * window)])
