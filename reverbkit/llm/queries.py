@@ -7,10 +7,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reverbkit.llm import packing, pii, simhash, substrings, toxicity
+from reverbkit.llm import neighbours, packing, pii, simhash, substrings, toxicity, vectors
 from reverbkit.llm.common import learn_fold, read, texts
 
 
+def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(read(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     fold = learn_fold("doc_id", 5)
@@ -32,15 +36,21 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(read(spark, sf_dir, "documents"), length=13).drop("text")
 
 
 QUERIES = {
+    "op1_near_vectors": op1_near_vectors,
     "op2_toxicity": op2_toxicity,
     "op3_simhash": op3_simhash,
     "op6_pii": op6_pii,
     "op8_packing": op8_packing,
+    "op9_neighbours": op9_neighbours,
     "op10_substring_dedup": op10_substring_dedup,
 }
 ORACLE: dict[str, str] = {}

@@ -102,10 +102,11 @@ def _keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _forest(max_bits: int):
-    def match(pdf: pd.DataFrame) -> pd.DataFrame:
+    def match(table: pa.Table) -> pa.Table:
         """A spanning forest of one group's links: (u, v), v the smallest found."""
-        left = np.unique(pdf["fp"].to_numpy(np.int64)[pdf["_left"].to_numpy(bool)])
-        nodes, back = np.unique(np.concatenate((left, pdf["fp"].to_numpy(np.int64))), return_inverse=True)
+        fps = table["fp"].to_numpy()
+        left = np.unique(fps[table["_left"].to_numpy(zero_copy_only=False)])
+        nodes, back = np.unique(np.concatenate((left, fps)), return_inverse=True)
         li, label = back[: len(left)], np.arange(len(nodes))
         bits = nodes.view(np.uint64)
         near = [np.nonzero(np.bitwise_count(bits[i] ^ bits) <= max_bits)[0] for i in li]
@@ -116,7 +117,7 @@ def _forest(max_bits: int):
                 label[js] = np.minimum(label[js], m := label[js].min())
                 label[i] = min(label[i], m)
             changed = not np.array_equal(before, label)
-        return pd.DataFrame({"u": nodes, "v": nodes[label]})
+        return pa.table({"u": nodes, "v": nodes[label]})
 
     return match
 
