@@ -4,10 +4,10 @@ operator N with production parameters to its whole table."""
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reverbkit.llm import neighbours, packing, pii, simhash, substrings, toxicity, vectors
+from reverbkit.llm import langid, neighbours, packing, pieces, pii, secrets, simhash, substrings, toxicity, vectors
 from reverbkit.llm.common import learn_fold, read, texts
 
 
@@ -28,10 +28,38 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_duplicates(read(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(read(spark, sf_dir, "documents"))
+
+    def spelled(column: str) -> Column:
+        return F.array_join(F.transform(column, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(k) for k in secrets.KINDS]
+    return found.select("doc_id", *counts, F.sha2(spelled("base").cast("binary"), 256).alias("base_sha256"), spelled("spans").alias("spans"))
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    fold = learn_fold("doc_id", 3)
+    filters = langid.learn(docs.where(fold != 1))
+    return langid.identify(docs, filters).select("doc_id", (fold == 1).alias("held_out"), "lang_pred", "score")
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replace_pii(read(spark, sf_dir, "documents")).select("doc_id", "text", "n_entities")
 
 
+def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids' number and CRC-32 (little-endian unsigned 32-bit ids), and
+    whether decoding them gives the text back."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    docs = read(spark, sf_dir, "documents")
+    return pieces.round_trip(docs, model)
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -48,7 +76,10 @@ QUERIES = {
     "op1_near_vectors": op1_near_vectors,
     "op2_toxicity": op2_toxicity,
     "op3_simhash": op3_simhash,
+    "op4_secrets": op4_secrets,
+    "op5_language": op5_language,
     "op6_pii": op6_pii,
+    "op7_pieces": op7_pieces,
     "op8_packing": op8_packing,
     "op9_neighbours": op9_neighbours,
     "op10_substring_dedup": op10_substring_dedup,
