@@ -13,7 +13,7 @@ follows the input's bytes; a task holds one shard's token ids (2 bytes each).
 
 Word-by-word encoding: the tokenizer never joins across white space, so a text
 is cut at ASCII spaces and newlines and each distinct word is encoded once per
-task (a bounded cache), which gives the ids of the whole text.
+worker (a bounded cache), which gives the ids of the whole text.
 
 Defined results: null and empty texts consist of the closing id alone; repeated
 rows are packed as separate documents; ids may be null; an empty table gives an
@@ -22,6 +22,7 @@ empty result. Other columns of the input are ignored.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -36,7 +37,10 @@ from reverbkit.llm.common import texts
 
 WINDOW = 4096
 SHARD_TOKENS = 1 << 20
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 800_000
+#: Words whose lower case and parts are plain: printable ASCII and Latin-1 letters.
+PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+PART = re.compile("'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-z0-9ß-öø-ÿ]+")
 SCHEMA = "doc_id {0}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -51,15 +55,27 @@ class WordIds(dict):
     def __init__(self, path: str):
         super().__init__()
         self.tokenizer = tokenizer(path)
+        self.parts: dict[str, bytes] = {}
 
     def learn(self, words: list[str]) -> None:
+        """Most words differ from others in case and punctuation only: they are
+        cut into the parts that the tokenizer itself cuts, lower-case letters,
+        digits and others, and only new parts are encoded."""
+        cut = {w: PART.findall(w.lower()) if PLAIN.fullmatch(w) and "<|" not in w else [w] for w in words}
+        if len(self.parts) > CACHED_WORDS:
+            self.parts.clear()
+        if new := [p for p in set().union(*cut.values()) if p not in self.parts]:
+            self.parts.update(zip(new, self._ids(new), strict=True))
+        for w, parts in cut.items():
+            self[w] = b"".join([self.parts[p] for p in parts])
+
+    def _ids(self, words: list[str]) -> list[bytes]:
         """Encodes all words as one text and cuts its ids where words start."""
         encoding = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
-        ids = np.array(encoding.ids, "<u4")
+        raw = np.array(encoding.ids, "<u4").tobytes()
         starts = np.cumsum([0, *(len(w) + 1 for w in words)])
         cuts = np.searchsorted(np.array([s for s, _ in encoding.offsets], np.int64), starts).tolist()
-        raw = ids.tobytes()
-        self.update((w, raw[4 * a : 4 * b]) for w, a, b in zip(words, cuts, cuts[1:], strict=False))
+        return [raw[4 * a : 4 * b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
     def encode(self, texts: list[str], closing: int) -> list[bytes]:
         if len(self) > CACHED_WORDS:
