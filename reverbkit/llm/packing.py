@@ -11,9 +11,13 @@ is cut over the sequences with room, lowest cost first. So all sequences of a
 shard but the room of less than one window are full. The shards' number
 follows the input's bytes; a task holds one shard's token ids (2 bytes each).
 
-Word-by-word encoding: the tokenizer never joins across white space, so a text
-is cut at ASCII spaces and newlines and each distinct word is encoded once per
-worker (a bounded cache), which gives the ids of the whole text.
+Encoding part by part: the tokenizer cuts a text into lower-case letter runs,
+digits and runs of other characters before it merges within them, each part
+ending with an id that marks an end. Texts of printable ASCII and Latin-1
+letters are cut the same way here: Arrow finds a batch's distinct words between
+spaces, new words are cut into parts, new parts are encoded (bounded caches of
+both, one per worker process), and a text's ids are joined from its words'. All
+other texts go to the tokenizer as they are.
 
 Defined results: null and empty texts consist of the closing id alone; repeated
 rows are packed as separate documents; ids may be null; an empty table gives an
@@ -29,6 +33,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -37,9 +42,9 @@ from reverbkit.llm.common import texts
 
 WINDOW = 4096
 SHARD_TOKENS = 1 << 20
-CACHED_WORDS = 800_000
-#: Words whose lower case and parts are plain: printable ASCII and Latin-1 letters.
-PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+CACHED = 300_000
+#: What a plain text does not hold, and a plain lower-case word's parts.
+NOT_PLAIN = "[^\\n -~À-ÖØ-öø-ÿ]"
 PART = re.compile("'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-z0-9ß-öø-ÿ]+")
 SCHEMA = "doc_id {0}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -50,40 +55,54 @@ def tokenizer(path: str) -> Tokenizer:
 
 
 class WordIds(dict):
-    """The ids (bytes of little-endian unsigned 32-bit numbers) of words."""
+    """The ids (bytes of little-endian unsigned 32-bit numbers) of words between
+    spaces of plain texts; ``parts``: those of the parts they are made of."""
 
     def __init__(self, path: str):
         super().__init__()
         self.tokenizer = tokenizer(path)
         self.parts: dict[str, bytes] = {}
+        vocab = self.tokenizer.get_vocab()
+        self.is_end = np.zeros(max(vocab.values()) + 1, bool)
+        self.is_end[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
 
     def learn(self, words: list[str]) -> None:
-        """Most words differ from others in case and punctuation only: they are
-        cut into the parts that the tokenizer itself cuts, lower-case letters,
-        digits and others, and only new parts are encoded."""
-        cut = {w: PART.findall(w.lower()) if PLAIN.fullmatch(w) and "<|" not in w else [w] for w in words}
-        if len(self.parts) > CACHED_WORDS:
+        cut = [PART.findall(w.lower()) for w in words]
+        if len(self.parts) > CACHED:
             self.parts.clear()
-        if new := [p for p in set().union(*cut.values()) if p not in self.parts]:
-            self.parts.update(zip(new, self._ids(new), strict=True))
-        for w, parts in cut.items():
-            self[w] = b"".join([self.parts[p] for p in parts])
-
-    def _ids(self, words: list[str]) -> list[bytes]:
-        """Encodes all words as one text and cuts its ids where words start."""
-        encoding = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
-        raw = np.array(encoding.ids, "<u4").tobytes()
-        starts = np.cumsum([0, *(len(w) + 1 for w in words)])
-        cuts = np.searchsorted(np.array([s for s, _ in encoding.offsets], np.int64), starts).tolist()
-        return [raw[4 * a : 4 * b] for a, b in zip(cuts, cuts[1:], strict=False)]
-
-    def encode(self, texts: list[str], closing: int) -> list[bytes]:
-        if len(self) > CACHED_WORDS:
-            self.clear()
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        if new := [w for w in set().union(*split) if w not in self]:
-            self.learn(new)
-        return [b"".join(map(self.__getitem__, ws)) + closing.to_bytes(4, "little") for ws in split]
+        if new := [p for p in set().union(*cut) if p not in self.parts]:
+            # all parts as one text, its ids cut after each end
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, "<u4")
+            cuts = [0, *(np.nonzero(self.is_end[ids])[0] + 1).tolist()]
+            raw = ids.tobytes()
+            self.parts.update((p, raw[4 * a : 4 * b]) for p, a, b in zip(new, cuts[:-1], cuts[1:], strict=True))
+        known = self.parts
+        self.update((w, known[c[0]] if len(c) == 1 else b"".join([known[p] for p in c])) for w, c in zip(words, cut, strict=True))
+
+    def encode(self, texts: pa.Array, closing: int) -> list[bytes]:
+        """The ids of each text, the closing id included."""
+        end = closing.to_bytes(4, "little")
+        plain = pc.and_(pc.invert(pc.match_substring_regex(texts, NOT_PLAIN)), pc.invert(pc.match_substring(texts, "<|")))
+        plain = plain.to_numpy(zero_copy_only=False)
+        out: list[bytes] = [b""] * len(texts)
+        others = np.nonzero(~plain)[0].tolist()
+        for i, e in zip(others, self.tokenizer.encode_batch([texts[i].as_py() for i in others], add_special_tokens=False), strict=True):
+            out[i] = np.array(e.ids, "<u4").tobytes() + end
+        own = np.nonzero(plain)[0].tolist()
+        if own:
+            lists = pc.split_pattern(pc.replace_substring(texts.take(pa.array(own)), "\n", " "), " ")
+            coded = lists.flatten().dictionary_encode()
+            words = coded.dictionary.to_pylist()
+            if len(self) > CACHED:
+                self.clear()
+            if new := [w for w in words if w not in self]:
+                self.learn(new)
+            spelled = [self[w] for w in words]
+            ids = list(map(spelled.__getitem__, coded.indices.to_numpy().tolist()))
+            stops = (lists.offsets.to_numpy() - lists.offsets[0].as_py()).tolist()
+            for i, a, b in zip(own, stops[:-1], stops[1:], strict=True):
+                out[i] = b"".join(ids[a:b]) + end
+        return out
 
 
 @cache
@@ -131,10 +150,10 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, closing: int = 2, windo
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = word_ids(tokenizer_path)
         for b in batches:
-            for at in range(0, b.num_rows, 256):
-                part = b.slice(at, 256)
+            for at in range(0, b.num_rows, 1024):
+                part = b.slice(at, 1024)
                 full, rest, total, shard = [], [], [], []
-                for i, ids in zip(part["doc_id"].to_pylist(), known.encode(part["text"].to_pylist(), closing), strict=True):
+                for i, ids in zip(part["doc_id"].to_pylist(), known.encode(part["text"], closing), strict=True):
                     n = len(ids) // 4
                     cut = n // window * window * 4
                     full.append([zlib.crc32(ids[k : k + 4 * window]) for k in range(0, cut, 4 * window)])
