@@ -40,6 +40,7 @@ MARK = "▁"
 WORD = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 CACHED_WORDS = 1_000_000
 CACHED_PAIRS = 2_000_000
+UNKNOWN = -1e12  # score of a character outside the vocabulary
 
 
 class Vocabulary:
@@ -52,7 +53,10 @@ class Vocabulary:
                 self.byte_id[int(p[1:-1], 16)] = i
             elif not (model.is_unknown(i) or model.is_control(i) or model.is_unused(i)):
                 self.id_of[p], self.score[p] = i, model.get_score(i)
-        self.longest = max(map(len, self.id_of))
+        # by a piece's last two characters, the length of the longest such piece
+        self.longest: dict[str, int] = {}
+        for p in self.id_of:
+            self.longest[p[-2:]] = max(len(p), self.longest.get(p[-2:], 1))
         self.pairs: dict[tuple[str, str], bool] = {}
         self.whole = {p for p in self.id_of if len(p) == 1 or self.merged(p) == [p]}
         self.spelling = [bytes([int(p[1:-1], 16)]) if model.is_byte(i) else b"" if model.is_control(i) else p.replace(MARK, " ").encode() for i, p in enumerate(self.pieces)]
@@ -95,8 +99,8 @@ def segment(vocab: Vocabulary, words: list[str]) -> Iterator[tuple[str, list[str
     """The best path of each of the sorted words. ``table[j]`` is (score, last
     piece) of the best path through the first j characters; a word starts with
     the entries of its common prefix with the word before."""
-    whole, score, longest, follows = vocab.whole, vocab.score, vocab.longest, vocab.follows
-    table: list[tuple[float, str] | None] = [(0.0, "")]
+    whole, score, longest, follows, known = vocab.whole, vocab.score, vocab.longest, vocab.follows, vocab.pairs.get
+    table = [(0.0, "")]
     before = ""
     for word in words:
         shared = 0
@@ -106,18 +110,15 @@ def segment(vocab: Vocabulary, words: list[str]) -> Iterator[tuple[str, list[str
             shared += 1
         del table[shared + 1 :]
         for end in range(shared + 1, len(word) + 1):
-            best = None
-            for start in range(max(0, end - longest), end):
+            # the pairs allow one path through each prefix, so the first piece that may stand here is its best
+            for start in range(max(0, end - longest.get(word[end - 2 : end], 1)) if end > 1 else 0, end):
                 piece = word[start:end]
-                if (piece not in whole and end - start > 1) or table[start] is None:
-                    continue
-                total, last = table[start]
-                if start and not follows(last, piece):
-                    continue
-                total += score.get(piece, -1e12)
-                if best is None or total > best[0]:
-                    best = (total, piece)
-            table.append(best)
+                if piece in whole or end - start == 1:
+                    total, last = table[start]
+                    ok = True if not start else known((last, piece))
+                    if ok or (ok is None and follows(last, piece)):
+                        table.append((total + score.get(piece, UNKNOWN), piece))
+                        break
         path, end = [], len(word)
         while end:
             piece = table[end][1]
