@@ -53,7 +53,9 @@ def block_groups(left: DataFrame, right: DataFrame, key: str, row_id: str, block
         )
 
     both = dealt(left, "_a", "_na", "_b", "_nb", True).unionByName(dealt(right, "_b", "_nb", "_a", "_na", False))
-    return both.groupBy(key, "_a", "_b").applyInArrow(match, schema)
+    # by a number of partitions, as AQE would put a few small but costly groups into one task
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return both.repartition(parts, key, "_a", "_b").groupBy(key, "_a", "_b").applyInArrow(match, schema)
 
 
 def finite(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:

@@ -40,7 +40,7 @@ CONFIDENCE = 0.99
 LEAF = 64
 STEP = 8  # leaves verified between two stopping tests
 BLOCK = 16384
-QUERY_BLOCK = 1024
+QUERY_BLOCK = 128
 
 
 def chi2_cdf(x: float, degrees: int = PROJECTED) -> float:
