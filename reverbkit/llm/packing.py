@@ -14,10 +14,10 @@ follows the input's bytes; a task holds one shard's token ids (2 bytes each).
 Encoding part by part: the tokenizer cuts a text into lower-case letter runs,
 digits and runs of other characters before it merges within them, each part
 ending with an id that marks an end. Texts of printable ASCII and Latin-1
-letters are cut the same way here: Arrow finds a batch's distinct words between
-spaces, new words are cut into parts, new parts are encoded (bounded caches of
-both, one per worker process), and a text's ids are joined from its words'. All
-other texts go to the tokenizer as they are.
+letters are cut the same way with Arrow functions: a slice's distinct lower-case
+words between spaces, their distinct parts; new parts are encoded (a bounded
+cache, one per worker process), and a text's ids are joined from its words'.
+All other texts go to the tokenizer as they are.
 
 Defined results: null and empty texts consist of the closing id alone; repeated
 rows are packed as separate documents; ids may be null; an empty table gives an
@@ -26,7 +26,6 @@ empty result. Other columns of the input are ignored.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -42,10 +41,11 @@ from reverbkit.llm.common import texts
 
 WINDOW = 4096
 SHARD_TOKENS = 1 << 20
-CACHED = 300_000
+CACHED_PARTS = 500_000
+SLICE_BYTES = 8 << 20
 #: What a plain text does not hold, and a plain lower-case word's parts.
 NOT_PLAIN = "[^\\n -~À-ÖØ-öø-ÿ]"
-PART = re.compile("'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-z0-9ß-öø-ÿ]+")
+PART = "('(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-z0-9ß-öø-ÿ]+)"
 SCHEMA = "doc_id {0}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -54,30 +54,26 @@ def tokenizer(path: str) -> Tokenizer:
     return Tokenizer.from_file(path)
 
 
-class WordIds(dict):
-    """The ids (bytes of little-endian unsigned 32-bit numbers) of words between
-    spaces of plain texts; ``parts``: those of the parts they are made of."""
+class PartIds(dict):
+    """The ids (bytes of little-endian unsigned 32-bit numbers) of parts."""
 
     def __init__(self, path: str):
         super().__init__()
         self.tokenizer = tokenizer(path)
-        self.parts: dict[str, bytes] = {}
         vocab = self.tokenizer.get_vocab()
         self.is_end = np.zeros(max(vocab.values()) + 1, bool)
         self.is_end[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
 
-    def learn(self, words: list[str]) -> None:
-        cut = [PART.findall(w.lower()) for w in words]
-        if len(self.parts) > CACHED:
-            self.parts.clear()
-        if new := [p for p in set().union(*cut) if p not in self.parts]:
-            # all parts as one text, its ids cut after each end
+    def spelled(self, parts: list[str]) -> list[bytes]:
+        if len(self) > CACHED_PARTS:
+            self.clear()
+        if new := [p for p in parts if p and p not in self]:
+            # all new parts as one text, its ids cut after each end
             ids = np.array(self.tokenizer.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, "<u4")
             cuts = [0, *(np.nonzero(self.is_end[ids])[0] + 1).tolist()]
             raw = ids.tobytes()
-            self.parts.update((p, raw[4 * a : 4 * b]) for p, a, b in zip(new, cuts[:-1], cuts[1:], strict=True))
-        known = self.parts
-        self.update((w, known[c[0]] if len(c) == 1 else b"".join([known[p] for p in c])) for w, c in zip(words, cut, strict=True))
+            self.update((p, raw[4 * a : 4 * b]) for p, a, b in zip(new, cuts[:-1], cuts[1:], strict=True))
+        return [self[p] if p else b"" for p in parts]
 
     def encode(self, texts: pa.Array, closing: int) -> list[bytes]:
         """The ids of each text, the closing id included."""
@@ -88,27 +84,37 @@ class WordIds(dict):
         others = np.nonzero(~plain)[0].tolist()
         for i, e in zip(others, self.tokenizer.encode_batch([texts[i].as_py() for i in others], add_special_tokens=False), strict=True):
             out[i] = np.array(e.ids, "<u4").tobytes() + end
-        own = np.nonzero(plain)[0].tolist()
-        if own:
-            lists = pc.split_pattern(pc.replace_substring(texts.take(pa.array(own)), "\n", " "), " ")
-            coded = lists.flatten().dictionary_encode()
-            words = coded.dictionary.to_pylist()
-            if len(self) > CACHED:
-                self.clear()
-            if new := [w for w in words if w not in self]:
-                self.learn(new)
-            spelled = [self[w] for w in words]
-            ids = list(map(spelled.__getitem__, coded.indices.to_numpy().tolist()))
-            stops = (lists.offsets.to_numpy() - lists.offsets[0].as_py()).tolist()
-            for i, a, b in zip(own, stops[:-1], stops[1:], strict=True):
+        if plain.any():
+            low = pc.replace_substring(pc.utf8_lower(texts.filter(pa.array(plain))), "\n", " ")
+            words, spans = _dictionary(pc.split_pattern(low, " "))
+            parts, inside = _dictionary(pc.split_pattern(pc.ascii_rtrim(pc.replace_substring_regex(words.dictionary, PART, "\\1 "), " "), " "))
+            part_ids = list(map(self.spelled(parts.dictionary.to_pylist()).__getitem__, parts.indices.to_numpy().tolist()))
+            known = [part_ids[a] if b - a == 1 else b"".join(part_ids[a:b]) for a, b in inside]
+            ids = list(map(known.__getitem__, words.indices.to_numpy().tolist()))
+            for i, (a, b) in zip(np.nonzero(plain)[0].tolist(), spans, strict=True):
                 out[i] = b"".join(ids[a:b]) + end
         return out
 
 
+def _dictionary(lists: pa.ListArray) -> tuple[pa.DictionaryArray, list[tuple[int, int]]]:
+    """All strings of some lists, dictionary-encoded, and where each list lies."""
+    stops = (lists.offsets.to_numpy() - lists.offsets[0].as_py()).tolist()
+    return lists.flatten().dictionary_encode(), list(zip(stops[:-1], stops[1:], strict=True))
+
+
+def _slices(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows of about ``SLICE_BYTES`` of text at a time."""
+    ends, at = np.cumsum(pc.binary_length(b["text"]).to_numpy()), 0
+    while at < b.num_rows:
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE_BYTES)))
+        yield b.slice(at, to - at)
+        at = to
+
+
 @cache
-def word_ids(path: str) -> WordIds:
+def part_ids(path: str) -> PartIds:
     """One cache for all tasks of a worker process."""
-    return WordIds(path)
+    return PartIds(path)
 
 
 def pack(lengths: list[int], window: int = WINDOW) -> list[tuple[int, int, int, int, int]]:
@@ -148,10 +154,9 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, closing: int = 2, windo
     shards = max(1, round(size / 2 / SHARD_TOKENS))
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = word_ids(tokenizer_path)
+        known = part_ids(tokenizer_path)
         for b in batches:
-            for at in range(0, b.num_rows, 1024):
-                part = b.slice(at, 1024)
+            for part in _slices(b):
                 full, rest, total, shard = [], [], [], []
                 for i, ids in zip(part["doc_id"].to_pylist(), known.encode(part["text"], closing), strict=True):
                     n = len(ids) // 4
