@@ -39,8 +39,8 @@ PROJECTED = 8
 CONFIDENCE = 0.99
 LEAF = 64
 STEP = 8  # leaves verified between two stopping tests
-BLOCK = 16384
-QUERY_BLOCK = 128
+BLOCK = 8192
+QUERY_BLOCK = 512
 
 
 def chi2_cdf(x: float, degrees: int = PROJECTED) -> float:
