@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reverbkit.llm.common import cut_lineage
+
 POSITIONS = 18
 HASHES = 3
 MIN_SHARE = 0.02
@@ -102,7 +104,7 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Fi
                 grams, n = np.append(grams, -1), np.append(n, len(found))  # -1: the texts themselves
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n)), pa.array(grams), pa.array(n)], ["lang", "gram", "n"])
 
-    counts = rows.mapInArrow(counted, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counts = cut_lineage(rows.mapInArrow(counted, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "trigrams")
     n_texts = {r["lang"]: r["n"] for r in counts.where("gram = -1").collect()}
     common = counts.where("gram <> -1").join(F.broadcast(counts.where("gram = -1").select("lang", F.col("n").alias("texts"))), "lang")
     # at most 1 / MIN_SHARE times the trigrams of an average text for each language
