@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from reverbkit.session import cut_lineage
 
-__all__ = ["block_groups", "cut_lineage", "finite", "learn_fold", "matrix", "read", "texts"]
+__all__ = ["block_groups", "cut_lineage", "finite", "learn_fold", "matrix", "read", "slices", "texts"]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,14 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def slices(b: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """A batch in small parts, so that Python objects are made for few rows at a
+    time; what Arrow keeps of the batch's memory goes back afterwards."""
+    for at in range(0, b.num_rows, rows):
+        yield b.slice(at, rows)
+    pa.default_memory_pool().release_unused()
+
+
 def learn_fold(id_col: str, modulus: int) -> Column:
     """The fold of a row: crc32 of its id as text, modulo ``modulus``."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % modulus, F.lit(0))

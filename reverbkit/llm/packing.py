@@ -41,8 +41,8 @@ from reverbkit.llm.common import texts
 
 WINDOW = 4096
 SHARD_TOKENS = 1 << 20
-CACHED_PARTS = 500_000
-SLICE_BYTES = 8 << 20
+CACHED_PARTS = 200_000
+SLICE_BYTES = 4 << 20
 #: What a plain text does not hold, and a plain lower-case word's parts.
 NOT_PLAIN = "[^\\n -~À-ÖØ-öø-ÿ]"
 PART = "('(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-z0-9ß-öø-ÿ]+)"

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reverbkit.llm.common import block_groups, cut_lineage, texts
+from reverbkit.llm.common import block_groups, cut_lineage, slices, texts
 from reverbkit.llm.graph import components
 
 SEGMENTS = ((0, 23), (23, 23), (46, 18))  # first bit, bits
@@ -92,8 +92,8 @@ def _segment_keys(values: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray
 def _keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """(fp) -> (fp, key, probe): the three index keys and all probe keys."""
     for pdf in batches:
-        for at in range(0, len(pdf), 4096):
-            fp = pdf["fp"].to_numpy(np.int64)[at : at + 4096]
+        for at in range(0, len(pdf), 2048):
+            fp = pdf["fp"].to_numpy(np.int64)[at : at + 2048]
             seg = [_segment_keys((fp.view(np.uint64) >> np.uint64(s)).astype(np.int64) & ((1 << n) - 1), n) for s, n in SEGMENTS]
             for p, (i, j) in enumerate(PAIRS):
                 yield pd.DataFrame({"fp": fp, "key": p << 24 | seg[i][0] << 12 | seg[j][0], "probe": False})
@@ -146,7 +146,7 @@ def simhash_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_
     """(doc_id, fingerprint, component_id) for every row of ``docs``."""
 
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (s for whole in batches for s in slices(whole)):
             fp = np.array([fingerprint(t, shingle) for t in b["text"].to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(fp)], ["doc_id", "fp"])
 

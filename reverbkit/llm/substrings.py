@@ -40,9 +40,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reverbkit.llm.common import cut_lineage, texts
+from reverbkit.llm.common import cut_lineage, slices, texts
 
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -111,7 +111,7 @@ def remove_repeats(docs: DataFrame, length: int = 13, id_col: str = "doc_id", te
     def half_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _WordHashes()
         for b in batches:
-            for part in _parts(b):
+            for part in slices(b):
                 found = []
                 for t in part["text"].to_pylist():
                     ws = words(t)
@@ -133,7 +133,7 @@ def remove_repeats(docs: DataFrame, length: int = 13, id_col: str = "doc_id", te
     def full_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _WordHashes()
         for b in batches:
-            for part in _parts(b):
+            for part in slices(b):
                 found = []
                 for t, hs in zip(part["text"].to_pylist(), part["halves"], strict=True):
                     ws = words(t)
@@ -150,7 +150,7 @@ def remove_repeats(docs: DataFrame, length: int = 13, id_col: str = "doc_id", te
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _WordHashes()
         for b in batches:
-            for part in _parts(b):
+            for part in slices(b):
                 out, n_words, n_removed, shas = [], [], [], []
                 for t, copy, hs in zip(part["text"].to_pylist(), part["copy"].to_pylist(), part["gone"], strict=True):
                     ws = words(t)
@@ -178,8 +178,3 @@ def remove_repeats(docs: DataFrame, length: int = 13, id_col: str = "doc_id", te
     )
     schema = T.StructType.fromDDL(f"doc_id {kind}, text string, n_words long, n_removed long, kept_sha256 string")
     return told.mapInArrow(kept, schema.add(told.schema["row"]) if carry else schema)
-
-
-def _parts(b: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
-    for at in range(0, b.num_rows, rows):
-        yield b.slice(at, rows)

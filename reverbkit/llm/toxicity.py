@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reverbkit.llm.common import cut_lineage, texts
+from reverbkit.llm.common import cut_lineage, slices, texts
 
 SAMPLE = {1: 10_000, 0: 30_000}
 CANDIDATES = 4_096
@@ -161,7 +161,7 @@ def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows = docs.join(F.broadcast(part[0].unionByName(part[1])), "doc_id").select("text", "toxic")
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (s for whole in batches for s in slices(whole)):
             copies = []
             for t in b["text"].to_pylist():
                 ws = t.split()
@@ -175,7 +175,7 @@ def _candidates(rows: DataFrame, bad: int, good: int) -> list[str]:
     """The words and stems that are significantly more frequent in toxic texts."""
 
     def word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (s for whole in batches for s in slices(whole, 1024)):
             out: Counter = Counter()
             for text, toxic in zip(b["text"].to_pylist(), b["toxic"].to_pylist(), strict=True):
                 out.update((w, toxic) for w in set(WORD.findall(text.lower())))
@@ -207,7 +207,7 @@ def _cover(rows: DataFrame, candidates: list[str]) -> list[str]:
     probe = Grammar(candidates)
 
     def hit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (s for whole in batches for s in slices(whole)):
             found = [sorted({w for _, w in probe.hits(t.lower())}) for t in b["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays([b["toxic"], pa.array(found, pa.list_(pa.string()))], ["toxic", "found"])
 
