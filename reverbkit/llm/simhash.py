@@ -133,12 +133,13 @@ def links(prints: DataFrame, max_bits: int = 3) -> DataFrame:
     counts = index.groupBy("key").count()
     index = cut_lineage(index.join(counts, "key"), "simhash-index")
     cold = index.where(F.col("count") <= COLD_KEY).select("key", F.col("fp").alias("u"))
-    met = cold.join(
+    # merge joins: Spark takes the 28 probes of a fingerprint and pair for one row and would broadcast them
+    met = cold.hint("merge").join(
         probes.withColumnRenamed("fp", "v"),
         (cold["key"] == probes["key"]) & (F.col("u") < F.col("v")) & (F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= max_bits),
     ).select("u", "v")
     hot = index.where(F.col("count") > COLD_KEY).select("key", "fp")
-    crowd = probes.select("key", "fp").join(hot.select("key").distinct(), "key")
+    crowd = probes.select("key", "fp").hint("merge").join(hot.select("key").distinct(), "key")
     return met.unionByName(block_groups(hot, crowd, "key", "fp", BLOCK, _forest(max_bits), "u long, v long"))
 
 
