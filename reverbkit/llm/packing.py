@@ -7,8 +7,8 @@ its shard. A shard holds about ``SHARD_TOKENS`` tokens of rests, dealt by a
 hash of document id and text, and is packed on its own: it opens
 ceil(tokens / window) sequences, takes the rests in descending cost, and gives
 each to the sequence of lowest cost that still has room for it. A rest that fits nowhere whole
-is cut over the sequences with room, lowest cost first. So all sequences of a
-shard but the room of less than one window are full. The shards' number
+is cut over the sequences with room, lowest cost first. So the
+sequences of a shard leave room for less than one window in all. The shards' number
 follows the input's bytes; a task holds one shard's token ids (2 bytes each).
 
 Encoding part by part: the tokenizer cuts a text into lower-case letter runs,
