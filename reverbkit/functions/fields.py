@@ -24,9 +24,32 @@ def strict_long(s: Column) -> Column:
     return F.when(s.rlike("^[0-9]+$"), s.try_cast("long"))
 
 
+#: The named entities of markup and the no-break space; &amp; last.
+ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": "\u00a0"}
+
+
+def element_text(inner: Column) -> Column:
+    """The rendered text of an element's inner markup: tags dropped, numeric and
+    named entities decoded, trimmed."""
+    text = F.regexp_replace(inner, r"<[^>]*>", "")
+    for base, entity in ((10, "&#[0-9]{1,7};"), (16, "&#[xX][0-9A-Fa-f]{1,6};")):
+        found = F.array_distinct(F.regexp_extract_all(text, F.lit(entity), 0))
+
+        def decoded(s: Column, e: Column, base: int = base) -> Column:
+            digits = F.conv(F.regexp_replace(e, "[&#xX;]", ""), base, 16)
+            point = F.conv(digits, 16, 10).cast("int")
+            known = point.between(1, 0xD7FF) | point.between(0xE000, 0x10FFFF)
+            return F.when(known, F.replace(s, e, F.decode(F.unhex(F.lpad(digits, 8, "0")), "UTF-32"))).otherwise(s)
+
+        text = F.aggregate(found, text, lambda s, e: decoded(s, e))
+    for name, char in ENTITIES.items():
+        text = F.replace(text, F.lit(name), F.lit(char))
+    return F.regexp_replace(F.replace(text, F.lit("&amp;"), F.lit("&")), r"^[ \t\r\n\u00a0]+|[ \t\r\n\u00a0]+$", "")
+
+
 def page_title(html: Column) -> Column:
     """Text of the first ``<title>`` element, null when absent."""
-    return _blank_null(F.regexp_extract(html, r"(?s)<title>(.*?)</title>", 1))
+    return _blank_null(element_text(F.regexp_extract(html, r"(?is)<title(?:\s[^>]*)?>(.*?)</title>", 1)))
 
 
 def page_lang(html: Column) -> Column:
@@ -36,8 +59,9 @@ def page_lang(html: Column) -> Column:
 def page_tags(html: Column) -> Column:
     """Anchor texts of the navigation block, all leading '#' removed;
     ``["No tags found"]`` when there is none."""
-    nav = F.regexp_extract(html, r"(?s)<nav>(.*?)</nav>", 1)
-    tags = F.transform(F.regexp_extract_all(nav, F.lit(r"<a [^>]*>([^<]*)</a>"), 1), lambda t: F.regexp_replace(t, r"^#+", ""))
+    nav = F.regexp_extract(html, r"(?is)<nav(?:\s[^>]*)?>(.*?)</nav>", 1)
+    anchors = F.regexp_extract_all(nav, F.lit(r"(?is)<a(?:\s[^>]*)?>(.*?)</a>"), 1)
+    tags = F.transform(anchors, lambda t: F.regexp_replace(element_text(t), r"^#+", ""))
     return F.when(F.size(tags) > 0, tags).otherwise(F.array(F.lit(NO_TAGS)))
 
 

@@ -111,9 +111,10 @@ def nearest_chunk(comments: DataFrame, chunks: DataFrame, key: str = "video_id",
     fields = [f"'rk', {SQL_RANK.format(sim='s_')}", "'neg', -cs[i_].chunk_index",
               "'chunk_index', cs[i_].chunk_index", "'sim', s_"] + [f"'{p}', cs[i_].{p}" for p in chunk_payload]
     best_expr = f"array_max(transform(_sims, (s_, i_) -> named_struct({', '.join(fields)})))"
-    best_in_block = joined.select(key, comment_key, *comment_payload, "cs", F.expr(sims).alias("_sims")).select(
-        key, comment_key, *comment_payload, F.expr(best_expr).alias("best"))
-    best = best_in_block.groupBy(key, comment_key).agg(
+    best_in_block = joined.select(key, "_salt", comment_key, *comment_payload, "cs", F.expr(sims).alias("_sims")).select(
+        key, "_salt", comment_key, *comment_payload, F.expr(best_expr).alias("best"))
+    # the salt follows from the comment: grouping by it too keeps the join's partitioning
+    best = best_in_block.groupBy(key, "_salt", comment_key).agg(
         F.max("best").alias("best"), *[F.any_value(p).alias(p) for p in comment_payload])
     return best.select(
         key,

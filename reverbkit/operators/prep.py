@@ -31,8 +31,10 @@ def seeded_hash(key: Column, seed: str | int = SEED) -> Column:
 
 
 def rank_within_label(df: DataFrame, label: str, key: str, seed: str | int = SEED,
-                      bucket_hex: int = BUCKET_HEX) -> DataFrame:
+                      bucket_hex: int = BUCKET_HEX, limit: Column | None = None) -> DataFrame:
     """Adds ``rank`` (1-based, by (hash, key) within ``label``) and ``n_label``.
+    Null labels are a label of their own. With ``limit`` the buckets that start
+    beyond it are dropped before the rest is ranked.
 
     ``key`` must identify a row (a document id, not its text): buckets come
     from the hash of the key, so many rows sharing one key value would share
@@ -49,9 +51,13 @@ def rank_within_label(df: DataFrame, label: str, key: str, seed: str | int = SEE
         F.sum("_cnt").over(w_all).alias("n_label"),
     )
     w_in = Window.partitionBy(label, "_b").orderBy("_h", key)
-    ranked = h.withColumn("_r", F.row_number().over(w_in))
+    offsets = offsets.select(F.col(label).alias("_label"), F.col("_b").alias("_bucket"), "_before", "n_label")
+    if limit is not None:
+        offsets = offsets.where(F.col("_before") < limit)
+    kept = h.join(offsets, F.col(label).eqNullSafe(F.col("_label")) & (F.col("_b") == F.col("_bucket")))
     return (
-        ranked.join(offsets, [label, "_b"], "inner")
+        kept.drop("_label", "_bucket")
+        .withColumn("_r", F.row_number().over(w_in))
         .withColumn("rank", (F.col("_before") + F.col("_r")).cast("long"))
         .drop("_h", "_b", "_r", "_before")
     )
@@ -61,15 +67,17 @@ def undersample(df: DataFrame, label: str, key: str, n: int | None = None,
                 seed: str | int = SEED) -> DataFrame:
     """M1: exactly ``n`` rows per label (default: the smallest label's count).
 
-    Raises at run time (``raise_error``) if a label has fewer than ``n`` rows,
+    Rows without a label take no part. Raises at run time (``raise_error``) if a label has fewer than ``n`` rows,
     like the reference's sampler.
     """
-    r = rank_within_label(df, label, key, seed)
+    df = df.where(F.col(label).isNotNull())
     if n is None:
         # smallest class size: a partial aggregate over the input, one value
         limit = df.groupBy(label).agg(F.count(F.lit(1)).alias("c")).agg(F.min("c")).scalar()
     else:
         limit = F.lit(int(n))
+    r = rank_within_label(df, label, key, seed, limit=limit)
+    if n is not None:
         r = r.withColumn(
             "n_label",
             F.when(F.col("n_label") < limit, F.raise_error(F.lit(f"a label has fewer than {n} rows"))).otherwise(

@@ -219,13 +219,13 @@ FROM c
 """
 
 ORACLE["class_weights"] = """
-WITH c AS (SELECT CAST(label AS INTEGER) AS label, count(*) AS n FROM embeddings WHERE label BETWEEN 0 AND 5 GROUP BY 1),
+WITH c AS (SELECT CAST(label AS INTEGER) AS label, count(*) AS n FROM embeddings WHERE label IS NOT NULL GROUP BY 1),
 t AS (SELECT CAST(sum(n) AS DOUBLE) AS nn, CAST(count(*) AS DOUBLE) AS k FROM c)
 SELECT label, n, """ + r6("t.nn / (t.k * n)") + """ AS weight FROM c, t
 """
 
 _BAL = """
-lab AS (SELECT vec_id, CAST(label AS INTEGER) AS label FROM embeddings WHERE label BETWEEN 0 AND 5),
+lab AS (SELECT vec_id, CAST(label AS INTEGER) AS label FROM embeddings WHERE label IS NOT NULL),
 mn AS (SELECT min(c) AS m FROM (SELECT label, count(*) AS c FROM lab GROUP BY label)),
 bal AS (
   SELECT vec_id, label FROM (

@@ -4,8 +4,17 @@ from __future__ import annotations
 
 from reverbkit.plans.oracle import r2, r6
 
-_TAGS = r"""list_transform(regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1), '<a [^>]*>([^<]*)</a>', 1),
-                          lambda t: regexp_replace(t, '^#+', ''))"""
+
+
+def _plain(text: str) -> str:
+    """The entities that pages hold, one replacement after the other."""
+    for name, char in (("&#39;", "''"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&nbsp;", " "), ("&amp;", "&")):
+        text = f"replace({text}, '{name}', '{char}')"
+    return f"trim({text})"
+
+
+_TAGS = f"""list_transform(string_split(regexp_extract(html, '(?s)<nav[^>]*>(.*?)</nav>', 1), '</a>'),
+                          lambda t: ltrim({_plain("regexp_replace(regexp_extract(t, '(?s)<a[^>]*>(.*)', 1), '<[^>]*>', '', 'g')")}, '#'))[:-2]"""
 
 ORACLE_SOURCES: dict[str, str] = {}
 
@@ -13,7 +22,7 @@ ORACLE_SOURCES["page_fields"] = f"""
 WITH p AS (SELECT page_id, url, html, {_TAGS} AS tg FROM pages),
 q AS (SELECT *, CASE WHEN len(tg) > 0 THEN tg ELSE ['No tags found'] END AS tags2 FROM p)
 SELECT page_id, url,
-  nullif(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '') AS title,
+  nullif({_plain("regexp_extract(html, '(?s)<title[^>]*>(.*?)</title>', 1)")}, '') AS title,
   nullif(regexp_extract(html, '<html[^>]*\\slang="([^"]*)"', 1), '') AS lang,
   array_to_string(tags2, '|') AS tags, CAST(len(tags2) AS INTEGER) AS n_tags
 FROM q

@@ -95,7 +95,13 @@ def q_ces_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sentiment_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = comment_matches(spark, sf_dir)
+    from reverbkit.functions.vectors import top_k
+    from reverbkit.sources.tables import embedding_chunks, embedding_comments
+
+    # only comments of videos with a transcript count; that needs no search
+    rows, scorer = scored_rows(spark, sf_dir)
+    comments = scorer.score(embedding_comments(rows), "vec", "_p").withColumn("comment_top3", top_k("_p", 3))
+    m = comments.join(embedding_chunks(rows).select("video_id").distinct(), "video_id", "left_semi")
     top = F.element_at("comment_top3", 1)
     return m.select(
         "video_id", "comment_id",
@@ -143,7 +149,7 @@ def q_overall_opinion(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     from reverbkit.sources.tables import embedding_rows
 
-    return embedding_rows(spark, sf_dir).where(F.col("label").between(0, len(EMOTIONS) - 1))
+    return embedding_rows(spark, sf_dir).where(F.col("label").isNotNull())
 
 
 def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:

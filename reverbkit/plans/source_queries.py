@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from reverbkit.constants import TOP_COMMENTS
 from reverbkit.functions import fields as FX
 from reverbkit.operators.report import engagement_bands, engagement_counts, engagement_metrics, top_comments
-from reverbkit.sources.tables import spread, table
+from reverbkit.sources.tables import table
 
 
 def q_page_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S8 + S12 + S17: title, language and tags of every stored page."""
-    p = spread(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    p = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     tags = FX.page_tags(F.col("html"))
     return p.select(
         "page_id", "url",
@@ -28,7 +28,7 @@ def record_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Formatted label strings built from ``orders`` (the pages hold none):
     the view/date line, comment-count text, like-button label, subscriber
     text and channel name of one record per order."""
-    o = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"))
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     price = F.floor(F.col("o_totalprice")).cast("long")
     views = F.when(F.pmod("o_orderkey", F.lit(10)) == 9, F.lit("1.5")).otherwise(F.format_number(price, 0))
     date = F.when(
@@ -90,7 +90,7 @@ def q_token_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M4: word tokens per document and what truncation at 64 / 128 keeps."""
     from reverbkit.operators.train import TOKEN_PATTERN
 
-    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
     toks = d.select("doc_id", F.regexp_extract_all(F.lower(F.col("text")), F.lit(TOKEN_PATTERN), 0).alias("tokens"))
     n = F.size("tokens")
     return toks.select(
@@ -105,7 +105,7 @@ def q_train_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows for the validation and test splits (rows-only check)."""
     from reverbkit.operators.train import train_and_evaluate
 
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     lab = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("int").alias("label"))
     _, metrics = train_and_evaluate(docs.join(lab, "doc_id"), key="doc_id", text_col="text",
                                     label_col="label", names=["low", "high"])

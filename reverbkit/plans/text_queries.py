@@ -18,7 +18,6 @@ from reverbkit.sources.tables import (
     conversation_comments,
     conversation_segments,
     conversation_videos,
-    spread,
     table,
 )
 
@@ -58,14 +57,14 @@ def q_distinct_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_slang_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
     sel = F.pmod(F.col("doc_id"), F.lit(len(SLANG_VARIANTS)))
     t = F.lower(wrap(F.col("text"), sel, SLANG_VARIANTS))
     return d.select("doc_id", expand_slang(t).alias("expanded"))
 
 
 def _docs_with_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
     sel = F.pmod(F.col("doc_id"), F.lit(len(TRANSCRIPT_VARIANTS)))
     return d.select(F.col("doc_id").alias("video_id"), wrap(F.col("text"), sel, TRANSCRIPT_VARIANTS).alias("transcript"))
 

@@ -2,13 +2,15 @@
 
 ``get_spark`` is for local runs and tests only; on a cluster the caller's
 session is used as is. ``checkpoint_dir`` reads ``spark.checkpoint.dir``
-from the session and only falls back to a scratch folder when it is unset
-(local tests), so lineage cuts land in the cluster's shared storage.
+from the session; where it is unset, a scratch folder serves on a ``local``
+master only, and any other master is an error: executors on other machines
+could not read it.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -64,7 +66,7 @@ def get_spark(master: str | None = None, app: str = "reverbkit", conf: dict | No
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a scratch folder only if unset."""
+    """The cluster's shared checkpoint folder; a scratch folder on a local master."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
@@ -73,7 +75,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d and sc is not None:
         d = sc.getCheckpointDir()
     if not d:
-        # only when the session names no shared folder (local runs, tests)
+        if sc is None or not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        # one machine (local runs, tests)
         d = tempfile.mkdtemp(prefix="reverbkit-ckpt-")
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(d)

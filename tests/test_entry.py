@@ -1,5 +1,7 @@
 """Driver contract."""
 
+import re
+
 import __spark_entry__ as E
 
 
@@ -12,6 +14,6 @@ def test_entry_runs(spark):
 def test_every_query_has_an_oracle_but_training():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"train_eval"}
-    for name in q:
-        assert "pipeline" not in name
+    # the queries of the llm subpackage, where it is there, are tested in tests/llm
+    own = {name for name in q if name != "pipeline" and not re.match(r"op\d+_", name)}
+    assert own - set(o) == {"train_eval"}

@@ -28,5 +28,17 @@ def test_page_fields(spark):
     df = spark.createDataFrame([(html,), ("<html><body>none</body></html>",)], "h string")
     r = df.select(FX.page_title(F.col("h")).alias("t"), FX.page_lang(F.col("h")).alias("l"),
                   FX.page_tags(F.col("h")).alias("g")).collect()
-    assert (r[0].t, r[0].l, r[0].g) == ("T &amp; x", "en", ["alpha", "beta"])
+    assert (r[0].t, r[0].l, r[0].g) == ("T & x", "en", ["alpha", "beta"])
     assert (r[1].t, r[1].l, r[1].g) == (None, None, ["No tags found"])
+
+
+def test_rendered_title_and_tags(spark):
+    html = [
+        ("<TITLE lang='en'> A &amp; B &#39;x&#x27; &lt;i&gt; &amp;lt; &#128512; &#99999999; &quot; </TITLE>", """A & B 'x' <i> &lt; \U0001f600 &#99999999; \"""", ["No tags found"]),
+        ("<title></title><nav class='t'><ul><a href='/a' id=1> #<b>R&amp;D</b> </a><A>two</A></ul></nav>", None, ["R&D", "two"]),
+    ]
+    from reverbkit.functions.fields import page_tags, page_title
+
+    df = spark.createDataFrame([(h,) for h, _, _ in html], "html string")
+    rows = df.select(page_title(df["html"]).alias("t"), page_tags(df["html"]).alias("g")).collect()
+    assert [(r["t"], r["g"]) for r in rows] == [(t, g) for _, t, g in html]

@@ -81,3 +81,16 @@ def test_hash_split_no_shuffle(spark):
     counts = {r.split: r["count"] for r in out.groupBy("split").count().collect()}
     n = sum(counts.values())
     assert abs(counts["train"] / n - 0.70) < 0.05 and abs(counts["test"] / n - 0.15) < 0.05
+
+
+def test_null_labels(spark):
+    """The split keeps rows without a label, as a group of their own; balancing drops them."""
+    from reverbkit.operators.prep import stratified_split, undersample
+
+    rows = [(i, None if i % 5 == 4 else i % 5) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, label int")
+    split = stratified_split(df, "label", "id").groupBy("label", "split").count().collect()
+    assert {(r["label"], r["split"]): r["count"] for r in split} == {
+        (k, s): n for k in (0, 1, 2, 3, None) for s, n in (("train", 28), ("val", 6), ("test", 6))
+    }
+    assert undersample(df, "label", "id", 7).groupBy("label").count().where("count = 7").count() == 4

@@ -1,7 +1,6 @@
-"""Session helpers: cluster sizing, input spreading, lineage cuts."""
+"""Session helpers: cluster sizing, checkpoint folder, lineage cuts."""
 
 from reverbkit.session import checkpoint_dir, cluster_conf, cut_lineage
-from reverbkit.sources.tables import spread, table
 
 
 def test_cluster_conf_sizes_partitions():
@@ -11,13 +10,20 @@ def test_cluster_conf_sizes_partitions():
     assert int(cluster_conf(0)["spark.sql.shuffle.partitions"]) == 200
 
 
-def test_spread_only_when_worth_it(spark):
-    small = table(spark, "/root/testdata/sf0.001", "embeddings")
-    assert spread(small) is small  # tiny single-split scan stays one task
-    big = table(spark, "/root/testdata/sf0.1", "documents")
-    want = spark.sparkContext.defaultParallelism
-    if big.rdd.getNumPartitions() < want:
-        assert spread(big).rdd.getNumPartitions() == want
+def test_checkpoint_dir_must_be_named_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    import pytest
+
+    def session(master, folder=None):
+        sc = SimpleNamespace(master=master, getCheckpointDir=lambda: None, setCheckpointDir=lambda d: None)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, default=None: folder), sparkContext=sc)
+
+    for master in ("yarn", "spark://host:7077", "k8s://host", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            checkpoint_dir(session(master))
+        assert checkpoint_dir(session(master, "s3a://shared/ckpt")) == "s3a://shared/ckpt"
+    assert checkpoint_dir(session("local[4]"))
 
 
 def test_cut_lineage_uses_session_checkpoint_dir(spark):
