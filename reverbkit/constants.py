@@ -165,27 +165,3 @@ SLANG = {
     "shipping": "want two people to be in a relationship",
     "vibe": "atmosphere or mood",
 }
-
-# ---------------------------------------------------------------------------
-# FIXED VALUES: emoji short names that differ from the Unicode character
-# name (the rest of the emoji table is derived by rule in functions/emoji.py),
-# and the flag names used by the sample data.
-# ---------------------------------------------------------------------------
-EMOJI_NAME_OVERRIDES = {
-    "\U0001F64F": "folded_hands",
-    "\U0001F549": "om",
-    "\U0001F44D": "thumbs_up",
-    "\U0001F44E": "thumbs_down",
-    "❤": "red_heart",
-    "\U0001F602": "face_with_tears_of_joy",
-    "\U0001F60D": "smiling_face_with_heart-eyes",
-    "\U0001F44F": "clapping_hands",
-}
-EMOJI_FLAGS = {
-    "IN": "India",
-    "US": "United_States",
-    "GB": "United_Kingdom",
-    "CN": "China",
-    "NO": "Norway",
-    "SG": "Singapore",
-}

@@ -1,73 +1,77 @@
-"""Emoji -> ``:short_name:`` table, built by rule.
-
-The table is derived from the Unicode character database that ships with
-Python (``unicodedata.name``): every code point in the emoji blocks maps to
-its lower-cased character name with spaces as underscores. A handful of
-short names differ from the character name; those are the fixed overrides in
-``constants.EMOJI_NAME_OVERRIDES``. Flags (regional-indicator pairs) come from
-``constants.EMOJI_FLAGS``.
-
-The table is a plain ``dict[str, str]``; Spark sees it as one constant-folded
-map literal (see ``functions.text.emoji_map_column``), so lookups stay inside
-whole-stage codegen and nothing is shuffled.
+"""Emoji -> ``:short_name:``: the name table and the patterns that find emoji.
+
+The names (CLDR English short names, lower case) are read from the table file
+``EMOJI_NAMES``, one emoji and its name per line; another file of that form may
+be given instead. Skin tones are not listed: a cluster's tones are cut out, the
+rest is looked up, and the tones' names are appended. What the table does not
+hold is looked up part by part, and a part without a name stays as it is, so
+symbols that are no emoji are left alone.
+
+Spark sees the table as one constant-folded map literal (see
+``functions.text.emoji_map_column``).
 """
 
 from __future__ import annotations
 
 import functools
 import json
-import unicodedata
-
-from reverbkit.constants import EMOJI_FLAGS, EMOJI_NAME_OVERRIDES
-
-# Emoji blocks scanned by the rule (inclusive ranges).
-EMOJI_RANGES = [
-    (0x1F300, 0x1F5FF),  # Misc Symbols and Pictographs
-    (0x1F600, 0x1F64F),  # Emoticons
-    (0x1F680, 0x1F6FF),  # Transport and Map
-    (0x1F900, 0x1F9FF),  # Supplemental Symbols and Pictographs
-    (0x1FA70, 0x1FAFF),  # Symbols and Pictographs Extended-A
-    (0x2600, 0x27BF),    # Misc Symbols, Dingbats
-]
-
-# Regex pieces shared by the Spark (Java) and DuckDB (RE2) patterns.
-_RI = r"\x{1F1E6}-\x{1F1FF}"
-_BASE = r"\x{1F300}-\x{1FAFF}\x{2600}-\x{27BF}"
-_MOD = r"\x{FE0F}\x{1F3FB}-\x{1F3FF}"
-# A token that starts with an emoji code point.
-EMOJI_START = f"^[{_RI}{_BASE}]"
-# One emoji cluster (flag pair, or base + modifiers + ZWJ sequence) or a run
-# of other text. Both engines accept this syntax.
-EMOJI_TOKEN_PATTERN = (
-    f"[{_RI}][{_RI}]"
-    f"|[{_BASE}][{_MOD}]*(?:\\x{{200D}}[{_BASE}][{_MOD}]*)*"
-    f"|[^{_RI}{_BASE}]+"
-    f"|[{_RI}]"
-)
-
-
-def _rule_name(ch: str) -> str | None:
-    try:
-        name = unicodedata.name(ch)
-    except ValueError:
-        return None
-    return name.lower().replace(" ", "_")
-
-
-@functools.lru_cache(maxsize=1)
-def emoji_table() -> dict[str, str]:
-    """Emoji cluster (without VS16) -> ``:name:``."""
-    table: dict[str, str] = {}
-    for lo, hi in EMOJI_RANGES:
-        for cp in range(lo, hi + 1):
-            ch = chr(cp)
-            name = EMOJI_NAME_OVERRIDES.get(ch) or _rule_name(ch)
-            if name:
-                table[ch] = f":{name}:"
-    for code, name in EMOJI_FLAGS.items():
-        pair = "".join(chr(0x1F1E6 + ord(c) - ord("A")) for c in code)
-        table[pair] = f":{name}:"
-    return table
+from pathlib import Path
+
+EMOJI_NAMES = Path(__file__).resolve().parent.parent / "data" / "emoji_names.tsv"
+
+TONES = r"\x{1F3FB}-\x{1F3FF}"
+SELECTORS = r"\x{FE0E}\x{FE0F}"
+_FLAG = r"\x{1F1E6}-\x{1F1FF}"
+_TAGS = r"\x{E0020}-\x{E007F}"
+_KEYCAP = rf"[0-9#*][{SELECTORS}]?\x{{20E3}}"
+
+
+@functools.lru_cache
+def emoji_table(path: str | Path = EMOJI_NAMES) -> dict[str, str]:
+    """Emoji cluster (no variation selector, no skin tone) -> short name."""
+    lines = Path(path).read_text(encoding="utf-8").splitlines()
+    return dict(line.split("\t") for line in lines if line and not line.startswith("#"))
+
+
+def tone_names() -> dict[str, str]:
+    """The five skin tones, which are emoji of their own as well."""
+    return {e: name for e, name in emoji_table().items() if name.endswith("_skin_tone")}
+
+
+@functools.lru_cache
+def _bases() -> str:
+    """The code points that stand alone as an emoji or start one, as the inside
+    of a character class."""
+    points = sorted({ord(e[0]) for e in emoji_table() if ord(e[0]) > 0x7F and not 0x1F1E6 <= ord(e[0]) <= 0x1F1FF})
+    runs: list[list[int]] = []
+    for p in points:
+        if runs and runs[-1][1] == p - 1:
+            runs[-1][1] = p
+        else:
+            runs.append([p, p])
+    return "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in runs)
+
+
+def part_pattern() -> str:
+    """One emoji with its selectors, tones and tags, or any other character."""
+    return f"[{_bases()}][{SELECTORS}{TONES}]*[{_TAGS}]*|(?s:.)"
+
+
+def cluster_pattern() -> str:
+    """A flag, a keycap, or emoji joined to one cluster."""
+    one = f"[{_bases()}][{SELECTORS}{TONES}]*[{_TAGS}]*"
+    return f"[{_FLAG}][{_FLAG}]|{_KEYCAP}|{one}(?:\\x{{200D}}{one})*"
+
+
+def token_pattern() -> str:
+    """An emoji cluster or a run of other text; a character that could have
+    started a cluster but didn't (a digit, half a flag) is a token of its own."""
+    return f"{cluster_pattern()}|[^{_FLAG}{_bases()}0-9#*]+|(?s:.)"
+
+
+def start_pattern() -> str:
+    """Tokens that may hold an emoji: not those of plain text."""
+    return f"^(?:[{_FLAG}{_bases()}]|{_KEYCAP})"
 
 
 def emoji_table_json() -> str:

@@ -22,7 +22,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from reverbkit.constants import SLANG
-from reverbkit.functions.emoji import EMOJI_START, EMOJI_TOKEN_PATTERN, emoji_table_json
+from reverbkit.functions.emoji import SELECTORS, TONES, emoji_table_json, part_pattern, start_pattern, token_pattern, tone_names
 
 WS = r"[\s\x1c-\x1f\x85\p{Z}]"
 WORD = r"[\p{L}\p{N}_]"
@@ -67,22 +67,30 @@ def remove_urls(col: Column | str) -> Column:
     return F.regexp_replace(_c(col), f"http{not_ws}+|www\\.{not_ws}+", "")
 
 
+def _emoji_name(cluster: Column) -> Column:
+    """``:name:`` of one emoji cluster, its skin tones' names appended; null
+    where the table has none."""
+    names = F.create_map(*[F.lit(x) for pair in tone_names().items() for x in pair])
+    tones = F.array_join(F.transform(F.regexp_extract_all(cluster, F.lit(f"[{TONES}]"), 0), lambda t: F.concat(F.lit("_"), names[t])), "")
+    base = F.regexp_replace(cluster, f"[{SELECTORS}{TONES}]", "")
+    name = F.when(base == "", F.substr(tones, F.lit(2))).otherwise(F.concat(F.try_element_at(emoji_map_column(), base), tones))
+    return F.when(name != "", F.concat(F.lit(":"), name, F.lit(":")))
+
+
 def demojize(col: Column | str) -> Column:
-    """emoji clusters -> ``:name:``; unknown clusters pass through."""
-    toks = F.regexp_extract_all(_c(col), F.lit(EMOJI_TOKEN_PATTERN), 0)
-    emap = emoji_map_column()
-    # map literals are searched linearly: look up only tokens that start
-    # with an emoji code point (the other tokens are plain-text runs)
-    return F.array_join(
-        F.transform(
-            toks,
-            lambda t: F.when(
-                t.rlike(EMOJI_START),
-                F.coalesce(F.try_element_at(emap, F.regexp_replace(t, "️", "")), t),
-            ).otherwise(t),
-        ),
-        "",
-    )
+    """emoji -> ``:name:``. A cluster without a name is named part by part;
+    a part without one (a symbol that is no emoji) stays."""
+    toks = F.regexp_extract_all(_c(col), F.lit(token_pattern()), 0)
+
+    def parts(t: Column) -> Column:
+        found = F.regexp_extract_all(t, F.lit(part_pattern()), 0)
+        return F.array_join(F.transform(found, lambda p: F.coalesce(_emoji_name(p), p)), "")
+
+    # map literals are searched linearly: look up only tokens that may hold
+    # an emoji (the other tokens are plain-text runs)
+    named = F.transform(
+        toks, lambda t: F.when(t.rlike(start_pattern()), F.coalesce(_emoji_name(t), parts(t))).otherwise(t))
+    return F.array_join(named, "")
 
 
 def expand_slang(col: Column | str) -> Column:

@@ -4,7 +4,6 @@ assembled first, every comment is paired with every chunk of its video)."""
 from __future__ import annotations
 
 from reverbkit.constants import CHUNK_OVERLAP, CHUNK_WORDS, SLANG
-from reverbkit.functions.emoji import EMOJI_TOKEN_PATTERN, emoji_table
 from reverbkit.plans.oracle import r6
 from reverbkit.plans.variants import COMMENT_VARIANTS, SLANG_VARIANTS, TRANSCRIPT_VARIANTS, wrap_sql
 
@@ -27,8 +26,33 @@ def slang_map_sql() -> str:
     return _map_sql({k: v for k, v in SLANG.items() if k.replace("_", "").isalnum()})
 
 
-def emoji_map_sql() -> str:
-    return _map_sql(emoji_table())
+# Emoji of the comment variants as code points and their expected names, written
+# by hand (longer sequences first); independent of the engine's table.
+EXPECTED_EMOJI = [
+    ((0x2764, 0xFE0F, 0x200D, 0x1F525), ":heart_on_fire:"),
+    ((0x1F468, 0x200D, 0x1F469, 0x200D, 0x1F467), ":family_man_woman_girl:"),
+    ((0x1F64C, 0x1F3FF, 0x200D, 0x1F525), ":raising_hands_dark_skin_tone::fire:"),
+    ((0x1F44D, 0x1F3FD), ":thumbs_up_medium_skin_tone:"),
+    ((0x1F1EE, 0x1F1F3), ":india:"),
+    ((0x1F1EF, 0x1F1F5), ":japan:"),
+    ((0x31, 0xFE0F, 0x20E3), ":keycap_1:"),
+    ((0x2764, 0xFE0F), ":red_heart:"),
+    ((0x2B50,), ":star:"),
+    ((0x23F0,), ":alarm_clock:"),
+    ((0x1F7E2,), ":green_circle:"),
+    ((0x1F601,), ":beaming_face_with_smiling_eyes:"),
+    ((0x1F4AF,), ":hundred_points:"),
+    ((0x1F3C6,), ":trophy:"),
+    ((0x1F389,), ":party_popper:"),
+    ((0x1F525,), ":fire:"),
+    ((0x1F602,), ":face_with_tears_of_joy:"),
+]
+
+
+def emoji_sql(x: str) -> str:
+    for points, name in EXPECTED_EMOJI:
+        x = f"replace({x}, {' || '.join(f'chr({p})' for p in points)}, {_q(name)})"
+    return x
 
 
 def slang_sql(x: str) -> str:
@@ -51,14 +75,13 @@ def words_sql(x: str) -> str:
 
 def comments_cte() -> str:
     """CTEs ending in ``ccomments(video_id, comment_pos, comment)``."""
-    raw = wrap_sql("text", "(conv_id + turn) % 7", COMMENT_VARIANTS)
+    raw = wrap_sql("text", f"(conv_id + turn) % {len(COMMENT_VARIANTS)}", COMMENT_VARIANTS)
     return f"""
 cc0 AS (SELECT conv_id AS video_id, turn AS comment_pos, {raw} AS raw FROM conversations WHERE role = 'user'),
 cc1 AS (SELECT *, trim(regexp_replace(regexp_replace(raw, '\\r\\n|\\n', ' ', 'g'), '{WS}+', ' ', 'g')) AS x FROM cc0),
 cc2 AS (SELECT *, starts_with(x, '@') AS is_reply,
                regexp_replace(x, 'http{NOT_WS}+|www\\.{NOT_WS}+', '', 'g') AS y FROM cc1),
-cc3 AS (SELECT *, lower(array_to_string(list_transform(regexp_extract_all(y, '{EMOJI_TOKEN_PATTERN}'),
-               lambda t: coalesce(({emoji_map_sql()})[replace(t, chr(65039), '')], t)), '')) AS y2 FROM cc2),
+cc3 AS (SELECT *, lower({emoji_sql('y')}) AS y2 FROM cc2),
 cc5 AS (SELECT *, {slang_sql('y2')} AS y4 FROM cc3),
 cc6 AS (SELECT *, trim(regexp_replace(regexp_replace(y4, '[^a-zA-Z0-9\\s\\x{{0b}}\\x{{1c}}-\\x{{1f}}\\x{{85}}\\pZ:]', '', 'g'),
                '{WS}+', ' ', 'g')) AS y5 FROM cc5),

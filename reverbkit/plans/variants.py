@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 NBSP = " "
 
-# comments: chosen by (conv_id + turn) % 7
+# comments: chosen by (conv_id + turn) % their number
 COMMENT_VARIANTS = [
     ("", ""),
     ("@", ""),
@@ -22,6 +22,9 @@ COMMENT_VARIANTS = [
     ("\U0001F525 ", " \U0001F389\U0001F1EE\U0001F1F3 ikr \U0001F602"),
     ("ain't no cap\r\n", "\ttho "),
     ("   ", " ... 0:10 !! l.o.l"),
+    ("\U0001F44D\U0001F3FD ", " \U0001F1EF\U0001F1F5\u2B50 1\uFE0F\u20E3 11 \u2713"),
+    ("\u2764\uFE0F\u200D\U0001F525", " \u2764\uFE0F \U0001F601\U0001F4AF \U0001F468\u200D\U0001F469\u200D\U0001F467"),
+    ("", " \U0001F3C6\U0001F3C6\U0001F389\u23F0\U0001F7E2 \U0001F64C\U0001F3FF\u200D\U0001F525"),
 ]
 
 # transcripts: chosen by doc_id % 5

@@ -102,3 +102,31 @@ def test_assembly_order(spark):
     segs = spark.createDataFrame([(1, 2, "c"), (1, 0, "a"), (1, 1, "b")], "video_id long, seg_idx long, segment string")
     r = CH.assemble_transcript(segs).first()
     assert r.transcript == "a\nb\nc\n" and r.n_segments == 3
+
+
+def test_emoji_names(spark):
+    """Short names written by hand; what is no emoji stays."""
+    cases = {
+        "\U0001F44D\U0001F3FD ok": ":thumbs_up_medium_skin_tone: ok",
+        "\U0001F1EF\U0001F1F5 hi \U0001F1EE\U0001F1F3\U0001F1FA\U0001F1F8": ":japan: hi :india::united_states:",
+        "\u2B50\u23F0\U0001F7E2": ":star::alarm_clock::green_circle:",
+        "\u2764\uFE0F\u200D\U0001F525 \u2764\uFE0F \u2764": ":heart_on_fire: :red_heart: :red_heart:",
+        "\U0001F468\u200D\U0001F469\u200D\U0001F467": ":family_man_woman_girl:",
+        "\U0001F469\U0001F3FB\u200D\U0001F4BB": ":woman_technologist_light_skin_tone:",
+        "1\uFE0F\u20E3 n 12 #1 *": ":keycap_1: n 12 #1 *",
+        "\U0001F601 \U0001F4AF \U0001F64C": ":beaming_face_with_smiling_eyes: :hundred_points: :raising_hands:",
+        "\U0001F3F4\U000E0067\U000E0062\U000E0065\U000E006E\U000E0067\U000E007F": ":england:",
+        "\U0001F3FD alone": ":medium_skin_tone: alone",
+        "\U0001F525\u200D\U0001F3C6": ":fire:\u200d:trophy:",
+        "\u2713 \u2605 \u2192 \U0001F1EF x\ny": "\u2713 \u2605 \u2192 \U0001F1EF x\ny",
+        "": "",
+    }
+    df = spark.createDataFrame([(k,) for k in cases] + [(None,)], "t string")
+    got = {r.t: r.d for r in df.select("t", demojize("t").alias("d")).collect()}
+    assert got == cases | {None: None}
+
+
+def test_sample_emoji_comments(spark):
+    """The names as they stand in the published sample output."""
+    df = spark.createDataFrame([("India now champion \U0001F3C6\U0001F3C6 \U0001F1EE\U0001F1F3 man \U0001F389",)], "t string")
+    assert df.select(clean_comment("t")).first()[0] == "india now champion :trophy::trophy: :india: man :partypopper:"
