@@ -8,7 +8,7 @@ averages are computed from that K x K table, so they cost nothing at scale.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reverbkit.constants import EMOTIONS
@@ -99,12 +99,16 @@ def class_report(confusion: DataFrame, names: list[str] | None = None) -> DataFr
     return staged.select(F.explode(rows).alias("r")).select("r.*")
 
 
+def cross_entropy(label: str = "label", probs: str = "probs", eps: float = 1e-15) -> Column:
+    """``-ln p[label]`` of a row, the probability clipped to eps."""
+    p = F.element_at(F.col(probs), (F.col(label) + 1).cast("int"))
+    return -F.log(F.least(F.greatest(p, F.lit(eps)), F.lit(1.0 - eps)))
+
+
 def log_loss(scored: DataFrame, label: str = "label", probs: str = "probs", eps: float = 1e-15) -> DataFrame:
-    """Mean cross-entropy ``-ln p[label]`` (probabilities clipped to eps).
+    """Mean cross-entropy.
 
     The reference averages per-batch means (over-weighting a short last
     batch); this is the true mean over rows.
     """
-    p = F.element_at(F.col(probs), (F.col(label) + 1).cast("int"))
-    p = F.least(F.greatest(p, F.lit(eps)), F.lit(1.0 - eps))
-    return scored.agg(F.count(F.lit(1)).alias("n"), F.avg(-F.log(p)).alias("log_loss"))
+    return scored.agg(F.count(F.lit(1)).alias("n"), F.avg(cross_entropy(label, probs, eps)).alias("log_loss"))

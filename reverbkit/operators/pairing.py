@@ -85,6 +85,28 @@ def _salted(comments: DataFrame, blocks: DataFrame, key: str, comment_key: str,
 SQL_RANK = "(floor(({sim}) * 1e12 + 0.5) / 1e12)"
 
 
+def _best_match(joined: DataFrame, key: str, comment_key: str, sims: str, comment_payload: list[str],
+                chunk_payload: list[str]) -> DataFrame:
+    """The best chunk per comment from comment x block rows. ``sims`` gives the
+    similarities to the block's chunks and is projected once."""
+    fields = [f"'rk', {SQL_RANK.format(sim='s_')}", "'neg', -cs[i_].chunk_index",
+              "'chunk_index', cs[i_].chunk_index", "'sim', s_"] + [f"'{p}', cs[i_].{p}" for p in chunk_payload]
+    best_expr = f"array_max(transform(_sims, (s_, i_) -> named_struct({', '.join(fields)})))"
+    best_in_block = joined.select(key, "_salt", comment_key, *comment_payload, "cs", F.expr(sims).alias("_sims")).select(
+        key, "_salt", comment_key, *comment_payload, F.expr(best_expr).alias("best"))
+    # the salt follows from the comment: grouping by it too keeps the join's partitioning
+    best = best_in_block.groupBy(key, "_salt", comment_key).agg(
+        F.max("best").alias("best"), *[F.any_value(p).alias(p) for p in comment_payload])
+    return best.select(
+        key,
+        comment_key,
+        *comment_payload,
+        F.col("best.chunk_index").alias("chunk_index"),
+        F.col("best.sim").alias("similarity"),
+        *[F.col("best." + p).alias(p) for p in chunk_payload],
+    )
+
+
 def nearest_chunk(comments: DataFrame, chunks: DataFrame, key: str = "video_id",
                   comment_key: str = "comment_id", vec_col: str = "vec",
                   block_size: int = DEFAULT_BLOCK, rows_per_salt: int = DEFAULT_ROWS_PER_SALT,
@@ -108,22 +130,7 @@ def nearest_chunk(comments: DataFrame, chunks: DataFrame, key: str = "video_id",
     # similarities of the comment to every chunk of the block, computed once
     sim = f"CASE WHEN (_n * c_.norm) > 0 THEN {sql_dot('_v', 'c_.vec')} / (_n * c_.norm) ELSE 0D END"
     sims = f"transform(cs, c_ -> {sim})"
-    fields = [f"'rk', {SQL_RANK.format(sim='s_')}", "'neg', -cs[i_].chunk_index",
-              "'chunk_index', cs[i_].chunk_index", "'sim', s_"] + [f"'{p}', cs[i_].{p}" for p in chunk_payload]
-    best_expr = f"array_max(transform(_sims, (s_, i_) -> named_struct({', '.join(fields)})))"
-    best_in_block = joined.select(key, "_salt", comment_key, *comment_payload, "cs", F.expr(sims).alias("_sims")).select(
-        key, "_salt", comment_key, *comment_payload, F.expr(best_expr).alias("best"))
-    # the salt follows from the comment: grouping by it too keeps the join's partitioning
-    best = best_in_block.groupBy(key, "_salt", comment_key).agg(
-        F.max("best").alias("best"), *[F.any_value(p).alias(p) for p in comment_payload])
-    return best.select(
-        key,
-        comment_key,
-        *comment_payload,
-        F.col("best.chunk_index").alias("chunk_index"),
-        F.col("best.sim").alias("similarity"),
-        *[F.col("best." + p).alias(p) for p in chunk_payload],
-    )
+    return _best_match(joined, key, comment_key, sims, comment_payload, chunk_payload)
 
 
 def pair_counts(comments: DataFrame, chunks: DataFrame, key: str = "video_id") -> DataFrame:
@@ -154,75 +161,70 @@ def term_counts(df: DataFrame, id_cols: list[str], text_col: str) -> DataFrame:
 def tfidf_nearest_chunk(comments: DataFrame, chunks: DataFrame, key: str = "video_id",
                         comment_key: str = "comment_pos", comment_text: str = "comment",
                         chunk_text: str = "chunk", block_size: int = DEFAULT_BLOCK,
-                        rows_per_salt: int = DEFAULT_ROWS_PER_SALT) -> DataFrame:
+                        rows_per_salt: int = DEFAULT_ROWS_PER_SALT,
+                        comment_payload: list[str] | None = None,
+                        chunk_payload: list[str] | None = None) -> DataFrame:
     """Nearest chunk by TF-IDF cosine within each video.
 
     ``idf(term) = ln((1 + n_chunks) / (1 + df))`` over the chunks of the
     video; weights are ``tf * idf``; comment vectors keep only terms that
     occur in the video's chunks. Ties (including all-zero rows) go to the
-    lowest ``chunk_index``.
+    lowest ``chunk_index``. Terms of every chunk have weight 0 and are left
+    out, which also removes the most frequent keys. Payload columns are
+    carried through the search as in ``nearest_chunk``.
 
-    ``chunks`` and ``comments`` feed several branches (term statistics,
-    candidate blocks, zero-term chunks); pass them checkpointed (see
-    ``session.cut_lineage``) when they are expensive to recompute.
+    The chunks' term counts and the idf table are written once in the shared
+    checkpoint folder (``session.cut_lineage``). ``comments`` and ``chunks``
+    are read several times; pass them checkpointed when they are expensive.
     """
-    ktf = term_counts(chunks, [key, "chunk_index"], chunk_text)
+    from reverbkit.session import cut_lineage
+
+    comment_payload = comment_payload or []
+    chunk_payload = chunk_payload or []
+    ktf = cut_lineage(term_counts(chunks, [key, "chunk_index"], chunk_text), "terms")
     nchunks = chunks.groupBy(key).agg(F.count(F.lit(1)).alias("_nk"))
-    idf = (
+    idf = cut_lineage(
         ktf.groupBy(key, "term").agg(F.count(F.lit(1)).alias("_df"))
         .join(nchunks, key)
-        .select(key, "term", F.log((1 + F.col("_nk")) / (1 + F.col("_df"))).alias("idf"))
+        .where(F.col("_df") < F.col("_nk"))
+        .select(key, "term", F.log((1 + F.col("_nk")) / (1 + F.col("_df"))).alias("idf")),
+        "idf",
     )
+    weight = (F.col("tf") * F.col("idf")).alias("w")
     kvec = (
         ktf.join(idf, [key, "term"])
-        .withColumn("w", F.col("tf") * F.col("idf"))
+        .select(key, "chunk_index", "term", weight)
         .groupBy(key, "chunk_index")
         .agg(
             F.map_from_entries(F.collect_list(F.struct("term", "w"))).alias("terms"),
             F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"),
         )
     )
-    ctf = term_counts(comments, [key, comment_key], comment_text)
     cvec = (
-        ctf.join(idf, [key, "term"])
-        .withColumn("w", F.col("tf") * F.col("idf"))
+        term_counts(comments, [key, comment_key], comment_text)
+        .join(idf, [key, "term"])
+        .select(key, comment_key, "term", weight)
         .groupBy(key, comment_key)
         .agg(
             F.collect_list(F.struct("term", "w")).alias("_terms"),
             F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_n"),
         )
     )
-    # comments sharing no term with any chunk still get a (zero) match
-    call = comments.select(key, comment_key).join(cvec, [key, comment_key], "left")
+    # texts sharing no term with the others still take part, with similarity 0
+    call = comments.select(key, comment_key, *comment_payload).join(cvec, [key, comment_key], "left")
+    elem = F.struct(F.col("chunk_index").cast("int").alias("chunk_index"),
+                    F.coalesce("terms", F.create_map().cast("map<string,double>")).alias("terms"),
+                    F.coalesce("norm", F.lit(0.0)).alias("norm"), *[F.col(p) for p in chunk_payload])
     blocks = (
-        kvec.select(key, F.floor((F.col("chunk_index") - 1) / block_size).alias("block"),
-                    F.struct(F.col("chunk_index").cast("int").alias("chunk_index"), "terms", "norm").alias("c"))
-        .groupBy(key, "block")
-        .agg(F.collect_list("c").alias("cs"))
-    )
-    # chunks without any term still exist as candidates
-    empty_chunks = chunks.select(key, "chunk_index").join(kvec.select(key, "chunk_index"), [key, "chunk_index"], "left_anti")
-    empty_blocks = (
-        empty_chunks.select(key, F.floor((F.col("chunk_index") - 1) / block_size).alias("block"),
-                            F.struct(F.col("chunk_index").cast("int").alias("chunk_index"),
-                                     F.create_map().cast("map<string,double>").alias("terms"),
-                                     F.lit(0.0).alias("norm")).alias("c"))
+        chunks.select(key, "chunk_index", *chunk_payload).join(kvec, [key, "chunk_index"], "left")
+        .select(key, F.floor((F.col("chunk_index") - 1) / block_size).alias("block"), elem.alias("c"))
         .groupBy(key, "block")
         .agg(F.collect_list("c").alias("cs"))
     )
-    joined = _salted(call, blocks.unionByName(empty_blocks), key, comment_key, rows_per_salt)
+    joined = _salted(call, blocks, key, comment_key, rows_per_salt)
 
     d = ("aggregate(coalesce(_terms, CAST(array() AS array<struct<term:string,w:double>>)), 0D, "
          "(acc_, e_) -> acc_ + e_.w * coalesce(try_element_at(c_.terms, e_.term), 0D))")
     den = "(coalesce(_n, 0D) * c_.norm)"
-    sim = f"CASE WHEN {den} > 0 THEN {d} / {den} ELSE 0D END"
-    best_expr = (f"array_max(transform(cs, c_ -> named_struct('rk', {SQL_RANK.format(sim=sim)}, "
-                 f"'neg', -c_.chunk_index, 'chunk_index', c_.chunk_index, 'sim', {sim})))")
-
-    best = (
-        joined.select(key, comment_key, F.expr(best_expr).alias("best"))
-        .groupBy(key, comment_key)
-        .agg(F.max("best").alias("best"))
-    )
-    return best.select(key, comment_key, F.col("best.chunk_index").alias("chunk_index"),
-                       F.col("best.sim").alias("similarity"))
+    sims = f"transform(cs, c_ -> CASE WHEN {den} > 0 THEN {d} / {den} ELSE 0D END)"
+    return _best_match(joined, key, comment_key, sims, comment_payload, chunk_payload)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reverbkit.functions.vectors import argmax, top_k
-from reverbkit.operators.metrics import confusion_counts, log_loss, weighted_metrics
+from reverbkit.operators.metrics import cross_entropy, weighted_metrics
 from reverbkit.operators.prep import stratified_split
 
 TOKEN_PATTERN = r"[\p{L}\p{N}]+"
@@ -88,23 +88,30 @@ def train_and_evaluate(labelled: DataFrame, key: str = "doc_id", text_col: str =
                        names: list[str] | None = None) -> tuple[PipelineModel, DataFrame]:
     """M6 + M7: stratified 70/15/15 split, fit on train, evaluate val and test.
 
-    Returns the fitted model and one metrics row per evaluated split
-    (n, accuracy, weighted precision/recall/F1, log loss)."""
+    Returns the fitted model and one metrics row per evaluated split (n,
+    accuracy, weighted precision/recall/F1, log loss, share of the most
+    frequent class). The model is applied once to both splits; one partial
+    aggregate per (split, label, prediction) feeds all metrics."""
     from reverbkit.session import cut_lineage
 
-    # the split feeds training (many passes) and two evaluations: materialise
+    # the split feeds training (many passes) and the evaluation: materialise
     # it once in the shared checkpoint folder
     split = cut_lineage(stratified_split(labelled, label_col, key))
     train = split.where(F.col("split") == "train")
     if class_weighted:
         train = with_class_weights(train, label_col, "weight")
     model = build_pipeline(text_col, label_col, weight_col="weight" if class_weighted else None).fit(train)
-    scorer = ModelScorer(model)
+    held_out = split.where((F.col("split") != "train") & F.col(label_col).isNotNull())
+    scored = ModelScorer(model).score(held_out, names)
+    # (split, label, pred) cells: at most 2 x K x K rows
+    cells = cut_lineage(
+        scored.groupBy("split", F.col(label_col).alias("label"), "pred").agg(
+            F.count(F.lit(1)).alias("n"), F.sum(cross_entropy(label_col, "probs")).alias("loss")), "cells")
     rows = []
     for name in ("val", "test"):
-        part = scorer.score(split.where(F.col("split") == name), names)
-        m = weighted_metrics(confusion_counts(part, label_col, "pred"))
-        ll = log_loss(part, label_col, "probs").select("log_loss").scalar()
-        rows.append(m.select(F.lit(name).alias("split"), "*", ll.alias("log_loss")))
-    out = rows[0].unionByName(rows[1])
-    return model, out
+        part = cells.where(F.col("split") == name)
+        m = weighted_metrics(part)
+        ll = part.agg(F.sum("loss") / F.sum("n")).scalar()
+        top = part.groupBy("label").agg(F.sum("n").alias("n")).agg(F.max("n") / F.sum("n")).scalar()
+        rows.append(m.select(F.lit(name).alias("split"), "*", ll.alias("log_loss"), top.alias("majority")))
+    return model, rows[0].unionByName(rows[1])

@@ -2,10 +2,11 @@
 
 ``run_analysis(videos, scorer)`` takes video records (see
 ``sources.io.VIDEO_SCHEMA``; one row per video, keyed by ``video_id``) and
-returns a dict of lazy DataFrames - one per output of the reference's
-stage chain (chunks, relevant chunks, emotion predictions, relation scores,
-report tables, rejected videos). Nothing runs until an output is written;
-no intermediate files are produced, and every text is scored once.
+returns a dict of DataFrames - one per output of the reference's stage chain
+(chunks, relevant chunks, emotion predictions, relation scores, report tables,
+rejected videos). Every text is scored once and the search runs once: its
+result is written to the shared checkpoint folder, and the outputs are
+projections and aggregates of that table.
 
 A *scorer* is any object with ``score_text(df, text_col) -> df`` adding
 ``probs`` (array<double> over the six emotions) and ``top3``; see
@@ -129,86 +130,98 @@ def _flatten_predictions(rel: DataFrame) -> DataFrame:
     )
 
 
+def relate(comments: DataFrame, chunks: DataFrame, scorer,
+           vectoriser: Callable[[DataFrame, str], DataFrame] | None = None,
+           lam: float = CES_LAMBDA, beta: float = WRS_BETA) -> tuple[DataFrame, DataFrame]:
+    """E3-E5 over cleaned comments (``video_id``, ``comment_pos``, ``comment``)
+    and chunks (``video_id``, ``chunk_index``, ``chunk``) of many videos.
+
+    Returns the scored chunks and one row per distinct comment: its nearest
+    chunk with the chunk's text and emotions, both top-3 lists, ``ces``,
+    ``wrs``, ``ecf`` and ``final_emotion``. Both are written once as parquet
+    under the session's ``spark.checkpoint.dir``. The chunk's columns travel
+    through the search, so nothing is joined by chunk afterwards."""
+    from reverbkit.session import cut_lineage
+
+    # Distinct comment texts per video, first position kept
+    distinct = comments.groupBy("video_id", "comment").agg(F.min("comment_pos").alias("comment_pos"))
+    # Each distinct comment and chunk scored once
+    scored_comments = cut_lineage(scorer.score_text(distinct, "comment").select(
+        "video_id", "comment_pos", "comment", F.col("top3").alias("comment_top3")), "comments")
+    scored_chunks = cut_lineage(scorer.score_text(chunks, "chunk").select(
+        "video_id", "chunk_index", "chunk", F.col("top3").alias("chunk_top3")), "chunks")
+
+    # J2 + J4: nearest chunk per distinct comment, with both sides' columns
+    carried = {"comment_payload": ["comment", "comment_top3"], "chunk_payload": ["chunk", "chunk_top3"]}
+    if vectoriser is None:
+        rel = tfidf_nearest_chunk(scored_comments, scored_chunks, "video_id", "comment_pos", "comment", "chunk", **carried)
+    else:
+        rel = nearest_chunk(vectoriser(scored_comments, "comment"), vectoriser(scored_chunks, "chunk"),
+                            "video_id", "comment_pos", **carried)
+
+    # C1-C4
+    rel = rel.withColumn("ces", R.ces_array("comment_top3", "chunk_top3", lam))
+    rel = rel.withColumn("wrs", R.wrs(F.col("comment_top3"), F.col("chunk_top3"), F.col("ces"), beta))
+    rel = rel.withColumn("ecf", R.ecf(F.col("wrs"), F.col("comment_top3"), F.col("chunk_top3")))
+    rel = rel.withColumn("final_emotion", R.final_emotion("comment_top3", "ces"))
+    return scored_chunks, cut_lineage(rel, "relations")
+
+
+def sentiment_rows(rel: DataFrame) -> DataFrame:
+    """P4 / P8 for the rows of ``relate``."""
+    top = F.element_at("comment_top3", 1)
+    return rel.select(
+        "video_id", "comment_pos", "comment",
+        top["emotion"].alias("top_emotion"), top["conf"].alias("top_conf"),
+        R.sentiment(top["emotion"], top["conf"]).alias("sentiment"),
+    )
+
+
 def run_analysis(videos: DataFrame, scorer, vectoriser: Callable[[DataFrame, str], DataFrame] | None = None,
                  chunk_size: int = CHUNK_WORDS, chunk_overlap: int = CHUNK_OVERLAP,
-                 lam: float = CES_LAMBDA, beta: float = WRS_BETA,
-                 materialise: bool = True) -> dict[str, DataFrame]:
+                 lam: float = CES_LAMBDA, beta: float = WRS_BETA) -> dict[str, DataFrame]:
     """The whole stage chain (E2 cleaning/chunking with ``chunk_size`` /
     ``chunk_overlap``, E3 pairing, E4 scoring, E5 relations with ``lam`` /
     ``beta``, E6 report tables) for every video at once.
 
-    With ``materialise`` the cleaned comments and the chunks - inputs of
-    every output - are written once as parquet under the session's
-    ``spark.checkpoint.dir`` (two jobs at call time); everything else stays
-    lazy, so each output write re-reads those tables instead of re-running
-    cleaning and chunking."""
-    require_columns(videos, ["video_id", "transcript", "comments"])
+    The cleaned comments and what ``relate`` returns are written once under
+    the session's ``spark.checkpoint.dir`` at call time; every output reads
+    those tables. Records that could not be parsed (``_corrupt_record``) are
+    rejected as ``corrupt_record``."""
     from reverbkit.functions.text import clean_transcript, words
+    from reverbkit.session import cut_lineage
 
-    n_words = videos.select("video_id", F.size(words(clean_transcript(F.col("transcript")))).alias("n_words"))
-    comments = video_comments(videos)
-    chunks = chunk_text(videos, "video_id", "transcript", chunk_size, chunk_overlap)
-    if materialise:
-        from reverbkit.session import cut_lineage
-
-        comments = cut_lineage(comments, "comments")
-        chunks = cut_lineage(chunks, "chunks")
-    # Distinct comment texts per video, first position kept
-    distinct = comments.groupBy("video_id", "comment").agg(F.min("comment_pos").alias("comment_pos"))
+    require_columns(videos, ["video_id", "transcript", "comments", "views", "likes", "comment_count", "subscriber_count"])
+    n_words = videos.select("video_id", F.size(words(clean_transcript(F.col("transcript")))).alias("n_words"),
+                            (F.col("_corrupt_record").isNotNull() if "_corrupt_record" in videos.columns
+                             else F.lit(False)).alias("_corrupt"))
+    comments = cut_lineage(video_comments(videos), "comments")
+    scored_chunks, rel = relate(comments, chunk_text(videos, "video_id", "transcript", chunk_size, chunk_overlap),
+                                scorer, vectoriser, lam, beta)
 
     # First failed check per video
     n_c = comments.groupBy("video_id").agg(F.count(F.lit(1)).alias("n_comments"))
-    n_k = chunks.groupBy("video_id").agg(F.count(F.lit(1)).alias("n_chunks"))
+    n_k = scored_chunks.groupBy("video_id").agg(F.count(F.lit(1)).alias("n_chunks"))
     checks = n_words.join(n_c, "video_id", "left").join(n_k, "video_id", "left")
     rejected = checks.select(
         "video_id",
-        F.when(F.col("n_words") == 0, F.lit("no_transcript"))
+        F.when(F.col("_corrupt"), F.lit("corrupt_record"))
+        .when(F.col("n_words") == 0, F.lit("no_transcript"))
         .when(F.coalesce("n_comments", F.lit(0)) == 0, F.lit("no_comments"))
         .when(F.coalesce("n_chunks", F.lit(0)) == 0, F.lit("no_chunks")).alias("reason"),
     ).where(F.col("reason").isNotNull())
 
-    # Nearest chunk per distinct comment
-    if vectoriser is None:
-        match = tfidf_nearest_chunk(distinct, chunks, "video_id", "comment_pos", "comment", "chunk")
-    else:
-        cv = vectoriser(distinct, "comment")
-        kv = vectoriser(chunks, "chunk")
-        match = nearest_chunk(cv, kv, "video_id", "comment_pos")
-
-    # Each distinct chunk and comment scored once
-    scored_chunks = scorer.score_text(chunks, "chunk").select(
-        "video_id", "chunk_index", "chunk", F.col("top3").alias("chunk_top3"))
-    scored_comments = scorer.score_text(distinct, "comment").select(
-        "video_id", "comment_pos", "comment", F.col("top3").alias("comment_top3"))
-    pairs = (
-        match.select("video_id", "comment_pos", "chunk_index")
-        .join(scored_comments, ["video_id", "comment_pos"])
-        .join(scored_chunks, ["video_id", "chunk_index"])
-    )
-
-    # C1-C4
-    rel = pairs.withColumn("ces", R.ces_array("comment_top3", "chunk_top3", lam))
-    rel = rel.withColumn("wrs", R.wrs(F.col("comment_top3"), F.col("chunk_top3"), F.col("ces"), beta))
-    rel = rel.withColumn("ecf", R.ecf(F.col("wrs"), F.col("comment_top3"), F.col("chunk_top3")))
-    rel = rel.withColumn("final_emotion", R.final_emotion("comment_top3", "ces"))
     relation_scores = rel.select(
         "video_id", "comment_pos", "final_emotion", F.col("wrs").alias("WRS"), F.col("ecf").alias("ECF"),
         *[R.ces_for(e, "comment_top3", "ces").alias(e) for e in EMOTIONS],
     )
-
-    # P4, P8, P13, A1, A2, A4
-    top = F.element_at("comment_top3", 1)
-    sent = rel.select(
-        "video_id", "comment_pos", "comment",
-        top["emotion"].alias("top_emotion"), top["conf"].alias("top_conf"),
-        R.sentiment(top["emotion"], top["conf"]).alias("sentiment"),
-    )
-    predictions = _flatten_predictions(rel)
+    # P13, A1, A2, A4
+    sent = sentiment_rows(rel)
     metrics = engagement_metrics(videos.select("video_id", "views", "likes", "comment_count", "subscriber_count"))
     return {
         "chunks": scored_chunks,
-        "relevant_chunks": match,
-        "emotion_predictions": predictions,
+        "relevant_chunks": rel.select("video_id", "comment_pos", "chunk_index", "similarity"),
+        "emotion_predictions": _flatten_predictions(rel),
         "relation_scores": relation_scores,
         "comment_report": comment_report(sent, ["video_id", "comment_pos", "comment"]),
         "sentiment_distribution": distribution(sent, "video_id", "sentiment"),
@@ -250,7 +263,7 @@ def write_reference_csv(outputs: dict[str, DataFrame], root: str) -> None:
     """Compatibility sink: ``<root>/<file>/video_id=<id>/part-*.csv`` with
     headers, one folder per video."""
     for name, df in reference_layout(outputs).items():
-        (df.write.mode("overwrite").partitionBy("video_id").option("header", True)
+        (df.repartition("video_id").sortWithinPartitions("video_id").write.mode("overwrite").partitionBy("video_id").option("header", True)
          .option("quote", '"').option("escape", '"').csv(f"{root.rstrip('/')}/{name}"))
 
 

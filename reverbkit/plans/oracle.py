@@ -54,6 +54,38 @@ def M(t_idx: str, c_idx: str) -> str:
     return f"({MATRIX}[({t_idx}) + 1][({c_idx}) + 1])"
 
 
+def relation_cte() -> str:
+    """CTEs ending in ``flow``: relations and sentiment of the rows of ``best``
+    (``ctop`` and ``ttop`` are the top-3 lists of comment and chunk)."""
+    return f"""
+rel AS (
+  SELECT *,
+    [ {', '.join(_ces_sql(i) for i in range(1, 4))} ] AS ces
+  FROM best
+),
+rel2 AS (
+  SELECT *,
+    ttop[1].conf * ctop[1].conf * {M('ttop[1].idx', 'ctop[1].idx')} + {D(WRS_BETA)} * ces[1] AS wrs,
+    ctop[list_position(ces, list_max(ces))].emotion AS final_emotion
+  FROM rel
+),
+flow AS (
+  SELECT *,
+    CASE WHEN wrs > -0.2 THEN NULL
+         WHEN wrs > -0.5 THEN 'moderate_mismatch'
+         WHEN wrs <= -0.5 AND ttop[1].conf > 0.7 AND ctop[1].conf > 0.7
+              AND ttop[1].emotion IN ('Joy', 'Love') AND ctop[1].emotion IN ('Anger', 'Sadness') THEN 'high_sarcasm'
+         WHEN wrs <= -0.5 AND ttop[1].conf > 0.7 AND ctop[1].conf > 0.7
+              AND ttop[1].emotion IN ('Sadness', 'Anger') AND ctop[1].emotion IN ('Joy', 'Love') THEN 'high_irony'
+         ELSE NULL END AS ecf,
+    CASE WHEN ctop[1].conf < 0.5 THEN 'Neutral'
+         WHEN ctop[1].emotion IN ('Anger', 'Sadness', 'Fear') THEN 'Negative'
+         ELSE 'Positive' END AS sentiment
+  FROM rel2
+)
+"""
+
+
 def emb_cte() -> str:
     """Shared CTEs: roles, centroids, probabilities, top-3, nearest chunk, relations."""
     return f"""
@@ -99,32 +131,7 @@ best AS (
     SELECT *, row_number() OVER (PARTITION BY comment_id ORDER BY floor(sim * 1e12 + 0.5) / 1e12 DESC, chunk_index) AS rn
     FROM pairs) WHERE rn = 1
 ),
-rel AS (
-  SELECT *,
-    [ {', '.join(_ces_sql(i) for i in range(1, 4))} ] AS ces
-  FROM best
-),
-rel2 AS (
-  SELECT *,
-    ttop[1].conf * ctop[1].conf * {M('ttop[1].idx', 'ctop[1].idx')} + {D(WRS_BETA)} * ces[1] AS wrs,
-    ctop[list_position(ces, list_max(ces))].emotion AS final_emotion
-  FROM rel
-),
-flow AS (
-  SELECT *,
-    CASE WHEN wrs > -0.2 THEN NULL
-         WHEN wrs > -0.5 THEN 'moderate_mismatch'
-         WHEN wrs <= -0.5 AND ttop[1].conf > 0.7 AND ctop[1].conf > 0.7
-              AND ttop[1].emotion IN ('Joy', 'Love') AND ctop[1].emotion IN ('Anger', 'Sadness') THEN 'high_sarcasm'
-         WHEN wrs <= -0.5 AND ttop[1].conf > 0.7 AND ctop[1].conf > 0.7
-              AND ttop[1].emotion IN ('Sadness', 'Anger') AND ctop[1].emotion IN ('Joy', 'Love') THEN 'high_irony'
-         ELSE NULL END AS ecf,
-    CASE WHEN ctop[1].conf < 0.5 THEN 'Neutral'
-         WHEN ctop[1].emotion IN ('Anger', 'Sadness', 'Fear') THEN 'Negative'
-         ELSE 'Positive' END AS sentiment
-  FROM rel2
-)
-"""
+{relation_cte()}"""
 
 
 def _ces_sql(i: int) -> str:
@@ -134,7 +141,7 @@ def _ces_sql(i: int) -> str:
     return " + ".join(terms)
 
 
-def _flat(top: str, prefix: str) -> str:
+def flat(top: str, prefix: str) -> str:
     cols = [f"{top}[{i}].emotion AS {prefix}_emotion{i}" for i in range(1, 4)]
     cols += [f"{r6(f'{top}[{i}].conf')} AS {prefix}_conf{i}" for i in range(1, 4)]
     return ", ".join(cols)
@@ -148,12 +155,12 @@ SELECT video_id, comment_id, chunk_index, {r6('sim')} AS similarity FROM flow
 
 ORACLE["top3_emotions"] = emb_cte() + f"""
 SELECT vec_id, video_id, CASE WHEN is_chunk THEN 'chunk' ELSE 'comment' END AS role,
-       {_flat('top3', 'top')}, pred AS pred_label
+       {flat('top3', 'top')}, pred AS pred_label
 FROM scored
 """
 
 ORACLE["comment_chunk_emotions"] = emb_cte() + f"""
-SELECT video_id, comment_id, chunk_index, {_flat('ctop', 'comment')}, {_flat('ttop', 'transcript')} FROM flow
+SELECT video_id, comment_id, chunk_index, {flat('ctop', 'comment')}, {flat('ttop', 'transcript')} FROM flow
 """
 
 ORACLE["ces_scores"] = emb_cte() + f"""

@@ -3,8 +3,8 @@ assembled first, every comment is paired with every chunk of its video)."""
 
 from __future__ import annotations
 
-from reverbkit.constants import CHUNK_OVERLAP, CHUNK_WORDS, SLANG
-from reverbkit.plans.oracle import r6
+from reverbkit.constants import CHUNK_OVERLAP, CHUNK_WORDS, EMOTIONS, SLANG
+from reverbkit.plans.oracle import EMO_LIST, flat, fsum, r6, relation_cte
 from reverbkit.plans.variants import COMMENT_VARIANTS, SLANG_VARIANTS, TRANSCRIPT_VARIANTS, wrap_sql
 
 WS = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\pZ]"
@@ -107,6 +107,41 @@ kchunks AS (
 )"""
 
 
+def tfidf_cte() -> str:
+    """CTEs ending in ``tbest``: the chunk of the highest TF-IDF cosine for
+    each distinct comment, over all pairs of a video."""
+    return comments_cte() + "," + seg_chunks_cte() + """,
+dc AS (SELECT video_id, comment, min(comment_pos) AS comment_pos FROM ccomments GROUP BY video_id, comment),
+kt AS (SELECT video_id, chunk_index, unnest(regexp_extract_all(lower(chunk), '[\\pL\\pN]+')) AS term FROM kchunks),
+ktf AS (SELECT video_id, chunk_index, term, count(*) AS tf FROM kt GROUP BY ALL),
+nkc AS (SELECT video_id, count(*) AS nk FROM kchunks GROUP BY video_id),
+idf AS (
+  SELECT f.video_id, f.term, ln((1 + n.nk) / (1 + f.df)) AS idf
+  FROM (SELECT video_id, term, count(*) AS df FROM ktf GROUP BY ALL) f JOIN nkc n USING (video_id)),
+kw AS (SELECT k.video_id, k.chunk_index, k.term, k.tf * i.idf AS w FROM ktf k JOIN idf i USING (video_id, term)),
+kn AS (SELECT video_id, chunk_index, sqrt(sum(w * w)) AS nrm FROM kw GROUP BY ALL),
+ct AS (SELECT video_id, comment_pos, unnest(regexp_extract_all(lower(comment), '[\\pL\\pN]+')) AS term FROM dc),
+ctf AS (SELECT video_id, comment_pos, term, count(*) AS tf FROM ct GROUP BY ALL),
+cw AS (SELECT c.video_id, c.comment_pos, c.term, c.tf * i.idf AS w FROM ctf c JOIN idf i USING (video_id, term)),
+cn AS (SELECT video_id, comment_pos, sqrt(sum(w * w)) AS nrm FROM cw GROUP BY ALL),
+dt AS (
+  SELECT c.video_id, c.comment_pos, k.chunk_index, sum(c.w * k.w) AS d
+  FROM cw c JOIN kw k ON c.video_id = k.video_id AND c.term = k.term GROUP BY ALL),
+pairs AS (
+  SELECT c.video_id, c.comment_pos, k.chunk_index,
+    CASE WHEN coalesce(cn.nrm, 0) * coalesce(kn.nrm, 0) > 0
+         THEN coalesce(dt.d, 0) / (cn.nrm * kn.nrm) ELSE 0.0 END AS sim
+  FROM dc c JOIN kchunks k ON c.video_id = k.video_id
+  LEFT JOIN cn ON cn.video_id = c.video_id AND cn.comment_pos = c.comment_pos
+  LEFT JOIN kn ON kn.video_id = k.video_id AND kn.chunk_index = k.chunk_index
+  LEFT JOIN dt ON dt.video_id = c.video_id AND dt.comment_pos = c.comment_pos AND dt.chunk_index = k.chunk_index),
+tbest AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY video_id, comment_pos
+                                 ORDER BY floor(sim * 1e12 + 0.5) / 1e12 DESC, chunk_index) AS rn FROM pairs)
+  WHERE rn = 1)"""
+
+
 ORACLE_TEXT: dict[str, str] = {}
 
 ORACLE_TEXT["clean_comments"] = "WITH " + comments_cte() + """
@@ -162,35 +197,45 @@ j AS (
 SELECT video_id, reason FROM j WHERE reason IS NOT NULL
 """
 
-ORACLE_TEXT["tfidf_nearest_chunk"] = "WITH " + comments_cte() + "," + seg_chunks_cte() + f""",
-dc AS (SELECT video_id, comment, min(comment_pos) AS comment_pos FROM ccomments GROUP BY video_id, comment),
-kt AS (SELECT video_id, chunk_index, unnest(regexp_extract_all(lower(chunk), '[\\pL\\pN]+')) AS term FROM kchunks),
-ktf AS (SELECT video_id, chunk_index, term, count(*) AS tf FROM kt GROUP BY ALL),
-nkc AS (SELECT video_id, count(*) AS nk FROM kchunks GROUP BY video_id),
-idf AS (
-  SELECT f.video_id, f.term, ln((1 + n.nk) / (1 + f.df)) AS idf
-  FROM (SELECT video_id, term, count(*) AS df FROM ktf GROUP BY ALL) f JOIN nkc n USING (video_id)),
-kw AS (SELECT k.video_id, k.chunk_index, k.term, k.tf * i.idf AS w FROM ktf k JOIN idf i USING (video_id, term)),
-kn AS (SELECT video_id, chunk_index, sqrt(sum(w * w)) AS nrm FROM kw GROUP BY ALL),
-ct AS (SELECT video_id, comment_pos, unnest(regexp_extract_all(lower(comment), '[\\pL\\pN]+')) AS term FROM dc),
-ctf AS (SELECT video_id, comment_pos, term, count(*) AS tf FROM ct GROUP BY ALL),
-cw AS (SELECT c.video_id, c.comment_pos, c.term, c.tf * i.idf AS w FROM ctf c JOIN idf i USING (video_id, term)),
-cn AS (SELECT video_id, comment_pos, sqrt(sum(w * w)) AS nrm FROM cw GROUP BY ALL),
-dt AS (
-  SELECT c.video_id, c.comment_pos, k.chunk_index, sum(c.w * k.w) AS d
-  FROM cw c JOIN kw k ON c.video_id = k.video_id AND c.term = k.term GROUP BY ALL),
-pairs AS (
-  SELECT c.video_id, c.comment_pos, k.chunk_index,
-    CASE WHEN coalesce(cn.nrm, 0) * coalesce(kn.nrm, 0) > 0
-         THEN coalesce(dt.d, 0) / (cn.nrm * kn.nrm) ELSE 0.0 END AS sim
-  FROM dc c JOIN kchunks k ON c.video_id = k.video_id
-  LEFT JOIN cn ON cn.video_id = c.video_id AND cn.comment_pos = c.comment_pos
-  LEFT JOIN kn ON kn.video_id = k.video_id AND kn.chunk_index = k.chunk_index
-  LEFT JOIN dt ON dt.video_id = c.video_id AND dt.comment_pos = c.comment_pos AND dt.chunk_index = k.chunk_index),
+ORACLE_TEXT["tfidf_nearest_chunk"] = "WITH " + tfidf_cte() + f"""
+SELECT video_id, comment_pos, chunk_index, {r6('sim')} AS similarity FROM tbest
+"""
+
+
+def length_top3(text: str) -> str:
+    """Top-3 emotions of the scorer by text length (``flow_queries.LengthScorer``)."""
+    ex = f"list_transform(range(1, {len(EMOTIONS) + 1}), lambda i: exp(CAST((length({text}) * i) % 7 AS DOUBLE) - \
+        list_max(list_transform(range(1, {len(EMOTIONS) + 1}), lambda j: CAST((length({text}) * j) % 7 AS DOUBLE)))))"
+    ranked = f"list_sort(list_transform({ex}, lambda x, i: {{'neg': -x / {fsum(ex)}, 'idx': i - 1}}))[1:3]"
+    return f"list_transform({ranked}, lambda s: {{'emotion': {EMO_LIST}[s.idx + 1], 'conf': -s.neg, 'idx': s.idx}})"
+
+
+_FLOW = "WITH " + tfidf_cte() + f""",
 best AS (
-  SELECT * FROM (
-    SELECT *, row_number() OVER (PARTITION BY video_id, comment_pos
-                                 ORDER BY floor(sim * 1e12 + 0.5) / 1e12 DESC, chunk_index) AS rn FROM pairs)
-  WHERE rn = 1)
-SELECT video_id, comment_pos, chunk_index, {r6('sim')} AS similarity FROM best
+  SELECT b.video_id, b.comment_pos, d.comment, k.chunk, {length_top3('d.comment')} AS ctop, {length_top3('k.chunk')} AS ttop
+  FROM tbest b JOIN dc d ON b.video_id = d.video_id AND b.comment_pos = d.comment_pos
+  JOIN kchunks k ON b.video_id = k.video_id AND b.chunk_index = k.chunk_index),
+""" + relation_cte()
+
+ORACLE_TEXT["flow_predictions"] = _FLOW + f"""
+SELECT video_id, comment_pos, comment, chunk AS transcript_chunk, {flat('ctop', 'comment')}, {flat('ttop', 'transcript')} FROM flow
+"""
+
+ORACLE_TEXT["flow_relations"] = _FLOW + f"""
+SELECT video_id, comment_pos, final_emotion, {r6('wrs')} AS wrs, ecf,
+  {', '.join(f"{r6(f'ces[list_position(list_transform(ctop, lambda c: c.emotion), {chr(39)}{e}{chr(39)})]')} AS {e.lower()}" for e in EMOTIONS)}
+FROM flow
 """
+
+ORACLE_TEXT["flow_report"] = _FLOW + """,
+vids AS (SELECT DISTINCT conv_id AS video_id FROM conversations),
+sc AS (SELECT video_id, sentiment AS v, count(*) AS n FROM flow GROUP BY ALL),
+ec AS (SELECT video_id, ctop[1].emotion AS v, count(*) AS n FROM flow GROUP BY ALL),
+sm AS (SELECT video_id, arg_min(v, {'n': -n, 'v': v}) AS v FROM sc GROUP BY video_id),
+em AS (SELECT video_id, arg_min(v, {'n': -n, 'v': v}) AS v FROM ec GROUP BY video_id),
+nc AS (SELECT video_id, count(*) AS n FROM flow GROUP BY video_id)
+SELECT vids.video_id, coalesce(nc.n, 0) AS n_comments,
+       coalesce(sm.v, 'N/A') AS overall_sentiment, coalesce(em.v, 'N/A') AS overall_emotion
+FROM vids LEFT JOIN nc USING (video_id) LEFT JOIN sm USING (video_id) LEFT JOIN em USING (video_id)
+"""
+

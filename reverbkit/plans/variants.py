@@ -2,7 +2,9 @@
 
 The generated test tables hold no replies, URLs, emoji, special spaces,
 brackets or slang contractions, so the cleaning queries wrap each input text
-in one of these fixed (prefix, suffix) pairs, chosen by ``(id) % len(...)``.
+in one of these fixed (prefix, suffix) pairs, chosen by ``(id) % len(...)``. A pair
+without a suffix replaces the text, which makes copies inside a video (user
+turns are two apart).
 Spark and the DuckDB oracle build exactly the same strings from this list.
 """
 
@@ -25,6 +27,9 @@ COMMENT_VARIANTS = [
     ("\U0001F44D\U0001F3FD ", " \U0001F1EF\U0001F1F5\u2B50 1\uFE0F\u20E3 11 \u2713"),
     ("\u2764\uFE0F\u200D\U0001F525", " \u2764\uFE0F \U0001F601\U0001F4AF \U0001F468\u200D\U0001F469\u200D\U0001F467"),
     ("", " \U0001F3C6\U0001F3C6\U0001F389\u23F0\U0001F7E2 \U0001F64C\U0001F3FF\u200D\U0001F525"),
+    ("So  true ", None),
+    ("", ""),
+    ("so true!", None),
 ]
 
 # transcripts: chosen by doc_id % 5
@@ -45,10 +50,10 @@ SLANG_VARIANTS = [
 ]
 
 
-def wrap(text: Column, selector: Column, variants: list[tuple[str, str]]) -> Column:
+def wrap(text: Column, selector: Column, variants: list[tuple[str, str | None]]) -> Column:
     out = None
     for i, (pre, suf) in enumerate(variants):
-        v = F.concat(F.lit(pre), text, F.lit(suf))
+        v = F.lit(pre) if suf is None else F.concat(F.lit(pre), text, F.lit(suf))
         out = F.when(selector == i, v) if out is None else out.when(selector == i, v)
     return out
 
@@ -71,8 +76,8 @@ def sql_lit(s: str) -> str:
     return "(" + " || ".join(parts) + ")"
 
 
-def wrap_sql(text: str, selector: str, variants: list[tuple[str, str]]) -> str:
+def wrap_sql(text: str, selector: str, variants: list[tuple[str, str | None]]) -> str:
     whens = " ".join(
-        f"WHEN {i} THEN {sql_lit(pre)} || {text} || {sql_lit(suf)}" for i, (pre, suf) in enumerate(variants)
+        f"WHEN {i} THEN {sql_lit(pre)}" + ("" if suf is None else f" || {text} || {sql_lit(suf)}") for i, (pre, suf) in enumerate(variants)
     )
     return f"(CASE ({selector}) {whens} END)"

@@ -59,6 +59,13 @@ def test_run_analysis(spark):
     assert m["u1"].likes_to_views_perc == 2.85 and m["u2"].likes_to_views_perc == 0.0
     op = {urls[r.video_id]: r for r in out["overall_opinion"].collect()}
     assert op["u3"].overall_sentiment == "N/A"
+    # only the materialising job holds the search: the outputs read its table
+    for name in ("relevant_chunks", "emotion_predictions", "relation_scores", "comment_report",
+                 "sentiment_distribution", "emotion_distribution"):
+        plan = out[name]._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "Generate" not in plan and "relations-" in plan, name
+    everything = run_analysis(videos, LengthScorer())["rejected_videos"]
+    assert sorted(r.reason for r in everything.collect()) == ["corrupt_record", "no_comments", "no_transcript"]
     chunks = out["chunks"].where(F.col("video_id") == [k for k, v in urls.items() if v == "u1"][0]).count()
     assert chunks == 3  # 122 cleaned words -> ceil(122 / 48)
 
