@@ -71,7 +71,8 @@ def main(argv: list[str] | None = None) -> None:
         from reverbkit.plans.flow import relation_scores_from_predictions
 
         if a.format == "csv":
-            preds = spark.read.option("header", True).option("inferSchema", True).option("multiLine", True) \
+            # all columns are text; the confidences are cast where they are used
+            preds = spark.read.option("header", True).option("multiLine", True) \
                 .option("escape", '"').csv(a.input)
         else:
             preds = spark.read.parquet(a.input)

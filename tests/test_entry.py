@@ -11,9 +11,9 @@ def test_entry_runs(spark):
     assert {"video_id", "comment_id", "final_emotion", "wrs", "ecf"} <= set(df.columns)
 
 
-def test_every_query_has_an_oracle_but_training():
+def test_every_query_has_an_oracle():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     # the queries of the llm subpackage, where it is there, are tested in tests/llm
     own = {name for name in q if name != "pipeline" and not re.match(r"op\d+_", name)}
-    assert own - set(o) == {"train_eval"}
+    assert own - set(o) == set()
