@@ -16,6 +16,9 @@ hashes lowest), near copies among them counted once (one five-word minhash):
   most;
 * pattern weights: smoothed log odds of the label, given the strongest pattern.
 
+Cover and weights count each sampled row as many times as its label has labelled
+rows for each sampled one, so a label that ``SAMPLE`` cuts keeps its true share.
+
 Defined results: null and empty texts match nothing and get the score of
 documents without a match; repeated rows each get a row; without usable labels
 the built-in words and prior weights decide; an empty table gives an empty
@@ -153,9 +156,13 @@ class Grammar:
         return 1 / (1 + math.exp(-min(30.0, top + 0.1 * more)))
 
 
-def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def _known(labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic) of the usable labels, ids once."""
+    return labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
+
+
+def _labelled(docs: DataFrame, known: DataFrame) -> DataFrame:
     """(text, toxic, copy) of the sampled rows, near copies once."""
-    known = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     part = [known.where(F.col("toxic") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for v, n in SAMPLE.items()]
     # a bounded number of rows of two numbers: the texts need not move
     rows = docs.join(F.broadcast(part[0].unionByName(part[1])), "doc_id").select("text", "toxic")
@@ -201,9 +208,10 @@ def _candidates(rows: DataFrame, bad: int, good: int) -> list[str]:
     return [r["entry"] for r in found.select("entry").collect()]
 
 
-def _cover(rows: DataFrame, candidates: list[str]) -> list[str]:
+def _cover(rows: DataFrame, candidates: list[str], clean_weight: float = 1.0) -> list[str]:
     """Greedy cover of the toxic texts by candidates; a candidate is kept while
-    it explains more unexplained toxic texts than 2 and than it hits clean ones."""
+    it explains more unexplained toxic texts than 2 and than it hits clean ones.
+    A sampled clean text counts as ``clean_weight`` toxic ones."""
     probe = Grammar(candidates)
 
     def hit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,7 +226,7 @@ def _cover(rows: DataFrame, candidates: list[str]) -> list[str]:
             by_word.setdefault(w, (set(), set()))[r["toxic"]].add(k)
     left, kept = {k for _, bad in by_word.values() for k in bad}, []
     while left and len(kept) < LEXICON:
-        gain, w = max((len(bad & left) - 2 * len(good), w) for w, (good, bad) in by_word.items())
+        gain, w = max((len(bad & left) - 2 * clean_weight * len(good), w) for w, (good, bad) in by_word.items())
         if gain < 3:
             break
         kept.append(w)
@@ -230,11 +238,15 @@ def learn(docs: DataFrame, labels: DataFrame) -> Grammar:
     """Fits a grammar on labelled rows: ``docs`` (doc_id, text) and ``labels``
     (doc_id, toxic). An id labelled more than once counts as toxic if any says
     so; null labels are ignored."""
-    rows = _labelled(docs, labels)
+    known = _known(labels)
+    labelled = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # labelled rows for each sampled one
+    share = {v: max(1.0, labelled.get(v, 0) / most) for v, most in SAMPLE.items()}
+    rows = _labelled(docs, known)
     n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     insults = list(INSULTS)
     if n.get(1) and n.get(0) and (found := _candidates(rows, n[1], n[0])):
-        insults = list(dict.fromkeys([*INSULTS, *_cover(rows, found)]))
+        insults = list(dict.fromkeys([*INSULTS, *_cover(rows, found, share[0] / share[1])]))
     grammar = Grammar(insults)
 
     def strongest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,9 +254,11 @@ def learn(docs: DataFrame, labels: DataFrame) -> Grammar:
             yield pa.RecordBatch.from_arrays([pa.array([grammar.strongest(t) for t in b["text"].to_pylist()], pa.string()), b["toxic"]], ["pattern", "toxic"])
 
     counts = {(r["pattern"], r["toxic"]): r["n"] for r in rows.mapInArrow(strongest, "pattern string, toxic int").groupBy("pattern", "toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # in the labels' true ratio, but not more rows than were read: the priors keep their say
+    scale = sum(n.get(v, 0) for v in share) / (sum(n.get(v, 0) * share[v] for v in share) or 1)
     weights = {}
     for p, prior in PRIOR.items():
-        up, down = counts.get((p, 1), 0) + PRIOR_ROWS * prior, counts.get((p, 0), 0) + PRIOR_ROWS * (1 - prior)
+        up, down = (counts.get((p, v), 0) * share[v] * scale + PRIOR_ROWS * q for v, q in ((1, prior), (0, 1 - prior)))
         weights[p] = math.log(up / down)
     return Grammar(insults, weights)
 

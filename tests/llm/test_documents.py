@@ -136,6 +136,26 @@ def test_toxicity_learns_words_and_stems(spark):
     assert got == {i: bool(t) for i, _, t in rows if i >= 400}
 
 
+def test_toxicity_weights_do_not_depend_on_the_sample(spark, monkeypatch):
+    """4 of 20 negated insults are toxic whatever share of the clean rows is read."""
+    rng = random.Random(8)
+    calm = [f"{rng.getrandbits(40):x} calm text {rng.getrandbits(40):x}" for _ in range(1500)]
+    rows = [(t, 0) for t in calm] + [(f"{rng.getrandbits(40):x} is not an idiot", int(k % 5 == 0)) for k in range(200)]
+    rows += [(f"you are an idiot {rng.getrandbits(40):x}", 1) for _ in range(100)]
+    df = spark.createDataFrame([(i, t, v) for i, (t, v) in enumerate(rows)], "doc_id long, text string, toxic int")
+
+    def weights():
+        return toxicity.learn(df.select("doc_id", "text"), df.select("doc_id", "toxic")).weights
+
+    full = weights()
+    monkeypatch.setattr(toxicity, "SAMPLE", {1: 140, 0: 280})
+    part = weights()
+    assert full["negated"] < -1 and part["negated"] < -0.6
+    assert abs(part["negated"] - full["negated"]) < 0.6
+    probe = "she is not an idiot"
+    assert all(toxicity.Grammar(weights=w).score(probe) < 0.5 for w in (full, part))
+
+
 def test_secret_layers():
     secret = 'token = "04dbebab91ab85687d33"'
     packed = base64.b64encode(gzip.compress(secret.encode())).decode()
