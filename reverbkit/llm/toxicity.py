@@ -110,17 +110,22 @@ class Grammar:
     def __post_init__(self) -> None:
         self.symbol = {w: s for s, ws in (("rep", REPORTS), ("tgt", TARGETS), ("neg", NEGATIONS), ("thr", THREATS), ("ins", self.insults)) for w in ws}
         self.finder = ahocorasick.Automaton()
-        for w in (*THREATS, *self.insults):
-            self.finder.add_word(w.rstrip("*"), w)
+        # a word and a stem may be spelled alike: the automaton keeps one value for a key
+        alike: dict[str, list[str]] = {}
+        for w in dict.fromkeys((*THREATS, *self.insults)):
+            alike.setdefault(w.rstrip("*"), []).append(w)
+        for key, entries in alike.items():
+            self.finder.add_word(key, (len(key), entries))
         self.finder.make_automaton()
 
     def hits(self, low: str) -> list[tuple[int, str]]:
         """(start, entry) of the words that are entries or start with a stem."""
         out = []
-        for e, w in self.finder.iter(low):
-            at = e + 1 - len(w.rstrip("*"))
-            if not (at and low[at - 1].isalpha()) and (w[-1] == "*" or not low[e + 1 : e + 2].isalpha()):
-                out.append((at, w))
+        for e, (n, entries) in self.finder.iter(low):
+            at = e + 1 - n
+            if not (at and low[at - 1].isalpha()):
+                ends = not low[e + 1 : e + 2].isalpha()
+                out += [(at, w) for w in entries if ends or w[-1] == "*"]
         return out
 
     def matches(self, text: str) -> Counter:

@@ -156,6 +156,16 @@ def test_toxicity_weights_do_not_depend_on_the_sample(spark, monkeypatch):
     assert all(toxicity.Grammar(weights=w).score(probe) < 0.5 for w in (full, part))
 
 
+def test_toxicity_word_and_stem_spelled_alike(spark):
+    for entries in (["abcd", "abcd*"], ["abcd*", "abcd"]):
+        g = toxicity.Grammar(entries)
+        assert sorted(g.hits("abcd abcdo xabcd")) == [(0, "abcd"), (0, "abcd*"), (5, "abcd*")]
+    # every form is rare, the word itself is the weaker entry
+    rows = [(f"abcd{chr(97 + i % 20)}{chr(97 + i // 20)} text", 1) for i in range(60)] + [(f"abcd text {i}", 1) for i in range(40)]
+    rows = spark.createDataFrame(rows + [(f"calm text {i}", 0) for i in range(300)], "text string, toxic int")
+    assert toxicity._cover(rows, ["abcd*", "abcd"]) == ["abcd*"]
+
+
 def test_secret_layers():
     secret = 'token = "04dbebab91ab85687d33"'
     packed = base64.b64encode(gzip.compress(secret.encode())).decode()
