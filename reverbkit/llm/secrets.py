@@ -9,6 +9,8 @@ escapes (the whole layer with all escapes of the sort decoded), runs of base64
 (each its own layer), gzip and zlib data inside them. Each new layer is scanned
 and unwrapped in turn until nothing new appears; a layer whose text and place
 were seen before is not taken again, so data that decode to themselves end.
+Every decoded layer is scanned, binary ones too: bytes that are not UTF-8 are
+replaced, and ASCII characters of two bytes (UTF-16) are read as one.
 
 A span found in a layer is mapped back to the text: character by character
 through escapes, to the whole run for base64 and what is inside it.
@@ -28,7 +30,7 @@ import binascii
 import hashlib
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -46,6 +48,8 @@ PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\U[0-9A-Fa-f]{8}|(?:\\x[0-9A-Fa-f]{2})+")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{16,}={0,2}")
 BASE64_URL = re.compile(r"(?<![A-Za-z0-9_-])(?=[A-Za-z0-9]*[_-])[A-Za-z0-9_-]{16,}={0,2}")
+#: ASCII characters of two bytes, UTF-16 of either byte order.
+WIDE = (re.compile(r"(?:[\x01-\x7f]\x00){2,}"), re.compile(r"(?:\x00[\x01-\x7f]){2,}"))
 
 Span = tuple[int, int, int]  # start, kind, end
 
@@ -75,20 +79,20 @@ class Layer:
         return (hashlib.blake2b(self.text.encode("utf-8", "surrogatepass"), digest_size=16).digest(), self.place(0, len(self.text)))
 
 
-def _as_text(data: bytes) -> str | None:
-    """Bytes as text, if they are (compressed) text."""
+def _as_text(data: bytes) -> str:
+    """(Compressed) bytes as text, whatever they are."""
     for _ in range(2):
         if data[:2] == b"\x1f\x8b" or (data[:1] == b"\x78" and len(data) > 1 and (data[0] * 256 + data[1]) % 31 == 0):
             try:
                 data = zlib.decompressobj(47).decompress(data, MAX_LAYER)
             except zlib.error:
                 break
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    odd = sum(not (c.isprintable() or c in "\t\n\r") for c in text[:256])
-    return text if text and odd <= len(text[:256]) // 10 else None
+    # all that is searched for is ASCII: bytes that are not UTF-8 only stand between
+    return data.decode("utf-8", "replace")
+
+
+def _narrow(run: str) -> str:
+    return run.replace("\0", "")
 
 
 def _unescaped(run: str) -> str:
@@ -106,11 +110,11 @@ def _unescaped(run: str) -> str:
         return data.decode("latin-1")
 
 
-def _through_escapes(layer: Layer, pattern: re.Pattern) -> Layer | None:
+def _through_escapes(layer: Layer, pattern: re.Pattern, decode: Callable[[str], str] = _unescaped) -> Layer | None:
     """The layer with all escapes of a sort decoded."""
     pieces, starts, ends, at = [], [], [], 0
     for m in pattern.finditer(layer.text):
-        new = _unescaped(m[0])
+        new = decode(m[0])
         step = len(m[0]) // len(new) if new and len(m[0]) % len(new) == 0 else 0
         pieces += [layer.text[at : m.start()], new]
         if not layer.whole:
@@ -135,6 +139,10 @@ def unwrap(layer: Layer) -> Iterator[Layer]:
         yield inner
     if "\\" in layer.text and (inner := _through_escapes(layer, ESCAPE)):
         yield inner
+    if "\0" in layer.text:
+        for pattern in WIDE:
+            if inner := _through_escapes(layer, pattern, _narrow):
+                yield inner
     for pattern, chars in ((BASE64, b"+/"), (BASE64_URL, b"-_")):
         for m in pattern.finditer(layer.text):
             run = m[0].rstrip("=")
@@ -144,8 +152,7 @@ def unwrap(layer: Layer) -> Iterator[Layer]:
                 data = base64.b64decode(run + "=" * (-len(run) % 4), altchars=chars, validate=True)
             except binascii.Error:
                 continue
-            if (text := _as_text(data)) is not None:
-                yield Layer(text, layer.place(m.start(), m.end()))
+            yield Layer(_as_text(data), layer.place(m.start(), m.end()))
 
 
 def spans(text: str) -> tuple[list[Span], list[Span]]:

@@ -1,7 +1,9 @@
 import base64
 import gzip
 import hashlib
+import io
 import random
+import tarfile
 import zlib
 
 import numpy as np
@@ -180,6 +182,25 @@ def test_secret_layers():
     assert secrets.spans("%25%32%35 " * 3) == ([], [])
 
 
+def _b64(data):
+    return base64.b64encode(data).decode()
+
+
+def test_secrets_in_binary_layers():
+    secret = "password=hunter2222"
+    tar = io.BytesIO()
+    with tarfile.open(fileobj=tar, mode="w") as files:
+        entry = tarfile.TarInfo(".env")
+        entry.size = len(secret)
+        files.addfile(entry, io.BytesIO(secret.encode()))
+    tar = tar.getvalue()
+    wide = f"Größe 日本: {secret}"
+    for data in (tar, gzip.compress(tar), wide.encode("utf-16-le"), wide.encode("utf-16-be"), wide.encode("utf-16"), b"\xff\xfe\xe9 " + secret.encode(), bytes(300) + secret.encode()):
+        packed = _b64(data)
+        assert secrets.spans(f"x {packed} y") == ([], [(2, 0, 2 + len(packed))])
+    assert secrets.spans(f"x {_b64(bytes(range(256)))} y") == ([], [])
+
+
 def test_language(spark):
     said = {"a": "lorem ipsum dolor sit amet consectetur", "b": "zwölf boxkämpfer jagen viktor quer über", "c": "portez ce vieux whisky au juge blond"}
     rng = random.Random(3)
