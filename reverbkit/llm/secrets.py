@@ -15,8 +15,10 @@ replaced, and ASCII characters of two bytes (UTF-16) are read as one.
 A span found in a layer is mapped back to the text: character by character
 through escapes, to the whole run for base64 and what is inside it.
 
-Compressed data are inflated up to ``MAX_LAYER`` bytes for each layer (a guard
-against decompression bombs); what lies beyond is not scanned.
+Compressed data are inflated whole, member after member and however deep, and
+scanned in parts of about ``BLOCK`` characters that end where no secret and no
+encoded run goes on. Memory grows with the longest stretch without such a place,
+time with the inflated size.
 
 Defined results: null and empty texts have no spans; repeated rows each get a
 row; ids may be null; an empty table gives an empty result. Other columns of
@@ -27,17 +29,19 @@ from __future__ import annotations
 
 import base64
 import binascii
+import codecs
 import hashlib
 import re
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from reverbkit.llm.common import texts
 
-MAX_LAYER = 64 << 20
+#: Bytes that go into an inflation at once, and bytes or characters that come out.
+FED, BLOCK = 64 << 10, 1 << 20
 
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -50,6 +54,8 @@ BASE64 = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{16,}={0,2}")
 BASE64_URL = re.compile(r"(?<![A-Za-z0-9_-])(?=[A-Za-z0-9]*[_-])[A-Za-z0-9_-]{16,}={0,2}")
 #: ASCII characters of two bytes, UTF-16 of either byte order.
 WIDE = (re.compile(r"(?:[\x01-\x7f]\x00){2,}"), re.compile(r"(?:\x00[\x01-\x7f]){2,}"))
+#: All up to the last character that neither a secret nor an encoded run goes across.
+BREAK = re.compile(r"(?s).*(?:[^A-Za-z0-9+/=_.:%\\\"'\s\x00-]|\x00\x00)")
 
 Span = tuple[int, int, int]  # start, kind, end
 
@@ -79,16 +85,88 @@ class Layer:
         return (hashlib.blake2b(self.text.encode("utf-8", "surrogatepass"), digest_size=16).digest(), self.place(0, len(self.text)))
 
 
-def _as_text(data: bytes) -> str:
-    """(Compressed) bytes as text, whatever they are."""
-    for _ in range(2):
-        if data[:2] == b"\x1f\x8b" or (data[:1] == b"\x78" and len(data) > 1 and (data[0] * 256 + data[1]) % 31 == 0):
+def _blocks(data: bytes) -> Iterator[tuple[bool, bytes]]:
+    for at in range(0, len(data), FED):
+        yield at == 0, data[at : at + FED]
+
+
+def _inflated(source: Iterable[tuple[bool, bytes]]) -> Iterator[tuple[bool, bytes]]:
+    """The data of the gzip and zlib members at the head of ``source``, which
+    gives (starts a member, bytes), at the head of its own members, and directly
+    behind another member."""
+    z, rest, armed, starts = None, b"", False, False
+    for new, data in source:
+        if z is None:
+            armed = armed or new
+            rest = b"" if new else rest
+        rest = rest + data if armed else b""
+        while armed:
+            if z is None:
+                if len(rest) < 2:
+                    break
+                if rest[:2] != b"\x1f\x8b" and not (rest[0] == 0x78 and (rest[0] * 256 + rest[1]) % 31 == 0):
+                    armed = False
+                    break
+                z, starts = zlib.decompressobj(47), True
             try:
-                data = zlib.decompressobj(47).decompress(data, MAX_LAYER)
+                out = z.decompress(rest, BLOCK)
             except zlib.error:
+                z, armed = None, False
                 break
-    # all that is searched for is ASCII: bytes that are not UTF-8 only stand between
-    return data.decode("utf-8", "replace")
+            if out:
+                yield starts, out
+                starts = False
+            if z.eof:
+                # members may be filled up with zeros
+                z, rest = None, z.unused_data.lstrip(b"\0")
+            else:
+                rest = z.unconsumed_tail
+                if not rest and len(out) < BLOCK:
+                    break
+
+
+def _windows(blocks: Iterable[bytes]) -> Iterator[str]:
+    """Bytes as text, whatever they are, in parts that end where nothing that is
+    searched for or unwrapped can go on. All of that is ASCII: bytes that are not
+    UTF-8 only stand between."""
+    decoder = codecs.getincrementaldecoder("utf-8")("replace")
+    parts, size, full = [], 0, BLOCK
+    for data in blocks:
+        parts.append(decoder.decode(data))
+        size += len(parts[-1])
+        if size >= full:
+            text = "".join(parts)
+            end = m.end() if (m := BREAK.match(text)) else 0
+            if end:
+                yield text[:end]
+            parts, size = [text[end:]], len(text) - end
+            full = max(BLOCK, 2 * size)
+    yield "".join(parts) + decoder.decode(b"", True)
+
+
+def _layers(data: bytes, place: tuple[int, int]) -> Iterator[Layer]:
+    """The texts of some bytes, of what is compressed in them, and so on until
+    nothing new appears. Each step inflates anew from the first, block by block:
+    memory does not grow with what data inflate to."""
+    seen, steps = set(), 0
+    while True:
+        digest, size = hashlib.blake2b(digest_size=16), 0
+
+        def read(steps: int = steps, digest: hashlib.blake2b = digest) -> Iterator[bytes]:
+            nonlocal size
+            source: Iterable[tuple[bool, bytes]] = _blocks(data)
+            for _ in range(steps):
+                source = _inflated(source)
+            for _, block in source:
+                digest.update(block)
+                size += len(block)
+                yield block
+
+        yield from (Layer(text, place) for text in _windows(read()))
+        if not size or digest.digest() in seen:
+            return
+        seen.add(digest.digest())
+        steps += 1
 
 
 def _narrow(run: str) -> str:
@@ -152,22 +230,25 @@ def unwrap(layer: Layer) -> Iterator[Layer]:
                 data = base64.b64decode(run + "=" * (-len(run) % 4), altchars=chars, validate=True)
             except binascii.Error:
                 continue
-            yield Layer(_as_text(data), layer.place(m.start(), m.end()))
+            yield from _layers(data, layer.place(m.start(), m.end()))
 
 
 def spans(text: str) -> tuple[list[Span], list[Span]]:
     """The spans found in the text itself, and those of all layers, in order."""
     base = sorted(scan(text))
-    found, work, seen = set(base), [Layer(text)], set()
+    # the layers one in another that are being unwrapped: inflated data come part by part
+    found, work, seen = set(base), [unwrap(Layer(text))], set()
     while work:
-        layer = work.pop()
-        for inner in unwrap(layer):
-            if not seen:
-                seen.add(Layer(text).key())
-            if inner.text and (key := inner.key()) not in seen:
-                seen.add(key)
-                found |= {(s, k, e) for a, k, b in scan(inner.text) for s, e in [inner.place(a, b)]}
-                work.append(inner)
+        inner = next(work[-1], None)
+        if inner is None:
+            work.pop()
+            continue
+        if not seen:
+            seen.add(Layer(text).key())
+        if inner.text and (key := inner.key()) not in seen:
+            seen.add(key)
+            found |= {(s, k, e) for a, k, b in scan(inner.text) for s, e in [inner.place(a, b)]}
+            work.append(unwrap(inner))
     return base, sorted(found)
 
 

@@ -201,6 +201,30 @@ def test_secrets_in_binary_layers():
     assert secrets.spans(f"x {_b64(bytes(range(256)))} y") == ([], [])
 
 
+def test_secrets_in_compressed_layers(monkeypatch):
+    secret = b"password=hunter2222"
+
+    def found(data):
+        packed = _b64(data)
+        return secrets.spans(f"x {packed} y") == ([], [(2, 0, 2 + len(packed))])
+
+    pack = gzip.compress
+    assert found(pack(pack(pack(pack(secret))))) and found(zlib.compress(pack(zlib.compress(secret))))
+    assert found(pack(b"a") + pack(secret)) and found(pack(b"a") + bytes(9) + zlib.compress(pack(secret)))
+    assert found(pack(pack(b"a")) + pack(pack(b"pass") + pack(b"word=hunter2222")))
+    assert found(pack(pack(b"a")[:9]) + pack(pack(b"a")[9:] + pack(secret)))
+    assert found(pack(("é" * (33 << 20)).encode() + b" " + secret))
+    assert not found(pack(b"a") + pack(b"b"))
+    # cut anywhere, a part never splits a secret or an encoded run
+    rng = random.Random(6)
+    for inner in (secret, _b64(pack(secret * 3)).encode(), "password=hunter2222".encode("utf-16-le")):
+        for size in (1, 2, 7, 50):
+            monkeypatch.setattr(secrets, "BLOCK", size)
+            monkeypatch.setattr(secrets, "FED", size + 2)
+            for _ in range(5):
+                assert found(pack(b"a, (b" * rng.randint(0, 30) + b" " + inner + b", c" * rng.randint(0, 30)))
+
+
 def test_language(spark):
     said = {"a": "lorem ipsum dolor sit amet consectetur", "b": "zwölf boxkämpfer jagen viktor quer über", "c": "portez ce vieux whisky au juge blond"}
     rng = random.Random(3)
