@@ -5,8 +5,9 @@ non-overlapping per kind): assignments of a value of 8 or more characters to a
 name such as ``password``, access keys of 16 or more characters, and runs of 32
 or more hexadecimal digits. The text is the first layer of a worklist. From
 each layer others are unwrapped: percent escapes, ``\u``, ``\U`` and ``\x``
-escapes (the whole layer with all escapes of the sort decoded), runs of base64
-(each its own layer), gzip and zlib data inside them. Each new layer is scanned
+escapes (the whole layer with all escapes of the sort decoded), runs of base64,
+also over several lines (each read from its first four characters, as a path or
+other prefix may be part of the run), gzip and zlib data inside them. Each new layer is scanned
 and unwrapped in turn until nothing new appears; a layer whose text and place
 were seen before is not taken again, so data that decode to themselves end.
 Every decoded layer is scanned, binary ones too: bytes that are not UTF-8 are
@@ -27,7 +28,6 @@ the input are ignored. Offsets count code points, ends are exclusive.
 
 from __future__ import annotations
 
-import base64
 import binascii
 import codecs
 import hashlib
@@ -52,6 +52,19 @@ PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\U[0-9A-Fa-f]{8}|(?:\\x[0-9A-Fa-f]{2})+")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{16,}={0,2}")
 BASE64_URL = re.compile(r"(?<![A-Za-z0-9_-])(?=[A-Za-z0-9]*[_-])[A-Za-z0-9_-]{16,}={0,2}")
+#: A line end, also one spelled as an escape, with what indents the next line.
+LINE_END = re.compile(r"[ \t]*+(?:\r\n?|\n|(?:\\r)?\\n)[ \t]*+")
+#: The first line of wrapped base64, from wherever it starts, and a whole further one.
+WRAPPED = [
+    (
+        re.compile(rf"(?:(?<![{a}])(?!(?<=\\)[nr])|(?<=\\n))[{a}]{{4,}}+(?={LINE_END.pattern}[{a}])"),
+        re.compile(rf"([{a}]++={{0,2}}+)(?=[ \t]*+(?:[^\w \t]|\Z))"),
+    )
+    for a in ("A-Za-z0-9+/", "A-Za-z0-9_-")
+]
+#: The start of gzip or zlib data after a sign.
+PACKED = re.compile(r"(?<=[+/])(?:H4sI|e[AFJN])")
+FROM_URL = str.maketrans("-_", "+/")
 #: ASCII characters of two bytes, UTF-16 of either byte order.
 WIDE = (re.compile(r"(?:[\x01-\x7f]\x00){2,}"), re.compile(r"(?:\x00[\x01-\x7f]){2,}"))
 #: All up to the last character that neither a secret nor an encoded run goes across.
@@ -221,16 +234,44 @@ def unwrap(layer: Layer) -> Iterator[Layer]:
         for pattern in WIDE:
             if inner := _through_escapes(layer, pattern, _narrow):
                 yield inner
-    for pattern, chars in ((BASE64, b"+/"), (BASE64_URL, b"-_")):
+    for pattern in (BASE64, BASE64_URL):
         for m in pattern.finditer(layer.text):
-            run = m[0].rstrip("=")
-            if len(run) % 4 == 1:
-                continue
-            try:
-                data = base64.b64decode(run + "=" * (-len(run) % 4), altchars=chars, validate=True)
-            except binascii.Error:
-                continue
-            yield from _layers(data, layer.place(m.start(), m.end()))
+            yield from _decoded(m[0], layer.place(m.start(), m.end()))
+    for first, line in WRAPPED:
+        for run, start, end in _wrapped(layer.text, first, line):
+            yield from _decoded(run, layer.place(start, end))
+
+
+def _wrapped(text: str, first: re.Pattern, line: re.Pattern) -> Iterator[tuple[str, int, int]]:
+    """Base64 over several lines: the characters, start and end. A line that is
+    shorter than the one before or ends with padding is the last."""
+    at = 0
+    while m := first.search(text, at):
+        lines, at = [m[0]], m.end()
+        while (gap := LINE_END.match(text, at)) and (more := line.match(text, gap.end())):
+            lines.append(more[1])
+            at = more.end(1)
+            if len(more[1]) < len(lines[-2]) or more[1][-1] == "=":
+                break
+        run = "".join(lines)
+        if len(lines) > 1 and len(run) >= 16:
+            yield run, m.start(), at
+
+
+def _decoded(run: str, place: tuple[int, int]) -> Iterator[Layer]:
+    """What a run of base64 holds, read from each of its first four characters,
+    as what stands before the data, such as a path, may look like base64 too;
+    compressed data need their very start and are also tried after each sign."""
+    run = run.rstrip("=").translate(FROM_URL)
+    for at in range(4):
+        yield from _layers(_bytes(run[at:]), place)
+    for m in PACKED.finditer(run):
+        yield from _layers(_bytes(run[m.start() :]), place)
+
+
+def _bytes(run: str) -> bytes:
+    run = run[: len(run) - (len(run) % 4 == 1)]
+    return binascii.a2b_base64(run + "=" * (-len(run) % 4))
 
 
 def spans(text: str) -> tuple[list[Span], list[Span]]:

@@ -225,6 +225,26 @@ def test_secrets_in_compressed_layers(monkeypatch):
                 assert found(pack(b"a, (b" * rng.randint(0, 30) + b" " + inner + b", c" * rng.randint(0, 30)))
 
 
+def test_secrets_in_wrapped_and_prefixed_base64():
+    secret = b"password=hunter2222"
+    rng = random.Random(7)
+    noise = rng.randbytes(400)
+    for data in (b"-" * 50 + secret + b"-" * 50, gzip.compress(noise + secret), zlib.compress(noise + secret), b"x" * 70 + secret):
+        for width in (20, 64, 75, 76):
+            for packed in (base64.b64encode(data).decode(), base64.urlsafe_b64encode(data).decode().rstrip("=")):
+                lines = [packed[i : i + width] for i in range(0, len(packed), width)]
+                for end in ("\n", "\r\n", "\n  ", "\\n"):
+                    text = end.join(lines)
+                    base, found = secrets.spans(f"x: {text}\nand more text")
+                    assert base == [] and (3, 0, 3 + len(text)) in found
+    for data in (secret, b"--" + secret, gzip.compress(secret), zlib.compress(secret)):
+        for path in ("https://api.x.io/cb/", "/a/bc/", "v1/abc/d/"):
+            text = f"see {path}{_b64(data)} there"
+            base, found = secrets.spans(text)
+            assert base == [] and found and all(k == 0 and b == text.index(" there") for _, k, b in found)
+    assert secrets.spans("https://example.org/some/long/path/of-words\nand/another/one\n") == ([], [])
+
+
 def test_language(spark):
     said = {"a": "lorem ipsum dolor sit amet consectetur", "b": "zwölf boxkämpfer jagen viktor quer über", "c": "portez ce vieux whisky au juge blond"}
     rng = random.Random(3)
