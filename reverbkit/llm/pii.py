@@ -13,7 +13,13 @@ name), gets one surrogate, a keyed hash spelled in the entity's own shape:
   their country code, IP numbers stay numbers up to 255, emails their top-level
   domain, IBANs their country;
 * persons keep their form of address; first names change within their gender
-  and script, surnames within their script.
+  and script (Latin, Greek, Cyrillic; others get Latin names), surnames, the
+  last word, within their script, each on its own: a surname has one surrogate
+  with any first name and form of address. A first name after a neutral form of
+  address has the gender that the text, or else the corpus, gives it if that is
+  one only;
+* within a text that holds a person after a form of address, that person's full
+  name and surname without one are replaced alike (not counted as entities).
 
 Surrogates must differ from each other and from every real entity of the same
 type (collision check): losers draw again with the next attempt number until
@@ -66,16 +72,25 @@ HINT = "[0-9@]|(?=[MSFHDPГ])(?:" + "|".join(TITLES_F + TITLES_M + TITLES_N) + "
 FIRST = {
     ("f", "latin"): "Alma Berta Clara Dora Edith Flora Greta Hilda Irma Julia Karla Lena Marta Nora Olga Paula Rita Sara Thea Vera",
     ("m", "latin"): "Adam Bruno Carl Denis Emil Frank Georg Hugo Ivan Jonas Kurt Leon Max Nils Oskar Paul Ralf Simon Theo Viktor",
+    ("f", "greek"): "Αθηνά Βασιλική Γεωργία Δήμητρα Ελένη Ζωή Ιωάννα Κατερίνα Μαρία Νίκη Ουρανία Σοφία",
+    ("m", "greek"): "Αλέξης Βασίλης Γιώργος Δημήτρης Ηλίας Θωμάς Κώστας Λευτέρης Μιχάλης Νίκος Πέτρος Σπύρος",
     ("f", "cyrillic"): "Анна Вера Дарья Елена Жанна Зоя Ирина Клара Лидия Мария Нина Ольга Полина Раиса Софья Тамара",
     ("m", "cyrillic"): "Антон Борис Вадим Глеб Денис Егор Захар Иван Кирилл Леонид Максим Никита Олег Павел Роман Семён",
 }
 LAST = {
     "latin": "Abel Berger Castell Dorn Ehrlich Falk Garner Holm Ilves Jansen Keller Lorenz Moreau Novak Ortega Perrin Quist Rivera Sauer Thorne Ulmer Vidal Weiss Yates Zander",
+    "greek": "Αγγέλου Βλάχου Γεωργίου Δούκα Ζέρβα Θεοδώρου Ιωάννου Κωνσταντίνου Λάμπρου Μακρή Νικολάου Παππά",
     "cyrillic": "Абрамов Белов Волков Громов Данилов Ершов Жуков Зимин Ильин Крылов Лебедев Морозов Новик Орлов Петрук Рогов",
 }
 ALPHABETS = ["abcdefghijklmnopqrstuvwxyz", "абвгдежзийклмнопрстуфхцчшщъыьэюя", "αβγδεζηθικλμνξοπρστυφχψω"]
 
 
+SCRIPTS = {"cyrillic": "norm rlike '\\\\p{IsCyrillic}'", "greek": "norm rlike '\\\\p{IsGreek}'"}
+SCRIPTS["latin"] = "not (" + " or ".join(SCRIPTS.values()) + ")"
+#: Words that may be names without a form of address.
+BARE = f"(?<![\\p{{L}}\\p{{N}}]){NAME}(?: {NAME})*+(?!\\p{{L}})"
+
+
 def _kind(raw: Column) -> Column:
     kinds = [F.when(F.regexp_like(raw, F.lit(f"^(?:{p})$")), F.lit(k)) for k, p in PATTERNS.items()]
     # lookarounds see only the entity itself here; what matched as a whole is of the first kind that fits
@@ -140,16 +155,23 @@ def _luhn(body: str) -> str:
 def _draw(key: str) -> Column:
     """The surrogate of (kind, norm) at its attempt, in the normal form."""
     h = "h"  # the keyed digest, a column
-    person = ["case"]
+    person, given_name, surname = ["case"], ["case"], ["case"]
     for (g, script), first in FIRST.items():
-        test = "norm rlike '\\\\p{IsCyrillic}'" if script == "cyrillic" else "not norm rlike '\\\\p{IsCyrillic}'"
+        test = SCRIPTS[script]
         gender = f"(substr(norm, 1, 1) = '{g}' or (substr(norm, 1, 1) = 'n' and {_byte(h, '9')} % 2 = {int(g == 'm')}))"
         given, sur = _pick(first, h, 0), _pick(LAST[script], h, 1)
-        more = f"array_join(transform(sequence(1, cast(attempt / 4 as int)), k -> {_pick(LAST[script], h, 0).replace(_byte(h, '0'), _byte(h, 'k + 1'))}), '-')"
-        sur = f"case when attempt < 4 then {sur} else concat({sur}, '-', {more}) end"
-        full = f"case when size(split(norm, ' ')) > 2 then concat({given}, ' ', {sur}) else {sur} end"
+        longer = f"transform(sequence(1, cast(attempt / 4 as int)), k -> {_pick('{names}', h, 0).replace(_byte(h, '0'), _byte(h, 'k + 1'))})"
+
+        def grown(name: str, names: str, longer: str = longer) -> str:
+            more = longer.replace("{names}", names).replace("% 1]", f"% {len(names.split())}]")
+            return f"case when attempt < 4 then {name} else concat({name}, '-', array_join({more}, '-')) end"
+
+        full = f"case when size(split(norm, ' ')) > 2 then concat({given}, ' ', {grown(sur, LAST[script])}) else {grown(sur, LAST[script])} end"
         person.append(f"when {test} and {gender} then concat(substr(norm, 1, 1), ' ', {full})")
-    person.append("end")
+        given_name.append(f"when {test} and {gender} then {grown(given, first)}")
+        surname.append(f"when {test} then {grown(sur, LAST[script])}")
+    for names in (person, given_name, surname):
+        names.append("end")
     local, host = "substring_index(norm, '@', 1)", "substring_index(norm, '@', -1)"
     name = "substr({0}, 1, length({0}) - length(substring_index({0}, '.', -1)))".format(host)
     email = (
@@ -165,7 +187,7 @@ def _draw(key: str) -> Column:
     phone = f"concat(if(length(norm) = 10 and substr(norm, 1, 1) > '1', cast(2 + {_byte(h, '60')} % 8 as string), substr({digits}, 1, 1)), substr({digits}, 2))"
     iban = f"concat(substr(norm, 1, 2), substr({digits}, 3))"
     return F.expr(
-        f"case kind when 'person' then {' '.join(person)} when 'email' then {email} when 'ip' then {octets}"
+        f"case kind when 'person' then {' '.join(person)} when 'first' then {' '.join(given_name)} when 'last' then {' '.join(surname)} when 'email' then {email} when 'ip' then {octets}"
         f" when 'phone' then {phone} when 'iban' then {iban}"
         f" when 'card' then transform(array({card}), card -> concat(card, if({valid}, {card_check}, cast(({card_check} + 1 + {_byte(h, '61')} % 9) % 10 as string))))[0]"
         f" else {digits} end"
@@ -185,7 +207,8 @@ def surrogates(entities: DataFrame, key: str = KEY) -> DataFrame:
     kind are equal and none equals a real entity of that kind."""
     drawn = cut_lineage(_attempt(entities.select("kind", "norm").distinct().withColumn("attempt", F.lit(0)), key), "pii-draw")
     for _ in range(MAX_ATTEMPTS):
-        real = drawn.select("kind", F.col("norm").alias("surrogate")).withColumn("real", F.lit(True))
+        # first names are spelled without their gender
+        real = drawn.select("kind", F.expr("if(kind = 'first', substr(norm, 3), norm)").alias("surrogate")).distinct().withColumn("real", F.lit(True))
         winner = drawn.groupBy("kind", "surrogate").agg(F.min(F.struct((-F.col("attempt")).alias("a"), "norm"))["norm"].alias("winner"))
         judged = drawn.join(winner, ["kind", "surrogate"]).join(real, ["kind", "surrogate"], "left")
         judged = judged.withColumn("lost", (F.col("winner") != F.col("norm")) | F.coalesce("real", F.lit(False)))
@@ -230,19 +253,64 @@ def replace_pii(docs: DataFrame, text_col: str = "text", key: str = KEY) -> Data
     raws = with_any.select("_pii_key", F.explode(F.array_distinct("_pii_found")).alias("raw")).distinct()
     raws = raws.withColumn("kind", _kind(F.col("raw"))).withColumn("norm", _normal(F.col("kind"), F.col("raw")))
     raws = cut_lineage(raws, "pii-entities")
-    named = surrogates(raws, key)
+    parts = cut_lineage(_name_parts(raws.where("kind = 'person'")), "pii-names")
+    raws = raws.where("kind <> 'person'")
+    named = surrogates(raws.select("kind", "norm").unionByName(parts.select("kind", "norm")), key)
     spelled = cut_lineage(
         raws.select("raw", "kind", "norm").distinct().join(named, ["kind", "norm"]).select("raw", _dressed(F.col("kind"), F.col("raw"), F.col("surrogate")).alias("new")), "pii-spelled"
     )
-    by_text = raws.join(spelled, "raw").groupBy("_pii_key").agg(F.map_from_entries(F.collect_set(F.struct("raw", "new"))).alias("_pii_map"))
+    persons, bare = _renamed(parts.join(named, ["kind", "norm"]))
+    spelled = raws.join(spelled, "raw").select("_pii_key", "raw", "new").unionByName(persons)
+    by_text = spelled.groupBy("_pii_key").agg(F.map_from_entries(F.collect_set(F.struct("raw", "new"))).alias("_pii_map"))
+    by_text = by_text.join(bare, "_pii_key", "left")
     gaps = F.expr(f"split(`{text_col}`, r'{_sql(ANY)}', -1)")
     rebuilt = with_any.join(by_text, "_pii_key").withColumn("_pii_gaps", gaps)
-    new = F.expr("array_join(transform(_pii_gaps, (g, i) -> concat(g, coalesce(_pii_map[get(_pii_found, i)], ''))), '')")
+    new = F.expr(f"array_join(transform(_pii_gaps, (g, i) -> concat({_bare("g")}, coalesce(_pii_map[get(_pii_found, i)], ''))), '')")
     columns = [F.col(f"`{c}`") if c != text_col else new.alias(text_col) for c in docs.columns]
     rebuilt = rebuilt.select(*columns, F.size("_pii_found").alias("n_entities"))
     rest = found.where(F.size("_pii_found") == 0).select(*[F.col(f"`{c}`") for c in docs.columns], F.lit(0).alias("n_entities"))
     return rebuilt.unionByName(rest)
 
 
+def _name_parts(persons: DataFrame) -> DataFrame:
+    """(_pii_key, raw, words, pos, kind, norm) of each word of the names: kind
+    ``last`` with the word as norm, or ``first`` with gender and word."""
+    words = persons.select("_pii_key", "raw", _gender(F.col("raw")).alias("gender"), F.split(F.regexp_replace("raw", "^\\S+ ", ""), " ").alias("words"))
+    parts = words.select("*", F.posexplode("words").alias("pos", "word")).withColumn("is_last", F.expr("pos = size(words) - 1"))
+    last = parts.where("is_last").select("_pii_key", "raw", "words", "pos", F.lit("last").alias("kind"), F.col("word").alias("norm"))
+    first = parts.where("not is_last")
+    one = F.expr("if(min(gender) = max(gender), min(gender), null)")
+    known = first.where("gender <> 'n'")
+    in_text = known.groupBy("_pii_key", "word").agg(one.alias("in_text"))
+    anywhere = known.groupBy("word").agg(one.alias("anywhere"))
+    told = first.join(in_text, ["_pii_key", "word"], "left").join(anywhere, "word", "left")
+    gender = F.when(F.col("gender") == "n", F.coalesce("in_text", "anywhere", "gender")).otherwise(F.col("gender"))
+    return last.unionByName(told.select("_pii_key", "raw", "words", "pos", F.lit("first").alias("kind"), F.concat(gender, F.lit(" "), "word").alias("norm")))
+
+
+def _renamed(parts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(_pii_key, raw, new) of the persons, and (_pii_key, _pii_bare): for each
+    text what replaces a surname, and a first name that stands before the rest
+    of the name (the words, joined, are the key)."""
+    names = F.array_sort(F.collect_set(F.struct("pos", "surrogate")))["surrogate"]
+    persons = parts.groupBy("_pii_key", "raw").agg(F.concat(F.regexp_extract("raw", "^(\\S+ )", 1), F.array_join(names, " ")).alias("new"))
+    spans = F.expr("array_distinct(array(array_join(slice(words, pos + 1, 3), ' '), if(pos = 0 and size(words) > 2, concat(words[0], ' ', words[size(words) - 1]), array_join(slice(words, pos + 1, 3), ' '))))")
+    bare = parts.select("_pii_key", F.explode(spans).alias("bare"), "surrogate").groupBy("_pii_key", "bare").agg(F.min("surrogate").alias("new"))
+    return persons, bare.groupBy("_pii_key").agg(F.map_from_entries(F.collect_list(F.struct("bare", "new"))).alias("_pii_bare"))
+
+
+def _bare(gap: str) -> str:
+    """SQL: the text between two entities with the names of ``_pii_bare`` replaced."""
+    words = "split(s, ' ')"
+    triples = f"zip_with(zip_with({words}, slice({words}, 2, length(s)), (a, b) -> struct(a, b)), slice({words}, 3, length(s)), (ab, c) -> struct(ab.a, ab.b, c))"
+    new = "coalesce(_pii_bare[concat_ws(' ', w.a, w.b, w.c)], _pii_bare[concat_ws(' ', w.a, w.b)], _pii_bare[w.a], w.a)"
+    renamed = f"array_join(transform({triples}, w -> {new}), ' ')"
+    pattern = _sql(BARE)
+    return (
+        f"if(_pii_bare is null, {gap}, array_join(zip_with(split({gap}, r'{pattern}', -1), regexp_extract_all({gap}, r'{pattern}', 0),"
+        f" (t, s) -> concat(t, if(s is null, '', {renamed}))), ''))"
+    )
+
+
 def _sql(pattern: str) -> str:
     return pattern.replace("'", "\\x27")

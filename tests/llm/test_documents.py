@@ -4,6 +4,7 @@ import hashlib
 import io
 import random
 import tarfile
+import unicodedata
 import zlib
 
 import numpy as np
@@ -276,6 +277,22 @@ def test_pii(spark):
     assert got[3].startswith("Mr. ") and " Mrs. " in got[3] and "Госпожа " in got[3]
 
 
+def test_pii_names_refer_to_the_same_person(spark):
+    rows = [
+        (1, "Mr. John Smith met Mr. Smith. Dr. John Smith said: yesterday John Smith, or Smith's friend, called. Smithers did not."),
+        (2, "Prof. Smith knows Mrs. Ann Mary Smith and Ann Smith; Dr. John Smith left."),
+        (3, "John Smith has no form of address here, mail a@b.example.com"),
+        (4, "Sir Νίκος Καζαντζάκης"),
+    ]
+    got = {r["doc_id"]: r["text"] for r in pii.replace_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    first, last = got[1].split()[1:3]
+    assert got[1] == rows[0][1].replace("John", first).replace("Smith", last).replace(last + "ers", "Smithers") and {first, last}.isdisjoint({"John", "Smith"})
+    ann, mary = got[2].split()[4:6]
+    assert got[2] == f"Prof. {last} knows Mrs. {ann} {mary} {last} and {ann} {last}; Dr. {first} {last} left."
+    assert got[3].startswith("John Smith has")
+    assert got[4] != rows[3][1] and all("GREEK" in unicodedata.name(c) for c in got[4][4:].replace(" ", "").replace("-", ""))
+
+
 def test_pii_surrogates_are_distinct(spark):
     entities = spark.createDataFrame([("ssn", f"{i:09d}") for i in range(50)] + [("person", f"m {a}{b}") for a in "ABCDEFG" for b in ("ux", "im", "ol", "ek", "at")], "kind string, norm string")
     rows = pii.surrogates(entities).collect()
