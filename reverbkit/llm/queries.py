@@ -1,4 +1,4 @@
-"""Driver queries of the ten operators: ``opN_<name>(spark, sf_dir)`` applies
+"""Driver queries of the operators: ``opN_<name>(spark, sf_dir)`` applies
 operator N with production parameters to its whole table."""
 
 from __future__ import annotations
@@ -7,8 +7,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reverbkit.llm import langid, neighbours, packing, pieces, pii, secrets, simhash, substrings, toxicity, vectors
+from reverbkit.llm import decontaminate, infill, langid, neighbours, packing, pieces, pii, secrets, simhash, spelling, substrings, toxicity, vectors
 from reverbkit.llm.common import learn_fold, read, texts
+from reverbkit.llm.oracle import ORACLE
 
 
 def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,6 +73,32 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(read(spark, sf_dir, "documents"), length=13).drop("text")
 
 
+def op11_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_overlaps(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), length=10)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(read(spark, sf_dir, "documents"), least_length=7, least_count=2, drop_every=31, ratio=10)
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = infill.fill_in_middle(read(spark, sf_dir, "documents"), seed="1", plain_percent=10, spm_percent=20)
+
+    def sha256(text: Column) -> Column:
+        return F.sha2(text.cast("binary"), 256)
+
+    restored = infill.restore(F.col("output"), F.col("form"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", sha256(F.col("output")).alias("output_sha256"), sha256(restored).alias("restored_sha256"))
+
+
 QUERIES = {
     "op1_near_vectors": op1_near_vectors,
     "op2_toxicity": op2_toxicity,
@@ -83,5 +110,9 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_neighbours": op9_neighbours,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_decontaminate": op11_decontaminate,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
-ORACLE: dict[str, str] = {}
+
+__all__ = ["ORACLE", "QUERIES"]
