@@ -117,17 +117,3 @@ WITH t AS (SELECT doc_id, CAST(len(regexp_extract_all(lower(text), '[\\pL\\pN]+'
 SELECT doc_id, n AS n_tokens, CAST(least(n, 64) AS INTEGER) AS kept_64, CAST(least(n, 128) AS INTEGER) AS kept_128,
        n > 64 AS truncated_64 FROM t
 """
-
-ORACLE_SOURCES["train_eval"] = """
-WITH lab AS (SELECT d.doc_id, CAST(l.quality AS INTEGER) AS label FROM documents d JOIN labels l USING (doc_id)),
-rk AS (
-  SELECT label, row_number() OVER (PARTITION BY label ORDER BY md5('split42' || CAST(doc_id AS VARCHAR)), doc_id) AS r,
-         count(*) OVER (PARTITION BY label) AS n
-  FROM lab WHERE label IS NOT NULL),
-cl AS (
-  SELECT CASE WHEN r <= (n * 85) // 100 THEN 'val' ELSE 'test' END AS split, label, count(*) AS c
-  FROM rk WHERE r > (n * 70) // 100 GROUP BY ALL)
-SELECT split, CAST(sum(c) AS BIGINT) AS n, """ + r6("max(c) / CAST(sum(c) AS DOUBLE)") + """ AS majority,
-       TRUE AS loss_below_equal_odds
-FROM cl GROUP BY split
-"""

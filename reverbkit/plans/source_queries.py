@@ -100,21 +100,6 @@ def q_token_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def q_train_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M6 + M7: train on documents labelled by ``labels.quality``. Of the
-    validation and test metrics, what SQL can state: rows, the most frequent
-    class's share, and that the model's log loss is below that of equal odds."""
-    from reverbkit.functions.vectors import round_half_up
-    from reverbkit.operators.train import train_and_evaluate
-
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    lab = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").cast("int").alias("label"))
-    _, metrics = train_and_evaluate(docs.join(lab, "doc_id"), key="doc_id", text_col="text",
-                                    label_col="label", names=["low", "high"])
-    return metrics.select("split", "n", round_half_up(F.col("majority"), 6).alias("majority"),
-                          (F.col("log_loss") < F.log(F.lit(2.0))).alias("loss_below_equal_odds"))
-
-
 SOURCE_QUERIES = {
     "page_fields": q_page_fields,
     "parse_counts": q_parse_counts,
@@ -122,5 +107,4 @@ SOURCE_QUERIES = {
     "engagement_metrics": q_engagement_metrics,
     "engagement_bands": q_engagement_bands,
     "token_lengths": q_token_lengths,
-    "train_eval": q_train_eval,
 }
