@@ -1,4 +1,4 @@
-"""Classifier training over epochs and mini-batches (M6, M7).
+"""Classifier training over epochs and mini-batches (M6, M7), kept as tables.
 
 The reference trains its classification head with AdamW for a few epochs,
 validates after each, and tests the result once. Here a step is one Spark job:
@@ -33,7 +33,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -242,8 +242,22 @@ def train(rows: DataFrame, key: str, classes: int, dims: int, s: Settings | None
     return model, predictions
 
 
-def history(model: SoftmaxModel, spark) -> DataFrame:
+def history(model: SoftmaxModel, spark: SparkSession) -> DataFrame:
     """The model's history as a table: a row per epoch and one for the test split."""
     schema = "split string, epoch int, train_loss double, loss double, accuracy double, precision double, recall double, f1 double, majority double, n long"
     names = [c.split()[0] for c in schema.split(", ")]
     return spark.createDataFrame([tuple(h[c] for c in names) for h in model.history], schema)
+
+
+def save(model: SoftmaxModel, spark: SparkSession, path: str) -> None:
+    """The weights as a table, a row per class; the history beside it."""
+    rows = [(k, w.tolist()) for k, w in enumerate(model.weights)]
+    spark.createDataFrame(rows, "label int, weights array<double>").coalesce(1).write.mode("overwrite").parquet(f"{path}/weights")
+    history(model, spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/history")
+
+
+def load(spark: SparkSession, path: str) -> SoftmaxModel:
+    rows = spark.read.parquet(f"{path}/weights").orderBy("label").collect()
+    told = [r.asDict() for r in spark.read.parquet(f"{path}/history").collect()]
+    told.sort(key=lambda h: (h["split"] == "test", h["epoch"]))
+    return SoftmaxModel(np.array([r["weights"] for r in rows]), told)

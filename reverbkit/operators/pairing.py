@@ -4,59 +4,48 @@ The reference builds the full chunk x comment product and then keeps the most
 similar chunk per comment. Here the product is never materialised:
 
 * chunks of a video are packed into **blocks** of at most ``block_size``
-  chunks (``(chunk_index - 1) div block_size``), so a block row is bounded;
-* each comment row meets each block of its video once (rows =
-  comments x ceil(chunks / block_size)), and the best chunk inside a block
-  is picked with array functions in the same row;
-* the per-block winners are reduced with ``max(struct(sim, -chunk_index))``,
+  chunks (``(chunk_index - 1) div block_size``), so a block is bounded;
+* comments meet a block in groups of at most about ``rows_per_salt`` comments, and
+  a group is one matrix product (``nearest_chunk``) or, for sparse TF-IDF
+  vectors, array functions in each comment x block row;
+* a dense search over several blocks first asks the block whose centroid is
+  nearest, and then only blocks that could still win (``blocks_left``);
+* per-block winners are reduced with ``max(struct(sim, -chunk_index))``,
   a partial (map-side) aggregate, so ties go to the lowest ``chunk_index``.
 
 Hot videos (one video holding a large share of all comments) are split by an
-adaptive salt: a video with r comments gets ceil(r / rows_per_salt) salts,
+adaptive salt: a key with r comments gets ceil(r / rows_per_salt) salts,
 its comment rows are spread over them by ``xxhash64(comment key)`` and its
-(small) block side is replicated once per salt, so each task of the join
-holds about ``rows_per_salt`` comments whatever the skew. The only hand
-broadcast is the table of hot videos, which has at most
-N / rows_per_salt rows. AQE may still turn the main join into a broadcast
-when the block side is small at run time (size checked by Spark).
+(small) block side is replicated once per salt, so each group or task
+holds about ``rows_per_salt`` comments whatever the skew. Spark chooses
+how to join the small table of hot keys.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from reverbkit.functions.vectors import l2norm, sql_dot
+from reverbkit.session import cut_lineage
 
 DEFAULT_BLOCK = 256
-DEFAULT_ROWS_PER_SALT = 1_000_000
-
-
-def chunk_blocks(chunks: DataFrame, key: str = "video_id", vec_col: str = "vec",
-                 block_size: int = DEFAULT_BLOCK, payload: list[str] | None = None) -> DataFrame:
-    """Packs chunk vectors into bounded blocks per video.
-
-    ``chunks`` needs ``key``, ``chunk_index`` (1-based, dense per video) and
-    ``vec_col``; ``payload`` columns ride along in each element.
-    """
-    payload = payload or []
-    elem = F.struct(
-        F.col("chunk_index").cast("int").alias("chunk_index"),
-        F.col(vec_col).alias("vec"),
-        l2norm(vec_col).alias("norm"),
-        *[F.col(p) for p in payload],
-    )
-    return (
-        chunks.select(key, F.floor((F.col("chunk_index") - 1) / block_size).alias("block"), elem.alias("c"))
-        .groupBy(key, "block")
-        .agg(F.collect_list("c").alias("cs"))
-    )
+DEFAULT_ROWS_PER_SALT = 1_000_000  # comments of one task of the sparse search
+DEFAULT_GROUP = 65_536  # comments of one group of the dense search
+PACK = 256  # centroids that a comment meets at once
+SLICE = 4_096  # comments of one matrix product
+SLACK = 1e-9  # of a bound, for rounding
 
 
 def hot_key_salts(comments: DataFrame, key: str, rows_per_salt: int) -> DataFrame:
     """(key, _ns) for keys holding more than ``rows_per_salt`` rows, with
     ``_ns = ceil(rows / rows_per_salt)`` salts. A partial aggregate; the
-    result has at most N / rows_per_salt rows, which bounds its broadcast."""
+    result has at most N / rows_per_salt rows."""
     counts = comments.groupBy(key).agg(F.count(F.lit(1)).alias("_cnt"))
     return counts.where(F.col("_cnt") > rows_per_salt).select(
         key, F.ceil(F.col("_cnt") / F.lit(rows_per_salt)).cast("int").alias("_ns")
@@ -71,7 +60,7 @@ def _salted(comments: DataFrame, blocks: DataFrame, key: str, comment_key: str,
     salts, its comment rows are spread over them by hash and its (small)
     block side is replicated once per salt; every other key keeps salt 0.
     """
-    hot = F.broadcast(hot_key_salts(comments, key, rows_per_salt))
+    hot = hot_key_salts(comments, key, rows_per_salt)
     ns = F.coalesce(F.col("_ns"), F.lit(1))
     c = comments.join(hot, key, "left").withColumn(
         "_salt", F.pmod(F.xxhash64(F.col(comment_key)), ns).cast("int")).drop("_ns")
@@ -107,9 +96,135 @@ def _best_match(joined: DataFrame, key: str, comment_key: str, sims: str, commen
     )
 
 
+# ---------------------------------------------------------------------------
+# Dense search: matrix products of bounded groups, and bounds between blocks.
+# ---------------------------------------------------------------------------
+
+def _unit_rows(column: pa.ChunkedArray) -> np.ndarray:
+    """Vectors as rows of length one; null and zero vectors as zeros. Shorter
+    vectors are filled up with zeros."""
+    lists = column.combine_chunks()
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+    width, values = int(sizes.max(initial=0)), lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    if (sizes == width).all():
+        out = values.reshape(len(sizes), width)
+    else:
+        out = np.zeros((len(sizes), width))
+        out[np.arange(width)[None, :] < sizes[:, None]] = values
+    out = np.nan_to_num(out)
+    norm = np.sqrt((out * out).sum(axis=1, keepdims=True))
+    return np.divide(out, norm, out=np.zeros_like(out), where=norm > 0)
+
+
+def _products(comments: np.ndarray, chunks: np.ndarray):
+    """(first comment, similarities) for a slice of comments at a time."""
+    width = max(comments.shape[1], chunks.shape[1])
+    a, b = (np.pad(x, ((0, 0), (0, width - x.shape[1]))) for x in (comments, chunks))
+    for at in range(0, len(a), SLICE):
+        yield at, a[at : at + SLICE] @ b.T
+
+
+def _ranks(sims: np.ndarray) -> np.ndarray:
+    """Similarities as they are ranked (see ``SQL_RANK``)."""
+    return np.floor(sims * 1e12 + 0.5) / 1e12
+
+
+def _meet(comments: DataFrame, chunks: DataFrame, on: list[str], comment_key: str, rows_per_salt: int, found: Callable, schema: T.StructType) -> DataFrame:
+    """Groups of the comments and chunks that share the columns ``on``, comments
+    dealt over salts. ``found(comments, chunks)`` gets two Arrow tables."""
+    counts = comments.groupBy(*on).agg(F.count(F.lit(1)).alias("_cnt")).where(F.col("_cnt") > rows_per_salt)
+    hot = counts.select(*on, F.ceil(F.col("_cnt") / F.lit(rows_per_salt)).cast("int").alias("_ns"))
+    ns = F.coalesce("_ns", F.lit(1))
+    left = comments.join(hot, on, "left").withColumn("_salt", F.pmod(F.xxhash64(F.col(comment_key)), ns).cast("int")).drop("_ns")
+    right = chunks.join(hot, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), ns - 1))).drop("_ns")
+    both = left.withColumn("_left", F.lit(True)).unionByName(right.withColumn("_left", F.lit(False)), allowMissingColumns=True)
+    own = [c for c in left.columns if c not in ("_salt",)], [c for c in right.columns if c not in ("_salt",)]
+
+    def met(table: pa.Table) -> pa.Table:
+        a, b = table.filter(table["_left"]).select(own[0]), table.filter(pc.invert(table["_left"])).select(own[1])
+        if not a.num_rows or not b.num_rows:
+            return empty
+        return found(a, b)
+
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    empty = to_arrow_schema(schema).empty_table()
+    return both.groupBy(*on, "_salt").applyInArrow(met, schema)
+
+
+def _nearest_in(comments: DataFrame, chunks: DataFrame, on: list[str], comment_key: str, rows_per_salt: int) -> DataFrame:
+    """Each comment's best chunk of the group it is in: the comment's columns but
+    its vector, and _rank, _sim, _index and the chunk's payload."""
+    carried = [c for c in comments.columns if c != "_v"]
+    payload = [c for c in chunks.columns if c not in (*on, "_index", "_w")]
+    schema = T.StructType([comments.schema[c] for c in carried])
+    schema = schema.add("_rank", "double").add("_sim", "double").add("_index", "integer")
+    for c in payload:
+        schema = schema.add(chunks.schema[c])
+
+    def found(a: pa.Table, b: pa.Table) -> pa.Table:
+        b = b.take(pc.sort_indices(b["_index"]))  # the first of equal ones has the lowest index
+        best, sims = [], []
+        for _, s in _products(_unit_rows(a["_v"]), _unit_rows(b["_w"])):
+            at = _ranks(s).argmax(axis=1)
+            best.append(at)
+            sims.append(s[np.arange(len(at)), at])
+        at, sim = pa.array(np.concatenate(best)), np.concatenate(sims)
+        columns = {c: a[c] for c in carried} | {"_rank": pa.array(_ranks(sim)), "_sim": pa.array(sim), "_index": b["_index"].take(at)}
+        return pa.table(columns | {c: b[c].take(at) for c in payload})
+
+    return _meet(comments, chunks, on, comment_key, rows_per_salt, found, schema)
+
+
+def block_bounds(chunks: DataFrame, key: str) -> DataFrame:
+    """(key, _block, _w, _angle, _zero): each block's mean direction, the widest
+    angle between it and a chunk (pi where there is no direction), and whether a chunk is a zero vector."""
+    schema = T.StructType([chunks.schema[key], chunks.schema["_block"]])
+    schema = schema.add("_w", T.ArrayType(T.DoubleType())).add("_angle", "double").add("_zero", "boolean")
+
+    def bound(table: pa.Table) -> pa.Table:
+        x = _unit_rows(table["_w"])
+        real = x.any(axis=1)
+        mean = x.sum(axis=0)
+        norm = float(np.sqrt(mean @ mean))
+        centre = mean / norm if norm > 1e-9 else np.zeros_like(mean)
+        cosine = float((x[real] @ centre).min(initial=1.0)) if norm > 1e-9 else -1.0
+        return pa.table({
+            key: table[key][:1], "_block": table["_block"][:1], "_w": pa.array([centre], pa.list_(pa.float64())),
+            "_angle": pa.array([float(np.arccos(np.clip(cosine, -1, 1)))]), "_zero": pa.array([bool((~real).any())]),
+        })
+
+    return chunks.groupBy(key, "_block").applyInArrow(bound, schema)
+
+
+def blocks_left(comments: DataFrame, bounds: DataFrame, key: str, comment_key: str, rows_per_salt: int = DEFAULT_GROUP) -> DataFrame:
+    """``comments`` (with _v, their best rank so far and the block _home it is from)
+    once for each other block that may hold a chunk as similar: the angle between a
+    comment and any chunk is at least that to the block's direction less the block's angle."""
+    packs = bounds.withColumnRenamed("_block", "_index").withColumn("_pack", F.expr(f"_index div {PACK}"))
+    asked = comments.join(packs.groupBy(key).agg(F.max("_pack").alias("_last")), key)
+    asked = asked.withColumn("_pack", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_last")))).drop("_last")
+    schema = T.StructType([f for f in asked.schema.fields if f.name != "_pack"]).add("_block", "long")
+
+    def found(a: pa.Table, b: pa.Table) -> pa.Table:
+        index, angle, zero = (b[c].to_numpy() for c in ("_index", "_angle", "_zero"))
+        home, rank, rows, blocks = a["_home"].to_numpy(), a["_rank"].to_numpy(), [], []
+        for at, s in _products(_unit_rows(a["_v"]), _unit_rows(b["_w"])):
+            best = np.cos(np.maximum(np.arccos(np.clip(s, -1, 1)) - angle[None, :], 0))
+            best = np.where(zero[None, :], np.maximum(best, 0), best)
+            part = slice(at, at + len(s))
+            i, k = np.nonzero((best >= rank[part, None] - SLACK) & (index[None, :] != home[part, None]))
+            rows.append(i + at)
+            blocks.append(index[k])
+        taken = a.take(pa.array(np.concatenate(rows))).drop(["_pack"])
+        return taken.append_column("_block", pa.array(np.concatenate(blocks), pa.int64()))
+
+    return _meet(asked, packs, [key, "_pack"], comment_key, rows_per_salt, found, schema)
+
+
 def nearest_chunk(comments: DataFrame, chunks: DataFrame, key: str = "video_id",
                   comment_key: str = "comment_id", vec_col: str = "vec",
-                  block_size: int = DEFAULT_BLOCK, rows_per_salt: int = DEFAULT_ROWS_PER_SALT,
+                  block_size: int = DEFAULT_BLOCK, rows_per_salt: int = DEFAULT_GROUP,
                   comment_payload: list[str] | None = None,
                   chunk_payload: list[str] | None = None) -> DataFrame:
     """The most similar chunk of the same video for every comment.
@@ -117,20 +232,40 @@ def nearest_chunk(comments: DataFrame, chunks: DataFrame, key: str = "video_id",
     Returns ``key, comment_key, chunk_index, similarity`` plus the payload
     columns of the comment and of the winning chunk (carried through the
     search, so no join back is needed). Similarity is the cosine
-    ``dot / (|a| |b|)`` (0 for a zero vector). Comments whose video has no
+    ``dot / (|a| |b|)`` (0 for a null or zero vector). Comments whose video has no
     chunk are dropped (inner semantics, as in the reference).
+
+    Videos of one block are searched by one matrix product per group. Of the others a
+    comment asks first its home block, whose direction is nearest, and then the
+    blocks that ``blocks_left`` cannot exclude. The result is exact.
     """
-    comment_payload = comment_payload or []
-    chunk_payload = chunk_payload or []
-    cm = comments.select(key, comment_key, *comment_payload, F.col(vec_col).alias("_v"),
-                         l2norm(vec_col).alias("_n"))
-    blocks = chunk_blocks(chunks, key, vec_col, block_size, chunk_payload)
-    joined = _salted(cm, blocks, key, comment_key, rows_per_salt)
-
-    # similarities of the comment to every chunk of the block, computed once
-    sim = f"CASE WHEN (_n * c_.norm) > 0 THEN {sql_dot('_v', 'c_.vec')} / (_n * c_.norm) ELSE 0D END"
-    sims = f"transform(cs, c_ -> {sim})"
-    return _best_match(joined, key, comment_key, sims, comment_payload, chunk_payload)
+    comment_payload, chunk_payload = comment_payload or [], chunk_payload or []
+    cm = comments.where(F.col(key).isNotNull()).select(key, comment_key, *comment_payload, F.col(vec_col).alias("_v"))
+    block = F.floor((F.col("chunk_index") - 1) / block_size).cast("long")
+    kc = chunks.select(key, block.alias("_block"), F.col("chunk_index").cast("int").alias("_index"), F.col(vec_col).alias("_w"),
+                       *[F.col(p).alias(f"_k_{p}") for p in chunk_payload])
+    on = [key, "_block"]
+    names = ["_rank", "_sim", "_index", *[f"_k_{p}" for p in chunk_payload]]
+    if kc.where("_block > 0").isEmpty():
+        found = _nearest_in(cm.withColumn("_block", F.lit(0).cast("long")), kc, on, comment_key, rows_per_salt)
+    else:
+        kc = cut_lineage(kc, "chunks")
+        bounds = cut_lineage(block_bounds(kc, key), "bounds")
+        # the home block: the nearest direction, pack by pack
+        packs = bounds.select(key, F.expr(f"_block div {PACK}").alias("_pack"), F.col("_block").cast("int").alias("_index"), "_w")
+        asked = cm.join(packs.groupBy(key).agg(F.max("_pack").alias("_last")), key)
+        asked = asked.withColumn("_pack", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_last")))).drop("_last")
+        near = _nearest_in(asked.select(key, comment_key, "_pack", "_v"), packs, [key, "_pack"], comment_key, rows_per_salt)
+        home = near.groupBy(key, comment_key).agg(F.max(F.struct("_rank", (-F.col("_index")).alias("n"))).alias("b"))
+        homed = cut_lineage(cm.join(home.select(key, comment_key, (-F.col("b.n")).cast("long").alias("_block")), [key, comment_key]), "homed")
+        first = cut_lineage(_nearest_in(homed, kc, on, comment_key, rows_per_salt), "first")
+        so_far = homed.withColumnRenamed("_block", "_home").join(first.select(key, comment_key, "_rank").distinct(), [key, comment_key])
+        left = blocks_left(so_far, bounds, key, comment_key, rows_per_salt).drop("_rank", "_home")
+        found = first.unionByName(_nearest_in(left, kc, on, comment_key, rows_per_salt))
+    best = F.struct("_rank", (-F.col("_index")).alias("_neg"), *names[1:])
+    rows = found.groupBy(key, comment_key).agg(F.max(best).alias("b"), *[F.any_value(p).alias(p) for p in comment_payload])
+    return rows.select(key, comment_key, *comment_payload, F.col("b._index").alias("chunk_index"), F.col("b._sim").alias("similarity"),
+                       *[F.col(f"b._k_{p}").alias(p) for p in chunk_payload])
 
 
 def pair_counts(comments: DataFrame, chunks: DataFrame, key: str = "video_id") -> DataFrame:
@@ -177,8 +312,6 @@ def tfidf_nearest_chunk(comments: DataFrame, chunks: DataFrame, key: str = "vide
     checkpoint folder (``session.cut_lineage``). ``comments`` and ``chunks``
     are read several times; pass them checkpointed when they are expensive.
     """
-    from reverbkit.session import cut_lineage
-
     comment_payload = comment_payload or []
     chunk_payload = chunk_payload or []
     ktf = cut_lineage(term_counts(chunks, [key, "chunk_index"], chunk_text), "terms")

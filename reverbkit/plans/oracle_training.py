@@ -120,7 +120,7 @@ FROM totals t JOIN weighed w USING (split, epoch) JOIN train_losses l USING (epo
 ORACLE_TRAINING: dict[str, str] = {
     "train_history": _trained(_VECTORS, 6, VECTOR_DIMS, VECTOR_SETTINGS) + _HISTORY,
     "train_eval": _trained(_TEXTS, 2, TEXT_DIMS, TEXT_SETTINGS) + _HISTORY,
-    "test_predictions": _trained(_VECTORS, 6, VECTOR_DIMS, VECTOR_SETTINGS)
+    "reloaded_scores": _trained(_VECTORS, 6, VECTOR_DIMS, VECTOR_SETTINGS)
     + "SELECT id AS vec_id, label, CAST(pred AS INTEGER) AS pred, "
     + ", ".join(f"{r6(f'probs[{k + 1}]')} AS p{k}" for k in range(6))
     + f", {r6('loss')} AS loss FROM told WHERE split = 'test'",

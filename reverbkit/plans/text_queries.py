@@ -12,7 +12,8 @@ from reverbkit.operators.chunks import (
     chunk_text,
     transcript_word_counts,
 )
-from reverbkit.operators.pairing import pair_counts, tfidf_nearest_chunk
+from reverbkit.operators import termvectors
+from reverbkit.operators.pairing import nearest_chunk, pair_counts, tfidf_nearest_chunk
 from reverbkit.plans.variants import COMMENT_VARIANTS, SLANG_VARIANTS, TRANSCRIPT_VARIANTS, wrap
 from reverbkit.sources.tables import (
     conversation_comments,
@@ -119,6 +120,32 @@ def q_tfidf_nearest_chunk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nn.select("video_id", "comment_pos", "chunk_index", round_half_up(F.col("similarity"), 6).alias("similarity"))
 
 
+TEXT_DIMS = 32
+
+
+def q_dense_text_nearest_chunk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5 + J2: the nearest chunk by text vectors learned from the same texts."""
+    from reverbkit.functions.vectors import round_half_up
+    from reverbkit.session import cut_lineage
+
+    comments, chunks, vectors, idf = learned_texts(spark, sf_dir)
+    c = cut_lineage(termvectors.text_vectors(comments, ["video_id", "comment_pos"], "comment", vectors, idf, TEXT_DIMS), "comment-vectors")
+    k = cut_lineage(termvectors.text_vectors(chunks, ["video_id", "chunk_index"], "chunk", vectors, idf, TEXT_DIMS), "chunk-vectors")
+    nn = nearest_chunk(c, k, comment_key="comment_pos")
+    return nn.select("video_id", "comment_pos", "chunk_index", round_half_up(F.col("similarity"), 6).alias("similarity"))
+
+
+def learned_texts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The distinct comments, the chunks, and term vectors and idf learned from both."""
+    from reverbkit.session import cut_lineage
+
+    comments = cut_lineage(distinct_comments(cleaned_comments(spark, sf_dir)).select("video_id", "comment_pos", "comment"), "comments")
+    chunks = cut_lineage(transcript_chunks(spark, sf_dir).select("video_id", "chunk_index", "chunk"), "chunks")
+    texts = comments.select(F.col("comment").alias("text")).unionByName(chunks.select(F.col("chunk").alias("text")))
+    vectors, _ = termvectors.learn(texts, "text", TEXT_DIMS)
+    return comments, chunks, vectors, termvectors.inverse_frequency(chunks, "chunk")
+
+
 TEXT_QUERIES = {
     "clean_comments": q_clean_comments,
     "distinct_comments": q_distinct_comments,
@@ -130,4 +157,5 @@ TEXT_QUERIES = {
     "pair_counts": q_pair_counts,
     "rejected_videos": q_rejected_videos,
     "tfidf_nearest_chunk": q_tfidf_nearest_chunk,
+    "dense_text_nearest_chunk": q_dense_text_nearest_chunk,
 }

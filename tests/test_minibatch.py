@@ -150,3 +150,11 @@ def test_quality_of_texts_is_learned(spark):
     test = model.history[-1]
     assert test["accuracy"] > test["majority"] + 0.05
     assert [h["split"] for h in model.history] == ["val"] * 5 + ["test"]
+
+
+def test_saved_and_loaded(spark, tmp_path):
+    _, df = make(spark, n=60)
+    model, _ = mb.train(df, "id", 3, 12, mb.Settings(epochs=2, batches=2))
+    mb.save(model, spark, str(tmp_path / "m"))
+    again = mb.load(spark, str(tmp_path / "m"))
+    assert np.array_equal(again.weights, model.weights) and again.history == model.history
