@@ -4,7 +4,7 @@ the positive pointwise mutual information of terms, by subspace iteration in Spa
 * Terms that stand at most ``window`` apart in a text are a pair; pairs and their
   marginals are keyed aggregates with map-side combine;
 * a round multiplies the sparse symmetric matrix with ``dims`` vectors, kept as a
-  table (term, vec): a join on the column's term and a vector sum by the row's term;
+  table (term, vec), cell by cell of a grid that keeps a cell at about ``CELL`` pairs;
 * only ``dims x dims`` numbers reach the driver: Gram matrices, for a Cholesky
   orthonormalisation per round and the small eigenproblem at the end;
 * a text's vector is the sum of its terms' vectors, weighted by ``idf``.
@@ -19,6 +19,7 @@ zeros; no terms give an empty table.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +33,9 @@ from reverbkit.constants import SEED
 from reverbkit.operators.pairing import TERM_PATTERN
 from reverbkit.session import cut_lineage
 
+CELL = 250_000  # pairs of one cell of the matrix
+SLICE = 100_000  # pairs multiplied at a time
+
 
 def _terms(text: str) -> F.Column:
     return F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(TERM_PATTERN), 0)
@@ -74,14 +78,14 @@ def _cells(rows: DataFrame, left: str, right: str, dims: int) -> np.ndarray:
 
 
 def _turned(rows: DataFrame, column: str, by: np.ndarray) -> DataFrame:
-    """(term, vec): the vectors of ``column`` times a dims x dims matrix."""
+    """(id, term, vec): the vectors of ``column`` times a dims x dims matrix."""
 
     def turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x = b[column].flatten().to_numpy().reshape(b.num_rows, len(by)) @ by
-            yield pa.RecordBatch.from_arrays([b["term"], pa.array(list(x), pa.list_(pa.float64()))], ["term", "vec"])
+            yield pa.RecordBatch.from_arrays([b["id"], b["term"], pa.array(list(x), pa.list_(pa.float64()))], ["id", "term", "vec"])
 
-    return rows.select("term", column).mapInArrow(turn, "term string, vec array<double>")
+    return rows.select("id", "term", column).mapInArrow(turn, "id long, term string, vec array<double>")
 
 
 def _orthonormal(rows: DataFrame, column: str, dims: int) -> DataFrame:
@@ -92,27 +96,65 @@ def _orthonormal(rows: DataFrame, column: str, dims: int) -> DataFrame:
     return cut_lineage(_turned(rows, column, axes * scale), "basis")
 
 
-def _product(pairs: DataFrame, basis: DataFrame, dims: int) -> DataFrame:
-    """(term, vec, y): each basis row with its row of matrix times basis."""
-    met = pairs.join(basis.select(F.col("term").alias("b"), array_to_vector("vec").alias("v")), "b")
-    sums = met.groupBy(F.col("a").alias("term")).agg(vector_to_array(Summarizer.sum(F.col("v"), F.col("ppmi"))).alias("y"))
-    return cut_lineage(basis.join(sums, "term", "left").withColumn("y", F.coalesce("y", F.array_repeat(F.lit(0.0), dims))), "product")
+def _summed(ids: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ids and the sums of their rows."""
+    order = np.argsort(ids, kind="stable")
+    ids = ids[order]
+    first = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
+    return ids[first], np.add.reduceat(x[order], first, axis=0)
+
+
+def _rows(ids: np.ndarray, x: np.ndarray, part: int) -> pa.Table:
+    return pa.table({"id": pa.array(ids, pa.int64()), "y": pa.array(list(x), pa.list_(pa.float64())), "part": pa.array(np.full(len(ids), part), pa.int32())})
+
+
+def _product(pairs: DataFrame, basis: DataFrame, dims: int, parts: int) -> DataFrame:
+    """(id, term, vec, y): each basis row with its row of matrix times basis. The matrix is
+    cut into ``parts`` x ``parts`` cells by the hashes of both terms; a cell meets its part of the
+    basis in one group, and the cells of a row of cells are summed up."""
+    schema = "id long, y array<double>, part int"
+
+    def cell(own: pa.Table, part: pa.Table) -> pa.Table:
+        if not own.num_rows or not part.num_rows:
+            return _rows(np.zeros(0, np.int64), np.zeros((0, dims)), 0)
+        ids = part["id"].to_numpy()
+        order = np.argsort(ids)
+        q = part["vec"].combine_chunks().flatten().to_numpy().reshape(len(ids), dims)[order]
+        a, b, v = (own[c].to_numpy() for c in ("a", "b", "ppmi"))
+        at = np.searchsorted(ids[order], b)
+        done = [_summed(a[k : k + SLICE], v[k : k + SLICE, None] * q[at[k : k + SLICE]]) for k in range(0, len(a), SLICE)]
+        return _rows(*_summed(np.concatenate([d[0] for d in done]), np.concatenate([d[1] for d in done])), own["pa"][0].as_py())
+
+    def total(table: pa.Table) -> pa.Table:
+        y = table["y"].combine_chunks().flatten().to_numpy().reshape(table.num_rows, dims)
+        return _rows(*_summed(table["id"].to_numpy(), y), 0)
+
+    spread = basis.select("id", "vec", F.pmod("id", F.lit(parts)).cast("int").alias("pb"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("pa"))
+    cells = pairs.groupBy("pa", "pb").cogroup(spread.groupBy("pa", "pb")).applyInArrow(cell, schema)
+    sums = cells.groupBy("part").applyInArrow(total, schema).select("id", "y")
+    return cut_lineage(basis.join(sums, "id", "left").withColumn("y", F.coalesce("y", F.array_repeat(F.lit(0.0), dims))), "product")
 
 
 def learn(texts: DataFrame, text_col: str, dims: int = 32, window: int = 4, min_count: int = 2, rounds: int = 6, seed: int = SEED) -> tuple[DataFrame, np.ndarray]:
     """((term, vec) and the eigenvalues, largest first): term vectors scaled by the square roots of
-    the eigenvalues; directions of negative ones are left at zero."""
+    the eigenvalues; directions of negative ones are left at zero. Inside, terms go by
+    their 64-bit hashes."""
     pairs = cut_lineage(term_pairs(texts, text_col, window, min_count), "ppmi")
+    parts = max(1, math.ceil(math.sqrt(pairs.count() / CELL)))
+    place = [F.pmod(x, F.lit(parts)).cast("int").alias(p) for x, p in (("a", "pa"), ("b", "pb"))]
+    by_hash = pairs.select(F.xxhash64("a").alias("a"), F.xxhash64("b").alias("b"), "ppmi")
+    cells = cut_lineage(by_hash.select("a", "b", "ppmi", *place), "cells")
     start = F.expr(f"transform(sequence(1, {dims}), i -> xxhash64(a, i, {int(seed)}) / 9.3e18D)")
-    basis = _orthonormal(pairs.select("a").distinct().select(F.col("a").alias("term"), start.alias("vec")), "vec", dims)
+    basis = pairs.select("a").distinct().select(F.xxhash64("a").alias("id"), F.col("a").alias("term"), start.alias("vec"))
+    basis = _orthonormal(basis, "vec", dims)
     for _ in range(rounds):
-        basis = _orthonormal(_product(pairs, basis, dims), "y", dims)
-    made = _product(pairs, basis, dims)
+        basis = _orthonormal(_product(cells, basis, dims, parts), "y", dims)
+    made = _product(cells, basis, dims, parts)
     small = _cells(made, "vec", "y", dims)
     values, axes = np.linalg.eigh((small + small.T) / 2)
     order = np.argsort(-values)
     values, axes = values[order], axes[:, order]
-    return cut_lineage(_turned(made, "vec", axes * np.sqrt(np.maximum(values, 0))), "term-vectors"), values
+    return cut_lineage(_turned(made, "vec", axes * np.sqrt(np.maximum(values, 0))).select("term", "vec"), "term-vectors"), values
 
 
 def text_vectors(texts: DataFrame, keys: list[str], text_col: str, vectors: DataFrame, idf: DataFrame, dims: int, out: str = "vec") -> DataFrame:

@@ -142,7 +142,7 @@ def learned_texts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     comments = cut_lineage(distinct_comments(cleaned_comments(spark, sf_dir)).select("video_id", "comment_pos", "comment"), "comments")
     chunks = cut_lineage(transcript_chunks(spark, sf_dir).select("video_id", "chunk_index", "chunk"), "chunks")
     texts = comments.select(F.col("comment").alias("text")).unionByName(chunks.select(F.col("chunk").alias("text")))
-    vectors, _ = termvectors.learn(texts, "text", TEXT_DIMS)
+    vectors, _ = termvectors.learn(texts, "text", TEXT_DIMS, min_count=5, rounds=3)
     return comments, chunks, vectors, termvectors.inverse_frequency(chunks, "chunk")
 
 
