@@ -22,11 +22,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by their SimHash, the one with the smallest id stays.
-    Rows without an id stay; of rows that share an id one stays."""
-    kept = simhash.simhash_duplicates(docs.where("doc_id is not null"), shingle=3, max_bits=3).where("doc_id = component_id").select("doc_id")
-    named = docs.join(kept.distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(docs.columns).unionByName(docs.where("doc_id is null"))
+    """Of documents linked by their SimHash, the one with the smallest id stays, and
+    of those that share it the one whose text has the smallest hash; rows without
+    an id come last. Rows equal in id and text are one document."""
+    key = F.struct(F.col("doc_id").isNull(), "doc_id", F.sha2(F.coalesce("text", F.lit("")), 256))
+    rows = docs.select(key.alias("row_key"), "text")
+    kept = simhash.simhash_duplicates(rows, shingle=3, max_bits=3, id_col="row_key").where("doc_id = component_id").select(F.col("doc_id").alias("row_key")).distinct()
+    named = docs.select(key.alias("row_key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return named.join(kept, "row_key", "left_semi").dropDuplicates(["row_key"]).select("row.*")
 
 
 def remove_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +42,7 @@ def remove_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def replace_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is replaced by surrogates."""
-    rows = pii.replace_pii(docs)
+    rows = pii.replace_pii(docs, count_col=None)
     return rows.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 

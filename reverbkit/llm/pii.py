@@ -243,9 +243,11 @@ def _dressed(kind: Column, raw: Column, surrogate: Column) -> Column:
     )
 
 
-def replace_pii(docs: DataFrame, text_col: str = "text", key: str = KEY) -> DataFrame:
-    """``docs`` with every detected entity replaced, and the column ``n_entities``
-    (0 for null)."""
+def replace_pii(docs: DataFrame, text_col: str = "text", key: str = KEY, count_col: str | None = "n_entities") -> DataFrame:
+    """``docs`` with every detected entity replaced, and the number of entities
+    (0 for null) in the column ``count_col``, which ``docs`` must not have; None: not told."""
+    if count_col in docs.columns:
+        raise ValueError(f"the input has a column {count_col}; name another for the number of entities")
     hinted = F.expr(f"`{text_col}` rlike r'{_sql(HINT)}'")
     entities = F.when(hinted, F.expr(f"regexp_extract_all(`{text_col}`, r'{_sql(ANY)}', 0)"))
     found = docs.withColumn("_pii_found", F.coalesce(entities, F.array().cast("array<string>")))
@@ -267,8 +269,9 @@ def replace_pii(docs: DataFrame, text_col: str = "text", key: str = KEY) -> Data
     rebuilt = with_any.join(by_text, "_pii_key").withColumn("_pii_gaps", gaps)
     new = F.expr(f"array_join(transform(_pii_gaps, (g, i) -> concat({_bare("g")}, coalesce(_pii_map[get(_pii_found, i)], ''))), '')")
     columns = [F.col(f"`{c}`") if c != text_col else new.alias(text_col) for c in docs.columns]
-    rebuilt = rebuilt.select(*columns, F.size("_pii_found").alias("n_entities"))
-    rest = found.where(F.size("_pii_found") == 0).select(*[F.col(f"`{c}`") for c in docs.columns], F.lit(0).alias("n_entities"))
+    told = [F.size("_pii_found").alias(count_col)] if count_col else []
+    rebuilt = rebuilt.select(*columns, *told)
+    rest = found.where(F.size("_pii_found") == 0).select(*[F.col(f"`{c}`") for c in docs.columns], *([F.lit(0).alias(count_col)] if count_col else []))
     return rebuilt.unionByName(rest)
 
 

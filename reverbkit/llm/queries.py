@@ -50,7 +50,7 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.replace_pii(read(spark, sf_dir, "documents")).select("doc_id", "text", "n_entities")
+    return pii.replace_pii(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,6 @@ from functools import cache
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -74,31 +73,47 @@ def golay_index() -> np.ndarray:
         rest = np.where(rest >> bit & 1, rest ^ (GENERATOR << (bit - 11)), rest)
     codewords = words | rest
     errors = np.array([sum(1 << b for b in c) for r in range(4) for c in combinations(range(23), r)], np.int64)
-    table = np.empty(1 << 23, np.int16)
-    table[(codewords[:, None] ^ errors[None, :]).ravel()] = np.repeat(np.arange(4096), len(errors))
+    table, numbers = np.empty(1 << 23, np.int16), np.arange(4096, dtype=np.int16)
+    for e in errors:
+        table[codewords ^ e] = numbers
     return table
 
 
-def _segment_keys(values: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The codeword of each value; the codewords within one turned bit, sorted,
+def _segments(fp: np.ndarray) -> list[np.ndarray]:
+    return [(fp.view(np.uint64) >> np.uint64(at)).astype(np.int64) & ((1 << n) - 1) for at, n in SEGMENTS]
+
+
+def _near(values: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The codewords of each value and of the value with one bit turned, sorted,
     with a mask of the first of equal ones."""
     turned = values[:, None] ^ np.concatenate(([0], 1 << np.arange(bits)))[None, :]
     near = np.sort(golay_index()[turned].astype(np.int64), axis=1)
     first = np.ones(near.shape, bool)
     first[:, 1:] = near[:, 1:] != near[:, :-1]
-    return golay_index()[values].astype(np.int64), near, first
+    return near, first
+
+
+def _keyed(fp: np.ndarray, key: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(fp, pa.int64()), pa.array(key, pa.int64())], ["fp", "key"])
+
+
+def _index_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(fp) -> (fp, key): the three keys that a fingerprint is found under."""
+    for b in batches:
+        fp = b["fp"].to_numpy()
+        word = [golay_index()[x].astype(np.int64) for x in _segments(fp)]
+        for p, (i, j) in enumerate(PAIRS):
+            yield _keyed(fp, p << 24 | word[i] << 12 | word[j])
 
 
-def _keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(fp) -> (fp, key, probe): the three index keys and all probe keys."""
-    for pdf in batches:
-        for at in range(0, len(pdf), 2048):
-            fp = pdf["fp"].to_numpy(np.int64)[at : at + 2048]
-            seg = [_segment_keys((fp.view(np.uint64) >> np.uint64(s)).astype(np.int64) & ((1 << n) - 1), n) for s, n in SEGMENTS]
-            for p, (i, j) in enumerate(PAIRS):
-                yield pd.DataFrame({"fp": fp, "key": p << 24 | seg[i][0] << 12 | seg[j][0], "probe": False})
-                row, a, b = np.nonzero(seg[i][2][:, :, None] & seg[j][2][:, None, :])
-                yield pd.DataFrame({"fp": fp[row], "key": p << 24 | seg[i][1][row, a] << 12 | seg[j][1][row, b], "probe": True})
+def _probe_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(fp) -> (fp, key): the keys that a fingerprint asks."""
+    for b in (s for whole in batches for s in slices(whole, 2048)):
+        fp = b["fp"].to_numpy()
+        near = [_near(x, n) for x, (_, n) in zip(_segments(fp), SEGMENTS, strict=True)]
+        for p, (i, j) in enumerate(PAIRS):
+            row, x, y = np.nonzero(near[i][1][:, :, None] & near[j][1][:, None, :])
+            yield _keyed(fp[row], p << 24 | near[i][0][row, x] << 12 | near[j][0][row, y])
 
 
 def _forest(max_bits: int):
@@ -128,8 +143,10 @@ def links(prints: DataFrame, max_bits: int = 3) -> DataFrame:
     reachable by all links is reachable by these."""
     if not 0 <= max_bits <= 3:
         raise ValueError("the segments' pigeonhole holds for 0 to 3 bits")
-    keys = prints.mapInPandas(_keys, "fp long, key long, probe boolean")
-    index, probes = keys.where(~F.col("probe")).drop("probe"), keys.where("probe").drop("probe")
+    kind = "fp long, key long"
+    index = prints.mapInArrow(_index_keys, kind)
+    # written once: cold and hot keys are asked by the same probes
+    probes = cut_lineage(prints.mapInArrow(_probe_keys, kind), "simhash-probes")
     counts = index.groupBy("key").count()
     index = cut_lineage(index.join(counts, "key"), "simhash-index")
     cold = index.where(F.col("count") <= COLD_KEY).select("key", F.col("fp").alias("u"))
