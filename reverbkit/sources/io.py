@@ -86,6 +86,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: li
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
+        # the writer would trim texts; quotes inside are doubled
+        w = w.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         w.option("header", True).option("quote", '"').option("escape", '"').csv(path)
     else:
         w.format(fmt).save(path)
