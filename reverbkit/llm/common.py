@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from reverbkit.session import cut_lineage
 
-__all__ = ["block_groups", "cut_lineage", "finite", "learn_fold", "matrix", "read", "slices", "texts"]
+__all__ = ["block_groups", "cut_lineage", "finite", "give_back", "learn_fold", "matrix", "read", "slices", "texts"]
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,7 +31,15 @@ def slices(b: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
     time; what Arrow keeps of the batch's memory goes back afterwards."""
     for at in range(0, b.num_rows, rows):
         yield b.slice(at, rows)
+    give_back()
+
+
+def give_back() -> None:
+    """Hands memory that Arrow and the allocator keep for later back to the system:
+    Python workers live on between the stages of a job."""
     pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
 
 
 def learn_fold(id_col: str, modulus: int) -> Column:

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from reverbkit.llm.common import texts
+from reverbkit.llm.common import give_back, texts
 
 WINDOW = 4096
 SHARD_TOKENS = 1 << 20
@@ -109,6 +109,7 @@ def _slices(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE_BYTES)))
         yield b.slice(at, to - at)
         at = to
+    give_back()
 
 
 @cache
