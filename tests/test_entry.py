@@ -16,4 +16,5 @@ def test_every_query_has_an_oracle():
     assert set(o) <= set(q)
     # the queries of the llm subpackage, where it is there, are tested in tests/llm
     own = {name for name in q if name != "pipeline" and not re.match(r"op\d+_", name)}
-    assert own - set(o) == set()
+    # an eigendecomposition by iteration is not SQL: tests/test_termvectors.py holds it against numpy and brute force
+    assert own - set(o) == {"dense_text_nearest_chunk"}
