@@ -4,12 +4,13 @@ Three kinds of secrets are searched in the text itself (leftmost,
 non-overlapping per kind): assignments of a value of 8 or more characters to a
 name such as ``password``, access keys of 16 or more characters, and runs of 32
 or more hexadecimal digits. The text is the first layer of a worklist. From
-each layer others are unwrapped: percent escapes, ``\u``, ``\U`` and ``\x``
-escapes (the whole layer with all escapes of the sort decoded), runs of base64,
+each layer others are unwrapped: percent escapes (also ``%u``), ``\u``, ``\u{}``, ``\U``
+and ``\x`` escapes (what stands around them with all escapes of the sort decoded), runs of base64,
 also over several lines (each read from its first four characters, as a path or
 other prefix may be part of the run), gzip and zlib data inside them. Each new layer is scanned
 and unwrapped in turn until nothing new appears; a layer whose text and place
-were seen before is not taken again, so data that decode to themselves end.
+were seen before is not taken again, so data that decode to themselves end. Work
+and memory grow in proportion to a text and to what its layers hold, however long a run.
 Every decoded layer is scanned, binary ones too: bytes that are not UTF-8 are
 replaced, and ASCII characters of two bytes (UTF-16) are read as one.
 
@@ -33,6 +34,7 @@ import codecs
 import hashlib
 import re
 import zlib
+from bisect import bisect_right
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -48,8 +50,8 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
 
-PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\U[0-9A-Fa-f]{8}|(?:\\x[0-9A-Fa-f]{2})+")
+PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+|(?:%u[0-9A-Fa-f]{4})+")
+ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|(?:\\x[0-9A-Fa-f]{2})+")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{16,}={0,2}")
 BASE64_URL = re.compile(r"(?<![A-Za-z0-9_-])(?=[A-Za-z0-9]*[_-])[A-Za-z0-9_-]{16,}={0,2}")
 #: A line end, also one spelled as an escape, with what indents the next line.
@@ -66,9 +68,10 @@ WRAPPED = [
 PACKED = re.compile(r"(?<=[+/])(?:H4sI|e[AFJN])")
 FROM_URL = str.maketrans("-_", "+/")
 #: ASCII characters of two bytes, UTF-16 of either byte order.
-WIDE = (re.compile(r"(?:[\x01-\x7f]\x00){2,}"), re.compile(r"(?:\x00[\x01-\x7f]){2,}"))
+WIDE = re.compile(r"(?:[\x01-\x7f]\x00){2,}|(?:\x00[\x01-\x7f]){2,}")
 #: All up to the last character that neither a secret nor an encoded run goes across.
-BREAK = re.compile(r"(?s).*(?:[^A-Za-z0-9+/=_.:%\\\"'\s\x00-]|\x00\x00)")
+NOTHING_ACROSS = r"(?:[^A-Za-z0-9+/=_.:%{}\\\"'\s\x00-]|\x00\x00)"
+NEXT_BREAK, BREAK = re.compile(NOTHING_ACROSS), re.compile("(?s).*" + NOTHING_ACROSS)
 
 Span = tuple[int, int, int]  # start, kind, end
 
@@ -81,34 +84,43 @@ def scan(text: str) -> list[Span]:
 
 
 class Layer:
-    """A text and, for each of its characters, the place in the document it came
-    from: lists of starts and ends, one span for all (``whole``), or itself."""
+    """A text and where its characters come from: one span of the document for
+    all (``whole``), cuts of an outer layer, or the document itself. A cut tells
+    from which character on (``at``) it holds, the stretch of the outer layer, and
+    how many characters there stand for one here (0: all of them for each)."""
 
-    def __init__(self, text: str, whole: tuple[int, int] | None = None, starts: list[int] | None = None, ends: list[int] | None = None):
-        self.text, self.whole, self.starts, self.ends = text, whole, starts, ends
+    def __init__(self, text: str, whole: tuple[int, int] | None = None, outer: Layer | None = None, cuts: list[tuple[int, int, int, int]] | None = None):
+        self.text, self.whole, self.outer, self.cuts = text, whole, outer, cuts
 
     def place(self, start: int, end: int) -> tuple[int, int]:
         if self.whole:
             return self.whole
-        if self.starts is None:
+        if self.outer is None:
             return start, end
-        return self.starts[start], self.ends[end - 1]
+        return self.outer.place(self._source(start)[0], self._source(end - 1)[1])
+
+    def _source(self, i: int) -> tuple[int, int]:
+        at, start, end, step = self.cuts[bisect_right(self.cuts, i, key=lambda c: c[0]) - 1]
+        return (start + step * (i - at), start + step * (i - at + 1)) if step else (start, end)
 
     def key(self) -> tuple:
         return (hashlib.blake2b(self.text.encode("utf-8", "surrogatepass"), digest_size=16).digest(), self.place(0, len(self.text)))
 
 
-def _blocks(data: bytes) -> Iterator[tuple[bool, bytes]]:
-    for at in range(0, len(data), FED):
-        yield at == 0, data[at : at + FED]
+def _blocks(data: bytes, begin: int = 0) -> Iterator[tuple[bool, bytes]]:
+    for at in range(begin, len(data), FED):
+        yield at == begin, data[at : at + FED]
 
 
-def _inflated(source: Iterable[tuple[bool, bytes]]) -> Iterator[tuple[bool, bytes]]:
+def _inflated(source: Iterable[tuple[bool, bytes]], members: set[int] | None = None, begin: int = 0) -> Iterator[tuple[bool, bytes]]:
     """The data of the gzip and zlib members at the head of ``source``, which
     gives (starts a member, bytes), at the head of its own members, and directly
-    behind another member."""
-    z, rest, armed, starts = None, b"", False, False
+    behind another member. With ``members`` the source is stored data from place
+    ``begin`` on, of one member or none: the place where each member starts is
+    added, and reading ends where no member goes on."""
+    z, rest, armed, starts, fed = None, b"", False, False, begin
     for new, data in source:
+        fed += len(data)
         if z is None:
             armed = armed or new
             rest = b"" if new else rest
@@ -121,6 +133,8 @@ def _inflated(source: Iterable[tuple[bool, bytes]]) -> Iterator[tuple[bool, byte
                     armed = False
                     break
                 z, starts = zlib.decompressobj(47), True
+                if members is not None:
+                    members.add(fed - len(rest))
             try:
                 out = z.decompress(rest, BLOCK)
             except zlib.error:
@@ -136,6 +150,8 @@ def _inflated(source: Iterable[tuple[bool, bytes]]) -> Iterator[tuple[bool, byte
                 rest = z.unconsumed_tail
                 if not rest and len(out) < BLOCK:
                     break
+        if members is not None and not armed:
+            return
 
 
 def _windows(blocks: Iterable[bytes]) -> Iterator[str]:
@@ -157,19 +173,20 @@ def _windows(blocks: Iterable[bytes]) -> Iterator[str]:
     yield "".join(parts) + decoder.decode(b"", True)
 
 
-def _layers(data: bytes, place: tuple[int, int]) -> Iterator[Layer]:
+def _layers(data: bytes, place: tuple[int, int], members: set[int], begin: int = 0, steps: int = 0) -> Iterator[Layer]:
     """The texts of some bytes, of what is compressed in them, and so on until
-    nothing new appears. Each step inflates anew from the first, block by block:
-    memory does not grow with what data inflate to."""
-    seen, steps = set(), 0
+    nothing new appears; with ``steps`` = 1 only what is compressed. Each step
+    inflates anew from the first, block by block: memory does not grow with what
+    data inflate to."""
+    seen = set()
     while True:
         digest, size = hashlib.blake2b(digest_size=16), 0
 
         def read(steps: int = steps, digest: hashlib.blake2b = digest) -> Iterator[bytes]:
             nonlocal size
-            source: Iterable[tuple[bool, bytes]] = _blocks(data)
-            for _ in range(steps):
-                source = _inflated(source)
+            source: Iterable[tuple[bool, bytes]] = _blocks(data, begin)
+            for step in range(steps):
+                source = _inflated(source) if step else _inflated(source, members, begin)
             for _, block in source:
                 digest.update(block)
                 size += len(block)
@@ -187,8 +204,12 @@ def _narrow(run: str) -> str:
 
 
 def _unescaped(run: str) -> str:
+    if run[:2] == "%u":
+        return bytes.fromhex(run.replace("%u", "")).decode("utf-16-be", "replace")
     if run[0] == "%":
         data = bytes.fromhex(run.replace("%", ""))
+    elif run[1:3] == "u{":
+        return chr(min(int(run[3:-1], 16), 0x10FFFF))
     elif run[1] == "u":
         return bytes.fromhex(run.replace("\\u", "")).decode("utf-16-be", "replace")
     elif run[1] == "U":
@@ -202,26 +223,35 @@ def _unescaped(run: str) -> str:
 
 
 def _through_escapes(layer: Layer, pattern: re.Pattern, decode: Callable[[str], str] = _unescaped) -> Layer | None:
-    """The layer with all escapes of a sort decoded."""
-    pieces, starts, ends, at = [], [], [], 0
-    for m in pattern.finditer(layer.text):
+    """The layer with all escapes of a sort decoded, without the stretches between
+    characters nothing goes across that hold none: they show nothing new."""
+    text, pieces, cuts, size, at = layer.text, [], [], 0, 0
+
+    def add(piece: str, start: int, end: int, step: int) -> None:
+        nonlocal size
+        if piece:
+            pieces.append(piece)
+            cuts.append((size, start, end, step))
+            size += len(piece)
+
+    for m in pattern.finditer(text):
+        # what ends the stretch before stays on its side, what begins this one here
+        first = NEXT_BREAK.search(text, at, m.start()) if cuts else None
+        last = BREAK.match(text, first.end() if first else at, m.start()) if first or not cuts else None
+        if first:
+            add(text[at : first.end()], at, first.end(), 1)
+            at = first.end()
+        at = max(at, last.end() - 2) if last else at
+        add(text[at : m.start()], at, m.start(), 1)
         new = decode(m[0])
-        step = len(m[0]) // len(new) if new and len(m[0]) % len(new) == 0 else 0
-        pieces += [layer.text[at : m.start()], new]
-        if not layer.whole:
-            own = [layer.place(i, i + 1) for i in range(at, m.start())]
-            # characters that take equally long escapes map one by one
-            own += [layer.place(m.start() + step * i, m.start() + step * (i + 1)) if step else layer.place(m.start(), m.end()) for i in range(len(new))]
-            starts += [s for s, _ in own]
-            ends += [e for _, e in own]
+        # characters that take equally long escapes map one by one
+        add(new, m.start(), m.end(), len(m[0]) // len(new) if new and len(m[0]) % len(new) == 0 else 0)
         at = m.end()
     if not pieces:
         return None
-    pieces.append(layer.text[at:])
-    if layer.whole:
-        return Layer("".join(pieces), layer.whole)
-    own = [layer.place(i, i + 1) for i in range(at, len(layer.text))]
-    return Layer("".join(pieces), None, starts + [s for s, _ in own], ends + [e for _, e in own])
+    end = after.end() if (after := NEXT_BREAK.search(text, at)) else len(text)
+    add(text[at:end], at, end, 1)
+    return Layer("".join(pieces), layer.whole) if layer.whole else Layer("".join(pieces), None, layer, cuts)
 
 
 def unwrap(layer: Layer) -> Iterator[Layer]:
@@ -230,10 +260,8 @@ def unwrap(layer: Layer) -> Iterator[Layer]:
         yield inner
     if "\\" in layer.text and (inner := _through_escapes(layer, ESCAPE)):
         yield inner
-    if "\0" in layer.text:
-        for pattern in WIDE:
-            if inner := _through_escapes(layer, pattern, _narrow):
-                yield inner
+    if "\0" in layer.text and (inner := _through_escapes(layer, WIDE, _narrow)):
+        yield inner
     for pattern in (BASE64, BASE64_URL):
         for m in pattern.finditer(layer.text):
             yield from _decoded(m[0], layer.place(m.start(), m.end()))
@@ -263,10 +291,14 @@ def _decoded(run: str, place: tuple[int, int]) -> Iterator[Layer]:
     as what stands before the data, such as a path, may look like base64 too;
     compressed data need their very start and are also tried after each sign."""
     run = run.rstrip("=").translate(FROM_URL)
+    packed = [m.start() for m in PACKED.finditer(run)]
     for at in range(4):
-        yield from _layers(_bytes(run[at:]), place)
-    for m in PACKED.finditer(run):
-        yield from _layers(_bytes(run[m.start() :]), place)
+        data, members = _bytes(run[at:]), set()
+        yield from _layers(data, place, members)
+        for begin in ((hit - at) // 4 * 3 for hit in packed if hit % 4 == at):
+            # a member behind another one has been read with it
+            if begin not in members:
+                yield from _layers(data, place, members, begin, 1)
 
 
 def _bytes(run: str) -> bytes:

@@ -4,6 +4,7 @@ import hashlib
 import io
 import random
 import tarfile
+import time
 import unicodedata
 import zlib
 
@@ -246,6 +247,32 @@ def test_secrets_in_wrapped_and_prefixed_base64():
     assert secrets.spans("https://example.org/some/long/path/of-words\nand/another/one\n") == ([], [])
 
 
+def test_secrets_in_long_runs():
+    """An image or archive within a text: time in proportion to its length."""
+    rng, seconds = random.Random(8), []
+    for size in (200_000, 1_600_000):
+        packed = _b64(rng.randbytes(size) + b" password=hunter2222 ")
+        start = time.process_time()
+        assert (2, 0, 2 + len(packed)) in secrets.spans(f"x {packed} y")[1]
+        seconds.append(time.process_time() - start)
+    assert seconds[1] < 24 * seconds[0]
+    # each of many members begins behind a sign now and then
+    many = _b64(b"".join(gzip.compress(rng.randbytes(40)) for _ in range(4000)) + gzip.compress(b"password=hunter2222"))
+    start = time.process_time()
+    assert (2, 0, 2 + len(many)) in secrets.spans(f"x {many} y")[1]
+    assert time.process_time() - start < 30
+
+
+def test_secrets_in_further_escapes():
+    secret = "password=hunter2222"
+    for text in ("".join(f"%u{ord(c):04X}" for c in secret), "".join(f"\\u{{{ord(c):x}}}" for c in secret)):
+        # a stretch without escapes before and after shows nothing new
+        assert secrets.spans(f"a, (b) {text} c, (d)") == ([], [(7, 0, 7 + len(text))])
+    assert secrets.spans("pass%77ord=hunter22, token%3Dabcdefgh") == ([], [(0, 0, 19), (21, 0, 37)])
+    wide = "".join(f"\0{c}" for c in secret)
+    assert secrets.spans(f"! {wide} !") == ([], [(2, 0, 2 + len(wide))])
+
+
 def test_language(spark):
     said = {"a": "lorem ipsum dolor sit amet consectetur", "b": "zwölf boxkämpfer jagen viktor quer über", "c": "portez ce vieux whisky au juge blond"}
     rng = random.Random(3)
