@@ -4,13 +4,14 @@
     python -m reverbkit pair      --input DIR --output DIR
     python -m reverbkit infer     --input DIR --output DIR --model MODEL
     python -m reverbkit relations --input PREDICTIONS --output DIR [--format csv|parquet]
-    python -m reverbkit analyze   --input VIDEOS --output DIR --model MODEL
+    python -m reverbkit analyze   --input VIDEOS --output DIR --model MODEL [--rerun]
     python -m reverbkit train     --input LABELLED --output MODEL [--format csv|parquet]
 
 VIDEOS is a folder of video-record JSON files; DIR outputs are parquet
 folders. ``relations`` accepts the flattened predictions layout
 (comment_emotion1..3, comment_conf1..3, transcript_emotion1..3,
-transcript_conf1..3) as parquet or CSV.
+transcript_conf1..3) as parquet or CSV. ``analyze --rerun`` works on the videos
+that are new or changed since the last such run and rewrites only their buckets.
 """
 
 from __future__ import annotations
@@ -37,6 +38,7 @@ def main(argv: list[str] | None = None) -> None:
         p.add_argument("--output", required=True)
         p.add_argument("--model")
         p.add_argument("--format", default="parquet", choices=["parquet", "csv"])
+        p.add_argument("--rerun", action="store_true")
         p.add_argument("--chunk_length", type=int, default=64)
         p.add_argument("--chunk_overlap", type=int, default=16)
     a = ap.parse_args(argv)
@@ -81,8 +83,11 @@ def main(argv: list[str] | None = None) -> None:
         from reverbkit.operators.train import load_model
 
         videos = IO.read_videos(spark, a.input)
-        outputs = flow.run_analysis(videos, flow.TextModelScorer(load_model(a.model)))
-        flow.write_outputs(outputs, a.output)
+        scorer = flow.TextModelScorer(load_model(a.model))
+        if a.rerun:
+            flow.rerun_analysis(videos, scorer, a.output)
+        else:
+            flow.write_outputs(flow.run_analysis(videos, scorer), a.output)
     elif a.cmd == "train":
         from reverbkit.operators.train import save_model, train_and_evaluate
 

@@ -271,3 +271,12 @@ def write_outputs(outputs: dict[str, DataFrame], root: str) -> None:
     """One parquet dataset per output (each a separate job over the shared plan)."""
     for name, df in outputs.items():
         df.write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}")
+
+
+def rerun_analysis(videos: DataFrame, scorer, root: str, buckets: int | None = None, **settings) -> DataFrame:
+    """E1 for what is new or changed since the last run under ``root`` (see
+    ``sources.ledger``): the other videos' outputs are not touched. Terms weigh per
+    video, so the rows equal those of a run over all. Returns the videos done."""
+    from reverbkit.sources import ledger
+
+    return ledger.rerun(videos, root, lambda todo: run_analysis(todo, scorer, **settings), buckets=buckets or ledger.BUCKETS)
