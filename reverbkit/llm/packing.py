@@ -4,12 +4,13 @@ Attention over a document of n tokens costs about ``n + n * n / window``. All
 documents are tokenized once; a document longer than the window gives full
 pieces that fill sequences by themselves, and its rest joins the documents of
 its shard. A shard holds about ``SHARD_TOKENS`` tokens of rests, dealt by a
-hash of document id and text, and is packed on its own: it opens
+hash of document id, text and task, and is packed on its own: it opens
 ceil(tokens / window) sequences, takes the rests in descending cost, and gives
 each to the sequence of lowest cost that still has room for it. A rest that fits nowhere whole
 is cut over the sequences with room, lowest cost first. So the
 sequences of a shard leave room for less than one window in all. The shards' number
-follows the input's bytes; a task holds one shard's token ids (2 bytes each).
+follows the input's bytes and rows; a task holds one shard's token ids (2 bytes each).
+Rows equal in id and text share a shard only as far as one input partition holds them.
 
 Encoding part by part: the tokenizer cuts a text into lower-case letter runs,
 digits and runs of other characters before it merges within them, each part
@@ -33,6 +34,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -150,12 +152,14 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, closing: int = 2, windo
     sequence_id, offset. Sequence ids are shard * 2^32 + number in the shard."""
     rows = texts(docs, id_col, text_col)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    # a token has two bytes or more of text, nearly always; the number only sets how large shards get
-    shards = max(1, round(size / 2 / SHARD_TOKENS))
+    size, count = rows.agg(F.sum(F.octet_length("text")), F.count(F.lit(1))).first()
+    # a token has two bytes or more of text, nearly always, and every document one more; the number only sets how large shards get
+    shards = max(1, round(((size or 0) / 2 + count) / SHARD_TOKENS))
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = part_ids(tokenizer_path)
+        # a retried task has the same number; equal rows of many tasks do not share a shard
+        salt = TaskContext.get().partitionId()
         for b in batches:
             for part in _slices(b):
                 full, rest, total, shard = [], [], [], []
@@ -165,7 +169,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, closing: int = 2, windo
                     full.append([zlib.crc32(ids[k : k + 4 * window]) for k in range(0, cut, 4 * window)])
                     rest.append(np.frombuffer(ids, "<u4", offset=cut).astype("<u2" if known.tokenizer.get_vocab_size() <= 1 << 16 else "<u4").tobytes())
                     total.append(n)
-                    shard.append(zlib.crc32(f"{i} {zlib.crc32(ids)}".encode()) % shards)
+                    shard.append(zlib.crc32(f"{salt} {i} {zlib.crc32(ids)}".encode()) % shards)
                 yield pa.RecordBatch.from_arrays(
                     [part["doc_id"], pa.array(shard, pa.int64()), pa.array(total, pa.int64()), pa.array(full, pa.list_(pa.int64())), pa.array(rest, pa.binary())],
                     ["doc_id", "shard", "total", "full", "rest"],

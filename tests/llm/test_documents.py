@@ -7,6 +7,7 @@ import tarfile
 import time
 import unicodedata
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -359,6 +360,19 @@ def test_packing(corpus):
     assert sum(256 - sum(n for _, n in s) for s in sequences.values()) < 256  # the room of less than one window
 
 
+def test_packing_of_empty_and_equal_rows(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_TOKENS", 500)
+    df = spark.range(6000).selectExpr("if(id % 3 = 0, id, null) as doc_id", "if(id % 3 = 1, null, '') as text").repartition(8)
+    out = packing.pack_documents(df, TOKENIZER, window=64).collect()
+    assert len(out) == 6000 and {(r.start, r.length, r.doc_tokens) for r in out} == {(0, 1, 1)}
+    assert sorted(r.doc_id for r in out if r.doc_id is not None) == list(range(0, 6000, 3))
+    shards = Counter(r.sequence_id >> 32 for r in out)
+    # nulls are two thirds of the rows and equal: at least one shard for each partition
+    assert len(shards) >= 8 and max(shards.values()) < 2500
+    taken = Counter(r.sequence_id for r in out)
+    assert all(sorted(r.offset for r in out if r.sequence_id == s) == list(range(n)) for s, n in list(taken.items())[:20])
+
+
 def test_word_parts_equal_the_tokenizer():
     rng = random.Random(3)
     known, tokenizer = packing.part_ids(TOKENIZER), Tokenizer.from_file(TOKENIZER)
