@@ -59,3 +59,49 @@ def test_odd_vectors(spark, table):
     assert {tuple(r) for r in vectors.near_vectors(only).collect()} == {(i, 0, i, True) for i in (300, 301, 302)}
     twice = df.where("vec_id = 5").unionByName(df.where("vec_id = 5"))
     assert [tuple(r) for r in vectors.near_vectors(twice).collect()] == [(5, 1, 5, True)] * 2
+
+
+def test_neighbours_cells_ruled_out(spark, monkeypatch):
+    """Clusters: most cells are ruled out, and what is nearest is found."""
+    rng = np.random.default_rng(3)
+    centres = rng.standard_normal((32, 24))
+    x = centres[rng.integers(0, 32, 2000)] + 0.05 * rng.standard_normal((2000, 24))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    met = []
+    plain = neighbours.block_groups
+
+    def counted(left, right, *rest):
+        met.append((left.select("key").distinct().count(), right.count()))
+        return plain(left, right, *rest)
+
+    monkeypatch.setattr(neighbours, "CELL", 64)
+    monkeypatch.setattr(neighbours, "block_groups", counted)
+    got = {}
+    for r in neighbours.nearest(df, df["vec_id"] % 20 == 0, k=20).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    found = 0
+    for q in range(0, 2000, 20):
+        score = x @ x[q]
+        score[q] = -2
+        found += len(got[q] & set(np.argsort(-score)[:20].tolist()))
+    assert found >= 0.95 * 2000
+    cells = met[0][0]
+    assert cells == 32 and sum(n for _, n in met) < 0.3 * 100 * cells
+
+
+def test_neighbours_equal_vectors(spark, monkeypatch):
+    """A third of all rows are one vector: ties go to the smaller ids, whatever the cells and blocks."""
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((600, 8))
+    x[::3] = x[0]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    monkeypatch.setattr(neighbours, "CELL", 100)
+    monkeypatch.setattr(neighbours, "BLOCK", 50)
+    monkeypatch.setattr(neighbours, "CONFIDENCE", 0.9999)
+    got = {}
+    for r in neighbours.nearest(df, df["vec_id"] == 300, k=20).orderBy("rank").collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    score = np.einsum("ij,j->i", x, x[300])
+    want = [int(i) for i in np.lexsort((np.arange(600), -score)) if i != 300][:20]
+    assert [i for i, _ in got[300]] == want
