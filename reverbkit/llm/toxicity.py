@@ -8,12 +8,13 @@ reported speech. Their composition emits one pattern per insult or threat:
 weights of its matched clauses, not of isolated words.
 
 Learned from labelled rows, at most ``SAMPLE`` of each label (those whose id
-hashes lowest), near copies among them counted once (one five-word minhash):
+hashes lowest), near copies among them counted once (one five-word minhash; the
+text with the smallest id stands for them):
 
 * insult words and stems (the first 4 to 8 letters): significantly (G test)
   more frequent in toxic than in clean texts; of those, a greedy cover keeps
-  what explains toxic texts that nothing kept before explains, ``LEXICON`` at
-  most;
+  what explains toxic texts that nothing kept before explains, until no entry
+  gains any (``SAMPLE`` bounds how many there can be);
 * pattern weights: smoothed log odds of the label, given the strongest pattern.
 
 Cover and weights count each sampled row as many times as its label has labelled
@@ -27,6 +28,7 @@ result. Other columns of the input are ignored.
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 from bisect import bisect_right
@@ -43,8 +45,6 @@ from pyspark.sql import functions as F
 from reverbkit.llm.common import cut_lineage, slices, texts
 
 SAMPLE = {1: 10_000, 0: 30_000}
-CANDIDATES = 4_096
-LEXICON = 512
 MIN_G = 30.0
 MIN_RATIO = 12.0
 STEM = range(4, 9)
@@ -170,7 +170,7 @@ def _labelled(docs: DataFrame, known: DataFrame) -> DataFrame:
     """(text, toxic, copy) of the sampled rows, near copies once."""
     part = [known.where(F.col("toxic") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for v, n in SAMPLE.items()]
     # a bounded number of rows of two numbers: the texts need not move
-    rows = docs.join(F.broadcast(part[0].unionByName(part[1])), "doc_id").select("text", "toxic")
+    rows = docs.join(F.broadcast(part[0].unionByName(part[1])), "doc_id").select("doc_id", "text", "toxic")
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in (s for whole in batches for s in slices(whole)):
@@ -178,9 +178,11 @@ def _labelled(docs: DataFrame, known: DataFrame) -> DataFrame:
             for t in b["text"].to_pylist():
                 ws = t.split()
                 copies.append(min((xxhash.xxh64_intdigest(" ".join(ws[i : i + 5]).encode("utf-8", "surrogatepass")) >> 1 for i in range(max(1, len(ws) - 4)))))
-            yield pa.RecordBatch.from_arrays([b["text"], b["toxic"], pa.array(copies, pa.int64())], ["text", "toxic", "copy"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(copies, pa.int64())], [*b.schema.names, "copy"])
 
-    return cut_lineage(rows.mapInArrow(keyed, "text string, toxic int, copy long").dropDuplicates(["toxic", "copy"]), "toxic-sample")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    copies = rows.mapInArrow(keyed, f"doc_id {kind}, text string, toxic int, copy long").groupBy("toxic", "copy")
+    return cut_lineage(copies.agg(F.min(F.struct("doc_id", "text")).alias("row")).select("row.text", "toxic"), "toxic-sample")
 
 
 def _candidates(rows: DataFrame, bad: int, good: int) -> list[str]:
@@ -207,10 +209,9 @@ def _candidates(rows: DataFrame, bad: int, good: int) -> list[str]:
         entries.where((F.col("b") > 0) & (F.col("b") * good > MIN_RATIO * bad * F.col("g")) & (F.length("entry") > 2))
         .withColumn("test", g_test)
         .where(F.col("test") >= MIN_G)
-        .orderBy(F.desc("test"), "entry")
-        .limit(CANDIDATES)
     )
-    return [r["entry"] for r in found.select("entry").collect()]
+    # words of the sample only
+    return sorted(r["entry"] for r in found.select("entry").collect())
 
 
 def _cover(rows: DataFrame, candidates: list[str], clean_weight: float = 1.0) -> list[str]:
@@ -230,12 +231,23 @@ def _cover(rows: DataFrame, candidates: list[str], clean_weight: float = 1.0) ->
         for w in r["found"]:
             by_word.setdefault(w, (set(), set()))[r["toxic"]].add(k)
     left, kept = {k for _, bad in by_word.values() for k in bad}, []
-    while left and len(kept) < LEXICON:
-        gain, w = max((len(bad & left) - 2 * clean_weight * len(good), w) for w, (good, bad) in by_word.items())
-        if gain < 3:
-            break
-        kept.append(w)
-        left -= by_word.pop(w)[1]
+    names = sorted(by_word, reverse=True)
+
+    def gain(i: int) -> float:
+        good, bad = by_word[names[i]]
+        return len(bad & left) - 2 * clean_weight * len(good)
+
+    # gains only fall, so an entry that still has its old gain at the top is the best one
+    heap = [(-gain(i), i) for i in range(len(names))]
+    heapq.heapify(heap)
+    while heap and -heap[0][0] >= 3:
+        i = heap[0][1]
+        if (now := gain(i)) != -heap[0][0]:
+            heapq.heapreplace(heap, (-now, i))
+            continue
+        heapq.heappop(heap)
+        kept.append(names[i])
+        left -= by_word[names[i]][1]
     return kept
 
 
