@@ -27,8 +27,9 @@ none is left; from the fourth attempt on names become longer and emails get
 digits, so there is always room; after ``MAX_ATTEMPTS`` draws the job fails
 rather than reuse a surrogate.
 
-Texts without an entity are not moved. For the others the surrogates are
-joined on the entity and gathered per text; an entity that a third of all rows
+The texts are searched once: the rows are written with the entities found in
+them, and all that follows reads that table. Texts without an entity are not
+shuffled. For the others the surrogates are joined on the entity and gathered per text; an entity that a third of all rows
 share is one row of the surrogate table and a join key that Spark can split.
 
 Defined results: null texts stay null, empty ones empty; repeated rows get the
@@ -46,6 +47,8 @@ from reverbkit.llm.common import cut_lineage
 
 MAX_ATTEMPTS = 64
 KEY = "reverbkit"
+#: The country codes of the numbering plan, of one and of two digits; the others have three.
+COUNTRY = "^(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
 
 OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 TITLES_F = ["Mrs", "Ms", "Miss", "Madam", "Frau", "Madame", "Mme", "Señora", "Sra", "Госпожа"]
@@ -60,7 +63,8 @@ PATTERNS = {
     "ssn": "(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "card": "(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])",
     "phone": "(?<![0-9+])(?:\\+1[ .-]?)?(?:\\([0-9]{3}\\)|[0-9]{3})[ .-]?[0-9]{3}[ .-][0-9]{4}(?![0-9])"
-    "|(?<![0-9+])\\+[0-9]{1,3}(?:[ .-]?\\([0-9]{1,4}\\))?(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])",
+    "|(?<![0-9+])\\+[0-9]{1,3}(?:[ .-]?\\([0-9]{1,4}\\))?(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])"
+    "|(?<![0-9+])\\+[0-9]{1,3}[ .-][0-9](?:[ .-][0-9]{2,4}){2,4}(?![0-9])",
     "person": "(?<![\\p{L}\\p{N}])(?:" + "|".join(TITLES_F + TITLES_M + TITLES_N) + f")\\.? {NAME}(?: {NAME}){{0,2}}(?!\\p{{L}})",
 }
 PATTERNS = {k: p.replace("([ -])", "[ -]") for k, p in PATTERNS.items()}
@@ -107,13 +111,21 @@ def _normal(kind: Column, raw: Column) -> Column:
     return (
         F.when(kind == "email", F.lower(raw))
         .when(kind == "person", F.concat(_gender(raw), F.lit(" "), name))
-        .when(kind == "phone", F.substring(_digits(raw), -10, 10))
+        .when(kind == "phone", _subscriber(raw))
         .when(kind == "iban", F.upper(F.regexp_replace(raw, " ", "")))
         .when(kind == "ip", raw)
         .otherwise(_digits(raw))
     )
 
 
+def _subscriber(raw: Column) -> Column:
+    """A phone number's digits without its country code. Of fewer than seven
+    digits there would be too few surrogates: then the code counts as a part."""
+    digits = _digits(raw)
+    bare = F.regexp_replace(digits, COUNTRY, "")
+    return F.when(F.startswith(raw, F.lit("+")) & (F.length(bare) >= 7), bare).otherwise(digits)
+
+
 def _gender(raw: Column) -> Column:
     title = F.regexp_extract(raw, "^(\\p{L}+)", 1)
     return F.when(title.isin(TITLES_F), "f").when(title.isin(TITLES_M), "m").otherwise("n")
@@ -250,7 +262,7 @@ def replace_pii(docs: DataFrame, text_col: str = "text", key: str = KEY, count_c
         raise ValueError(f"the input has a column {count_col}; name another for the number of entities")
     hinted = F.expr(f"`{text_col}` rlike r'{_sql(HINT)}'")
     entities = F.when(hinted, F.expr(f"regexp_extract_all(`{text_col}`, r'{_sql(ANY)}', 0)"))
-    found = docs.withColumn("_pii_found", F.coalesce(entities, F.array().cast("array<string>")))
+    found = cut_lineage(docs.withColumn("_pii_found", F.coalesce(entities, F.array().cast("array<string>"))), "pii-found")
     with_any = found.where(F.size("_pii_found") > 0).withColumn("_pii_key", F.sha2(F.col(text_col), 256))
     raws = with_any.select("_pii_key", F.explode(F.array_distinct("_pii_found")).alias("raw")).distinct()
     raws = raws.withColumn("kind", _kind(F.col("raw"))).withColumn("norm", _normal(F.col("kind"), F.col("raw")))

@@ -171,6 +171,31 @@ def test_toxicity_word_and_stem_spelled_alike(spark):
     assert toxicity._cover(rows, ["abcd*", "abcd"]) == ["abcd*"]
 
 
+def test_toxicity_large_lexicon(spark):
+    """Every entry that explains texts is kept, however many there are."""
+    names = ["zq" + "".join(chr(97 + (i // 26**k) % 26) for k in range(3)) for i in range(700)]
+    rows = spark.createDataFrame([(f"so {w} here", 1) for w in names for _ in range(3)] + [("so far here", 0)], "text string, toxic int")
+    assert sorted(toxicity._cover(rows, names)) == sorted(names)
+
+
+def test_toxicity_copy_with_smallest_id(spark):
+    """Of near copies the same text is learned from, however the rows are split."""
+    body = "one two three four five six seven eight nine ten"
+    docs = spark.createDataFrame([(i, f"{body} w{i}") for i in range(30)], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "1 AS toxic")
+    fits = [toxicity._labelled(docs.repartition(n), toxicity._known(labels)).collect() for n in (1, 7)]
+    assert sorted(fits[0]) == sorted(fits[1]) and f"{body} w0" in [r["text"] for r in fits[0]]
+
+
+def test_pii_country_code(spark):
+    rows = [(1, "+49 30 12345678, +353 1 234 5678, +7 495 123 45 67, +44 20 7946 0958.", 1), (2, "+1 (974) 555-3436 and 974-555-3436", 2)]
+    got = [r["text"] for r in pii.replace_pii(spark.createDataFrame(rows, "doc_id long, text string, x int")).orderBy("doc_id").collect()]
+    for code, subscriber in (("+49 ", "30 12345678"), ("+353 ", "1 234 5678"), ("+7 ", "495 123 45 67"), ("+44 ", "20 7946 0958")):
+        assert code in got[0] and subscriber not in got[0]
+    us, bare = got[1].split(" and ")
+    assert us.startswith("+1 (") and us[3:].translate({40: None, 41: None, 32: "-"}).lstrip("-") == bare != "974-555-3436"
+
+
 def test_secret_layers():
     secret = 'token = "04dbebab91ab85687d33"'
     packed = base64.b64encode(gzip.compress(secret.encode())).decode()
