@@ -3,8 +3,9 @@ the positive pointwise mutual information of terms, by subspace iteration in Spa
 
 * Terms that stand at most ``window`` apart in a text are a pair; pairs and their
   marginals are keyed aggregates with map-side combine;
-* a round multiplies the sparse symmetric matrix with ``dims`` vectors, kept as a
-  table (term, vec), cell by cell of a grid that keeps a cell at about ``CELL`` pairs;
+* the symmetric matrix is kept by one half, packed in arrays;
+* a round multiplies it with ``dims`` vectors, kept as a table (term, vec), cell by
+  cell of a triangle that keeps a cell at about ``CELL`` pairs;
 * only ``dims x dims`` numbers reach the driver: Gram matrices, for a Cholesky
   orthonormalisation per round and the small eigenproblem at the end;
 * a text's vector is the sum of its terms' vectors, weighted by ``idf``.
@@ -24,41 +25,59 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reverbkit.constants import SEED
 from reverbkit.operators.pairing import TERM_PATTERN
 from reverbkit.session import cut_lineage
 
-CELL = 250_000  # pairs of one cell of the matrix
+CELL = 4_000_000  # pairs of one cell of the matrix
+PART = 200_000  # terms of one part of it
 SLICE = 100_000  # pairs multiplied at a time
+GROUP = 8_000_000  # characters of one group of texts
 
 
 def _terms(text: str) -> F.Column:
     return F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(TERM_PATTERN), 0)
 
 
+def _term_ids(texts: DataFrame, text_col: str, window: int, min_count: int) -> tuple[DataFrame, DataFrame]:
+    """((id, term) of the terms of at least ``min_count`` places, (a, b, c) how often two
+    of them stand near each other, written once with the smaller id first)."""
+    row = cut_lineage(texts.select(_terms(text_col).alias("w")).withColumn("row", F.monotonically_increasing_id()), "texts")
+    kept = row.select(F.explode("w").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_count)
+    names = cut_lineage(kept.select(F.xxhash64("term").alias("id"), "term"), "terms")
+    known = row.select("row", F.posexplode("w").alias("p", "t")).select("row", "p", F.xxhash64("t").alias("id")).join(names.select("id"), "id")
+    told = known.groupBy("row").agg(F.transform(F.array_sort(F.collect_list(F.struct("p", "id"))), lambda x: x["id"]).alias("w"))
+    ahead = [f"arrays_zip(slice(w, 1, greatest(size(w) - {o}, 0)), slice(w, {o + 1}, greatest(size(w) - {o}, 0)))" for o in range(1, window + 1)]
+    pair = told.select(F.explode(F.expr(f"concat({', '.join(ahead)})")).alias("x")).select(F.least("x.0", "x.1").alias("a"), F.greatest("x.0", "x.1").alias("b"))
+    return names, cut_lineage(pair.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c")), "pairs")
+
+
+def _marginals(pairs: DataFrame) -> tuple[DataFrame, float]:
+    """((id, s), total): sums of the symmetric matrix that ``pairs`` is one half of. A
+    term beside itself counts twice."""
+    sides = pairs.select(F.explode(F.array("a", "b")).alias("id"), "c")
+    sums = cut_lineage(sides.groupBy("id").agg(F.sum("c").alias("s")), "sums")
+    return sums, float(sums.agg(F.sum("s")).first()[0] or 0)
+
+
 def term_pairs(texts: DataFrame, text_col: str, window: int = 4, min_count: int = 2) -> DataFrame:
     """(a, b, ppmi): terms that stand near each other more often than by chance, in
     both orders. Terms of fewer than ``min_count`` places take no part; they are left out
     before neighbours are looked at."""
-    places = texts.select(_terms(text_col).alias("w"))
-    kept = places.select(F.explode("w").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_count)
-    row = cut_lineage(places.withColumn("row", F.monotonically_increasing_id()), "texts")
-    known = row.select("row", F.posexplode("w").alias("p", "t")).join(kept.select("t"), "t")
-    told = known.groupBy("row").agg(F.transform(F.array_sort(F.collect_list(F.struct("p", "t"))), lambda x: x["t"]).alias("w"))
-    ahead = [f"arrays_zip(slice(w, 1, greatest(size(w) - {o}, 0)), slice(w, {o + 1}, greatest(size(w) - {o}, 0)))" for o in range(1, window + 1)]
-    pair = told.select(F.explode(F.expr(f"concat({', '.join(ahead)})")).alias("x")).select(F.col("x")["0"].alias("a"), F.col("x")["1"].alias("b"))
-    one = pair.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"))
-    both = cut_lineage(one.unionByName(one.select(F.col("b").alias("a"), F.col("a").alias("b"), "c")).groupBy("a", "b").agg(F.sum("c").alias("c")), "pairs")
-    sums = both.groupBy("a").agg(F.sum("c").alias("s"))
-    total = both.agg(F.sum("c").cast("double")).scalar()
+    names, pairs = _term_ids(texts, text_col, window, min_count)
+    sums, total = _marginals(pairs)
+    twice = pairs.select("a", "b", F.when(F.col("a") == F.col("b"), 2 * F.col("c")).otherwise(F.col("c")).alias("c"))
+    both = twice.unionByName(twice.where("a != b").select(F.col("b").alias("a"), F.col("a").alias("b"), "c"))
+    told = sums.join(names, "id")
+    joined = both.join(told.select(F.col("id").alias("a"), F.col("term").alias("ta"), F.col("s").alias("sa")), "a")
+    joined = joined.join(told.select(F.col("id").alias("b"), F.col("term").alias("tb"), F.col("s").alias("sb")), "b")
     ppmi = F.log(F.col("c") * total / (F.col("sa") * F.col("sb")))
-    joined = both.join(sums.withColumnRenamed("s", "sa"), "a").join(sums.select(F.col("a").alias("b"), F.col("s").alias("sb")), "b")
-    return joined.select("a", "b", ppmi.alias("ppmi")).where("ppmi > 0")
+    return joined.select(F.col("ta").alias("a"), F.col("tb").alias("b"), ppmi.alias("ppmi")).where("ppmi > 0")
 
 
 def _cells(rows: DataFrame, left: str, right: str, dims: int) -> np.ndarray:
@@ -104,34 +123,89 @@ def _summed(ids: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ids[first], np.add.reduceat(x[order], first, axis=0)
 
 
-def _rows(ids: np.ndarray, x: np.ndarray, part: int) -> pa.Table:
-    return pa.table({"id": pa.array(ids, pa.int64()), "y": pa.array(list(x), pa.list_(pa.float64())), "part": pa.array(np.full(len(ids), part), pa.int32())})
-
-
-def _product(pairs: DataFrame, basis: DataFrame, dims: int, parts: int) -> DataFrame:
-    """(id, term, vec, y): each basis row with its row of matrix times basis. The matrix is
-    cut into ``parts`` x ``parts`` cells by the hashes of both terms; a cell meets its part of the
-    basis in one group, and the cells of a row of cells are summed up."""
-    schema = "id long, y array<double>, part int"
+def _rows(ids: np.ndarray, x: np.ndarray) -> pa.Table:
+    return pa.table({"id": pa.array(ids, pa.int64()), "y": pa.array(list(x), pa.list_(pa.float64()))})
+
+
+def _one(values: np.ndarray, kind: pa.DataType) -> pa.Array:
+    """A column of one row that holds an array."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, kind))
+
+
+def _cell_table(pairs: DataFrame, sums: DataFrame, total: float, parts: int) -> DataFrame:
+    """(pa, pb, ida, sa, idb, sb, i, j, c), written once: the pairs of positive ppmi in
+    rows of at most ``SLICE``, as places i and j in the arrays of their terms' ids and sums.
+    Terms are dealt over ``parts`` parts by their ids, and a pair lies in the cell of
+    its terms' parts, the smaller part first."""
+    schema = "pa int, pb int, ida array<long>, sa array<long>, idb array<long>, sb array<long>, i array<int>, j array<int>, c array<long>"
+    kinds = [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.int64()]
+
+    def packed(key: tuple, own: pa.Table, part: pa.Table) -> pa.Table:
+        rows = []
+        if own.num_rows:
+            a, b, c = (own[x].to_numpy() for x in ("a", "b", "c"))
+            ids, s = part["id"].to_numpy(), part["s"].to_numpy()
+            order = np.argsort(ids)
+            ids, s = ids[order], s[order]
+            i, j = np.searchsorted(ids, a).astype(np.int32), np.searchsorted(ids, b).astype(np.int32)
+            keep = np.log(c * total / (s[i].astype(np.float64) * s[j])) > 0
+            i, j, c = i[keep], j[keep], c[keep]
+            order = np.argsort(i, kind="stable")
+            i, j, c = i[order], j[order], c[order]
+            for k in range(0, len(i), SLICE):
+                (left, at), (right, to) = (np.unique(x[k : k + SLICE], return_inverse=True) for x in (i, j))
+                values = ids[left], s[left], ids[right], s[right], at, to, c[k : k + SLICE]
+                rows.append(pa.table([pa.array([x.as_py()], pa.int32()) for x in key] + [_one(*x) for x in zip(values, kinds, strict=True)], names))
+        return pa.concat_tables(rows) if rows else empty
+
+    names = [x.split()[0] for x in schema.split(", ")]
+    empty = pa.table([pa.array([], pa.int32())] * 2 + [pa.array([], pa.list_(k)) for k in kinds], names)
+    place = {x: F.pmod(x, F.lit(parts)).cast("int") for x in ("a", "b", "id")}
+    turn = place["a"] > place["b"]
+    first, second = (F.when(turn, F.col(y)).otherwise(F.col(x)) for x, y in (("a", "b"), ("b", "a")))
+    turned = pairs.select(first.alias("a"), second.alias("b"), F.when(F.col("a") == F.col("b"), 2 * F.col("c")).otherwise(F.col("c")).alias("c"))
+    own = turned.select(place["a"].alias("pa"), place["b"].alias("pb"), "a", "b", "c")
+    return cut_lineage(own.groupBy("pa", "pb").cogroup(_spread(sums, place["id"], parts).groupBy("pa", "pb")).applyInArrow(packed, schema), "cells")
+
+
+def _spread(rows: DataFrame, place: F.Column, parts: int) -> DataFrame:
+    """Each row once for each cell (pa, pb) that its part ``place`` meets."""
+    other = rows.withColumn("_own", place).withColumn("_other", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    return other.select(*rows.columns, F.least("_own", "_other").alias("pa"), F.greatest("_own", "_other").alias("pb"))
+
+
+def _product(cells: DataFrame, basis: DataFrame, dims: int, parts: int, total: float) -> DataFrame:
+    """(id, term, vec, y): each basis row with its row of matrix times basis. A cell of the
+    matrix meets both its parts of the basis in one group and gives sums for both; the
+    sums of a term are added up."""
+    schema = "id long, y array<double>"
 
     def cell(own: pa.Table, part: pa.Table) -> pa.Table:
         if not own.num_rows or not part.num_rows:
-            return _rows(np.zeros(0, np.int64), np.zeros((0, dims)), 0)
+            return _rows(np.zeros(0, np.int64), np.zeros((0, dims)))
         ids = part["id"].to_numpy()
         order = np.argsort(ids)
-        q = part["vec"].combine_chunks().flatten().to_numpy().reshape(len(ids), dims)[order]
-        a, b, v = (own[c].to_numpy() for c in ("a", "b", "ppmi"))
-        at = np.searchsorted(ids[order], b)
-        done = [_summed(a[k : k + SLICE], v[k : k + SLICE, None] * q[at[k : k + SLICE]]) for k in range(0, len(a), SLICE)]
-        return _rows(*_summed(np.concatenate([d[0] for d in done]), np.concatenate([d[1] for d in done])), own["pa"][0].as_py())
-
-    def total(table: pa.Table) -> pa.Table:
+        ids, q = ids[order], part["vec"].combine_chunks().flatten().to_numpy().reshape(len(ids), dims)[order]
+        y = np.zeros_like(q)
+        for k in range(own.num_rows):
+            ida, sa, idb, sb, i, j, c = (own[x][k].values.to_numpy() for x in ("ida", "sa", "idb", "sb", "i", "j", "c"))
+            v = np.log(c * total / (sa[i].astype(np.float64) * sb[j]))[:, None]
+            a, b = np.searchsorted(ids, ida), np.searchsorted(ids, idb)
+            at, x = _summed(i, v * q[b[j]])
+            y[a[at]] += x
+            apart = ida[i] != idb[j]  # a term beside itself counts once
+            at, x = _summed(j[apart], v[apart] * q[a[i[apart]]]) if apart.any() else (j[:0], np.zeros((0, dims)))
+            y[b[at]] += x
+        met = y.any(axis=1)
+        return _rows(ids[met], y[met])
+
+    def added(table: pa.Table) -> pa.Table:
         y = table["y"].combine_chunks().flatten().to_numpy().reshape(table.num_rows, dims)
-        return _rows(*_summed(table["id"].to_numpy(), y), 0)
+        return _rows(*_summed(table["id"].to_numpy(), y))
 
-    spread = basis.select("id", "vec", F.pmod("id", F.lit(parts)).cast("int").alias("pb"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("pa"))
-    cells = pairs.groupBy("pa", "pb").cogroup(spread.groupBy("pa", "pb")).applyInArrow(cell, schema)
-    sums = cells.groupBy("part").applyInArrow(total, schema).select("id", "y")
+    spread = _spread(basis.select("id", "vec"), F.pmod("id", F.lit(parts)).cast("int"), parts)
+    sums = cells.groupBy("pa", "pb").cogroup(spread.groupBy("pa", "pb")).applyInArrow(cell, schema)
+    sums = sums.withColumn("deal", F.pmod(F.xxhash64("id"), F.lit(8 * parts))).groupBy("deal").applyInArrow(added, schema)
     return cut_lineage(basis.join(sums, "id", "left").withColumn("y", F.coalesce("y", F.array_repeat(F.lit(0.0), dims))), "product")
 
 
@@ -139,17 +213,18 @@ def learn(texts: DataFrame, text_col: str, dims: int = 32, window: int = 4, min_
     """((term, vec) and the eigenvalues, largest first): term vectors scaled by the square roots of
     the eigenvalues; directions of negative ones are left at zero. Inside, terms go by
     their 64-bit hashes."""
-    pairs = cut_lineage(term_pairs(texts, text_col, window, min_count), "ppmi")
-    parts = max(1, math.ceil(math.sqrt(pairs.count() / CELL)))
-    place = [F.pmod(x, F.lit(parts)).cast("int").alias(p) for x, p in (("a", "pa"), ("b", "pb"))]
-    by_hash = pairs.select(F.xxhash64("a").alias("a"), F.xxhash64("b").alias("b"), "ppmi")
-    cells = cut_lineage(by_hash.select("a", "b", "ppmi", *place), "cells")
-    start = F.expr(f"transform(sequence(1, {dims}), i -> xxhash64(a, i, {int(seed)}) / 9.3e18D)")
-    basis = pairs.select("a").distinct().select(F.xxhash64("a").alias("id"), F.col("a").alias("term"), start.alias("vec"))
+    names, pairs = _term_ids(texts, text_col, window, min_count)
+    sums, total = _marginals(pairs)
+    # parts * (parts + 1) / 2 cells of about CELL pairs
+    parts = max(1, math.ceil(math.sqrt(2 * pairs.count() / CELL)), math.ceil(sums.count() / PART))
+    cells = _cell_table(pairs, sums, total, parts)
+    start = F.expr(f"transform(sequence(1, {dims}), i -> xxhash64(term, i, {int(seed)}) / 9.3e18D)")
+    met = cells.select(F.explode("ida").alias("id")).unionByName(cells.select(F.explode("idb").alias("id"))).distinct()
+    basis = names.join(met, "id", "left_semi").select("id", "term", start.alias("vec"))
     basis = _orthonormal(basis, "vec", dims)
     for _ in range(rounds):
-        basis = _orthonormal(_product(cells, basis, dims, parts), "y", dims)
-    made = _product(cells, basis, dims, parts)
+        basis = _orthonormal(_product(cells, basis, dims, parts, total), "y", dims)
+    made = _product(cells, basis, dims, parts, total)
     small = _cells(made, "vec", "y", dims)
     values, axes = np.linalg.eigh((small + small.T) / 2)
     order = np.argsort(-values)
@@ -159,11 +234,31 @@ def learn(texts: DataFrame, text_col: str, dims: int = 32, window: int = 4, min_
 
 def text_vectors(texts: DataFrame, keys: list[str], text_col: str, vectors: DataFrame, idf: DataFrame, dims: int, out: str = "vec") -> DataFrame:
     """``texts`` with the column ``out``: the sum of tf * idf * vec over their terms.
-    ``keys`` identify a text; ``idf`` has (term, idf)."""
-    terms = texts.select(*keys, F.explode(_terms(text_col)).alias("term")).groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("tf"))
-    known = vectors.join(idf, "term").select("term", array_to_vector("vec").alias("v"), "idf")
-    sums = terms.join(known, "term").groupBy(*keys).agg(vector_to_array(Summarizer.sum(F.col("v"), F.col("tf") * F.col("idf"))).alias(out))
-    return texts.join(sums, keys, "left").withColumn(out, F.coalesce(out, F.array_repeat(F.lit(0.0), dims)))
+    ``keys`` identify a text; ``idf`` has (term, idf). Texts are dealt over groups of about
+    ``GROUP`` characters, and a term's vector goes once to each group that holds it."""
+    chars = texts.agg(F.sum(F.length(text_col))).first()[0] or 0
+    groups = max(1, math.ceil(chars / GROUP))
+    dealt = texts.withColumn("_w", _terms(text_col)).withColumn("_g", F.pmod(F.xxhash64(*keys), F.lit(groups)).cast("int"))
+    known = vectors.join(idf, "term").select("term", F.transform("vec", lambda x: x * F.col("idf")).alias("_v"))
+    asked = dealt.select(F.col("_g").alias("_h"), F.explode("_w").alias("term")).distinct().join(known, "term")
+    own = texts.columns
+
+    def summed(rows: pa.Table, part: pa.Table) -> pa.Table:
+        x = np.zeros((rows.num_rows, dims))
+        if rows.num_rows and part.num_rows:
+            w = rows["_w"].combine_chunks()
+            v = part["_v"].combine_chunks().flatten().to_numpy().reshape(part.num_rows, dims)
+            at = pc.index_in(w.flatten(), value_set=part["term"].combine_chunks())
+            of = np.repeat(np.arange(rows.num_rows), pc.list_value_length(w).to_numpy())[at.is_valid().to_numpy(zero_copy_only=False)]
+            at = at.drop_null().to_numpy()
+            for k in range(0, len(at), SLICE):
+                told, part_sums = _summed(of[k : k + SLICE], v[at[k : k + SLICE]])
+                x[told] += part_sums
+        vec = pa.ListArray.from_arrays(pa.array(np.arange(rows.num_rows + 1) * dims, pa.int32()), pa.array(x.ravel()))
+        return rows.select(own).append_column(out, vec)
+
+    schema = T.StructType([*texts.schema.fields, T.StructField(out, T.ArrayType(T.DoubleType()))])
+    return dealt.groupBy("_g").cogroup(asked.groupBy("_h")).applyInArrow(summed, schema)
 
 
 def inverse_frequency(texts: DataFrame, text_col: str) -> DataFrame:

@@ -114,3 +114,36 @@ def test_search_equals_brute_force_on_the_written_vectors(spark):
         right += abs(sims[r["chunk_index"]] - best) < 1e-9
         assert abs(r["similarity"] - sims[r["chunk_index"]]) < 1e-9
     assert right == len(found)  # recall 1.00: the search is exact
+
+
+def test_the_matrix_is_kept_by_one_half_and_cut_into_cells(spark, monkeypatch):
+    texts = corpus() + ["the the the cat"]
+    names, m = matrix(texts, 4, 2)
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    written, cut = {}, tv.cut_lineage
+    monkeypatch.setattr(tv, "cut_lineage", lambda d, name="t": written.setdefault(name, cut(d, name)) if name == "cells" else cut(d, name))
+    whole, values = tv.learn(df, "t", dims=3, rounds=12)
+    # every pair once, in arrays; not a row for each pair in both orders
+    rows = written.pop("cells").select(F.size("c").alias("n")).collect()
+    assert len(rows) == 1 and rows[0]["n"] == (np.triu(m) > 0).sum()
+    monkeypatch.setattr(tv, "CELL", 12)
+    monkeypatch.setattr(tv, "SLICE", 5)
+    cells, again = tv.learn(df, "t", dims=3, rounds=12)
+    rows = written["cells"].select("pa", "pb", F.size("c").alias("n")).collect()
+    assert sum(r["n"] for r in rows) == (np.triu(m) > 0).sum() and len({(r["pa"], r["pb"]) for r in rows}) > 3
+    assert max(r["n"] for r in rows) <= 5 and all(r["pa"] <= r["pb"] for r in rows)
+    assert np.allclose(values, again)
+    a, b = ({r["term"]: np.array(r["vec"]) for r in x.collect()} for x in (whole, cells))
+    assert a.keys() == b.keys() and all(np.allclose(np.abs(a[t]), np.abs(b[t]), atol=1e-6) for t in a)
+
+
+def test_texts_of_several_groups(spark, monkeypatch):
+    texts = [(i, t) for i, t in enumerate(corpus())]
+    df = spark.createDataFrame(texts, "id long, t string")
+    vectors = spark.createDataFrame([("cat", [1.0, 0.0]), ("the", [0.0, 2.0])], "term string, vec array<double>")
+    idf = spark.createDataFrame([("cat", 0.5), ("the", 3.0)], "term string, idf double")
+    monkeypatch.setattr(tv, "GROUP", 500)
+    got = {r["id"]: r["vec"] for r in tv.text_vectors(df, ["id"], "t", vectors, idf, 2).collect()}
+    words = {i: Counter((t or "").lower().split()) for i, t in texts}
+    assert got.keys() == words.keys()
+    assert all(np.allclose(got[i], [0.5 * w["cat"], 6.0 * w["the"]]) for i, w in words.items() if i < 200)
