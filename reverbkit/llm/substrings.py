@@ -18,7 +18,8 @@ doubling ends there. Copies of a whole text are settled beforehand: they keep no
 only the smallest document of each text goes through level 2. Counts are partially aggregated and the way back is a join that Spark
 can split, so a line that a third of all documents share is no hot spot.
 
-Windows are compared by 64-bit hashes of 64-bit word hashes.
+Windows are compared by 64-bit hashes of 64-bit word hashes, which numpy takes for
+all words of a slice of texts at once.
 
 Defined results: null and empty texts have no words and lose nothing; a text
 with fewer words than a window loses nothing; a window repeated only within one
@@ -31,33 +32,69 @@ nothing. An empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reverbkit.llm.common import cut_lineage, slices, texts
 
-CACHED_WORDS = 200_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_BASE, _BACK = np.uint64(0xA0761D6478BD642B), np.uint64(pow(0xA0761D6478BD642B, -1, 1 << 64))
+_GAPS = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+SLICE_BYTES = 1 << 18  # of text hashed at a time, but at least one text
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        self[word] = h = xxhash.xxh64_intdigest(word)
-        return h
+def _mixed(x: np.ndarray) -> np.ndarray:
+    for shift in (32, 29, 32):
+        x = (x ^ (x >> np.uint64(shift))) * _MIX
+    return x ^ (x >> np.uint64(32))
+
+
+_BYTES = _mixed(np.arange(1, 257, dtype=np.uint64))  # a number for each byte
 
 
 def words(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split()
 
 
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of every word of all texts, words of each text). A word's hash is a
+    polynomial in the numbers of its bytes, taken from sums over all bytes at once."""
+    column = texts.cast(pa.large_string())
+    if not len(column) or column.buffers()[2] is None:
+        return np.zeros(0, np.uint64), np.zeros(len(column), np.int64)
+    ends = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    found, counts, k = [], [], 0
+    while k < len(column):
+        to = max(int(np.searchsorted(ends, ends[k] + SLICE_BYTES, "right")) - 1, k + 1)
+        data, at = np.frombuffer(column.buffers()[2], np.uint8)[ends[k] : ends[to]], ends[k : to + 1] - ends[k]
+        gap = np.concatenate((_GAPS[data], [True]))
+        first = np.zeros(len(data) + 1, bool)  # of a text
+        first[at] = True
+        start = ~gap
+        start[1:] &= gap[:-1] | first[1:]
+        stop = np.flatnonzero(np.concatenate((~gap[:-1] & (gap[1:] | first[1:]), [False]))) + 1
+        start = np.flatnonzero(start)
+        powers = np.full(len(data) + 1, _BASE, np.uint64)
+        powers[0] = 1
+        np.multiply.accumulate(powers, out=powers)
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_BYTES[data] * powers[:-1], out=sums[1:])
+        back = np.full(len(data) + 1, _BACK, np.uint64)
+        back[0] = 1
+        np.multiply.accumulate(back, out=back)
+        found.append(_mixed((sums[stop] - sums[start]) * back[start]))
+        counts.append(np.diff(np.searchsorted(start, at)))
+        k = to
+    return np.concatenate(found), np.concatenate(counts)
+
+
 def window_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
     """A hash of each window of ``length`` word hashes."""
     n = len(hashes) - length + 1
@@ -88,11 +125,39 @@ def _table(columns: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
 
-def _rows(ids: pa.Array, of: list[np.ndarray], name: str) -> pa.RecordBatch:
-    """One row (doc_id, value) for each value of each document."""
-    counts = np.array([len(x) for x in of], np.int64)
-    values = np.concatenate(of) if of else np.zeros(0, np.uint64)
-    return _table({"doc_id": ids.take(pa.array(np.repeat(np.arange(len(of)), counts))), name: pa.array(values.view(np.int64))})
+def _windows(of: np.ndarray, hashes: np.ndarray, length: int, kind: Callable) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, first word, hash) of the windows that lie in one text; ``of`` is the text of
+    each word and ``kind`` hashes the windows over all words."""
+    h = kind(hashes, length)
+    at = np.flatnonzero(of[: len(h)] == of[length - 1 :][: len(h)])
+    return of[at], at, h[at]
+
+
+def _distinct(of: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (text, hash)."""
+    order = np.lexsort((h, of))
+    of, h = of[order], h[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (of[1:] != of[:-1]) | (h[1:] != h[:-1])
+    return of[new], h[new]
+
+
+def _held(of: np.ndarray, h: np.ndarray, lists: pa.ListArray) -> np.ndarray:
+    """Whether the list of a hash's text holds it."""
+    known = lists.flatten().to_numpy().view(np.uint64)
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+    ends = np.concatenate(([0], np.cumsum(sizes)))
+    known = known[np.lexsort((known, np.repeat(np.arange(len(sizes)), sizes)))]
+    held, edges = np.zeros(len(h), bool), np.searchsorted(of, np.arange(len(sizes) + 1))
+    for k in np.flatnonzero(sizes):
+        own, asked = known[ends[k] : ends[k + 1]], h[edges[k] : edges[k + 1]]
+        held[edges[k] : edges[k + 1]] = own[np.minimum(np.searchsorted(own, asked), len(own) - 1)] == asked
+    return held
+
+
+def _rows(ids: pa.Array, of: np.ndarray, values: np.ndarray, name: str) -> pa.RecordBatch:
+    """One row (doc_id, value) for each value; ``of`` is its document's place in ``ids``."""
+    return _table({"doc_id": ids.take(pa.array(of)), name: pa.array(values.view(np.int64))})
 
 
 def remove_repeats(docs: DataFrame, length: int = 13, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
@@ -109,15 +174,13 @@ def remove_repeats(docs: DataFrame, length: int = 13, id_col: str = "doc_id", te
     digest = F.md5(F.col("text").cast("binary"))
 
     def half_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _WordHashes()
         for b in batches:
             for part in slices(b):
-                found = []
-                for t in part["text"].to_pylist():
-                    ws = words(t)
-                    h = np.fromiter(map(known.__getitem__, ws), np.uint64, len(ws))
-                    found.append(np.unique(anchors(h, length)))
-                yield _rows(part["doc_id"], found, "h")
+                hashes, counts = word_hashes(part["text"])
+                of, _, h = _windows(np.repeat(np.arange(len(counts)), counts), hashes, length, anchors)
+                new = np.ones(len(h), bool)  # neighbouring windows mostly share theirs
+                new[1:] = (of[1:] != of[:-1]) | (h[1:] != h[:-1])
+                yield _rows(part["doc_id"], *_distinct(of[new], h[new]), "h")
 
     asked = rows.where(F.col("doc_id").isNotNull())
     halves = asked.select("doc_id", "text").mapInArrow(half_windows, f"doc_id {kind}, h long")
@@ -131,16 +194,13 @@ def remove_repeats(docs: DataFrame, length: int = 13, id_col: str = "doc_id", te
     is_copy = F.coalesce(F.array_contains("copies", digest), F.lit(False))
 
     def full_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _WordHashes()
         for b in batches:
             for part in slices(b):
-                found = []
-                for t, hs in zip(part["text"].to_pylist(), part["halves"], strict=True):
-                    ws = words(t)
-                    h = np.fromiter(map(known.__getitem__, ws), np.uint64, len(ws))
-                    keep = np.isin(anchors(h, length), hs.values.to_numpy().view(np.uint64))
-                    found.append(np.unique(window_hashes(h, length)[keep]))
-                yield _rows(part["doc_id"], found, "h")
+                hashes, counts = word_hashes(part["text"])
+                of, at, h = _windows(np.repeat(np.arange(len(counts)), counts), hashes, length, anchors)
+                keep = _held(of, h, part["halves"])
+                full = window_hashes(hashes, length)[at[keep]]
+                yield _rows(part["doc_id"], *_distinct(of[keep], full), "h")
 
     once = asked.join(own, "doc_id").join(copies, "doc_id", "left").where(~is_copy).select("doc_id", "text", "halves")
     fulls = cut_lineage(once.mapInArrow(full_windows, f"doc_id {kind}, h long"), "windows")
@@ -148,22 +208,27 @@ def remove_repeats(docs: DataFrame, length: int = 13, id_col: str = "doc_id", te
     gone = fulls.join(least, "h").where("doc_id > first").groupBy("doc_id").agg(F.collect_set("h").alias("gone"))
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _WordHashes()
         for b in batches:
             for part in slices(b):
+                copies_here = part["copy"].to_numpy(zero_copy_only=False)
+                some = np.flatnonzero(part["gone"].is_valid().to_numpy(zero_copy_only=False) & ~copies_here)
+                asked = part.take(pa.array(some))
+                hashes, counts = word_hashes(asked["text"])
+                of, at, h = _windows(np.repeat(np.arange(len(counts)), counts), hashes, length, window_hashes)
+                at = at[_held(of, h, asked["gone"])]
+                edge = np.zeros(len(hashes) + 1, np.int64)
+                np.add.at(edge, at, 1)
+                np.add.at(edge, at + length, -1)
+                stay, ends = np.cumsum(edge[:-1]) == 0, np.concatenate(([0], np.cumsum(counts)))
+                stays = {int(k): stay[ends[i] : ends[i + 1]].tolist() for i, k in enumerate(some)}
                 out, n_words, n_removed, shas = [], [], [], []
-                for t, copy, hs in zip(part["text"].to_pylist(), part["copy"].to_pylist(), part["gone"], strict=True):
+                for k, (t, copy) in enumerate(zip(part["text"].to_pylist(), copies_here.tolist(), strict=True)):
                     ws = words(t)
                     left = ws
                     if copy and len(ws) >= length:
                         left = []
-                    elif hs.is_valid:
-                        h = np.fromiter(map(known.__getitem__, ws), np.uint64, len(ws))
-                        at = np.nonzero(np.isin(window_hashes(h, length), hs.values.to_numpy().view(np.uint64)))[0]
-                        edge = np.zeros(len(ws) + 1, np.int64)
-                        np.add.at(edge, at, 1)
-                        np.add.at(edge, at + length, -1)
-                        left = [w for w, c in zip(ws, np.cumsum(edge).tolist(), strict=False) if not c]
+                    elif k in stays:
+                        left = list(compress(ws, stays[k]))
                     joined = b" ".join(left)
                     out.append(t if len(left) == len(ws) else joined.decode("utf-8", "surrogatepass"))
                     n_words.append(len(ws))

@@ -460,3 +460,29 @@ def test_pipeline(spark, tmp_path, docs, corpus):
         assert {r["doc_id"] for r in corpus_pipeline.run(spark, folder).collect()} == left
         # 3 and the row without an id are copies of 0
         assert (0 in left and 3 not in left and None not in left) if name == "some" else not left
+
+
+def test_word_hashes_of_many_texts_at_once():
+    import time
+
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    vocabulary = ["w" + "".join(map(chr, rng.integers(97, 123, 7))) for _ in range(300_000)]
+    odd = ["", " \t\n", "a", " a b é\x0bc\x1fd", "a　\U0001f525 ", "x" * 40_000 + " y"]
+    texts = odd + [" ".join(vocabulary[k] for k in rng.integers(0, len(vocabulary), 400)) for _ in range(2_000)] + odd
+    column = pa.array(texts)
+    t = time.process_time()
+    hashes, counts = substrings.word_hashes(column)
+    took = time.process_time() - t
+    split = [substrings.words(x) for x in texts]
+    assert counts.tolist() == [len(ws) for ws in split]
+    of = {}
+    for w, h in zip((w for ws in split for w in ws), hashes.tolist(), strict=True):
+        assert of.setdefault(w, h) == h
+    assert len(set(of.values())) == len(of)
+    part, n = substrings.word_hashes(column.slice(2, 9))
+    assert n.tolist() == counts[2:11].tolist() and part.tolist() == hashes[: n.sum()].tolist()
+    # a dict of hashed words took 0.7 us a word and more when words are many
+    assert took < 0.45e-6 * len(hashes), took / len(hashes)
