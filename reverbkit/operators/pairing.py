@@ -23,7 +23,7 @@ how to join the small table of hot keys.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +39,7 @@ DEFAULT_ROWS_PER_SALT = 1_000_000  # comments of one task of the sparse search
 DEFAULT_GROUP = 65_536  # comments of one group of the dense search
 PACK = 256  # centroids that a comment meets at once
 SLICE = 4_096  # comments of one matrix product
+TAKEN = 16_384  # comment x block rows made at once
 SLACK = 1e-9  # of a bound, for rounding
 
 
@@ -131,7 +132,8 @@ def _ranks(sims: np.ndarray) -> np.ndarray:
 
 def _meet(comments: DataFrame, chunks: DataFrame, on: list[str], comment_key: str, rows_per_salt: int, found: Callable, schema: T.StructType) -> DataFrame:
     """Groups of the comments and chunks that share the columns ``on``, comments
-    dealt over salts. ``found(comments, chunks)`` gets two Arrow tables."""
+    dealt over salts. ``found(comments, chunks)`` gets two Arrow tables and yields
+    tables, which leave the task one by one."""
     counts = comments.groupBy(*on).agg(F.count(F.lit(1)).alias("_cnt")).where(F.col("_cnt") > rows_per_salt)
     hot = counts.select(*on, F.ceil(F.col("_cnt") / F.lit(rows_per_salt)).cast("int").alias("_ns"))
     ns = F.coalesce("_ns", F.lit(1))
@@ -140,15 +142,18 @@ def _meet(comments: DataFrame, chunks: DataFrame, on: list[str], comment_key: st
     both = left.withColumn("_left", F.lit(True)).unionByName(right.withColumn("_left", F.lit(False)), allowMissingColumns=True)
     own = [c for c in left.columns if c not in ("_salt",)], [c for c in right.columns if c not in ("_salt",)]
 
-    def met(table: pa.Table) -> pa.Table:
-        a, b = table.filter(table["_left"]).select(own[0]), table.filter(pc.invert(table["_left"])).select(own[1])
-        if not a.num_rows or not b.num_rows:
-            return empty
-        return found(a, b)
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sides = [], []
+        for batch in batches:
+            is_left = batch["_left"]
+            sides[0].append(batch.filter(is_left).select(own[0]))
+            sides[1].append(batch.filter(pc.invert(is_left)).select(own[1]))
+        a, b = map(pa.Table.from_batches, sides)
+        sides[0].clear(), sides[1].clear()
+        if a.num_rows and b.num_rows:
+            for table in found(a, b):
+                yield from table.to_batches()
 
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    empty = to_arrow_schema(schema).empty_table()
     return both.groupBy(*on, "_salt").applyInArrow(met, schema)
 
 
@@ -162,7 +167,7 @@ def _nearest_in(comments: DataFrame, chunks: DataFrame, on: list[str], comment_k
     for c in payload:
         schema = schema.add(chunks.schema[c])
 
-    def found(a: pa.Table, b: pa.Table) -> pa.Table:
+    def found(a: pa.Table, b: pa.Table) -> Iterator[pa.Table]:
         b = b.take(pc.sort_indices(b["_index"]))  # the first of equal ones has the lowest index
         best, sims = [], []
         for _, s in _products(_unit_rows(a["_v"]), _unit_rows(b["_w"])):
@@ -171,7 +176,7 @@ def _nearest_in(comments: DataFrame, chunks: DataFrame, on: list[str], comment_k
             sims.append(s[np.arange(len(at)), at])
         at, sim = pa.array(np.concatenate(best)), np.concatenate(sims)
         columns = {c: a[c] for c in carried} | {"_rank": pa.array(_ranks(sim)), "_sim": pa.array(sim), "_index": b["_index"].take(at)}
-        return pa.table(columns | {c: b[c].take(at) for c in payload})
+        yield pa.table(columns | {c: b[c].take(at) for c in payload})
 
     return _meet(comments, chunks, on, comment_key, rows_per_salt, found, schema)
 
@@ -206,18 +211,19 @@ def blocks_left(comments: DataFrame, bounds: DataFrame, key: str, comment_key: s
     asked = asked.withColumn("_pack", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_last")))).drop("_last")
     schema = T.StructType([f for f in asked.schema.fields if f.name != "_pack"]).add("_block", "long")
 
-    def found(a: pa.Table, b: pa.Table) -> pa.Table:
+    def found(a: pa.Table, b: pa.Table) -> Iterator[pa.Table]:
         index, angle, zero = (b[c].to_numpy() for c in ("_index", "_angle", "_zero"))
-        home, rank, rows, blocks = a["_home"].to_numpy(), a["_rank"].to_numpy(), [], []
+        a = a.drop(["_pack"])
+        home, rank = a["_home"].to_numpy(), a["_rank"].to_numpy()
         for at, s in _products(_unit_rows(a["_v"]), _unit_rows(b["_w"])):
             best = np.cos(np.maximum(np.arccos(np.clip(s, -1, 1)) - angle[None, :], 0))
             best = np.where(zero[None, :], np.maximum(best, 0), best)
             part = slice(at, at + len(s))
             i, k = np.nonzero((best >= rank[part, None] - SLACK) & (index[None, :] != home[part, None]))
-            rows.append(i + at)
-            blocks.append(index[k])
-        taken = a.take(pa.array(np.concatenate(rows))).drop(["_pack"])
-        return taken.append_column("_block", pa.array(np.concatenate(blocks), pa.int64()))
+            # a comment may be left with every block: its rows go out in bounded tables
+            for to in range(0, len(i), TAKEN):
+                taken = a.take(pa.array(i[to : to + TAKEN] + at))
+                yield taken.append_column("_block", pa.array(index[k[to : to + TAKEN]], pa.int64()))
 
     return _meet(asked, packs, [key, "_pack"], comment_key, rows_per_salt, found, schema)
 
@@ -260,10 +266,11 @@ def nearest_chunk(comments: DataFrame, chunks: DataFrame, key: str = "video_id",
         homed = cut_lineage(cm.join(home.select(key, comment_key, (-F.col("b.n")).cast("long").alias("_block")), [key, comment_key]), "homed")
         first = cut_lineage(_nearest_in(homed, kc, on, comment_key, rows_per_salt), "first")
         so_far = homed.withColumnRenamed("_block", "_home").join(first.select(key, comment_key, "_rank").distinct(), [key, comment_key])
-        left = blocks_left(so_far, bounds, key, comment_key, rows_per_salt).drop("_rank", "_home")
-        found = first.unionByName(_nearest_in(left, kc, on, comment_key, rows_per_salt))
+        # the comment's payload is in ``first`` and does not go to every block
+        left = blocks_left(so_far.drop(*comment_payload), bounds, key, comment_key, rows_per_salt).drop("_rank", "_home")
+        found = first.unionByName(_nearest_in(left, kc, on, comment_key, rows_per_salt), allowMissingColumns=True)
     best = F.struct("_rank", (-F.col("_index")).alias("_neg"), *names[1:])
-    rows = found.groupBy(key, comment_key).agg(F.max(best).alias("b"), *[F.any_value(p).alias(p) for p in comment_payload])
+    rows = found.groupBy(key, comment_key).agg(F.max(best).alias("b"), *[F.any_value(p, F.lit(True)).alias(p) for p in comment_payload])
     return rows.select(key, comment_key, *comment_payload, F.col("b._index").alias("chunk_index"), F.col("b._sim").alias("similarity"),
                        *[F.col(f"b._k_{p}").alias(p) for p in chunk_payload])
 

@@ -106,3 +106,30 @@ def test_time_of_a_pair(spark):
     took = (time.perf_counter() - t) * spark.sparkContext.defaultParallelism / 4e6
     c.unpersist(), k.unpersist()
     assert took < 4e-6, took
+
+
+def test_rows_for_blocks_leave_in_bounded_tables(spark, monkeypatch):
+    """No block can be excluded: every comment meets every block, 32 rows at a time."""
+    r = np.random.default_rng(8)
+    chunks = [(1, k, x) for k, x in enumerate(r.normal(size=(40, 8)).tolist(), 1)]
+    asked = [(1, i, x) for i, x in enumerate(r.normal(size=(50, 8)).tolist())]
+    c, k = frames(spark, asked, chunks)
+    monkeypatch.setattr(P, "TAKEN", 32)
+    sizes, meet = spark.sparkContext.accumulator(0), P._meet
+
+    def counted(*args):
+        *head, found, schema = args
+
+        def told(a, b):
+            for table in found(a, b):
+                sizes.add(table.num_rows > 50)
+                yield table
+
+        return meet(*head, told, schema)
+
+    monkeypatch.setattr(P, "_meet", counted)
+    c = c.withColumn("mark", F.when(F.col("comment_id") > 9, F.col("comment_id")))
+    rows = P.nearest_chunk(c, k, block_size=4, comment_payload=["mark"]).collect()
+    same(rows, brute(asked, chunks))
+    assert all(x["mark"] == (x["comment_id"] if x["comment_id"] > 9 else None) for x in rows)
+    assert sizes.value == 0
