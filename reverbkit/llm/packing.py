@@ -44,7 +44,9 @@ from reverbkit.llm.common import give_back, texts
 WINDOW = 4096
 SHARD_TOKENS = 1 << 20
 CACHED_PARTS = 200_000
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
+#: Parts and texts that the tokenizer gets at once; its results take far more memory than their ids.
+PARTS_AT_ONCE, TEXTS_AT_ONCE = 8_192, 64
 #: What a plain text does not hold, and a plain lower-case word's parts.
 NOT_PLAIN = "[^\\n -~À-ÖØ-öø-ÿ]"
 PART = "('(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-z0-9ß-öø-ÿ]+)"
@@ -69,12 +71,14 @@ class PartIds(dict):
     def spelled(self, parts: list[str]) -> list[bytes]:
         if len(self) > CACHED_PARTS:
             self.clear()
-        if new := [p for p in parts if p and p not in self]:
-            # all new parts as one text, its ids cut after each end
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, "<u4")
+        new = [p for p in parts if p and p not in self]
+        for at in range(0, len(new), PARTS_AT_ONCE):
+            # many new parts as one text, its ids cut after each end
+            some = new[at : at + PARTS_AT_ONCE]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
             cuts = [0, *(np.nonzero(self.is_end[ids])[0] + 1).tolist()]
             raw = ids.tobytes()
-            self.update((p, raw[4 * a : 4 * b]) for p, a, b in zip(new, cuts[:-1], cuts[1:], strict=True))
+            self.update((p, raw[4 * a : 4 * b]) for p, a, b in zip(some, cuts[:-1], cuts[1:], strict=True))
         return [self[p] if p else b"" for p in parts]
 
     def encode(self, texts: pa.Array, closing: int) -> list[bytes]:
@@ -84,8 +88,10 @@ class PartIds(dict):
         plain = plain.to_numpy(zero_copy_only=False)
         out: list[bytes] = [b""] * len(texts)
         others = np.nonzero(~plain)[0].tolist()
-        for i, e in zip(others, self.tokenizer.encode_batch([texts[i].as_py() for i in others], add_special_tokens=False), strict=True):
-            out[i] = np.array(e.ids, "<u4").tobytes() + end
+        for at in range(0, len(others), TEXTS_AT_ONCE):
+            some = others[at : at + TEXTS_AT_ONCE]
+            for i, e in zip(some, self.tokenizer.encode_batch([texts[i].as_py() for i in some], add_special_tokens=False), strict=True):
+                out[i] = np.array(e.ids, "<u4").tobytes() + end
         if plain.any():
             low = pc.replace_substring(pc.utf8_lower(texts.filter(pa.array(plain))), "\n", " ")
             words, spans = _dictionary(pc.split_pattern(low, " "))
@@ -160,8 +166,11 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, closing: int = 2, windo
         known = part_ids(tokenizer_path)
         # a retried task has the same number; equal rows of many tasks do not share a shard
         salt = TaskContext.get().partitionId()
-        for b in batches:
-            for part in _slices(b):
+        # no name holds a batch while the next one is read
+        while (b := next(batches, None)) is not None:
+            parts = _slices(b)
+            del b
+            for part in parts:
                 full, rest, total, shard = [], [], [], []
                 for i, ids in zip(part["doc_id"].to_pylist(), known.encode(part["text"], closing), strict=True):
                     n = len(ids) // 4
@@ -174,6 +183,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, closing: int = 2, windo
                     [part["doc_id"], pa.array(shard, pa.int64()), pa.array(total, pa.int64()), pa.array(full, pa.list_(pa.int64())), pa.array(rest, pa.binary())],
                     ["doc_id", "shard", "total", "full", "rest"],
                 )
+            parts = part = None
 
     def packed(table: pa.Table) -> pa.Table:
         wide = tokenizer(tokenizer_path).get_vocab_size() > 1 << 16

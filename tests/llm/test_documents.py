@@ -11,6 +11,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 import xxhash
@@ -486,3 +487,26 @@ def test_word_hashes_of_many_texts_at_once():
     assert n.tolist() == counts[2:11].tolist() and part.tolist() == hashes[: n.sum()].tolist()
     # a dict of hashed words took 0.7 us a word and more when words are many
     assert took < 0.45e-6 * len(hashes), took / len(hashes)
+
+
+def test_tokenizer_gets_bounded_portions():
+    """Many new parts or texts never reach the tokenizer in one call, and the ids stay the same."""
+    path, known, asked = TOKENIZER, packing.PartIds(TOKENIZER), []
+
+    class Watched:
+        def encode_batch(self, texts, **more):
+            asked.append((len(texts), 0))
+            return packing.tokenizer(path).encode_batch(texts, **more)
+
+        def encode_batch_fast(self, texts, **more):
+            asked.append((len(texts), max(len(x.split(" ")) for x in texts)))
+            return packing.tokenizer(path).encode_batch_fast(texts, **more)
+
+    known.tokenizer = Watched()
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = [f"{a}{b}q{c}{d}" for a in letters for b in letters for c in letters for d in "az"]
+    texts = pa.array([" ".join(words), *(f"中 {w}" for w in words[:300])])
+    got = known.encode(texts, 2)
+    want = packing.tokenizer(path).encode_batch(texts.to_pylist(), add_special_tokens=False)
+    assert got == [np.array([*e.ids, 2], "<u4").tobytes() for e in want]
+    assert max(n for n, _ in asked) <= 64 and max(n for _, n in asked) <= 8192
