@@ -7,6 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from reverbkit.operators import summaries
 from reverbkit.operators.summaries import DAMPING, ROUNDS, sentence_ranks, sentences, summarise, term_weights
 
 
@@ -49,6 +50,24 @@ def test_ranks_equal_the_walk_over_pairs(spark):
     assert all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want)
 
 
+@pytest.mark.parametrize("group_rows", [0, 6])
+def test_large_videos_walk_by_joins(spark, group_rows):
+    df = spark.createDataFrame(ROWS, "video_id long, seg_idx long, segment string")
+    got = {(r.video_id, r.seg, r.pos): r["rank"] for r in sentence_ranks(term_weights(sentences(df)), group_rows=group_rows).collect()}
+    want = brute(ROWS)
+    assert got.keys() == want.keys()
+    assert all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want)
+
+
+def test_bounded_videos_write_no_rounds(spark, monkeypatch):
+    """Rounds of small videos neither shuffle the weights again nor write ranks."""
+    written, cut = [], summaries.cut_lineage
+    monkeypatch.setattr(summaries, "cut_lineage", lambda df, name: written.append(name) or cut(df, name))
+    df = spark.createDataFrame(ROWS, "video_id long, seg_idx long, segment string")
+    assert summarise(df, rounds=5).count() == 5
+    assert sorted(written) == ["large", "ranks", "weights"]
+
+
 def test_extracts(spark):
     df = spark.createDataFrame(ROWS, "video_id long, seg_idx long, segment string")
     got = {r.video_id: r for r in summarise(df).collect()}
