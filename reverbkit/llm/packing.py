@@ -38,13 +38,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel, CharDelimiterSplit, Sequence
 
 from reverbkit.llm.common import give_back, texts
 
 WINDOW = 4096
 SHARD_TOKENS = 1 << 20
-CACHED_PARTS = 200_000
-SLICE_BYTES = 2 << 20
+CACHED_PARTS = 500_000
+SLICE_BYTES = 4 << 20
 #: Parts and texts that the tokenizer gets at once; its results take far more memory than their ids.
 PARTS_AT_ONCE, TEXTS_AT_ONCE = 8_192, 64
 #: What a plain text does not hold, and a plain lower-case word's parts.
@@ -58,28 +59,40 @@ def tokenizer(path: str) -> Tokenizer:
     return Tokenizer.from_file(path)
 
 
-class PartIds(dict):
-    """The ids (bytes of little-endian unsigned 32-bit numbers) of parts."""
+class PartIds:
+    """The ids (little-endian unsigned 32-bit numbers) of parts. Known parts lie in an
+    Arrow array, their ids in another."""
 
     def __init__(self, path: str):
-        super().__init__()
         self.tokenizer = tokenizer(path)
+        # parts are lower-case, composed and cut already: the same model takes them between spaces
+        self.merges = Tokenizer(self.tokenizer.model)
+        self.merges.pre_tokenizer = Sequence([CharDelimiterSplit(" "), ByteLevel(add_prefix_space=False, use_regex=False)])
         vocab = self.tokenizer.get_vocab()
         self.is_end = np.zeros(max(vocab.values()) + 1, bool)
         self.is_end[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-
-    def spelled(self, parts: list[str]) -> list[bytes]:
-        if len(self) > CACHED_PARTS:
-            self.clear()
-        new = [p for p in parts if p and p not in self]
+        self.forget()
+
+    def forget(self) -> None:
+        self.parts, self.ids = pa.array([""], pa.string()), pa.array([b""], pa.large_binary())
+
+    def spelled(self, parts: pa.Array) -> pa.Array:
+        if len(self.parts) > CACHED_PARTS:
+            self.forget()
+        parts = parts.cast(pa.string())
+        number = pc.fill_null(pc.index_in(parts, value_set=self.parts), -1).to_numpy().copy()
+        new, made = parts.filter(pa.array(number < 0)), [self.ids]
+        number[number < 0] = np.arange(len(self.parts), len(self.parts) + len(new))
         for at in range(0, len(new), PARTS_AT_ONCE):
             # many new parts as one text, its ids cut after each end
-            some = new[at : at + PARTS_AT_ONCE]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
-            cuts = [0, *(np.nonzero(self.is_end[ids])[0] + 1).tolist()]
-            raw = ids.tobytes()
-            self.update((p, raw[4 * a : 4 * b]) for p, a, b in zip(some, cuts[:-1], cuts[1:], strict=True))
-        return [self[p] if p else b"" for p in parts]
+            some = new.slice(at, PARTS_AT_ONCE)
+            ids = np.array(self.merges.encode_batch_fast([" ".join(some.to_pylist())], add_special_tokens=False)[0].ids, "<u4")
+            cuts = np.flatnonzero(self.is_end[ids]) + 1
+            if len(cuts) != len(some):
+                raise ValueError(f"{len(some)} parts have {len(cuts)} ends")
+            made.append(_strings(np.concatenate(([0], 4 * cuts)), pa.py_buffer(ids)))
+        self.parts, self.ids = pa.concat_arrays([self.parts, new]), pa.concat_arrays(made)
+        return self.ids.take(pa.array(number))
 
     def encode(self, texts: pa.Array, closing: int) -> list[bytes]:
         """The ids of each text, the closing id included."""
@@ -96,18 +109,27 @@ class PartIds(dict):
             low = pc.replace_substring(pc.utf8_lower(texts.filter(pa.array(plain))), "\n", " ")
             words, spans = _dictionary(pc.split_pattern(low, " "))
             parts, inside = _dictionary(pc.split_pattern(pc.ascii_rtrim(pc.replace_substring_regex(words.dictionary, PART, "\\1 "), " "), " "))
-            part_ids = list(map(self.spelled(parts.dictionary.to_pylist()).__getitem__, parts.indices.to_numpy().tolist()))
-            known = [part_ids[a] if b - a == 1 else b"".join(part_ids[a:b]) for a, b in inside]
-            ids = list(map(known.__getitem__, words.indices.to_numpy().tolist()))
-            for i, (a, b) in zip(np.nonzero(plain)[0].tolist(), spans, strict=True):
-                out[i] = b"".join(ids[a:b]) + end
+            known = _joined(self.spelled(parts.dictionary).take(parts.indices), inside)
+            whole = _joined(known.take(words.indices), spans)
+            for i, ids in zip(np.nonzero(plain)[0].tolist(), whole.to_pylist(), strict=True):
+                out[i] = ids + end
         return out
 
 
-def _dictionary(lists: pa.ListArray) -> tuple[pa.DictionaryArray, list[tuple[int, int]]]:
-    """All strings of some lists, dictionary-encoded, and where each list lies."""
-    stops = (lists.offsets.to_numpy() - lists.offsets[0].as_py()).tolist()
-    return lists.flatten().dictionary_encode(), list(zip(stops[:-1], stops[1:], strict=True))
+def _dictionary(lists: pa.ListArray) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """All strings of some lists, dictionary-encoded, and where each list begins and the last ends."""
+    return lists.flatten().dictionary_encode(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+
+
+def _strings(cuts: np.ndarray, data: pa.Buffer) -> pa.Array:
+    """The byte strings between some places of a buffer."""
+    return pa.Array.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(cuts.astype(np.int64)), data])
+
+
+def _joined(strings: pa.Array, spans: np.ndarray) -> pa.Array:
+    """Neighbouring byte strings as one, where ``spans`` says which."""
+    _, offsets, data = strings.buffers()
+    return _strings(np.frombuffer(offsets, np.int64)[strings.offset : strings.offset + len(strings) + 1][spans], data)
 
 
 def _slices(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:

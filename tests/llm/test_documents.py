@@ -3,6 +3,7 @@ import gzip
 import hashlib
 import io
 import random
+import sys
 import tarfile
 import time
 import unicodedata
@@ -510,3 +511,29 @@ def test_tokenizer_gets_bounded_portions():
     want = packing.tokenizer(path).encode_batch(texts.to_pylist(), add_special_tokens=False)
     assert got == [np.array([*e.ids, 2], "<u4").tobytes() for e in want]
     assert max(n for n, _ in asked) <= 64 and max(n for _, n in asked) <= 8192
+
+
+def test_words_are_joined_without_python_calls():
+    """No call per word: words of several parts and their texts are joined by Arrow; the
+    model gets bounded portions of parts and gives the tokenizer's ids."""
+    path, known, asked, calls = TOKENIZER, packing.PartIds(TOKENIZER), [], Counter()
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abeéinorst") for _ in range(rng.randint(1, 9))) + rng.choice([".", "'s", "1,", "", "?!"]) for _ in range(20_000)]
+    texts = pa.array([" ".join(words[at : at + 50]) + "\n" for at in range(0, len(words), 50)] + ["", " ", "'s"])
+    sys.setprofile(lambda frame, event, what: calls.update([event]))
+    try:
+        got = known.encode(texts, 2)
+    finally:
+        sys.setprofile(None)
+    want = packing.tokenizer(path).encode_batch(texts.to_pylist(), add_special_tokens=False)
+    assert got == [np.array([*e.ids, 2], "<u4").tobytes() for e in want]
+    assert sum(calls.values()) < len(words) / 10
+
+    class Watched:
+        def encode_batch_fast(self, texts, **more):
+            asked.append(max(len(x.split(" ")) for x in texts))
+            return merges.encode_batch_fast(texts, **more)
+
+    merges, known.merges = known.merges, Watched()
+    known.forget()
+    assert known.encode(texts, 2) == got and len(asked) > 1 and max(asked) <= 8192
