@@ -23,6 +23,7 @@ TONES = r"\x{1F3FB}-\x{1F3FF}"
 SELECTORS = r"\x{FE0E}\x{FE0F}"
 _FLAG = r"\x{1F1E6}-\x{1F1FF}"
 _TAGS = r"\x{E0020}-\x{E007F}"
+_PLAIN = r"[\x00-\x22\x24-\x29\x2B-\x2F\x3A-\x7F]+"  # ASCII that starts no cluster
 _KEYCAP = rf"[0-9#*][{SELECTORS}]?\x{{20E3}}"
 
 
@@ -64,9 +65,10 @@ def cluster_pattern() -> str:
 
 
 def token_pattern() -> str:
-    """An emoji cluster or a run of other text; a character that could have
-    started a cluster but didn't (a digit, half a flag) is a token of its own."""
-    return f"{cluster_pattern()}|[^{_FLAG}{_bases()}0-9#*]+|(?s:.)"
+    """A run of ASCII text, an emoji cluster or a run of other text; a character that
+    could have started a cluster but didn't (a digit, half a flag) is a token of its
+    own. ASCII goes first: the other classes are searched range by range."""
+    return f"{_PLAIN}|{cluster_pattern()}|[^{_FLAG}{_bases()}0-9#*]+|(?s:.)"
 
 
 def start_pattern() -> str:

@@ -23,6 +23,7 @@ how to join the small table of hot keys.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -41,6 +42,10 @@ PACK = 256  # centroids that a comment meets at once
 SLICE = 4_096  # comments of one matrix product
 TAKEN = 16_384  # comment x block rows made at once
 SLACK = 1e-9  # of a bound, for rounding
+GROUP_SIZE, GROUP_PAIRS = 1_000_000, 16_000_000  # a video that the sparse search has in one group
+BUNDLE_SIZE = 4_000_000  # videos of one group of the sparse search
+ROW_SIZE = 64  # what a row counts beside its characters
+MET = 2_000_000  # terms of chunks that comments meet at once
 
 
 def hot_key_salts(comments: DataFrame, key: str, rows_per_salt: int) -> DataFrame:
@@ -305,7 +310,7 @@ def tfidf_nearest_chunk(comments: DataFrame, chunks: DataFrame, key: str = "vide
                         chunk_text: str = "chunk", block_size: int = DEFAULT_BLOCK,
                         rows_per_salt: int = DEFAULT_ROWS_PER_SALT,
                         comment_payload: list[str] | None = None,
-                        chunk_payload: list[str] | None = None) -> DataFrame:
+                        chunk_payload: list[str] | None = None, group_size: int = GROUP_SIZE) -> DataFrame:
     """Nearest chunk by TF-IDF cosine within each video.
 
     ``idf(term) = ln((1 + n_chunks) / (1 + df))`` over the chunks of the
@@ -315,12 +320,131 @@ def tfidf_nearest_chunk(comments: DataFrame, chunks: DataFrame, key: str = "vide
     out, which also removes the most frequent keys. Payload columns are
     carried through the search as in ``nearest_chunk``.
 
-    The chunks' term counts and the idf table are written once in the shared
-    checkpoint folder (``session.cut_lineage``). ``comments`` and ``chunks``
-    are read several times; pass them checkpointed when they are expensive.
+    Videos of at most ``group_size`` (characters and ``ROW_SIZE`` for each row) and
+    ``GROUP_PAIRS`` pairs meet in bounded groups of several videos; larger ones,
+    and those whose rows are not told apart by their keys, go by joins.
+    ``comments`` and ``chunks`` are read several times; pass them
+    checkpointed when they are expensive.
     """
-    comment_payload = comment_payload or []
-    chunk_payload = chunk_payload or []
+    carried = {"comment_payload": comment_payload or [], "chunk_payload": chunk_payload or []}
+    names = key, comment_key, comment_text, chunk_text
+    sizes = cut_lineage(_video_sizes(comments, chunks, *names), "sizes")
+    small = (F.col("size") <= group_size) & (F.col("n_comments") * F.col("n_chunks") <= GROUP_PAIRS) & ~F.col("odd")
+    total, large = sizes.agg(F.sum(F.when(small, F.col("size"))), F.count(F.when(~small, 1))).first()
+    if not large:
+        return _tfidf_in_groups(comments, chunks, *names, total or 0, **carried)
+    apart = sizes.where(~small).select(key)
+    left, right = ([df.join(apart, key, how) for df in (comments, chunks)] for how in ("left_anti", "left_semi"))
+    found = _tfidf_by_joins(*right, *names, block_size, rows_per_salt, **carried)
+    return _tfidf_in_groups(*left, *names, total or 0, **carried).unionByName(found)
+
+
+def _video_sizes(comments: DataFrame, chunks: DataFrame, key: str, comment_key: str, comment_text: str, chunk_text: str) -> DataFrame:
+    """(key, n_comments, n_chunks, size, odd): odd videos hold a row without a key of its own."""
+
+    def side(df: DataFrame, own: str, text: str, is_chunk: int) -> DataFrame:
+        rows = df.where(F.col(key).isNotNull()).groupBy(key, own).agg(F.count(F.lit(1)).alias("n"), F.sum(F.coalesce(F.length(text), F.lit(0))).alias("chars"))
+        return rows.select(key, (F.col("n") * (1 - is_chunk)).alias("nc"), (F.col("n") * is_chunk).alias("nk"), (F.col("chars") + ROW_SIZE * F.col("n")).alias("size"),
+                           (F.col(own).isNull() | (F.col("n") > 1)).alias("odd"))
+
+    both = side(comments, comment_key, comment_text, 0).unionByName(side(chunks, "chunk_index", chunk_text, 1))
+    return both.groupBy(key).agg(F.sum("nc").alias("n_comments"), F.sum("nk").alias("n_chunks"), F.sum("size").alias("size"), F.max("odd").alias("odd"))
+
+
+def _tfidf_in_groups(comments: DataFrame, chunks: DataFrame, key: str, comment_key: str, comment_text: str, chunk_text: str, total: int,
+                     comment_payload: list[str], chunk_payload: list[str]) -> DataFrame:
+    """Videos dealt over groups of about ``BUNDLE_SIZE``; a group searches its videos at once."""
+    groups = F.lit(max(1, math.ceil(total / BUNDLE_SIZE)))
+
+    def dealt(df: DataFrame, text: str, *columns: str) -> DataFrame:
+        terms = F.regexp_extract_all(F.lower(F.col(text)), F.lit(TERM_PATTERN), 0)
+        return df.where(F.col(key).isNotNull()).select(*columns, terms.alias("_terms"), F.pmod(F.xxhash64(key), groups).alias("_deal"))
+
+    a = dealt(comments, comment_text, key, comment_key, *comment_payload)
+    b = dealt(chunks.withColumn("chunk_index", F.col("chunk_index").cast("int")), chunk_text, key, "chunk_index", *chunk_payload)
+    schema = T.StructType([a.schema[c] for c in (key, comment_key, *comment_payload)])
+    schema = schema.add("chunk_index", "integer").add("similarity", "double")
+    for c in chunk_payload:
+        schema = schema.add(b.schema[c])
+
+    def found(left: pa.Table, right: pa.Table) -> pa.Table:
+        right = right.take(pc.sort_indices(right["chunk_index"]))  # the first of equal ones has the lowest index
+        video = pc.unique(right[key])
+        left = left.filter(pc.is_in(left[key], video))
+        of = [pc.index_in(t[key], video).to_numpy().astype(np.int64) for t in (left, right)]
+        at, sim = _nearest_by_terms(*of, *(t["_terms"].combine_chunks() for t in (left, right)), len(video))
+        own = right.take(pa.array(at))
+        columns = {c: left[c] for c in (key, comment_key, *comment_payload)} | {"chunk_index": own["chunk_index"], "similarity": pa.array(sim)}
+        return pa.table(columns | {c: own[c] for c in chunk_payload})
+
+    return a.groupBy("_deal").cogroup(b.groupBy("_deal")).applyInArrow(found, schema)
+
+
+def _tf(rows: pa.Array, terms: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, term, tf) in this order, of the terms' numbers in a column of lists."""
+    sizes = pc.fill_null(pc.list_value_length(rows), 0).to_numpy()
+    both, tf = np.unique(np.repeat(np.arange(len(sizes)), sizes) * count + terms, return_counts=True)
+    return both // count, both % count, tf
+
+
+def _nearest_by_terms(video_a: np.ndarray, video_b: np.ndarray, terms_a: pa.Array, terms_b: pa.Array, videos: int) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest chunk (the first of equal ones) of each comment and its similarity.
+    ``video_a`` and ``video_b`` number the videos of the comments' and the chunks' rows; every video has a chunk."""
+    n_a, n_b = len(video_a), len(video_b)
+    # what shares no term has the first chunk
+    at, best = np.full(videos, n_b), np.zeros(n_a)
+    np.minimum.at(at, video_b, np.arange(n_b))
+    at = at[video_a]
+    flat = [t.flatten() for t in (terms_a, terms_b)]
+    encoded = pa.concat_arrays(flat).dictionary_encode()
+    count, numbers = max(1, len(encoded.dictionary)), encoded.indices.to_numpy().astype(np.int64)
+    row_b, term_b, tf_b = _tf(terms_b, numbers[len(flat[0]) :], count)
+    known, place, df = np.unique(video_b[row_b] * count + term_b, return_inverse=True, return_counts=True)
+    n_chunks = np.bincount(video_b, minlength=videos)[known // count]
+    idf = np.where(df < n_chunks, np.log((1 + n_chunks) / (1 + df)), 0.0)
+    weight_b = tf_b * idf[place]
+    norm_b = np.sqrt(np.bincount(row_b, weight_b * weight_b, minlength=n_b))
+    # a known term's chunks and their weights, side by side
+    order = np.argsort(place, kind="stable")
+    posted, posted_weight, first = row_b[order], weight_b[order], np.cumsum(df) - df
+
+    row_a, term_a, tf_a = _tf(terms_a, numbers[: len(flat[0])], count)
+    asked = video_a[row_a] * count + term_a
+    place = np.searchsorted(known, asked)
+    met = place < len(known)
+    met[met] = known[place[met]] == asked[met]
+    met[met] = idf[place[met]] > 0
+    row_a, place, weight_a = row_a[met], place[met], (tf_a[met] * idf[place[met]])
+    norm_a = np.sqrt(np.bincount(row_a, weight_a * weight_a, minlength=n_a))
+    # whole comments, and about MET term places of chunks at a time
+    ends = np.flatnonzero(np.diff(row_a, append=n_a)) + 1
+    done = np.cumsum(df[place])[ends - 1] if len(ends) else ends
+    start = k = 0
+    while k < len(ends):
+        k = max(k + 1, int(np.searchsorted(done, (done[k - 1] if k else 0) + MET, "right")))
+        part, start = slice(start, ends[k - 1]), ends[k - 1]
+        n = df[place[part]]
+        to = np.repeat(first[place[part]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        pair = np.repeat(row_a[part], n) * n_b + posted[to]
+        x = np.repeat(weight_a[part], n) * posted_weight[to]
+        order = np.argsort(pair, kind="stable")
+        pair = pair[order]
+        begin = np.flatnonzero(np.concatenate(([True], pair[1:] != pair[:-1])))
+        a, b = pair[begin] // n_b, pair[begin] % n_b
+        sim = np.add.reduceat(x[order], begin) / (norm_a[a] * norm_b[b])
+        rank = _ranks(sim)
+        order = np.lexsort((-b, rank, a))
+        last = order[np.flatnonzero(np.diff(a[order], append=n_a))]
+        # a rank of zero is that of chunks without a common term, too
+        last = last[(rank[last] > 0) | (b[last] == at[a[last]])]
+        at[a[last]], best[a[last]] = b[last], sim[last]
+    return at, best
+
+
+def _tfidf_by_joins(comments: DataFrame, chunks: DataFrame, key: str, comment_key: str, comment_text: str, chunk_text: str,
+                    block_size: int, rows_per_salt: int, comment_payload: list[str], chunk_payload: list[str]) -> DataFrame:
+    """Videos of any size. The chunks' term counts and the idf table are written once in
+    the shared checkpoint folder (``session.cut_lineage``)."""
     ktf = cut_lineage(term_counts(chunks, [key, "chunk_index"], chunk_text), "terms")
     nchunks = chunks.groupBy(key).agg(F.count(F.lit(1)).alias("_nk"))
     idf = cut_lineage(
